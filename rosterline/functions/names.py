@@ -96,14 +96,22 @@ def swap_surname_first(c: Column) -> Column:
     return F.when(F.contains(c, F.lit(",")), swapped).otherwise(c)
 
 
-@F.pandas_udf(T.StringType())
-def nfkc_casefold(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: unicodedata.normalize("NFKC", v).casefold(), na_action="ignore")
+def _fold_udf(fold) -> object:
+    """Arrow UDF over the non-NULL (non-ASCII) texts.
 
+    Declared non-deterministic so that the optimizer neither copies it into pushed-down filters nor
+    merges the projections around it: every text is folded once.
+    """
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(fold, na_action="ignore")
+
+    return F.pandas_udf(run, T.StringType()).asNondeterministic()
 
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
+
+nfkc_casefold = _fold_udf(lambda v: unicodedata.normalize("NFKC", v).casefold())
+nfkc = _fold_udf(lambda v: unicodedata.normalize("NFKC", v))
+casefold = _fold_udf(str.casefold)
 
 
 def _finish_key(folded: Column) -> Column:
@@ -134,12 +142,12 @@ def relaxed_key(key: Column) -> Column:
 # --- triage ------------------------------------------------------------------------------
 
 def is_unknown_artifact(c: Column) -> Column:
-    return F.contains(c, F.lit("不明")) & canonical_display_name(c).rlike(UNKNOWN_TAIL)
+    """Damaged name that ends in a stray 不明; ``c`` is a canonical display name."""
+    return F.contains(c, F.lit("不明")) & c.rlike(UNKNOWN_TAIL)
 
 
-def invalid_reason(c: Column) -> Column:
-    """Why a name can never be a listed name; NULL when it can."""
-    s = clean_name(c)
+def invalid_reason(s: Column) -> Column:
+    """Why a canonical display name can never be a listed name; NULL when it can."""
     return (
         F.when(s == "", "空文字または空白のみ")
         .when(is_unknown_artifact(s), "original script等のメタ情報「不明」が名称末尾に混入した旧データ")
@@ -153,9 +161,8 @@ def has_alias_marker(s: Column) -> Column:
     return s.rlike(JAPANESE_MARKER) | s.rlike(LATIN_MARKER)
 
 
-def review_reason(c: Column) -> Column:
-    """Why a valid name still needs a person to look; NULL when it does not."""
-    s = clean_name(c)
+def review_reason(s: Column) -> Column:
+    """Why a valid canonical display name still needs a person to look; NULL when it does not."""
     n = F.char_length(s)
     cjk = s.rlike(CJK)
     return (

@@ -49,9 +49,9 @@ def standardise_names(names: DataFrame, raw: str = "raw", order: str = "ord") ->
 def triage_names(names: DataFrame, raw: str = "raw") -> DataFrame:
     """Totals per verdict: INVALID (reason), REVIEW (reason) or OK."""
     spellings = names.groupBy(F.col(raw).alias("raw")).agg(F.count(F.lit(1)).alias("n"))
-    shown = N.canonical_display_name(F.col("raw"))
-    flagged = spellings.select(
-        "n", N.invalid_reason(shown).alias("invalid"), N.review_reason(shown).alias("review"))
+    shown = spellings.select("n", N.canonical_display_name(F.col("raw")).alias("name"))
+    flagged = shown.select(
+        "n", N.invalid_reason(F.col("name")).alias("invalid"), N.review_reason(F.col("name")).alias("review"))
     verdict = F.when(F.col("invalid").isNotNull(), "INVALID").when(F.col("review").isNotNull(), "REVIEW").otherwise("OK")
     reason = F.regexp_replace(F.coalesce("invalid", "review", F.lit("")), "（.*）$", "")
     return (

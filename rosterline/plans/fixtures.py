@@ -41,6 +41,9 @@ class Dialect:
         """Inclusive integer range."""
         return f"sequence({lo}, {hi})" if self.spark else f"generate_series({lo}, {hi})"
 
+    def q(self, name: str) -> str:
+        return f"`{name}`" if self.spark else f'"{name}"'
+
     def lines(self, text: str) -> str:
         return f"split({text}, '\\n')" if self.spark else f"string_split({text}, chr(10))"
 
