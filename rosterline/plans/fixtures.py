@@ -41,6 +41,12 @@ class Dialect:
         """Inclusive integer range."""
         return f"sequence({lo}, {hi})" if self.spark else f"generate_series({lo}, {hi})"
 
+    def set_digest(self, member: str) -> str:
+        """Aggregate: the order-independent set digest of ``member``."""
+        word = "CAST(conv({0}, 16, 10) AS BIGINT)" if self.spark else "CAST(('0x' || {0}) AS BIGINT)"
+        sums = [f"CAST(sum({word.format(f'substr({self.sha(member)}, {1 + 8 * i}, 8)')}) AS STRING)" for i in range(8)]
+        return self.sha(f"concat_ws('|', CAST(count({member}) AS STRING), {', '.join(sums)})")
+
     def q(self, name: str) -> str:
         return f"`{name}`" if self.spark else f'"{name}"'
 
