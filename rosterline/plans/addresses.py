@@ -381,9 +381,9 @@ def _outcomes(x):
     return C.prove_transfers(C.tried_candidates(x.view("proof_candidates")), *[x.view(v) for v in ("receipts", "blocks", "block_txs", "transfer_logs", "chain_head")])
 
 
-@query("c6_transfer_proofs", views=PROOF_VIEWS, oracle=f"WITH {PROOFS} SELECT relation_id, tx_hash, try_no, n_candidates, outcome, block_number, amount_hex FROM oc")
+@query("c6_transfer_proofs", views=PROOF_VIEWS, oracle=f"WITH {PROOFS} SELECT relation_id, tx_hash, try_no, n_candidates, outcome, coalesce(block_number, -1) AS block_number, amount_hex FROM oc")
 def _(x):
-    return _outcomes(x).withColumn("amount_hex", F.col("event.amount_hex")).drop("event")
+    return _outcomes(x).withColumn("amount_hex", F.col("event.amount_hex")).drop("event").fillna(-1, "block_number")
 
 
 SELECTED = """

@@ -66,13 +66,13 @@ wanted AS (SELECT list, party_id FROM newly_removed UNION SELECT list, party_id
 fresh AS (SELECT * FROM wanted EXCEPT SELECT list, party_id FROM kept WHERE status = 'PENDING_REVIEW'),
 ev AS (SELECT f.list, s.snapshot_sha256, sha256(concat_ws('|', f.list, s.snapshot_sha256, {DUCK.set_digest('party_id')})) AS event_id
   FROM fresh f JOIN snapshot_hashes s ON s.list = f.list GROUP BY f.list, s.snapshot_sha256)
-SELECT * FROM kept
-UNION ALL SELECT event_id, f.list, ev.snapshot_sha256, f.party_id, n.party_name, 'PENDING_REVIEW', {TS}, {TS}, NULL, ''
+SELECT * REPLACE (coalesce(resolved_at_ms, -1) AS resolved_at_ms) FROM kept
+UNION ALL SELECT event_id, f.list, ev.snapshot_sha256, f.party_id, n.party_name, 'PENDING_REVIEW', {TS}, {TS}, -1, ''
 FROM fresh f JOIN ev ON ev.list = f.list JOIN party_names n ON n.list = f.list AND n.party_id = f.party_id
 """)
 def _(x):
     queue = x.view("removal_queue").drop("g", "c_custkey")
-    return L.reconcile_queue(queue, x.view("newly_removed"), x.view("current_parties"), x.view("snapshot_hashes"), x.view("party_names"), TS)
+    return L.reconcile_queue(queue, x.view("newly_removed"), x.view("current_parties"), x.view("snapshot_hashes"), x.view("party_names"), TS).fillna(-1, "resolved_at_ms")
 
 
 @query("m7_pending_groups", views="removal_queue", oracle="""
@@ -96,14 +96,14 @@ WITH p AS (SELECT q.*, (q.list, q.snapshot_sha256, q.party_id) IN (SELECT (list,
   FROM removal_queue q WHERE status = 'PENDING_REVIEW'),
 c AS (SELECT *, count(*) OVER (PARTITION BY event_id) AS n_all, count(*) FILTER (asked) OVER (PARTITION BY event_id) AS n_asked FROM p)
 SELECT list, snapshot_sha256, party_id, event_id, CASE WHEN n_all = n_asked THEN 'APPLIED' ELSE status END AS status,
-  CASE WHEN n_all = n_asked THEN {TS} END AS resolved_at_ms, CASE WHEN n_all = n_asked THEN 'HUMAN_APPROVED' ELSE '' END AS resolution,
+  CASE WHEN n_all = n_asked THEN {TS} ELSE -1 END AS resolved_at_ms, CASE WHEN n_all = n_asked THEN 'HUMAN_APPROVED' ELSE '' END AS resolution,
   CASE WHEN n_asked > 0 AND n_asked < n_all THEN 'PARTIAL_EVENT' END AS violation FROM c
 UNION ALL
-SELECT list, snapshot_sha256, party_id, '', '', NULL, '', 'NOT_PENDING' FROM (
+SELECT list, snapshot_sha256, party_id, '', '', -1, '', 'NOT_PENDING' FROM (
   SELECT list, snapshot_sha256, party_id FROM apply_requests EXCEPT SELECT list, snapshot_sha256, party_id FROM p)
 """)
 def _(x):
-    return L.mark_applied(x.view("removal_queue"), x.view("apply_requests"), TS)
+    return L.mark_applied(x.view("removal_queue"), x.view("apply_requests"), TS).fillna(-1, "resolved_at_ms")
 
 
 @view("queue_approvals", "removal_queue")

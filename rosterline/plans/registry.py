@@ -12,7 +12,7 @@ from . import fixtures
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["names", "screening", "master", "snapshots", "history", "ledgers", "monitoring", "addresses"]
+MODULES = ["names", "screening", "master", "snapshots", "history", "ledgers", "monitoring", "addresses", "sources"]
 
 
 class Inputs:

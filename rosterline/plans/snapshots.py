@@ -232,12 +232,12 @@ j AS (SELECT coalesce(o.k, n.k) AS match_key, o, n,
       WHEN (lower(o.country), o.wmd, o.conventional_weapons, list_sort(list_transform(o.aliases, lambda a: lower(regexp_replace(a, ' +', ' ', 'g')))))
         IS DISTINCT FROM (lower(n.country), n.wmd, n.conventional_weapons, list_sort(list_transform(n.aliases, lambda a: lower(regexp_replace(a, ' +', ' ', 'g'))))) THEN '変更' END AS action
   FROM o FULL JOIN n ON o.k = n.k)
-SELECT action, match_key, o.record_no AS old_record_no, o.company AS old_company, o.country AS old_country, n.record_no AS new_record_no,
+SELECT action, match_key, coalesce(o.record_no, -1) AS old_record_no, o.company AS old_company, o.country AS old_country, coalesce(n.record_no, -1) AS new_record_no,
   n.company AS new_company, n.country AS new_country, array_to_string(o.aliases, ' | ') AS old_aliases, array_to_string(n.aliases, ' | ') AS new_aliases
 FROM j WHERE action IS NOT NULL
 """)
 def _(x):
-    return S.diff_keyed_records(x.view("records_old"), x.view("records_new"))
+    return S.diff_keyed_records(x.view("records_old"), x.view("records_new")).fillna(-1, ["old_record_no", "new_record_no"])
 
 
 @view("stored_files")
