@@ -200,6 +200,24 @@ def unwrap_brackets(s: Column) -> Column:
     return F.when((inner != "") & ~inner.rlike("[（(]"), inner).otherwise(s)
 
 
+def _split_marked(body: Column) -> Column:
+    t = F.regexp_replace(body, ALIAS_NUMBER, "")
+    t = F.regexp_replace(t, JAPANESE_SPLIT, BREAK)
+    return F.regexp_replace(t, LATIN_SPLIT, BREAK)
+
+
+def _tidy_pieces(cut: Column, whole: Column) -> Column:
+    """Pieces of a cell whose markers are already breaks: unclosed brackets split again, edges trimmed, repeats dropped."""
+    opens, closes = "(（", ")）"
+    parts = F.flatten(F.transform(F.split(cut, f"[{BREAK}、，;；]"), lambda p: F.when(
+        _count(p, opens) > _count(p, closes), F.split(p, "[（(]")).otherwise(F.array(p))))
+    parts = F.transform(parts, lambda p: F.btrim(clean_name(p), F.lit("\u3000 ,;；、（(")))
+    parts = F.transform(parts, lambda p: F.when(
+        _count(p, opens) < _count(p, closes), clean_name(F.regexp_replace(p, "[)）]+$", ""))).otherwise(p))
+    kept = F.array_distinct(F.filter(parts, lambda p: p != ""))
+    return F.when(F.size(kept) == 0, F.array(whole)).otherwise(kept)
+
+
 def split_aliases(c: Column) -> Column:
     """All names held in one cell, in order, without repeats.
 
@@ -208,24 +226,24 @@ def split_aliases(c: Column) -> Column:
     s = clean_name(c)
     body = strip(F.regexp_replace(s, VESSEL_TAIL, ""))
     whole = unwrap_brackets(body)
-    single = F.array(F.when(whole == "", s).otherwise(whole))
-
-    t = F.regexp_replace(body, ALIAS_NUMBER, "")
-    t = F.regexp_replace(t, JAPANESE_SPLIT, BREAK)
-    t = F.regexp_replace(t, LATIN_SPLIT, BREAK)
-    parts = F.split(orphan_closers_to_break(t), f"[{BREAK}、，;；]")
-    opens, closes = "(（", ")）"
-    parts = F.flatten(F.transform(parts, lambda p: F.when(
-        _count(p, opens) > _count(p, closes), F.split(p, "[（(]")).otherwise(F.array(p))))
-
-    def tidy(p):
-        p = F.btrim(clean_name(p), F.lit("　 ,;；、（("))
-        p = F.when(_count(p, opens) < _count(p, closes), strip(F.regexp_replace(p, "[)）]+$", ""))).otherwise(p)
-        return clean_name(p)
-
-    many = F.array_distinct(F.filter(F.transform(parts, tidy), lambda p: p != ""))
-    many = F.when(F.size(many) == 0, F.array(s)).otherwise(many)
-    return F.when(s == "", F.array().cast("array<string>")).when(has_alias_marker(body), many).otherwise(single)
+    many = _tidy_pieces(orphan_closers_to_break(_split_marked(body)), s)
+    return F.when(s == "", F.array().cast("array<string>")).when(has_alias_marker(body), many).otherwise(
+        F.array(F.when(whole == "", s).otherwise(whole)))
+
+
+def with_aliases(df: DataFrame, raw: str, out: str = "aliases") -> DataFrame:
+    """``split_aliases`` as staged columns: each step is computed once and the costly ones only for marked cells."""
+    clean, body, marked, cut = (f"__{out}_{x}" for x in ("clean", "body", "marked", "cut"))
+    df = df.withColumn(clean, clean_name(F.col(raw)))
+    tail = F.when(F.lower(clean).contains("flag"), strip(F.regexp_replace(F.col(clean), VESSEL_TAIL, ""))).otherwise(F.col(clean))
+    df = df.withColumn(body, tail)
+    df = df.withColumn(marked, has_alias_marker(F.col(body)))
+    df = df.withColumn(cut, F.when(F.col(marked), _split_marked(F.col(body))))
+    df = df.withColumn(cut, F.when(F.col(marked), orphan_closers_to_break(F.col(cut))))
+    whole = unwrap_brackets(F.col(body))
+    return df.withColumn(out, F.when(F.col(clean) == "", F.array().cast("array<string>")).when(
+        F.col(marked), _tidy_pieces(F.col(cut), F.col(clean))).otherwise(
+        F.array(F.when(whole == "", F.col(clean)).otherwise(whole)))).drop(clean, body, marked, cut)
 
 
 def split_top_level(s: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.addresses import checksum_facts
+from ..functions.rows import explode_once
 
 # Networks of the identity, version bytes and human-readable prefixes per symbol.
 LEGACY_NETWORKS = {"XBT": "bitcoin", "ETH": "ethereum", "ETC": "ethereum-classic", "TRX": "tron",
@@ -251,7 +252,7 @@ def snapshot_violations(ledger: DataFrame, declared: DataFrame) -> DataFrame:
         F.when(~F.col("validation").isin("CHECKSUM_VALID", "FORMAT_ONLY", "INVALID", "UNSUPPORTED"), "UNKNOWN_VALIDATION"),
         F.when(F.col("review_category") != category, "CATEGORY_MISMATCH"),
         F.when((F.col("network_resolution") == "UNRESOLVED") != empty, "CANDIDATES_MISMATCH")))
-    rows = ledger.select(F.lit("row").alias("scope"), F.col("relation_id").alias("key"), F.explode(rules).alias("violation"))
+    rows = explode_once(ledger, [F.lit("row").alias("scope"), F.col("relation_id").alias("key")], rules, "violation")
     twice = ledger.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
         F.lit("row").alias("scope"), F.col("relation_id").alias("key"), F.lit("DUPLICATE_ID").alias("violation"))
     counts = declared.join(ledger_counts(ledger).withColumnRenamed("value", "actual"), "item", "left")
@@ -339,9 +340,9 @@ def probe_targets(ledger: DataFrame) -> DataFrame:
     """One row per relation, chain target and provider to ask; listed limitations only."""
     asked = ledger.filter(
         (F.col("listing_status") == "LISTED") & (F.col("review_category") == "LIMITATION") & ~F.col("validation").isin("INVALID", "UNSUPPORTED"))
-    rows = asked.select("relation_id", "address", "symbol", F.explode(_targets()).alias("t"))
+    rows = explode_once(asked, ["relation_id", "address", "symbol"], _targets(), "t")
     providers = F.array(*[F.struct(F.lit(c).alias("chain"), F.lit(p).alias("provider"), F.lit(e).alias("endpoint")) for c, p, e in PROVIDERS])
-    rows = rows.select("relation_id", "address", "symbol", "t", F.explode(F.filter(providers, lambda p: p["chain"] == F.col("t.chain"))).alias("p"))
+    rows = explode_once(rows, ["relation_id", "address", "symbol", "t"], F.filter(providers, lambda p: p["chain"] == F.col("t.chain")), "p")
     return rows.select("relation_id", "address", "symbol", F.col("t.chain").alias("chain"), F.col("t.asset").alias("asset"),
                        F.col("t.contract").alias("contract"), F.col("p.provider").alias("provider"), F.col("p.endpoint").alias("endpoint"))
 
@@ -408,9 +409,11 @@ def transfer_events(logs: DataFrame, prefix: str = "0x") -> DataFrame:
         (F.lower("address") == F.lower("contract")) & (F.size(topics) == 3) & (F.get(topics, F.lit(0)) == prefix + TRANSFER_TOPIC)
         & F.get(topics, F.lit(1)).rlike(padded) & F.get(topics, F.lit(2)).rlike(padded) & (party(1).eqNullSafe(subject) | party(2).eqNullSafe(subject))
         & F.col("data").rlike(rf"^{prefix}[0-9a-fA-F]{{64}}$") & ~F.col("data").rlike(rf"^{prefix}0{{64}}$"))
-    return logs.filter(good).withColumns({
-        "from_address": F.concat(F.lit(prefix), party(1)), "to_address": F.concat(F.lit(prefix), party(2)),
-        "amount_hex": F.lower(F.right("data", F.lit(64)))})
+    event = F.struct(
+        F.concat(F.lit(prefix), party(1)).alias("from_address"), F.concat(F.lit(prefix), party(2)).alias("to_address"), F.lower(F.right("data", F.lit(64))).alias("amount_hex"))
+    # a generator drops the other logs in one pass; a filter would be pushed down and repeat the expressions behind its inputs
+    found = explode_once(logs, ["*"], F.when(good, F.array(event)), "__event")
+    return found.select(*logs.columns, "__event.from_address", "__event.to_address", "__event.amount_hex")
 
 
 def tried_candidates(candidates: DataFrame, limit: int = 3) -> DataFrame:

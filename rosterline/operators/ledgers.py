@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from ..functions import constants as K
 from ..functions import names as N
 from ..functions.digests import set_digest
+from ..functions.rows import explode_once
 
 PARTY = ["list", "party_id"]
 HEX64 = "^[0-9a-f]{64}$"
@@ -138,7 +139,7 @@ def approval_violations(approvals: DataFrame, domains: list[str] = OFFICIAL_DOMA
         F.when((F.col("official_url") != "") & ~F.col("official"), "UNOFFICIAL_URL"),
         F.when(F.col("n_same") > 1, "DUPLICATE"),
     ]
-    return df.select(*key, F.explode(F.array_compact(F.array(*rules))).alias("violation"))
+    return explode_once(df, key, F.array_compact(F.array(*rules)), "violation")
 
 
 def queue_violations(queue: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def queue_violations(queue: DataFrame) -> DataFrame:
     rules = F.array_compact(F.array(
         F.when(mixed, "MIXED_METADATA"), F.when((F.col("st") != F.col("st_hi")) | (F.col("re") != F.col("re_hi")), "PARTIAL_TRANSITION"),
         F.when(~mixed & (F.col("event_id") != event_digest(F.col("list"), F.col("sha"), F.col("members"))), "ID_MISMATCH")))
-    return pairs.unionByName(doubled).unionByName(events.select("event_id", F.explode(rules).alias("violation")))
+    return pairs.unionByName(doubled).unionByName(explode_once(events, ["event_id"], rules, "violation"))
 
 
 def evidence_integrity(events: DataFrame, queue: DataFrame, immutable: list[str]) -> DataFrame:

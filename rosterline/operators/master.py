@@ -10,6 +10,7 @@ from ..functions import constants as K
 from ..functions import names as N
 from ..functions import remarks as R
 from ..functions.digests import row_text, set_digest
+from ..functions.rows import explode_once
 
 NO_TEXTS = "array<string>"
 AUDITED = ["status", "sources", "categories", "remark"]
@@ -208,7 +209,7 @@ def repair_legacy(master: DataFrame, official: DataFrame, source: str = K.SRC_MO
     """
     target = (F.col("invalid_reason") == K.DELISTED) & (F.size("sources") == 0)
     damaged = master.filter(target)
-    tried = damaged.select(F.col("match_key").alias("old_key"), F.posexplode(repair_candidates(F.col("display_name"))).alias("pos", "cand"))
+    tried = explode_once(damaged, [F.col("match_key").alias("old_key")], repair_candidates(F.col("display_name")), "cand", "pos")
     tried = N.with_identity_key(tried, "cand", "cand_key").filter("cand_key <> '' AND cand_key <> old_key")
     listed = official.select(F.col("match_key").alias("cand_key"), F.col("name").alias("official_name"), F.col("categories").alias("official_cats"))
     hits = tried.join(listed, "cand_key").groupBy("old_key").agg(
@@ -258,27 +259,25 @@ def cluster_legacy(rows: DataFrame, ts: int) -> DataFrame:
     Per-key reductions are ordered minima and bounded sets, all combined map-side; the spelling set is
     reduced to distinct (key, spelling) pairs before it is gathered.
     """
-    pieces = rows.select(
-        "ord", "raw", "first_ms", "last_ms", "was_invalid", R.parse_remark_multi(F.col("remark")).alias("pairs"),
-        N.split_aliases(F.col("raw")).alias("parts"))
-    pieces = pieces.select("*", F.posexplode("parts").alias("pos", "piece")).withColumn("name", N.canonical_display_name(F.col("piece")))
-    pieces = N.with_identity_key(pieces.filter(~N.is_unknown_artifact(F.col("name"))), "name").filter("match_key <> ''")
-    pieces = pieces.withColumns({
-        "reason": F.coalesce(N.invalid_reason(F.col("name")), F.when(F.col("was_invalid"), "既存データで無効指定"), F.lit("")),
-        "split": F.size("parts") > 1,
-    }).withColumns({
-        "review": F.when(N.invalid_reason(F.col("name")).isNull(), F.coalesce(N.review_reason(F.col("name")), F.lit(""))).otherwise(""),
-        "place": F.struct("first_ms", "ord", "pos"),
-    })
-    head = pieces.groupBy("match_key").agg(
-        F.min_by(F.struct("name", "raw", "last_ms", "split"), "place").alias("head"),
-        F.min("first_ms").alias("first_seen_ms"), F.count(F.lit(1)).alias("members"),
-        F.bool_or(F.col("reason") != "").alias("invalid"), F.bool_or("split").alias("any_split"),
-        F.min_by("reason", F.when(F.col("reason") != "", F.col("place"))).alias("reason"),
-        F.min_by("review", F.when(F.col("review") != "", F.col("place"))).alias("review"),
-        F.array_sort(F.collect_set("name")).alias("variants"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
+    texts = rows.select("remark").distinct().withColumn("pairs", R.parse_remark_multi(F.col("remark")))
+    cells = N.with_aliases(rows.select("ord", "raw", "remark", "first_ms", "last_ms", "was_invalid"), "raw", "parts")
+    pieces = explode_once(cells, ["ord", "raw", "remark", "first_ms", "last_ms", "was_invalid", (F.size("parts") > 1).alias("split")], F.col("parts"), "piece", "pos")
+    pieces = N.with_identity_key(pieces.withColumn("name", N.canonical_display_name(F.col("piece"))).drop("piece"), "name")
+    # one row per (key, spelling, remark): verdicts and remarks are worked out per distinct text, not per row
+    spelled = pieces.withColumn("place", F.struct("first_ms", "ord", "pos")).groupBy("match_key", "name", "remark").agg(
+        F.min_by(F.struct("raw", "last_ms"), "place").alias("head"), F.min("place").alias("place"), F.count(F.lit(1)).alias("n"),
+        F.bool_or("was_invalid").alias("was_invalid"), F.min(F.when(F.col("was_invalid"), F.col("place"))).alias("invalid_place"),
+        F.bool_or("split").alias("split"))
+    spelled = spelled.filter((F.col("match_key") != "") & ~N.is_unknown_artifact(F.col("name"))).join(texts, "remark")
+    spelled = spelled.withColumns({"bad": N.invalid_reason(F.col("name")), "odd": N.review_reason(F.col("name"))})
+    reason = F.coalesce("bad", F.when(F.col("was_invalid"), "既存データで無効指定"))
+    reason_place = F.when(F.col("bad").isNotNull(), F.col("place")).otherwise(F.col("invalid_place"))
+    review = F.when(F.col("bad").isNull(), F.col("odd"))
+    head = spelled.groupBy("match_key").agg(
+        F.min_by(F.struct("name", "head.raw", "head.last_ms"), "place").alias("head"), F.min("place.first_ms").alias("first_seen_ms"),
+        F.sum("n").alias("members"), F.bool_or(reason.isNotNull()).alias("invalid"), F.bool_or("split").alias("any_split"),
+        F.min_by(reason, F.when(reason.isNotNull(), reason_place)).alias("reason"), F.min_by(review, F.when(review.isNotNull(), F.col("place"))).alias("review"),
+        F.array_sort(F.collect_set("name")).alias("variants"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     sources = F.array_sort(F.array_distinct(F.transform("pairs", lambda p: p["source"])))
     cats = F.array_sort(F.array_distinct(F.transform(
         F.filter("pairs", lambda p: p["category"] != ""), lambda p: F.concat(p["source"], F.lit(":"), p["category"]))))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from ..functions import constants as K
 from ..functions import names as N
 from ..functions import remarks as R
+from ..functions.rows import explode_once
 
 # The label and the field heads that end an original-script value.
 SCRIPT_LABEL = r"original\s*(?:script|scipt)\s*[：:][\s\u3000]*"
@@ -62,7 +63,8 @@ def triage_names(names: DataFrame, raw: str = "raw") -> DataFrame:
 
 def explode_aliases(records: DataFrame, record_id: str = "ord", raw: str = "raw") -> DataFrame:
     """One row per alias of a cell, first spelling kept per (record, identity key), with the fan-out."""
-    pieces = records.select(F.col(record_id), F.posexplode(N.split_aliases(F.col(raw))).alias("pos", "piece"))
+    cells = N.with_aliases(records.select(record_id, raw), raw)
+    pieces = explode_once(cells, [record_id], F.col("aliases"), "piece", "pos")
     pieces = pieces.withColumn("alias", N.canonical_display_name(F.col("piece"))).drop("piece")
     keyed = N.with_identity_key(pieces, "alias").filter("match_key <> ''")
     # one shuffle on the record serves the de-duplication and the fan-out count
@@ -75,7 +77,7 @@ def explode_aliases(records: DataFrame, record_id: str = "ord", raw: str = "raw"
 def bridge_remarks(rows: DataFrame, remark: str = "remark") -> DataFrame:
     """(source, category) pairs behind remark texts with the rows and texts of each pair."""
     texts = rows.groupBy(F.col(remark).alias("remark")).agg(F.count(F.lit(1)).alias("n"))
-    pairs = texts.select("n", F.explode(R.parse_remark_multi(F.col("remark"))).alias("p"))
+    pairs = explode_once(texts, ["n"], R.parse_remark_multi(F.col("remark")), "p")
     return pairs.groupBy(F.col("p.source").alias("source"), F.col("p.category").alias("category")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_remarks"))
 
@@ -99,7 +101,7 @@ def original_script_values(notice) -> object:
 def extract_original_scripts(records: DataFrame, record_id: str, notice: str) -> DataFrame:
     """Original-script names of notice texts, one row per (record, identity key)."""
     hit = records.filter(F.col(notice).rlike("(?i)original"))
-    found = hit.select(record_id, F.posexplode(original_script_values(F.col(notice))).alias("pos", "name"))
+    found = explode_once(hit, [record_id], original_script_values(F.col(notice)), "name", "pos")
     keyed = N.with_identity_key(found, "name").filter("match_key <> ''")
     return keyed.groupBy(record_id, "match_key").agg(
         F.min_by("name", "pos").alias("name"), F.min("pos").alias("pos"))

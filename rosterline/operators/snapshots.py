@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import constants as K
 from ..functions import names as N
+from ..functions.rows import explode_once
 
 ID = "番号"
 REFERENCE = "国連参照番号"
@@ -115,8 +116,7 @@ def field_changes(pairs: DataFrame) -> DataFrame:
         F.col(f"b.`{ID}`").alias("before_id"), F.col(f"a.`{ID}`").alias("after_id"), reference.alias("un_reference"),
         F.when(after_name != "（名称不明）", after_name).otherwise(_display_name("b", fields)).alias("name"),
         F.filter(cells, lambda c: ~c["before"].eqNullSafe(c["after"])).alias("changed"), "b", "a")
-    long = wide.filter(F.size("changed") > 0).select(
-        "before_id", "after_id", "un_reference", "name", F.explode("changed").alias("c"), "b", "a")
+    long = explode_once(wide, ["before_id", "after_id", "un_reference", "name", "b", "a"], F.col("changed"), "c")
     appeared, vanished = F.col("c.before") == "", F.col("c.after") == ""
 
     def others(row: str) -> Column:

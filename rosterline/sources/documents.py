@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions.rows import explode_once
 from ..operators.sequences import look_back
 
 LINES_PER_BUCKET = 10_000
@@ -104,8 +105,8 @@ def page_links(pages: DataFrame, allowed_hosts: list[str]) -> DataFrame:
     scheme = F.regexp_extract("url", r"^(https?):", 1)
     words = F.filter(F.array(*[F.lit(w) for w in KEYWORDS]), lambda w: F.contains(F.col("html"), w))
     pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(LINK), F.lit(2)).alias("text"))
-    rows = pages.filter(F.contains(F.lower("html"), F.lit("<a "))).select(
-        "page_id", base.alias("base"), folder.alias("folder"), scheme.alias("scheme"), words.alias("reasons"), F.explode(pairs).alias("a"))
+    rows = explode_once(
+        pages, ["page_id", base.alias("base"), folder.alias("folder"), scheme.alias("scheme"), words.alias("reasons")], pairs, "a")
     href = F.regexp_replace("a.href", "#.*$", "")
     url = (
         F.when(href.rlike("(?i)^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(F.col("scheme"), F.lit(":"), href))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions.rows import explode_once
 
 NAME_VALUE = "STRUCT<_NamePartGroupID: STRING, _ScriptID: STRING, _VALUE: STRING>"
 DOCUMENTED = f"STRUCT<DocumentedNamePart: ARRAY<STRUCT<NamePartValue: ARRAY<{NAME_VALUE}>>>, NamePartValue: ARRAY<{NAME_VALUE}>>"
@@ -53,7 +54,7 @@ def party_names(parties: DataFrame, label: str) -> DataFrame:
     named = _documented(parties).withColumn("parts", F.filter(F.transform(_parts(F.col("doc")), lambda v: F.struct(
         F.coalesce(v["_ScriptID"], F.lit("")).alias("script"), N.clean_name(v["_VALUE"]).alias("text"))), lambda v: v["text"] != ""))
     scripts = F.array_distinct(F.transform("parts", lambda v: v["script"]))
-    rows = named.select("*", F.posexplode(scripts).alias("n", "script_id"))
+    rows = explode_once(named, ["*"], scripts, "script_id", "n")
     text = F.array_join(F.transform(F.filter("parts", lambda v: v["script"] == F.col("script_id")), lambda v: v["text"]), " ")
     rows = rows.withColumn("name", N.clean_name(text)).filter("name <> ''")
     first = rows.groupBy("party_id", "name").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import names as N
+from ..functions.rows import explode_once
 
 # Columns and null marks of the headerless list files.
 PRIMARY_COLUMNS = ["ent_num", "name", "sdn_type", "program", "title", "call_sign", "vess_type", "tonnage", "grt", "vess_flag", "vess_owner", "remarks"]
@@ -56,10 +57,11 @@ def list_records(primary: DataFrame, alias: DataFrame, label: str) -> DataFrame:
     own = primary.filter("name IS NOT NULL").select("ent_num", F.col("name").alias("raw"), "program", F.lit(0).alias("kind"), "ord")
     other = alias.filter("alt_name IS NOT NULL").select("ent_num", F.col("alt_name").alias("raw"), F.lit(1).alias("kind"), "ord").join(
         programs, "ent_num", "left").select("ent_num", "raw", "program", "kind", "ord")
-    rows = own.unionByName(other)
-    return rows.select(
-        F.lit("OFAC").alias("source"), F.lit(label).alias("category"), F.explode(N.split_aliases(F.col("raw"))).alias("name"),
-        F.col("ent_num").alias("source_id"), F.coalesce("program", F.lit("")).alias("program"))
+    rows = N.with_aliases(own.unionByName(other), "raw")
+    names = explode_once(rows, ["ent_num", "program"], F.col("aliases"), "name")
+    return names.select(
+        F.lit("OFAC").alias("source"), F.lit(label).alias("category"), "name", F.col("ent_num").alias("source_id"),
+        F.coalesce("program", F.lit("")).alias("program"))
 
 
 def content_violations(lines: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def header_violations(headers: DataFrame, contract: list[str]) -> DataFrame:
     shifted = (F.size(missing) == 0) & (F.size(extra) == 0) & (F.col("have") != want)
     wrong = F.concat(found("MISSING", missing), found("EXTRA", extra), F.when(
         shifted, F.array(F.struct(F.lit("REORDERED").alias("violation"), F.lit("").alias("column")))).otherwise(F.array().cast("array<struct<violation:string,column:string>>")))
-    return df.select("file", F.explode(wrong).alias("w")).select("file", "w.violation", "w.column")
+    return explode_once(df, ["file"], wrong, "w").select("file", "w.violation", "w.column")
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -142,7 +144,7 @@ def list_names(rows: DataFrame, categories: dict[str, str], extra: DataFrame | N
 
     code = N.clean_name(F.col("区分"))
     head = [F.col("番号").alias("record_id"), code.alias("code")]
-    found = rows.select(*head, F.posexplode(F.concat(*[parts(c) for c in columns])).alias("pos", "name"))
+    found = explode_once(rows, head, F.concat(*[parts(c) for c in columns]), "name", "pos")
     if extra is not None:
         ids = rows.select(*head)
         found = found.unionByName(extra.select("record_id", "name").join(ids, "record_id").select(
