@@ -430,7 +430,8 @@ def tried_candidates(candidates: DataFrame, limit: int = 3) -> DataFrame:
 def prove_transfers(tried: DataFrame, receipts: DataFrame, blocks: DataFrame, block_txs: DataFrame, logs: DataFrame, head: DataFrame) -> DataFrame:
     """Outcome per candidate: PROOF, UNAVAILABLE, or the reason why it is rejected.
 
-    ``head`` is one row (finalized_height, head_time).  Everything else is an equi-join on transaction or block.
+    ``head`` is one row (finalized_height, head_time), read as scalar subqueries.  Everything else is an equi-join
+    on transaction or block.
     """
     r = receipts.select("tx_hash", F.col("status").alias("r_status"), F.col("block_number").alias("r_number"), F.col("block_hash").alias("r_hash"))
     b = blocks.select(F.col("number").alias("r_number"), F.col("hash").alias("b_hash"), F.col("timestamp").alias("b_time"))
@@ -441,7 +442,8 @@ def prove_transfers(tried: DataFrame, receipts: DataFrame, blocks: DataFrame, bl
         F.min(F.struct("log_index", "amount_hex", "from_address", "to_address")).alias("event"))
     j = (
         tried.join(r, "tx_hash", "left").join(b, "r_number", "left").join(inside, ["r_number", "tx_hash"], "left")
-        .join(events, ["relation_id", "tx_hash", "r_number", "r_hash"], "left").crossJoin(head))  # head is one row
+        .join(events, ["relation_id", "tx_hash", "r_number", "r_hash"], "left")
+        .withColumns({c: head.select(c).scalar() for c in ("finalized_height", "head_time")}))
     outcome = (
         F.when(F.col("r_status").isNull(), "UNAVAILABLE").when(F.col("r_status") != "0x1", "RECEIPT_NOT_SUCCESSFUL")
         .when(F.col("r_number") > F.col("finalized_height"), "NOT_FINALIZED").when(F.col("b_hash").isNull(), "BLOCK_MISSING")

@@ -197,9 +197,9 @@ def retain_changes(history: DataFrame, queue: DataFrame, cap: int = K.CHANGE_CAP
     only those are numbered to leave room for the pinned ones.
     """
     pinned = open_reviews(queue).distinct()
-    n_pinned = pinned.agg(F.count(F.lit(1)).alias("n_pinned"))
+    n_pinned = pinned.agg(F.count(F.lit(1))).scalar()
     rest = history.join(pinned, CHANGE_COLUMNS, "left_anti").orderBy("ord").limit(cap)
-    rest = rest.withColumn("rank", F.row_number().over(W.orderBy("ord"))).crossJoin(n_pinned)  # n_pinned is one row
+    rest = rest.withColumn("rank", F.row_number().over(W.orderBy("ord"))).withColumn("n_pinned", n_pinned)
     rest = rest.filter(F.col("rank") <= F.greatest(F.lit(cap), F.col("n_pinned")) - F.col("n_pinned"))
     return pinned.withColumn("pinned", F.lit(True)).unionByName(rest.select(*CHANGE_COLUMNS, F.lit(False).alias("pinned")))
 

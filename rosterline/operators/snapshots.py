@@ -215,16 +215,22 @@ def classify_impact(changes: DataFrame) -> DataFrame:
 
 
 def diff_summary(pairs: DataFrame, classified: DataFrame) -> DataFrame:
-    """One row of counts for a transition: records added, removed, amended; field changes per impact."""
-    records = pairs.agg(F.count_if(F.col("via") == "ADDED").alias("added"), F.count_if(F.col("via") == "REMOVED").alias("removed"))
+    """One row of counts for a transition: records added, removed, amended; field changes per impact.
+
+    Changes are folded per record first, so the distinct record counts need no distinct aggregate.
+    """
     record = F.when(F.col("after_id") != "", F.col("after_id")).otherwise(F.col("before_id"))
-    changes = classified.agg(
-        F.countDistinct(F.when(F.col("material"), record)).alias("amended"), F.countDistinct(record).alias("raw_amended"),
-        F.count_if("material").alias("field_changes"), F.count(F.lit(1)).alias("raw_field_changes"),
-        F.count_if(F.col("impact") == K.IMPACT_COSMETIC).alias("cosmetic_changes"),
-        F.count_if(F.col("impact") == K.IMPACT_AGGREGATE).alias("aggregate_changes"),
-        F.count_if(F.col("impact") == K.IMPACT_MOVED).alias("structure_changes"))
-    return records.crossJoin(changes)  # one row each
+    tests = {
+        "field_changes": F.col("material"), "raw_field_changes": F.lit(True), "cosmetic_changes": F.col("impact") == K.IMPACT_COSMETIC,
+        "aggregate_changes": F.col("impact") == K.IMPACT_AGGREGATE, "structure_changes": F.col("impact") == K.IMPACT_MOVED,
+    }
+    folded = classified.groupBy(record.alias("record")).agg(*[F.count_if(test).alias(c) for c, test in tests.items()])
+    changes = folded.agg(
+        F.count_if(F.col("field_changes") > 0).alias("amended"), F.count(F.lit(1)).alias("raw_amended"), *[F.sum(c).alias(c) for c in tests])
+    records = pairs.agg(F.count_if(F.col("via") == "ADDED").alias("added"), F.count_if(F.col("via") == "REMOVED").alias("removed"))
+    columns = ["added", "removed", "amended", "raw_amended", *tests]
+    both = records.unionByName(changes, allowMissingColumns=True)
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
 
 
 # --- review cases ------------------------------------------------------------------------

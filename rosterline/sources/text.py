@@ -14,7 +14,6 @@ PRIMARY_COLUMNS = ["ent_num", "name", "sdn_type", "program", "title", "call_sign
 ALIAS_COLUMNS = ["ent_num", "alt_num", "alt_type", "alt_name", "alt_remarks"]
 NULL_MARKS = ["-0-", ""]
 CSV_CELL = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
-REPLACEMENT = "�"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +108,7 @@ def read_list(spark: SparkSession, path: str, fallback: str = "MS932") -> DataFr
     A first narrow scan finds the files that are not UTF-8; only file names reach the driver.  Each
     charset group is then read by the CSV source with the header contract enforced.
     """
-    scan = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.contains("value", F.lit(REPLACEMENT)).alias("odd"))
+    scan = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("odd"))
     groups = scan.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
     schema = ", ".join(f"`{c}` STRING" for c in K.LIST_COLUMNS)
     out = None
