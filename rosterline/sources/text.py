@@ -106,7 +106,8 @@ def read_list(spark: SparkSession, path: str, fallback: str = "MS932") -> DataFr
     """Rows of list files whose charset is UTF-8 (with or without BOM) or the Japanese legacy one.
 
     A first narrow scan finds the files that are not UTF-8; only file names reach the driver.  Each
-    charset group is then read by the CSV source with the header contract enforced.
+    charset group is then read by the CSV source with the header contract enforced.  Cells may hold line
+    breaks.  Spark reads the legacy charset only under ``spark.sql.legacy.javaCharsets``, which is set when needed.
     """
     scan = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("odd"))
     groups = scan.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
@@ -114,6 +115,8 @@ def read_list(spark: SparkSession, path: str, fallback: str = "MS932") -> DataFr
     out = None
     for charset, odd in (("UTF-8", False), (fallback, True)):
         files = [row["file"] for row in groups if row["odd"] is odd]
+        if files and odd:
+            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         if files:
             part = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", True)
                     .option("encoding", charset).option("escape", '"').option("mode", "FAILFAST").csv(files))
