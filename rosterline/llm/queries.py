@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, packing, planes, substrings
+from . import fingerprints, mixing, packing, planes, substrings, suffixes
 from .common import shared_dir
 
 
@@ -28,6 +28,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,6 @@ def op10_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_best_fit_packing, op5_order_minhash, op10_plane_files)}
+    f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_best_fit_packing, op4_suffix_array_dedup, op5_order_minhash, op10_plane_files)}
 
 ORACLES: dict[str, str] = {"op2_source_mixing": mixing.SQL}

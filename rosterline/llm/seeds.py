@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -29,11 +29,11 @@ def symbols(texts: common.Texts, unit: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def find_runs(values: np.ndarray, bounds: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
-    """(text, start in the text, windows, place of the seed after the start, seed hash, hash of the stretch) of every run."""
+    """(text, start in the text, windows, seed hash, hash of the stretch) of every run."""
     n = len(values) - window + 1
-    none = np.zeros(0, np.int64)
+    none = (np.zeros(0, np.int64),) * 5
     if n <= 0:
-        return none, none, none, none, none, none
+        return none
     ends = np.repeat(bounds[1:], np.diff(bounds))  # of the text of each symbol
     roll = common.Rolling(values)
     seeds = common.mix(roll.windows(k))
@@ -41,7 +41,7 @@ def find_runs(values: np.ndarray, bounds: np.ndarray, window: int, k: int) -> tu
     least = common.sliding_min((seeds & ~_LOW) | (_LOW - places), window - k + 1)
     start = np.flatnonzero(ends[:n] - np.arange(n) >= window)
     if not len(start):
-        return none, none, none, none, none, none
+        return none
     seed = (_LOW - (least[start] & _LOW)).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (seed[1:] != seed[:-1]) | (start[1:] != start[:-1] + 1)
@@ -50,35 +50,32 @@ def find_runs(values: np.ndarray, bounds: np.ndarray, window: int, k: int) -> tu
     start, seed = start[first], seed[first]
     text = np.searchsorted(bounds, start, "right") - 1
     whole = common.mix(roll.spans(start, start + count + window - 1) + count.astype(np.uint64))
-    return text, start - bounds[text], count, seed - start, seeds[seed].view(np.int64), whole.view(np.int64)
+    return text, start - bounds[text], count, seeds[seed].view(np.int64), whole.view(np.int64)
 
 
-def runs(docs: DataFrame, unit: str, window: int, k: int) -> DataFrame:
-    """key, doc_id, start, n, at, seed, whole of every run of ``docs`` (key, doc_id, text)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def runs(docs: DataFrame, unit: str, window: int, k: int, ids: bool = False) -> DataFrame:
+    """key, start, n, seed, whole (and doc_id, on request) of every run of ``docs`` (key, doc_id, text)."""
+    names = ["key"] + ["doc_id"] * ids
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in common.steps(batches):
-            text, start, n, at, seed, whole = find_runs(*symbols(common.Texts(rows.column("text")), unit), window, k)
+            text, start, n, seed, whole = find_runs(*symbols(common.Texts(rows.column("text")), unit), window, k)
             row = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("key").take(row), rows.column("doc_id").take(row), pa.array(start, pa.int32()),
-                 pa.array(n, pa.int32()), pa.array(at, pa.int32()), pa.array(seed), pa.array(whole)],
-                ["key", "doc_id", "start", "n", "at", "seed", "whole"])
-
-    return docs.select("key", "doc_id", "text").mapInArrow(
-        find, f"key long, doc_id {id_type}, start int, n int, at int, seed long, whole long")
-
-
-def shared_runs(all_runs: DataFrame, needed) -> DataFrame:
-    """The runs whose seed passes ``needed`` (a condition over one aggregate row of the seed: runs, lo, hi of the whole
-    hashes, lo_doc, hi_doc), with ``varied``: the seed has runs of several contents.  Both sides of the join are tables, so
-    a hot seed is split."""
-    per_seed = all_runs.groupBy("seed").agg(
-        F.count(F.lit(1)).alias("runs"), F.min("whole").alias("lo"), F.max("whole").alias("hi"),
-        F.min("doc_id").alias("lo_doc"), F.max("doc_id").alias("hi_doc"))
-    kept = common.materialise(per_seed.where(needed).select("seed", (F.col("lo") != F.col("hi")).alias("varied")))
-    return common.materialise(all_runs.join(kept, "seed"))
+                [rows.column(c).take(row) for c in names]
+                + [pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(seed), pa.array(whole)],
+                [*names, "start", "n", "seed", "whole"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select(*names, "text").mapInArrow(
+        find, "key long, " + f"doc_id {id_type}, " * ids + "start int, n int, seed long, whole long")
+
+
+def shared_runs(all_runs: DataFrame, needed: Column) -> DataFrame:
+    """The runs whose seed passes ``needed``, a condition over the aggregates of the seed's runs.  Kept seeds become a table and
+    the runs are no aggregate, so a hot seed's rows can be split by the join."""
+    kept = all_runs.groupBy("seed").agg(needed.alias("needed")).where("needed").select("seed")
+    return common.materialise(all_runs.join(common.materialise(kept), "seed"))
 
 
 def window_keys(docs: DataFrame, wanted: DataFrame, unit: str, window: int) -> DataFrame:

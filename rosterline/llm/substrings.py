@@ -29,11 +29,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """key, start, length (in words) of stretches, each at least ``window`` words long, all of whose windows also start in a
     document with a smaller doc_id.  Their union is the maximal repeats.  ``docs``: key, doc_id, text."""
-    all_runs = common.materialise(seeds.runs(docs, "word", window, anchor))
-    shared = seeds.shared_runs(all_runs, F.col("lo_doc") < F.col("hi_doc"))
-    earliest = common.materialise(shared.groupBy("seed", "whole").agg(F.min("doc_id").alias("lo_doc")))
-    judged = common.materialise(shared.join(earliest, ["seed", "whole"]).select(
-        "key", "doc_id", "start", "n", (F.col("doc_id") > F.col("lo_doc")).alias("repeat"), "varied"))
+    all_runs = common.materialise(seeds.runs(docs, "word", window, anchor, ids=True))
+    shared = seeds.shared_runs(all_runs, F.min("doc_id") < F.max("doc_id"))
+    contents = common.materialise(shared.groupBy("seed", "whole").agg(F.min("doc_id").alias("lo_doc")))
+    varied = contents.groupBy("seed").agg((F.count(F.lit(1)) > 1).alias("varied"))
+    contents = common.materialise(contents.join(varied, "seed"))
+    judged = common.materialise(shared.join(contents, ["seed", "whole"]).select(
+        "key", "start", "n", (F.col("doc_id") > F.col("lo_doc")).alias("repeat"), "varied"))
     whole = judged.where("repeat").select("key", "start", (F.col("n") + window - 1).alias("length"))
     # what is left is the earliest document of each content
     left = judged.where("varied AND coalesce(NOT repeat, true)").select("key", "start", "n")
