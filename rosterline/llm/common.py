@@ -39,6 +39,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Keeps what Spark hands a Python worker at once within a few MB, however long the texts are."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * STEP_BYTES))
+    return df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, as a lambda variable."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -71,7 +71,7 @@ def set_table(docs: DataFrame) -> DataFrame:
                 [rows.column("key"), rows.column("doc_id"), pa.array(np.diff(bounds)), pa.array(set_ids(values, bounds))],
                 ["key", "doc_id", "n_shingles", "set_id"])
 
-    return docs.mapInArrow(find, f"key long, doc_id {id_type}, n_shingles long, set_id long")
+    return common.small_batches(docs).mapInArrow(find, f"key long, doc_id {id_type}, n_shingles long, set_id long")
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:

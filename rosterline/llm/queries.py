@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, mixing, packing, planes, substrings, suffixes
+from . import fingerprints, jaccard, lm, mixing, packing, planes, quality, substrings, suffixes, topk
 from .common import shared_dir
 
 
@@ -38,18 +38,35 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = substrings.keyed(table(spark, sf_dir, "documents"))
     return jaccard.near_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled good; background: all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op10_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return planes.read_planes(planes.write_planes(docs, shared_dir(spark)), docs.schema["doc_id"].dataType.simpleString())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_best_fit_packing, op4_suffix_array_dedup, op5_order_minhash,
-                              op7_jaccard_join, op10_plane_files)}
+    f.__name__: f for f in (
+        op1_substring_dedup, op2_source_mixing, op3_best_fit_packing, op4_suffix_array_dedup, op5_order_minhash, op6_pivot_top_k,
+        op7_jaccard_join, op8_quality_classifier, op9_cross_entropy_difference, op10_plane_files)}
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op2_source_mixing": mixing.SQL, "op6_pivot_top_k": topk.SQL}

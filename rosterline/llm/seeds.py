@@ -67,7 +67,7 @@ def runs(docs: DataFrame, unit: str, window: int, k: int, ids: bool = False) ->
                 [*names, "start", "n", "seed", "whole"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(*names, "text").mapInArrow(
+    return common.small_batches(docs).select(*names, "text").mapInArrow(
         find, "key long, " + f"doc_id {id_type}, " * ids + "start int, n int, seed long, whole long")
 
 

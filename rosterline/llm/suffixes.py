@@ -219,9 +219,10 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, seed: int = SEED)
     return whole.unionByName(by_array).unionByName(by_key)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Documents without the bytes that a repeated window covers: the columns ``keep``, n_bytes, n_removed, kept (binary) and the
-    removed spans (removed: start, end in bytes).
+def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",),
+                   as_text: bool = False) -> DataFrame:
+    """Documents without the bytes that a repeated window covers: the columns ``keep``, n_bytes, n_removed, kept (binary, or
+    with ``as_text`` a string without characters that a cut has broken) and the removed spans (removed: start, end in bytes).
 
     Strings are judged on the input, in all documents and within one, and never across documents; every occurrence goes.
     Null texts are empty.  Rows with one doc_id are documents each: equal rows repeat one another.  Texts shorter than a window
@@ -249,12 +250,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep
                 gone.append(int(out.sum()))
                 kept.append(data[~out].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*[rows.column(c) for c in keep], pa.array(np.diff(texts.bounds)), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()),
+                [*[rows.column(c) for c in keep], pa.array(np.diff(texts.bounds)), pa.array(gone, pa.int64()),
+                 pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 [*keep, "n_bytes", "n_removed", "kept", "removed"])
 
     return both.select(*keep, "text", "starts", "lengths").mapInArrow(
-        cut, f"{kinds}, n_bytes long, n_removed long, kept binary, removed array<struct<start:long,end:long>>")
+        cut, f"{kinds}, n_bytes long, n_removed long, kept {'string' if as_text else 'binary'}, removed array<struct<start:long,end:long>>")
 
 
 def brute_force(rows: list[tuple], window: int = WINDOW) -> list[tuple]:
