@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import common, tokens
 
@@ -51,7 +52,7 @@ def pieces(docs: DataFrame, capacity: int = SEQUENCE, end_id: int = END_ID, path
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return common.small_batches(docs).select("doc_id", "text").mapInArrow(cut, schema)
 
 
 class Bins:
@@ -92,8 +93,10 @@ def pack(items: DataFrame, order: list[str], length: str = "length", capacity: i
     """``items`` with sequence_id and offset.  Deterministic for given partitions: items are dealt and ordered by a hash of
     ``order`` (columns that tell items apart), and arrive in decreasing length block by block.
 
-    Items without a length, of negative length or longer than ``capacity`` get nulls.  Equal items are interchangeable."""
-    schema = items.schema.add("sequence_id", "long").add("offset", "long")
+    Items without a length, of negative length or longer than ``capacity`` get nulls.  Equal items are interchangeable.
+    Columns of the results' names give way."""
+    items = items.drop("sequence_id", "offset")
+    schema = StructType([*items.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     where = items.columns.index(length)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,7 +167,7 @@ def write_planes(docs: DataFrame, folder: str, bits: bool = False, block: int =
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "file": [name],
                                               "n_docs": pa.array([n], pa.int64()), "n_ids": pa.array([writer.n_ids], pa.int64())})
 
-    sorted_docs = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    sorted_docs = common.small_batches(docs).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     manifest = f"{folder}/manifest"
     sorted_docs.mapInArrow(write, "part int, file string, n_docs long, n_ids long").write.parquet(manifest)
     return docs.sparkSession.read.schema("part int, file string, n_docs long, n_ids long").parquet(manifest)

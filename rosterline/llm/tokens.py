@@ -6,9 +6,10 @@ tokenizers library."""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from . import common
 
@@ -22,6 +23,44 @@ _CLASS[[c for c in range(33, 127) if chr(c).isalnum()]] = 1
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<|>"]] = 2
 
 
+#: The vocabulary spells bytes as printable characters: those that print stand for themselves, the others follow from 256 on.
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: chr(b) for b in _PRINTS} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTS))}
+#: Runs of these letters are one pre-token that normalisation leaves as it is.
+_PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+class Known:
+    """Numbers of 64-bit hashes, by open addressing in arrays: 12 bytes a slot."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.hash = np.zeros(1 << bits, np.uint64)
+        self.number = np.zeros(1 << bits, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash, or -1."""
+        out = np.full(len(hashes), -1, np.int32)
+        left, slot = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(left):
+            held = self.hash[slot]
+            hit = held == hashes[left]
+            out[left[hit]] = self.number[slot[hit]]
+            on = ~hit & (held != 0)
+            left, slot = left[on], (slot[on] + 1) & self.mask
+        return out
+
+    def put(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct hashes that are not there yet."""
+        slot = (hashes >> self.shift).astype(np.int64)
+        while len(hashes):
+            free = self.hash[slot] == 0
+            self.hash[slot[free]] = hashes[free]  # of several the last one stays
+            done = self.hash[slot] == hashes
+            self.number[slot[done]] = numbers[done]
+            hashes, numbers, slot = hashes[~done], numbers[~done], (slot[~done] + 1) & self.mask
+
+
 class Encoder:
     """Ids of texts by ``tokenizer.encode(text, add_special_tokens=False)``, with ``end_id`` after each text."""
 
@@ -33,34 +72,46 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.known = Known(KEPT_PIECES.bit_length() + 1)
+        # number 0 is the end id
+        self.first, self.size = np.zeros(1, np.int32), np.ones(1, np.int32)
+        self.flat = np.array([self.end_id], np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         model = self.tokenizer.model
-        found: list[list[int]] = []
-        odd = [p for p in pieces if not (p.isascii() and p.isalpha() and p.islower())]
+        texts = [p.decode() for p in pieces]
+        plain = [_PLAIN(t) is not None for t in texts]
+        odd = [t for t, p in zip(texts, plain) if not p]
         by_library = iter([e.ids for at in range(0, len(odd), 4096)
                            for e in self.tokenizer.encode_batch_fast(odd[at:at + 4096], add_special_tokens=False)])
-        for piece in pieces:
-            # a run of a-z is one pre-token that normalisation leaves as it is
-            plain = piece.isascii() and piece.isalpha() and piece.islower()
-            self.known[piece] = len(self.size) + len(found)
-            found.append([t.id for t in model.tokenize(piece)] if plain else next(by_library))
-        size = np.array([len(f) for f in found], np.int64)
-        first = np.cumsum(size) - size + len(self.flat)
+        found = []
+        for raw, text, p in zip(pieces, texts, plain):
+            if p:
+                found.append([t.id for t in model.tokenize(text if len(raw) == len(text) else "".join([_SPELLED[b] for b in raw]))])
+            else:
+                found.append(next(by_library))
+        size = np.array([len(f) for f in found], np.int32)
+        first = (np.cumsum(size) - size + len(self.flat)).astype(np.int32)
         self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, np.array([i for f in found for i in f], np.uint32)])
 
-    def _lookup(self, pieces: list[str]) -> np.ndarray:
-        if len(self.known) > KEPT_PIECES:
+    def _numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Number of each piece; new ones are encoded."""
+        hashes = common.mix(common.Rolling(common._BYTE_VALUE[data]).spans(start, end) + (end - start).astype(np.uint64)) | np.uint64(1)
+        if len(self.size) > KEPT_PIECES:
             self._reset()
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        out = self.known.find(hashes)
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new, at = np.unique(hashes[missing], return_index=True)
+            raw = data.tobytes()
+            fresh = missing[at]
+            numbers = np.arange(len(new), dtype=np.int32) + len(self.size)
+            self._learn([raw[a:b] for a, b in zip(start[fresh].tolist(), end[fresh].tolist())])
+            out[missing] = numbers[np.searchsorted(new, hashes[missing])]
+            if len(self.size) < self.known.mask // 2:  # else the table starts anew with the next step
+                self.known.put(new, numbers)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offsets of the texts in them."""
@@ -70,33 +121,23 @@ class Encoder:
             data = common._LOWER[data]
         start, end, _ = common.word_bounds(data, rows.bounds)
         kind = _CLASS[data]
-        cut = np.flatnonzero((kind[:-1] + kind[1:] == 3) & (kind[:-1] != 0) & (kind[1:] != 0)) + 1
+        cut = np.flatnonzero(kind[:-1] * kind[1:] == 2) + 1  # a letter or digit next to a mark
         texts_end = np.zeros(len(data) + 1, bool)
         texts_end[rows.bounds] = True
         cut = cut[~texts_end[cut]]
-        ends = np.sort(np.concatenate([end, cut]))
-        bounds = np.searchsorted(ends, rows.bounds, "right")  # a piece that ends where a text ends is of that text
-        if len(ends):
-            # each piece with the separators before it, which the trim drops
-            offsets = pa.py_buffer(np.concatenate([start[:1], ends]).astype(np.int64))
-            coded = pc.ascii_trim_whitespace(
-                pa.LargeStringArray.from_buffers(len(ends), offsets, pa.py_buffer(np.ascontiguousarray(data)))).dictionary_encode()
-            at = self._lookup(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-        else:
-            at = np.zeros(0, np.int64)
-        size = self.size[at]
-        done = np.concatenate([[0], np.cumsum(size)])
-        last = done[bounds[1:]] + np.arange(1, rows.n + 1)  # with an end id for each text so far
-        out = np.empty(int(done[-1]) + rows.n, np.uint32)
-        keep = np.ones(len(out), bool)
-        keep[last - 1] = False
-        out[keep] = self.flat[common.ranges(self.first[at], size)]
-        out[last - 1] = self.end_id
-        return out, np.concatenate([[0], last])
+        start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
+        number = self._numbers(data, start, end)
+        bounds = np.searchsorted(start, rows.bounds)
+        number = np.insert(number, bounds[1:], 0)  # an end id after each text
+        size = self.size[number]
+        done = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=done[1:])
+        ids = self.flat[common.ranges(self.first[number].astype(np.int64), size.astype(np.int64))]
+        return ids, done[np.concatenate([[0], bounds[1:] + np.arange(1, rows.n + 1)])]
 
 
 #: Bytes of text that are encoded together.
-ENCODE_BYTES = 1 << 23
+ENCODE_BYTES = 1 << 22
 
 
 def encoded(batches, path: str, end_id: int):
