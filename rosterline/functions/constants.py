@@ -121,7 +121,6 @@ STATUS_LABELS = {
 }
 UNCHECKED = "未確認"
 CHANGE_CAP = 5000
-REVIEW_CAP = 2000
 
 # --- manual lifecycle --------------------------------------------------------------------
 TRANSITIONS = {

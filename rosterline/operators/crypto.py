@@ -52,7 +52,7 @@ def _routed(df: DataFrame) -> DataFrame:
     s, a, low = F.col("symbol"), F.col("address"), F.lower("address")
     token = s.isin(TOKENS)
     bech = low.rlike("^(bc1|tb1|bcrt1)")
-    bad = (a == "") | (F.length(a) > 256) | a.rlike(r"(?U)\s")
+    bad = (a == "") | a.rlike(r"(?U)\s")
     hrp = F.concat(F.lit("segwit:"), F.regexp_extract(low, "^([^1]*)1", 1))
     route = (
         F.when(bad, "text")
@@ -416,14 +416,11 @@ def transfer_events(logs: DataFrame, prefix: str = "0x") -> DataFrame:
     return found.select(*logs.columns, "__event.from_address", "__event.to_address", "__event.amount_hex")
 
 
-def tried_candidates(candidates: DataFrame, limit: int = 3) -> DataFrame:
-    """The first ``limit`` distinct transactions per relation, in order, with the number of distinct ones.
-
-    Trying at most three is the rule of the scan; the rank filter works before the shuffle.
-    """
+def tried_candidates(candidates: DataFrame) -> DataFrame:
+    """The distinct transactions per relation in their order, with the number of them; all are tried."""
     distinct = candidates.groupBy("relation_id", "tx_hash", "contract", "subject").agg(F.min("seq").alias("seq"))
     totals = distinct.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n_candidates"))
-    ranked = distinct.withColumn("try_no", F.row_number().over(W.partitionBy("relation_id").orderBy("seq", "tx_hash"))).filter(F.col("try_no") <= limit)
+    ranked = distinct.withColumn("try_no", F.row_number().over(W.partitionBy("relation_id").orderBy("seq", "tx_hash")))
     return ranked.join(totals, "relation_id")
 
 
@@ -453,24 +450,20 @@ def prove_transfers(tried: DataFrame, receipts: DataFrame, blocks: DataFrame, bl
 
 
 def select_proofs(outcomes: DataFrame) -> DataFrame:
-    """State per relation: candidates are tried in order until the first proof.
-
-    ``outcomes`` holds at most three rows per relation.
-    """
-    first = F.min(F.when(F.col("outcome") == "PROOF", F.col("try_no")))
-    agg = outcomes.groupBy("relation_id").agg(
-        F.max("n_candidates").alias("n_candidates"), first.alias("hit"), F.max("try_no").alias("last"),
-        F.min_by(F.struct("tx_hash", "block_number", "event"), F.when(F.col("outcome") == "PROOF", F.col("try_no"))).alias("proof"),
-        *[F.max(F.when(F.col("try_no") == i, F.col("outcome"))).alias(f"o{i}") for i in (1, 2, 3)])
-    before = lambda i: F.col("hit").isNull() | (F.lit(i) < F.col("hit"))
-    count = lambda test: sum((F.when(before(i) & F.coalesce(test(F.col(f"o{i}")), F.lit(False)), 1).otherwise(0) for i in (1, 2, 3)), F.lit(0))
-    lost = count(lambda o: o == "UNAVAILABLE")
-    refused = count(lambda o: ~o.isin("UNAVAILABLE", "PROOF"))
-    state = F.when(F.col("hit").isNotNull(), "VERIFIED").when(lost > 0, "PARTIAL").otherwise("NO_PROOF")
+    """State per relation: candidates are taken in order until the first proof; counts are of those before it."""
+    tried = F.when(F.col("outcome") == "PROOF", F.col("try_no"))
+    hits = outcomes.groupBy("relation_id").agg(F.min(tried).alias("hit"))
+    before = F.col("hit").isNull() | (F.col("try_no") < F.col("hit"))
+    agg = outcomes.join(hits, "relation_id").groupBy("relation_id", "hit").agg(
+        F.max("n_candidates").alias("n_candidates"), F.max("try_no").alias("last"),
+        F.min_by(F.struct("tx_hash", "block_number", "event"), tried).alias("proof"),
+        F.count_if(before & (F.col("outcome") == "UNAVAILABLE")).alias("lost"),
+        F.count_if(before & ~F.col("outcome").isin("UNAVAILABLE", "PROOF")).alias("refused"))
+    state = F.when(F.col("hit").isNotNull(), "VERIFIED").when(F.col("lost") > 0, "PARTIAL").otherwise("NO_PROOF")
     return agg.select(
         "relation_id", state.alias("state"), "n_candidates", F.coalesce("hit", "last").alias("checked_candidates"),
-        lost.alias("unavailable_candidates"), refused.alias("rejected_candidates"), F.coalesce("proof.tx_hash", F.lit("")).alias("tx_hash"),
-        F.coalesce("proof.event.amount_hex", F.lit("")).alias("amount_hex"))
+        F.col("lost").alias("unavailable_candidates"), F.col("refused").alias("rejected_candidates"),
+        F.coalesce("proof.tx_hash", F.lit("")).alias("tx_hash"), F.coalesce("proof.event.amount_hex", F.lit("")).alias("amount_hex"))
 
 
 STATE_LABELS = {"POSITIVE": "記録・残高を観測", "NO_EVIDENCE": "照会範囲で未観測", "CONFLICT": "取得先で観測結果が異なる",

@@ -69,19 +69,17 @@ def best_party_names(history: DataFrame) -> DataFrame:
     return named.groupBy(*PARTY).agg(F.min_by("name", order).alias("party_name"))
 
 
-def key_coverage(left: DataFrame, right: DataFrame, key: str, samples: int = 20) -> DataFrame:
-    """Keys that only one of two independent feeds carries: totals per side and the first ``samples`` keys.
-
-    The rank filter is applied before the shuffle (window group limit), so a side that is missing
-    entirely does not travel to one task.
-    """
+def key_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Every key that only one of two independent feeds carries, with its side; totals are ``key_totals``."""
     a = left.select(key).distinct().withColumn("in_left", F.lit(True))
     b = right.select(key).distinct().withColumn("in_right", F.lit(True))
-    both = a.join(b, key, "full_outer").filter("in_left IS NULL OR in_right IS NULL").select(
+    return a.join(b, key, "full_outer").filter("in_left IS NULL OR in_right IS NULL").select(
         F.when(F.col("in_right").isNull(), "left_only").otherwise("right_only").alias("side"), key)
-    totals = both.groupBy("side").agg(F.count(F.lit(1)).alias("n_keys"))
-    first = both.withColumn("sample_no", F.row_number().over(W.partitionBy("side").orderBy(key))).filter(F.col("sample_no") <= samples)
-    return first.join(totals, "side").select("side", "n_keys", "sample_no", key)
+
+
+def key_totals(coverage: DataFrame) -> DataFrame:
+    """One-sided keys per side."""
+    return coverage.groupBy("side").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
 def category_drift(records: DataFrame, master: DataFrame, source: str = K.SRC_MOF,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import constants as K
 from ..functions import names as N
 from ..functions.digests import set_digest
 from ..functions.rows import explode_once
+from .sequences import numbered
 
 PARTY = ["list", "party_id"]
 HEX64 = "^[0-9a-f]{64}$"
@@ -191,17 +191,18 @@ def open_reviews(queue: DataFrame) -> DataFrame:
 
 
 def retain_changes(history: DataFrame, queue: DataFrame, cap: int = K.CHANGE_CAP) -> DataFrame:
-    """Published change log: every open review, then the newest history rows up to max(cap, reviews).
+    """Change log with a verdict for every row: open reviews are pinned and kept, history rows are kept from the newest on while
+    the log has no more than max(cap, reviews) rows.  No row is dropped; writers filter on ``kept``.
 
-    ``history`` carries ``ord`` (0 = newest).  The history part is a distributed top-k of at most ``cap`` rows;
-    only those are numbered to leave room for the pinned ones.
+    ``history`` carries ``ord`` (0 = newest); places are numbered by buckets of it.
     """
     pinned = open_reviews(queue).distinct()
     n_pinned = pinned.agg(F.count(F.lit(1))).scalar()
-    rest = history.join(pinned, CHANGE_COLUMNS, "left_anti").orderBy("ord").limit(cap)
-    rest = rest.withColumn("rank", F.row_number().over(W.orderBy("ord"))).withColumn("n_pinned", n_pinned)
-    rest = rest.filter(F.col("rank") <= F.greatest(F.lit(cap), F.col("n_pinned")) - F.col("n_pinned"))
-    return pinned.withColumn("pinned", F.lit(True)).unionByName(rest.select(*CHANGE_COLUMNS, F.lit(False).alias("pinned")))
+    rest = history.join(pinned, CHANGE_COLUMNS, "left_anti")
+    rest = numbered(rest, [F.floor(F.col("ord") / 4096)], ["ord"], "rank").withColumn("n_pinned", n_pinned)
+    kept = F.col("rank") <= F.greatest(F.lit(cap), F.col("n_pinned")) - F.col("n_pinned")
+    return pinned.withColumns({"pinned": F.lit(True), "kept": F.lit(True)}).unionByName(
+        rest.select(*CHANGE_COLUMNS, F.lit(False).alias("pinned"), kept.alias("kept")))
 
 
 QUEUE_KINDS = ["追加", "変更", "掲載終了", "掲載終了候補（要確認）"]
@@ -223,16 +224,39 @@ def unresolved_queue(history: DataFrame, statuses: DataFrame) -> DataFrame:
     return first.select("key", *[F.col(f"r.{c}").alias(c) for c in [*CHANGE_COLUMNS, "status", "ord"]])
 
 
-def mirror_changes(existing: DataFrame, incoming: DataFrame, cap: int = K.CHANGE_CAP) -> DataFrame:
-    """Sheet mirror of the change log: incoming rows replace base columns, reviewer columns survive; newest first, capped."""
+def mirror_changes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Mirror of the change log: incoming rows replace base columns, reviewer columns survive.  Every row is returned; the sheet
+    shows them by detected_at (newest first), ord and key."""
     old = existing.withColumn("key", change_key()).groupBy("key").agg(F.min_by(F.struct(*CHANGE_COLUMNS, "status", "note", "ord"), "ord").alias("o"))
     new = incoming.withColumn("key", change_key()).groupBy("key").agg(F.min_by(F.struct(*CHANGE_COLUMNS, "ord"), "ord").alias("n"))
     j = old.join(new, "key", "full_outer")
     base = [F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in CHANGE_COLUMNS]
     status = F.when(F.coalesce("o.status", F.lit("")) == "", K.UNCHECKED).otherwise(F.col("o.status"))
-    rows = j.select("key", *base, status.alias("status"), F.coalesce("o.note", F.lit("")).alias("note"),
+    return j.select("key", *base, status.alias("status"), F.coalesce("o.note", F.lit("")).alias("note"),
                     F.coalesce("n.ord", "o.ord").alias("ord"), F.col("o").isNull().alias("is_new"))
-    return rows.orderBy(F.col("detected_at").desc(), "ord", "key").limit(cap)
+
+
+def mirror_reviews(existing: DataFrame, incoming: DataFrame, base: list[str], reviewer: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Mirror of the re-review queue, keyed by case_id: (rows, violations).
+
+    Incoming rows replace the ``base`` columns, the ``reviewer`` columns survive.  A blank case id is a violation on its side
+    and no row; of several rows with one case id the first (``ord``) stands and the others are violations.
+    """
+    def side(df: DataFrame, columns: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+        case = N.strip(F.coalesce("case_id", F.lit("")))
+        groups = df.withColumn("case_id", case).groupBy("case_id").agg(
+            F.min_by(F.struct(*columns, "ord"), "ord").alias(name), F.count(F.lit(1)).alias("n_rows"))
+        violation = F.when(F.col("case_id") == "", "BLANK_CASE_ID").when(F.col("n_rows") > 1, "DUPLICATE_CASE_ID")
+        bad = groups.select(F.lit(name).alias("side"), "case_id", "n_rows", violation.alias("violation")).filter("violation IS NOT NULL")
+        return groups.filter("case_id <> ''").select("case_id", name), bad
+
+    old, bad_old = side(existing, [*base, *reviewer], "existing")
+    new, bad_new = side(incoming, base, "incoming")
+    j = old.join(new, "case_id", "full_outer")
+    rows = j.select("case_id", *[F.coalesce(f"incoming.{c}", f"existing.{c}").alias(c) for c in base],
+                    *[F.coalesce(f"existing.{c}", F.lit("")).alias(c) for c in reviewer],
+                    F.coalesce("incoming.ord", "existing.ord").alias("ord"), F.col("existing").isNull().alias("is_new"))
+    return rows, bad_old.unionByName(bad_new)
 
 
 def update_evidence(evidence: DataFrame, records: DataFrame, source_hash: str, seen_at: str) -> DataFrame:

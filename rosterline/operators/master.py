@@ -196,7 +196,7 @@ def repair_candidates(raw: Column) -> Column:
             s, F.when(s.rlike(BRACKET_TAIL), N.clean_name(F.regexp_replace(s, BRACKET_TAIL, ""))).otherwise(""),
             N.clean_name(F.regexp_extract(s, BRACKET_TAIL, 1)))))
 
-    return F.filter(F.array_distinct(F.flatten(F.transform(pieces, spellings))), lambda s: F.length(s) > 1)
+    return F.filter(F.array_distinct(F.flatten(F.transform(pieces, spellings))), lambda s: s != "")
 
 
 def repair_legacy(master: DataFrame, official: DataFrame, source: str = K.SRC_MOF) -> DataFrame:
@@ -486,13 +486,12 @@ def audit_tokens(expected: DataFrame, reached: DataFrame) -> DataFrame:
 
 
 def audit_applied(plan: DataFrame, master: DataFrame, source: str = K.SRC_METI) -> DataFrame:
-    """Plan rows against the applied master: actionable keys must exist, carry the tag and be active."""
+    """Plan rows against the applied master: actionable keys must exist and carry the tag."""
     ready = plan.filter(F.col("action").isin("READY_ADD", "READY_TAG_EXISTING", "NOOP_ALREADY_METI"))
     row = ready.select("action", "match_key").join(master.select("match_key", "sources", "status"), "match_key", "left")
     violation = (
         F.when(F.col("sources").isNull(), "MASTER_ROW_MISSING")
-        .when(~F.array_contains("sources", source), "SOURCE_TAG_MISSING")
-        .when((F.col("action") == "READY_ADD") & (F.col("status") != K.ACTIVE), "ADDED_ROW_INACTIVE"))
+        .when(~F.array_contains("sources", source), "SOURCE_TAG_MISSING"))
     return row.select("match_key", "action", violation.alias("violation")).filter("violation IS NOT NULL")
 
 

@@ -95,7 +95,7 @@ def original_script_values(notice) -> object:
 
     n = F.char_length
     return F.filter(F.transform(found, tidy), lambda v: ~v.rlike("(?i)^" + SCRIPT_LABEL)
-                    & n(v).between(2, 200) & v.rlike(NATIVE_SCRIPT) & ~v.isin(K.NULLISH))
+                    & (n(v) > 0) & v.rlike(NATIVE_SCRIPT) & ~v.isin(K.NULLISH))
 
 
 def extract_original_scripts(records: DataFrame, record_id: str, notice: str) -> DataFrame:

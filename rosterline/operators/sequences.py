@@ -25,5 +25,24 @@ def look_back(df: DataFrame, part: list[str], bucket: Column, order: list[str],
     tails = df.groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
     carried = F.last("__tail", ignorenulls=True).over(W.partitionBy(*part).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1))
     carry = tails.select(*key, carried.alias("__carry"))
-    joined = df.withColumn("__local", local).join(carry, key, "left")
+    # partition keys may be NULL: such rows are a partition of their own
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    joined = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same, "left").select("l.*", "r.__carry")
     return joined.withColumn(out, F.coalesce("__local", "__carry")).drop("__bucket", "__value", "__local", "__carry")
+
+
+def numbered(df: DataFrame, buckets: list[Column], order: list[str], out: str) -> DataFrame:
+    """Add ``out``: the place of the row in ``order``, from 1, without sorting everything in one task.
+
+    ``buckets`` are coarse keys that never decrease along ``order``; rows of one bucket should fit a task.  Buckets are counted,
+    a running sum over one row per bucket gives the places before each, and rows are numbered inside their bucket.
+    """
+    names = [f"__bucket{i}" for i in range(len(buckets))]
+    df = df.withColumns(dict(zip(names, buckets)))
+    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = F.coalesce(F.sum("__n").over(W.orderBy(*names).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    before = counts.select(*names, earlier.alias("__before"))
+    inside = F.row_number().over(W.partitionBy(*names).orderBy(*order))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
+    joined = df.withColumn("__inside", inside).alias("l").join(before.alias("r"), same).select("l.*", "r.__before")
+    return joined.withColumn(out, F.col("__before") + F.col("__inside")).drop(*names, "__before", "__inside")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from ..functions import constants as K
 from ..functions import names as N
 from ..functions.rows import explode_once
+from .sequences import numbered
 
 ID = "番号"
 REFERENCE = "国連参照番号"
@@ -300,19 +301,20 @@ def review_cases(changes: DataFrame) -> DataFrame:
         F.col("after_raw").alias("source_document"))
 
 
-def append_cases(queue: DataFrame, cases: DataFrame, cap: int = K.REVIEW_CAP) -> DataFrame:
-    """Case queue with unseen cases in front; capped as a published top list.
+def append_cases(queue: DataFrame, cases: DataFrame) -> DataFrame:
+    """Whole case queue with unseen cases in front.
 
-    ``queue`` carries ``position``; new cases keep their (source_document, record_id) order.  ORDER BY with
-    LIMIT is a distributed top-k; the position is numbered on the capped result only.
+    ``queue`` carries ``position``; new cases keep their (source_document, record_id) order.  Positions are numbered by
+    buckets of old positions and of record id heads.
     """
     fresh = cases.join(queue.select("case_id"), "case_id", "left_anti")
     cols = ["case_id", "record_id", "source_document"]
     top = fresh.select(*cols, F.lit(0).alias("block"), F.lit(0).cast("bigint").alias("old_position")).unionByName(
         queue.select(*cols, F.lit(1).alias("block"), F.col("position").cast("bigint").alias("old_position")))
     order = ["block", "old_position", "source_document", "record_id"]
-    top = top.orderBy(*order).limit(cap)
-    return top.withColumn("position", F.row_number().over(W.orderBy(*order))).select(*cols, "position")
+    heads = [F.col("block"), F.floor(F.col("old_position") / 4096), F.when(F.col("block") == 0, F.col("source_document")),
+             F.when(F.col("block") == 0, F.substring("record_id", 1, 4))]
+    return numbered(top, heads, order, "position").select(*cols, "position")
 
 
 # --- keyed record diff -------------------------------------------------------------------

@@ -366,13 +366,13 @@ PROOFS = f"""
 ds AS (SELECT relation_id, tx_hash, contract, subject, min(seq) AS seq, any_value(k) AS k FROM proof_candidates GROUP BY ALL),
 rk AS (SELECT *, row_number() OVER (PARTITION BY relation_id ORDER BY seq, tx_hash) AS try_no, count(*) OVER (PARTITION BY relation_id) AS n_candidates FROM ds),
 ev AS (SELECT c.relation_id, c.tx_hash, l.block_number, l.block_hash, min(log_index) AS log_index, arg_min(substr(data, 3), (log_index, substr(data, 3))) AS amount_hex FROM rk c JOIN transfer_logs l ON l.tx_hash = c.tx_hash
-  WHERE try_no <= 3 AND NOT removed AND address = '{CONTRACT}' AND len(topics) = 3 AND length(data) = 66 AND data <> '0x' || repeat('0', 64)
+  WHERE NOT removed AND address = '{CONTRACT}' AND len(topics) = 3 AND length(data) = 66 AND data <> '0x' || repeat('0', 64)
     AND (substr(topics[2], -40) = substr(subject, 3) OR substr(topics[3], -40) = substr(subject, 3)) GROUP BY ALL),
 oc AS (SELECT c.relation_id, c.tx_hash, try_no, n_candidates, r.block_number, ev.amount_hex, CASE WHEN r.tx_hash IS NULL THEN 'UNAVAILABLE' WHEN r.status <> '0x1' THEN 'RECEIPT_NOT_SUCCESSFUL'
     WHEN r.block_number > finalized_height THEN 'NOT_FINALIZED' WHEN b.hash IS NULL THEN 'BLOCK_MISSING' WHEN b.hash <> r.block_hash THEN 'BLOCK_MISMATCH' WHEN b.timestamp > head_time THEN 'BLOCK_AFTER_HEAD'
     WHEN t.tx_hash IS NULL THEN 'NOT_IN_BLOCK' WHEN ev.log_index IS NULL THEN 'TRANSFER_NOT_FOUND' ELSE 'PROOF' END AS outcome
   FROM rk c CROSS JOIN chain_head LEFT JOIN receipts r ON r.tx_hash = c.tx_hash LEFT JOIN blocks b ON b.number = r.block_number LEFT JOIN block_txs t ON t.number = r.block_number AND t.tx_hash = c.tx_hash
-  LEFT JOIN ev ON ev.relation_id = c.relation_id AND ev.tx_hash = c.tx_hash AND ev.block_number = r.block_number AND ev.block_hash = r.block_hash WHERE try_no <= 3)
+  LEFT JOIN ev ON ev.relation_id = c.relation_id AND ev.tx_hash = c.tx_hash AND ev.block_number = r.block_number AND ev.block_hash = r.block_hash)
 """
 PROOF_VIEWS = "transfer_logs proof_candidates receipts blocks block_txs chain_head"
 

@@ -260,8 +260,8 @@ WITH {REVIEWS},
 h AS (SELECT c.*, row_number() OVER (ORDER BY ord) AS rn FROM change_log c
   WHERE (detected_at, source, kind, name, before_text, after_text) NOT IN (SELECT (detected_at, source, kind, name, before_text, after_text) FROM reviews)),
 n AS (SELECT count(*) AS n FROM reviews)
-SELECT detected_at, source, kind, name, before_text, after_text, true AS pinned FROM reviews
-UNION ALL SELECT detected_at, source, kind, name, before_text, after_text, false FROM h, n WHERE rn <= greatest(5000, n) - n
+SELECT detected_at, source, kind, name, before_text, after_text, true AS pinned, true AS kept FROM reviews
+UNION ALL SELECT detected_at, source, kind, name, before_text, after_text, false, rn <= greatest(5000, n) - n FROM h, n
 """)
 def _(x):
     return L.retain_changes(x.view("change_log"), x.view("removal_queue"))
@@ -291,13 +291,53 @@ j AS (SELECT coalesce(n.key, o.key) AS key, coalesce(n.detected_at, o.detected_a
     coalesce(n.name, o.name) AS name, coalesce(n.before_text, o.before_text) AS before_text, coalesce(n.after_text, o.after_text) AS after_text,
     CASE WHEN coalesce(o.status, '') = '' THEN '未確認' ELSE o.status END AS status, coalesce(o.note, '') AS note, coalesce(n.ord, o.ord) AS ord, o.key IS NULL AS is_new
   FROM o FULL JOIN n ON n.key = o.key)
-SELECT * FROM j ORDER BY detected_at DESC, ord, key LIMIT 5000
+SELECT * FROM j
 """)
 def _(x):
     log = x.view("change_log")
     return L.mirror_changes(log.filter("ord % 3 <> 0"), log.filter("ord % 2 = 0"))
 
 
+@view("review_mirror")
+def _(d):
+    """Mirrored and incoming re-review cases of the orders: some blank and repeated case ids, reviewer columns on mirrored rows."""
+    case = "CASE WHEN o_orderkey % 41 = 3 THEN ' ' WHEN o_orderkey % 37 = 5 THEN 'case-' || CAST(o_custkey AS STRING) ELSE 'case-o' || CAST(o_orderkey AS STRING) END"
+    return f"""
+SELECT 'existing' AS side, {case} AS case_id, 'old ' || o_orderstatus AS state, o_orderpriority AS priority, CASE WHEN o_orderkey % 5 = 1 THEN 'done' ELSE '' END AS decision,
+  'reviewer ' || CAST(o_custkey % 9 AS STRING) AS reviewer, o_orderkey AS ord FROM {d.t('orders')} WHERE o_orderkey % 4 <> 1
+UNION ALL SELECT 'incoming', {case}, 'new ' || o_orderstatus, o_orderpriority, '', '', o_orderkey FROM {d.t('orders')} WHERE o_orderkey % 4 <> 2
+"""
+
+
+MIRROR = """
+c AS (SELECT * REPLACE (trim(case_id) AS case_id) FROM review_mirror),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY side, case_id ORDER BY ord) AS rn FROM c) WHERE rn = 1 AND case_id <> ''),
+o AS (SELECT * FROM f WHERE side = 'existing'), n AS (SELECT * FROM f WHERE side = 'incoming')
+"""
+
+
+def _mirror(x):
+    rows = x.view("review_mirror")
+    return L.mirror_reviews(rows.filter("side = 'existing'"), rows.filter("side = 'incoming'"), ["state", "priority"], ["decision", "reviewer"])
+
+
+@query("m11_review_mirror", views="review_mirror", oracle=f"""
+WITH {MIRROR}
+SELECT coalesce(o.case_id, n.case_id) AS case_id, coalesce(n.state, o.state) AS state, coalesce(n.priority, o.priority) AS priority, coalesce(o.decision, '') AS decision,
+  coalesce(o.reviewer, '') AS reviewer, coalesce(n.ord, o.ord) AS ord, o.case_id IS NULL AS is_new FROM o FULL JOIN n ON n.case_id = o.case_id
+""")
+def _(x):
+    return _mirror(x)[0]
+
+
+@query("m11_review_violations", views="review_mirror", oracle=f"""
+WITH {MIRROR}
+SELECT side, case_id, count(*) AS n_rows, CASE WHEN case_id = '' THEN 'BLANK_CASE_ID' ELSE 'DUPLICATE_CASE_ID' END AS violation FROM c GROUP BY side, case_id HAVING count(*) > 1 OR case_id = ''
+""")
+def _(x):
+    return _mirror(x)[1]
+
+
 # --- evidence and documents --------------------------------------------------------------
 
 @view("evidence_table")

@@ -418,11 +418,10 @@ def _(x):
 
 @query("j9_applied_plan_audit", views="plan_records master", oracle=f"""
 WITH {CANDIDATES}
-SELECT p.match_key, action, CASE WHEN m.match_key IS NULL THEN 'MASTER_ROW_MISSING' WHEN NOT list_contains(m.sources, '経産省') THEN 'SOURCE_TAG_MISSING'
-  ELSE 'ADDED_ROW_INACTIVE' END AS violation
+SELECT p.match_key, action, CASE WHEN m.match_key IS NULL THEN 'MASTER_ROW_MISSING' ELSE 'SOURCE_TAG_MISSING' END AS violation
 FROM plan p LEFT JOIN master m ON m.match_key = p.match_key
 WHERE action IN ('READY_ADD', 'READY_TAG_EXISTING', 'NOOP_ALREADY_METI')
-  AND (m.match_key IS NULL OR NOT list_contains(m.sources, '経産省') OR (action = 'READY_ADD' AND m.status <> '有効'))
+  AND (m.match_key IS NULL OR NOT list_contains(m.sources, '経産省'))
 """)
 def _(x):
     return M.audit_applied(_plan(x)[1], x.view("master"))

@@ -247,14 +247,14 @@ def _(d):
 def _(d):
     """Lines as table rows: headers, numbered rows, continuations and rows with another mark."""
     return f"""SELECT doc, i, i % 12 = 5 AS is_header, CASE WHEN i % 12 = 5 THEN 'No.' WHEN i % 3 = 0 THEN CAST({d.div('i', '3')} + 1 AS STRING) WHEN i % 11 = 7 THEN 'x' ELSE '' END AS no,
-  CASE WHEN i % 4 = 1 THEN '' ELSE substr(trim(line), 1, 20) END AS company, CAST(length(line) AS STRING) AS country FROM doc_lines"""
+  CASE WHEN i % 4 = 1 THEN '' ELSE trim(line) END AS company, CAST(length(line) AS STRING) AS country FROM doc_lines"""
 
 
 @query("s9_row_stitching", views="table_rows", oracle="""
-WITH r AS (SELECT *, CASE WHEN is_header THEN 'H' WHEN regexp_full_match(no, '[0-9]{1,4}') THEN 'N' END AS m FROM table_rows),
+WITH r AS (SELECT *, CASE WHEN is_header THEN 'H' WHEN regexp_full_match(no, '[0-9]+') THEN 'N' END AS m FROM table_rows),
 w AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN i END) OVER s AS start, max(CASE WHEN m = 'H' THEN i END) OVER s AS tab FROM r WINDOW s AS (PARTITION BY doc ORDER BY i)),
 o AS (SELECT * FROM w WHERE tab IS NOT NULL AND NOT is_header AND start % 12 <> 5 AND (m = 'N' OR no = ''))
-SELECT doc, start, max(CASE WHEN m = 'N' THEN CAST(no AS INT) END) AS no, count(*) AS n_rows, coalesce(string_agg(company, chr(10) ORDER BY i) FILTER (company <> ''), '') AS company,
+SELECT doc, start, max(CASE WHEN m = 'N' THEN CAST(no AS BIGINT) END) AS no, count(*) AS n_rows, coalesce(string_agg(company, chr(10) ORDER BY i) FILTER (company <> ''), '') AS company,
   string_agg(country, chr(10) ORDER BY i) AS country FROM o GROUP BY doc, start
 """)
 def _(x):
@@ -265,14 +265,14 @@ def _(x):
 def _(d):
     """Lines with planted block headers (some repeated, some skipped), section heads and closing marks."""
     return f"""SELECT doc, i, {d.div('i', '20')} AS page, CASE WHEN i % 30 = 17 THEN 'II 告示第' || CAST(i AS STRING) WHEN i % 30 = 11 THEN '(了)'
-    WHEN i % 6 = 0 AND i % 42 = 36 THEN '1. repeated ' || substr(line, 1, 5) WHEN i % 6 = 0 THEN CAST({d.div('i', '6')} + 1 AS STRING) || '. Name ' || substr(line, 1, 5)
-    WHEN i % 18 = 1 THEN '生年月日: 1960' WHEN i % 18 = 7 THEN '所在地: x' ELSE 'text ' || substr(line, 1, 30) END AS line FROM doc_lines"""
+    WHEN i % 6 = 0 AND i % 42 = 36 THEN '1. repeated ' || line WHEN i % 6 = 0 THEN CAST({d.div('i', '6')} + 1 AS STRING) || '. Name ' || line
+    WHEN i % 18 = 1 THEN '生年月日: 1960' WHEN i % 18 = 7 THEN '所在地: x' ELSE 'text ' || line END AS line FROM doc_lines"""
 
 
 BLOCKS = """
 l AS (SELECT *, trim(line) AS t, CASE WHEN i % 30 = 17 OR i % 30 = 11 THEN 'C' WHEN i % 6 = 0 THEN 'O' END AS m FROM numbered_lines),
 w AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN i END) OVER s AS start, coalesce(max(CASE WHEN i % 30 = 17 THEN 'II' END) OVER s, 'I') AS section FROM l WINDOW s AS (PARTITION BY doc ORDER BY i)),
-b AS (SELECT doc, start, max(CASE WHEN i = start THEN CAST(split_part(t, '.', 1) AS INT) END) AS number, max(section) AS section, count(*) FILTER (t <> '') AS n_lines, min(page) AS first_page, max(page) AS last_page,
+b AS (SELECT doc, start, max(CASE WHEN i = start THEN CAST(split_part(t, '.', 1) AS BIGINT) END) AS number, max(section) AS section, count(*) FILTER (t <> '') AS n_lines, min(page) AS first_page, max(page) AS last_page,
     CAST(sum(length(t)) AS BIGINT) AS n_chars, bool_or(t LIKE '生年月日%') AS pe, bool_or(t LIKE '所在地%') AS en FROM w WHERE start IS NOT NULL AND start % 30 <> 17 AND start % 30 <> 11 GROUP BY doc, start),
 blocks AS (SELECT doc, start, number, section, n_lines, first_page, last_page, n_chars, CASE WHEN pe AND NOT en THEN 'person' WHEN en AND NOT pe THEN 'entity' ELSE 'unknown' END AS party_type FROM b)
 """
@@ -386,7 +386,7 @@ FROM {d.t('events')}
 
 @query("s15_fetch_audit", views="audit_entries", oracle="""
 SELECT entry_id, checked_at, source, document_role, status, CASE WHEN entry_id % 4 IN (0, 2) THEN split_part(url, '?', 1) ELSE url END AS url,
-  CASE WHEN error_message IS NULL THEN '' WHEN entry_id % 3 = 0 THEN 'failed at https://h.example/p and https://h.example/q?z=1' WHEN entry_id % 3 = 1 THEN substr(error_message, 1, 4000) ELSE 'plain' END AS error_message,
+  CASE WHEN error_message IS NULL THEN '' WHEN entry_id % 3 = 0 THEN 'failed at https://h.example/p and https://h.example/q?z=1' WHEN entry_id % 3 = 1 THEN error_message ELSE 'plain' END AS error_message,
   CASE WHEN fetch_failed THEN '1' ELSE '0' END AS fetch_failed, '0' AS schema_changed, coalesce(CAST(diff_added AS STRING), '') AS diff_added, coalesce(CAST(diff_removed AS STRING), '') AS diff_removed,
   coalesce(CAST(diff_changed AS STRING), '') AS diff_changed, substr(checked_at, 1, 7) AS month FROM audit_entries
 """)

@@ -10,7 +10,8 @@ from ..functions.rows import explode_once
 from ..operators.sequences import look_back
 
 LINES_PER_BUCKET = 10_000
-HEADER = r"^\s*(?:\(重複\)\s*)?(\d{1,4})\s*\.\s*(.*)$"
+# What opens and closes a numbered block, and the issues that block a document.
+HEADER = r"^\s*(?:\(重複\)\s*)?(\d+)\s*\.\s*(.*)$"
 SECTION = r"^(I{1,3}|IV|V|VI{0,3}|IX|X)\s+.*(?:告示|公告)"
 RESET = r"^【(?:以下)?(?:[0-9]|平成|令和|昭和)"
 PARTICLES = r"^(?:に|の|と|及び|および|で|を|から|、|\))"
@@ -24,7 +25,7 @@ def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
     the number cell belong to none.
     """
     bucket = F.floor(F.col("i") / LINES_PER_BUCKET)
-    numbered = F.col("no").rlike(r"^\d{1,4}$")
+    numbered = F.col("no").rlike(r"^\d+$")
     mark = F.when(F.col("is_header"), F.struct(F.lit(True).alias("header"), F.col("i").alias("start"))).when(
         numbered, F.struct(F.lit(False).alias("header"), F.col("i").alias("start")))
     rows = look_back(rows, ["doc"], bucket, ["i"], mark, "island", inclusive=True)
@@ -32,7 +33,7 @@ def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
     own = rows.filter("table IS NOT NULL AND NOT is_header AND NOT island.header").filter(numbered | (F.col("no") == ""))
     text = lambda c: F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c] != ""), lambda x: x[c]), "\n")
     return own.groupBy("doc", F.col("island.start").alias("start")).agg(
-        F.max(F.when(numbered, F.col("no").cast("int"))).alias("no"), F.count(F.lit(1)).alias("n_rows"), *[text(c).alias(c) for c in cells])
+        F.max(F.when(numbered, F.col("no").try_cast("bigint"))).alias("no"), F.count(F.lit(1)).alias("n_rows"), *[text(c).alias(c) for c in cells])
 
 
 def numbered_blocks(lines: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def numbered_blocks(lines: DataFrame) -> DataFrame:
     person = text.rlike(r"^生年月日\s*:") | text.rlike("View-UN-Notices-Individuals")
     entity = text.rlike(r"^所在地\s*(?::|$)") | text.rlike("View-UN-Notices-Entities")
     blocks = rows.groupBy("doc", F.col("block.start").alias("start")).agg(
-        F.max("block.number").cast("int").alias("number"), F.max(F.coalesce("section", F.lit("I"))).alias("section"), F.count_if(F.col("text") != "").alias("n_lines"),
+        F.max("block.number").try_cast("bigint").alias("number"), F.max(F.coalesce("section", F.lit("I"))).alias("section"), F.count_if(F.col("text") != "").alias("n_lines"),
         F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.sum(F.char_length("text")).alias("n_chars"),
         F.bool_or(person).alias("person"), F.bool_or(entity).alias("entity"))
     kind = F.when(F.col("person") & ~F.col("entity"), "person").when(F.col("entity") & ~F.col("person"), "entity").otherwise("unknown")
@@ -64,7 +65,7 @@ def sequence_violations(numbers: DataFrame, part: list[str], order: str, number:
     expected = F.coalesce("before", F.lit(0)) + 1
     gaps = rows.filter(F.col(number) != expected).select(*part, F.col(number).alias("number"), expected.alias("expected"), F.lit("NUMBER_SEQUENCE").alias("violation"))
     twice = numbers.groupBy(*part, number).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        *part, F.col(number).alias("number"), F.lit(None).cast("int").alias("expected"), F.lit("DUPLICATE_NUMBER").alias("violation"))
+        *part, F.col(number).alias("number"), F.lit(None).cast("bigint").alias("expected"), F.lit("DUPLICATE_NUMBER").alias("violation"))
     return gaps.unionByName(twice.withColumn("expected", F.col("expected").cast(gaps.schema["expected"].dataType)))
 
 
@@ -129,14 +130,18 @@ def redact_urls(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SIGNED, "$1")
 
 
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+
+
 def audit_rows(entries: DataFrame) -> DataFrame:
-    """Fetch-audit rows as stored: signed URLs redacted, error text on one line of at most 4000 characters, month partition."""
-    flat = F.regexp_replace(F.translate(F.coalesce("error_message", F.lit("")), "\u0000", ""), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", " ")
-    flat = F.regexp_replace(flat, r" $", "")
+    """Fetch-audit rows as stored: signed URLs redacted, whole error text on one line, month partition."""
+    # a break at the end of the text ends its last line and is no gap
+    flat = F.regexp_replace(F.translate(F.coalesce("error_message", F.lit("")), "\u0000", ""), rf"(?:{LINE_BREAK})\z", "")
+    flat = F.regexp_replace(flat, LINE_BREAK, " ")
     flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "1").otherwise("0").alias(c)
     count = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     return entries.select(
-        "entry_id", "checked_at", "source", "document_role", "status", redact_urls(F.col("url")).alias("url"), F.left(redact_urls(flat), F.lit(4000)).alias("error_message"),
+        "entry_id", "checked_at", "source", "document_role", "status", redact_urls(F.col("url")).alias("url"), redact_urls(flat).alias("error_message"),
         flag("fetch_failed"), flag("schema_changed"), count("diff_added"), count("diff_removed"), count("diff_changed"), F.left("checked_at", F.lit(7)).alias("month"))
 
 

@@ -13,7 +13,8 @@ from ..functions.rows import explode_once
 PRIMARY_COLUMNS = ["ent_num", "name", "sdn_type", "program", "title", "call_sign", "vess_type", "tonnage", "grt", "vess_flag", "vess_owner", "remarks"]
 ALIAS_COLUMNS = ["ent_num", "alt_num", "alt_type", "alt_name", "alt_remarks"]
 NULL_MARKS = ["-0-", ""]
-CSV_CELL = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+# possessive: a long or much quoted cell costs no stack
+CSV_CELL = r'(?:^|,)("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -141,7 +142,7 @@ def list_names(rows: DataFrame, categories: dict[str, str], extra: DataFrame | N
 
     def parts(c: str) -> Column:
         names = F.transform(N.split_top_level(N.clean_name(F.col(f"`{c}`"))), N.strip_descriptor)
-        keep = F.filter(names, lambda n: ~n.isin(K.NULLISH) & (F.char_length(n) > 1))
+        keep = F.filter(names, lambda n: ~n.isin(K.NULLISH) & (n != ""))
         return F.when(N.clean_name(F.col(f"`{c}`")).isin(K.NULLISH), F.array().cast("array<string>")).otherwise(keep)
 
     code = N.clean_name(F.col("区分"))

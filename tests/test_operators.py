@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterline.functions import addresses as A
 from rosterline.functions import constants as K
-from rosterline.operators import crypto, history, ledgers, master, monitoring, screening, snapshots
+from rosterline.operators import crypto, history, ledgers, master, monitoring, screening, sequences, snapshots
 from rosterline.operators.sequences import look_back
 from rosterline.sources import documents, party_xml, sinks, text
 
@@ -83,7 +83,7 @@ def test_search_matches_brute_force(spark):
     terms = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(25)]
     names = spark.createDataFrame(list(enumerate(words)), "name_id bigint, name string")
     asked = spark.createDataFrame(list(enumerate(terms)), "term_id bigint, term string")
-    got = {(r["term_id"], r["name_id"], r["match"]) for r in screening.search_names(asked, names, top=500).collect()}
+    got = {(r["term_id"], r["name_id"], r["match"]) for r in screening.search_names(asked, names).collect()}
     want = {(t, i, "完全一致" if a == b else "部分一致") for t, a in enumerate(terms) if len(a) >= 2 for i, b in enumerate(words) if a in b or b in a}
     assert got == want
 
@@ -209,3 +209,32 @@ def test_sinks(spark, tmp_path):
 def test_signed_urls_are_redacted(spark):
     df = spark.createDataFrame([("see https://h/p?X-Amz-Date=1&b=2#f and https://h/q?a=1#f.",)], "v string")
     assert df.select(documents.redact_urls(F.col("v"))).first()[0] == "see https://h/p and https://h/q?a=1#f."
+
+
+def test_long_quoted_cells_and_open_quotes(spark):
+    long = "x" * 100_000
+    lines = [f'1,"{long}",z', '2,"' + '""' * 50_000 + '",z', '3,"torn', "4,,", '5,"a ""b"" c","d,e"']
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    got = [r[0] for r in df.select(text.csv_cells(F.col("value"))).collect()]
+    assert got == [["1", long, "z"], ["2", '"' * 50_000, "z"], ["3", '"torn'], ["4", "", ""], ["5", 'a "b" c', "d,e"]]
+
+
+def test_places_with_one_hot_bucket_and_nulls(spark):
+    rows = [(i % 10 == 0, i) for i in range(500)] + [(None, None)]
+    df = spark.createDataFrame(rows, "b boolean, i int").repartition(5)
+    got = sequences.numbered(df, [F.floor(F.col("i") / 400)], ["i"], "place").collect()
+    assert sorted((r.place, -1 if r.i is None else r.i) for r in got) == [(1, -1)] + [(i + 2, i) for i in range(500)]
+
+
+def test_look_back_keeps_rows_without_partition(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 20, None), ("p", 3, None)], "p string, i int, v string")
+    got = sequences.look_back(df, ["p"], F.floor(F.col("i") / 10), ["i"], F.col("v"), "out", inclusive=True).collect()
+    assert {(r.p, r.i): r.out for r in got} == {(None, 1): "a", (None, 20): "a", ("p", 3): None}
+
+
+def test_first_proof_after_many_tries(spark):
+    event = spark.sql("SELECT struct(1 AS log_index, 'ff' AS amount_hex) AS event").first()["event"]
+    rows = [("r", f"t{i}", i, 6, "PROOF" if i >= 5 else "UNAVAILABLE" if i % 2 else "NOT_IN_BLOCK", 9, event) for i in range(1, 7)]
+    df = spark.createDataFrame(rows, "relation_id string, tx_hash string, try_no int, n_candidates long, outcome string, block_number long, event struct<log_index:int,amount_hex:string>")
+    got = crypto.select_proofs(df).first()
+    assert (got.state, got.checked_candidates, got.unavailable_candidates, got.rejected_candidates, got.tx_hash) == ("VERIFIED", 5, 2, 2, "t5")
