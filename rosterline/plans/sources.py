@@ -263,23 +263,31 @@ def _(x):
 
 @view("numbered_lines", "doc_lines")
 def _(d):
-    """Lines with planted block headers (some repeated, some skipped), section heads and closing marks."""
+    """Lines with planted block headers (some repeated, skipped or deleted), section heads, closing marks, reference numbers and
+    published counts (every fourth document is a UN list); some counts are wrong, some break over two lines."""
+    most = "max(i) OVER (PARTITION BY doc)"
+    persons = f"CAST({d.div(most + ' + 17', '18')} + CASE WHEN doc % 8 = 4 THEN 1 ELSE 0 END AS STRING)"
+    entities = f"CAST({d.div(most + ' + 11', '18')} AS STRING)"
     return f"""SELECT doc, i, {d.div('i', '20')} AS page, CASE WHEN i % 30 = 17 THEN 'II 告示第' || CAST(i AS STRING) WHEN i % 30 = 11 THEN '(了)'
+    WHEN i = 3 AND doc % 12 = 8 THEN '計 ' || {persons} || ' 個人及' WHEN i = 4 AND doc % 12 = 8 THEN 'び ' || {entities} || ' 団体' WHEN i = 3 AND doc % 4 = 0 THEN '計 ' || {persons} || ' 個人及び' || {entities} || '団体'
+    WHEN i % 54 = 37 THEN '国連参照番号: QDi.' || CAST(i AS STRING) WHEN i % 54 = 43 THEN '国連参照番号 : QDe.' || CAST(i AS STRING)
+    WHEN i % 66 = 60 THEN CAST({d.div('i', '6')} + 1 AS STRING) || CASE WHEN i % 132 = 60 THEN '. 削除 ' ELSE '. ※ 2020年1月1日解除 ' END || line
     WHEN i % 6 = 0 AND i % 42 = 36 THEN '1. repeated ' || line WHEN i % 6 = 0 THEN CAST({d.div('i', '6')} + 1 AS STRING) || '. Name ' || line
     WHEN i % 18 = 1 THEN '生年月日: 1960' WHEN i % 18 = 7 THEN '所在地: x' ELSE 'text ' || line END AS line FROM doc_lines"""
 
 
 BLOCKS = """
-l AS (SELECT *, trim(line) AS t, CASE WHEN i % 30 = 17 OR i % 30 = 11 THEN 'C' WHEN i % 6 = 0 THEN 'O' END AS m FROM numbered_lines),
-w AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN i END) OVER s AS start, coalesce(max(CASE WHEN i % 30 = 17 THEN 'II' END) OVER s, 'I') AS section FROM l WINDOW s AS (PARTITION BY doc ORDER BY i)),
+l AS (SELECT *, trim(line) AS t, CASE WHEN (i % 30 = 17 AND doc % 4 <> 0) OR i % 30 = 11 THEN 'C' WHEN i % 6 = 0 THEN 'O' END AS m FROM numbered_lines),
+w AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN i END) OVER s AS start, CASE WHEN doc % 4 = 0 THEN 'UN' ELSE coalesce(max(CASE WHEN i % 30 = 17 THEN 'II' END) OVER s, 'I') END AS section FROM l WINDOW s AS (PARTITION BY doc ORDER BY i)),
 b AS (SELECT doc, start, max(CASE WHEN i = start THEN CAST(split_part(t, '.', 1) AS BIGINT) END) AS number, max(section) AS section, count(*) FILTER (t <> '') AS n_lines, min(page) AS first_page, max(page) AS last_page,
-    CAST(sum(length(t)) AS BIGINT) AS n_chars, bool_or(t LIKE '生年月日%') AS pe, bool_or(t LIKE '所在地%') AS en FROM w WHERE start IS NOT NULL AND start % 30 <> 17 AND start % 30 <> 11 GROUP BY doc, start),
-blocks AS (SELECT doc, start, number, section, n_lines, first_page, last_page, n_chars, CASE WHEN pe AND NOT en THEN 'person' WHEN en AND NOT pe THEN 'entity' ELSE 'unknown' END AS party_type FROM b)
+    CAST(sum(length(t)) AS BIGINT) AS n_chars, bool_or(t LIKE '生年月日%' OR i % 54 = 37) AS pe, bool_or(t LIKE '所在地%' OR i % 54 = 43) AS en,
+    coalesce(max(CASE i % 54 WHEN 37 THEN 'QDi.' || i WHEN 43 THEN 'QDe.' || i END), '') AS external_id FROM w WHERE start IS NOT NULL AND (start % 30 <> 17 OR doc % 4 = 0) AND start % 30 <> 11 GROUP BY doc, start),
+blocks AS (SELECT doc, start, number, section, n_lines, first_page, last_page, n_chars, external_id, start % 66 <> 60 AS current, CASE WHEN pe AND NOT en THEN 'person' WHEN en AND NOT pe THEN 'entity' ELSE 'unknown' END AS party_type FROM b)
 """
 
 
 def _blocks(x):
-    return D.numbered_blocks(x.view("numbered_lines"))
+    return D.numbered_blocks(x.view("numbered_lines"), F.col("doc") % 4 == 0)
 
 
 @query("w7_numbered_blocks", views="numbered_lines", oracle=f"WITH {BLOCKS} SELECT * FROM blocks")
@@ -287,6 +295,13 @@ def _(x):
     return _blocks(x)
 
 
+@query("w7_block_lines", views="numbered_lines", oracle=f"""
+WITH {BLOCKS} SELECT w.doc, w.start, b.number, b.section, w.i, w.page, w.t AS text FROM w JOIN blocks b ON b.doc = w.doc AND b.start = w.start
+""")
+def _(x):
+    return D.block_lines(x.view("numbered_lines"), F.col("doc") % 4 == 0).drop("head")
+
+
 SEQUENCE = """
 sq AS (SELECT doc, section, start, number, coalesce(lag(number) OVER (PARTITION BY doc, section ORDER BY start), 0) + 1 AS expected FROM blocks),
 viol AS (SELECT doc, section, number, expected, 'NUMBER_SEQUENCE' AS violation FROM sq WHERE number <> expected
@@ -299,25 +314,23 @@ def _(x):
     return D.sequence_violations(_blocks(x), ["doc", "section"], "start", "number").fillna(-1, "expected")
 
 
-@view("declared_documents", "doc_lines")
-def _(d):
-    """Person and entity counts that some documents publish; a few are wrong."""
-    persons = f"{d.div('max(i) + 17', '18')}"
-    return f"SELECT doc, {persons} AS persons, CASE WHEN doc % 7 = 1 THEN 99 ELSE {d.div('max(i) + 11', '18')} END AS entities FROM doc_lines WHERE doc % 3 = 0 GROUP BY doc"
-
-
-@query("q16_document_gate", views="numbered_lines declared_documents", oracle=f"""
+@query("q16_document_gate", views="numbered_lines", oracle=f"""
 WITH {BLOCKS}, {SEQUENCE},
-c AS (SELECT doc, count(*) AS nb, count(*) FILTER (party_type = 'person') AS np, count(*) FILTER (party_type = 'entity') AS ne FROM blocks GROUP BY doc),
-v AS (SELECT doc, count(*) AS ni FROM viol GROUP BY doc),
+c AS (SELECT doc, count(*) AS nb, count(*) FILTER (current AND party_type = 'person') AS np, count(*) FILTER (current AND party_type = 'entity') AS ne FROM blocks GROUP BY doc),
+ep AS (SELECT doc, page FROM l GROUP BY doc, page HAVING sum(length(t)) + coalesce(max(i) FILTER (t <> '') - min(i) FILTER (t <> ''), 0) < 20),
+v AS (SELECT doc, count(*) AS ni FROM (SELECT doc FROM viol UNION ALL SELECT doc FROM ep) GROUP BY doc),
+j2 AS (SELECT doc, i, regexp_extract(regexp_replace(coalesce(lag(line) OVER (PARTITION BY doc ORDER BY i), '') || line, '\\s+', '', 'g'), '([0-9]+)個人(?:及び|および)([0-9]+)団体', ['p', 'e']) AS g FROM numbered_lines),
+p AS (SELECT doc, CAST(arg_min(g.p, i) AS BIGINT) AS persons, CAST(arg_min(g.e, i) AS BIGINT) AS entities FROM j2 WHERE g.p <> '' AND doc % 4 = 0 GROUP BY doc),
 j AS (SELECT d.doc_id AS doc, coalesce(nb, 0) AS n_blocks, coalesce(ni, 0) AS n_issues, p.persons IS NOT NULL AND (p.persons <> coalesce(np, 0) OR p.entities <> coalesce(ne, 0)) AS count_mismatch
-  FROM documents d LEFT JOIN c ON c.doc = d.doc_id LEFT JOIN v ON v.doc = d.doc_id LEFT JOIN declared_documents p ON p.doc = d.doc_id)
+  FROM documents d LEFT JOIN c ON c.doc = d.doc_id LEFT JOIN v ON v.doc = d.doc_id LEFT JOIN p ON p.doc = d.doc_id)
 SELECT doc, CASE WHEN n_issues > 0 OR n_blocks = 0 OR count_mismatch THEN 'BLOCKED' ELSE 'REVIEW_REQUIRED' END AS status, n_blocks, n_issues, count_mismatch FROM j
 """)
 def _(x):
-    blocks = _blocks(x)
-    issues = D.sequence_violations(blocks, ["doc", "section"], "start", "number").withColumnRenamed("violation", "code")
-    return D.document_gate(x.table("documents").select(F.col("doc_id").alias("doc")), blocks, issues, x.view("declared_documents"))
+    blocks, lines = _blocks(x), x.view("numbered_lines")
+    issues = D.sequence_violations(blocks, ["doc", "section"], "start", "number").select("doc", F.col("violation").alias("code")).unionByName(
+        D.empty_pages(lines).select("doc", "code"))
+    published = D.published_counts(lines.filter("doc % 4 = 0"))
+    return D.document_gate(x.table("documents").select(F.col("doc_id").alias("doc")), blocks, issues, published)
 
 
 @view("declared_snapshots")

@@ -15,6 +15,9 @@ HEADER = r"^\s*(?:\(重複\)\s*)?(\d+)\s*\.\s*(.*)$"
 SECTION = r"^(I{1,3}|IV|V|VI{0,3}|IX|X)\s+.*(?:告示|公告)"
 RESET = r"^【(?:以下)?(?:[0-9]|平成|令和|昭和)"
 PARTICLES = r"^(?:に|の|と|及び|および|で|を|から|、|\))"
+UN_REFERENCE = r"国連参照番号\s*:\s*([A-Za-z]{2}[ie]\.[0-9]+)"
+DELETED = r"^(?:\(\(重複\).*?\)\s*)?(?:※\s*)?(?:[0-9].*?解除|削除|解除)"
+PUBLISHED = "([0-9]+)個人(?:及び|および)([0-9]+)団体"
 FATAL = ["NO_RECORDS", "DUPLICATE_NUMBER", "NUMBER_SEQUENCE", "PRIMARY_MISSING", "COUNT_MISMATCH", "IMAGE_OR_EMPTY_PAGE"]
 
 
@@ -36,27 +39,63 @@ def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
         F.max(F.when(numbered, F.col("no").try_cast("bigint"))).alias("no"), F.count(F.lit(1)).alias("n_rows"), *[text(c).alias(c) for c in cells])
 
 
-def numbered_blocks(lines: DataFrame) -> DataFrame:
-    """Numbered blocks of document lines (doc, i, page, line): a header opens a block, section heads and marks close it."""
+def block_lines(lines: DataFrame, un_list: Column | None = None) -> DataFrame:
+    """Lines of numbered blocks (doc, start, number, head, section, i, page, text): a header opens a block, section heads and marks
+    close it.  Documents of the ``un_list`` have the one section UN and no section heads; the others begin in section I."""
+    un = F.lit(False) if un_list is None else un_list
     text = N.strip(F.col("line"))
     number, head = F.regexp_extract(text, HEADER, 1), F.regexp_extract(text, HEADER, 2)
-    section = F.regexp_extract(text, SECTION, 1)
-    opens = (section == "") & ~text.rlike(RESET) & ~text.isin("(了)", "(注)") & (number != "") & ~head.rlike(PARTICLES)
-    closes = (section != "") | text.rlike(RESET) | text.isin("(了)", "(注)")
+    section = F.when(un, F.lit("")).otherwise(F.regexp_extract(text, SECTION, 1))
+    ends = text.rlike(RESET) | text.isin("(了)", "(注)")
+    opens = (section == "") & ~ends & (number != "") & ~head.rlike(PARTICLES)
     bucket = F.floor(F.col("i") / LINES_PER_BUCKET)
-    mark = F.when(closes, F.struct(F.lit(None).cast("bigint").alias("start"), F.lit("").alias("number"))).when(
-        opens, F.struct(F.col("i").cast("bigint").alias("start"), number.alias("number")))
+    mark = F.when((section != "") | ends, F.struct(F.lit(None).cast("bigint").alias("start"), F.lit("").alias("number"), F.lit("").alias("head"))).when(
+        opens, F.struct(F.col("i").cast("bigint").alias("start"), number.alias("number"), head.alias("head")))
     rows = look_back(lines, ["doc"], bucket, ["i"], mark, "block", inclusive=True)
     rows = look_back(rows, ["doc"], bucket, ["i"], F.when(section != "", section), "section", inclusive=True)
-    rows = rows.filter("block.start IS NOT NULL").withColumn("text", text)
-    person = text.rlike(r"^生年月日\s*:") | text.rlike("View-UN-Notices-Individuals")
-    entity = text.rlike(r"^所在地\s*(?::|$)") | text.rlike("View-UN-Notices-Entities")
-    blocks = rows.groupBy("doc", F.col("block.start").alias("start")).agg(
-        F.max("block.number").try_cast("bigint").alias("number"), F.max(F.coalesce("section", F.lit("I"))).alias("section"), F.count_if(F.col("text") != "").alias("n_lines"),
+    return rows.filter("block.start IS NOT NULL").select(
+        "doc", F.col("block.start").alias("start"), F.col("block.number").try_cast("bigint").alias("number"), F.col("block.head").alias("head"),
+        F.when(un, "UN").otherwise(F.coalesce("section", F.lit("I"))).alias("section"), "i", "page", text.alias("text"))
+
+
+def numbered_blocks(lines: DataFrame, un_list: Column | None = None) -> DataFrame:
+    """One row per numbered block of document lines (doc, i, page, line).
+
+    The party type follows from a birth date, a place, a United Nations reference number or a notice link; ``current`` is false
+    where the head says that the entry was deleted.  The text stays in ``block_lines``, one row per line.
+    """
+    rows = block_lines(lines, un_list)
+    text = F.col("text")
+    blocks = rows.groupBy("doc", "start").agg(
+        F.max("number").alias("number"), F.max("section").alias("section"), F.max("head").alias("head"), F.count_if(text != "").alias("n_lines"),
         F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.sum(F.char_length("text")).alias("n_chars"),
-        F.bool_or(person).alias("person"), F.bool_or(entity).alias("entity"))
-    kind = F.when(F.col("person") & ~F.col("entity"), "person").when(F.col("entity") & ~F.col("person"), "entity").otherwise("unknown")
-    return blocks.withColumn("party_type", kind).drop("person", "entity")
+        F.min_by(F.nullif(F.regexp_extract("text", UN_REFERENCE, 1), F.lit("")), F.when(text.rlike(UN_REFERENCE), F.col("i"))).alias("external_id"),
+        F.bool_or(text.rlike(r"^生年月日\s*:") | text.rlike("View-UN-Notices-Individuals")).alias("person"),
+        F.bool_or(text.rlike(r"^所在地\s*(?::|$)") | text.rlike("View-UN-Notices-Entities")).alias("entity"))
+    listed = F.coalesce("external_id", F.lit(""))
+    person, entity = F.col("person") | listed.rlike(r"[A-Z]{2}i\.[0-9]+"), F.col("entity") | listed.rlike(r"[A-Z]{2}e\.[0-9]+")
+    kind = F.when(person & ~entity, "person").when(entity & ~person, "entity").otherwise("unknown")
+    return blocks.select("doc", "start", "number", "section", "n_lines", "first_page", "last_page", "n_chars", listed.alias("external_id"),
+                         (~F.col("head").rlike(DELETED)).alias("current"), kind.alias("party_type"))
+
+
+def empty_pages(lines: DataFrame) -> DataFrame:
+    """IMAGE_OR_EMPTY_PAGE per page (doc, page) of fewer than 20 characters between its first and last text."""
+    text = N.strip(F.col("line"))
+    at = F.when(text != "", F.col("i"))
+    breaks = F.coalesce(F.max(at) - F.min(at), F.lit(0))
+    return lines.groupBy("doc", "page").agg((F.sum(F.char_length(text)) + breaks).alias("n")).filter("n < 20").select(
+        "doc", "page", F.lit("IMAGE_OR_EMPTY_PAGE").alias("code"))
+
+
+def published_counts(lines: DataFrame) -> DataFrame:
+    """Persons and entities that a document declares in its text (first place), also where the words break over two lines."""
+    bucket = F.floor(F.col("i") / LINES_PER_BUCKET)
+    rows = look_back(lines.select("doc", "i", "line"), ["doc"], bucket, ["i"], F.col("line"), "before", inclusive=False)
+    joined = F.regexp_replace(F.concat(F.coalesce("before", F.lit("")), "line"), r"(?U)\s+", "")
+    found = rows.select("doc", "i", *[F.regexp_extract(joined, PUBLISHED, g).try_cast("bigint").alias(c) for g, c in ((1, "persons"), (2, "entities"))])
+    return found.filter("persons IS NOT NULL").groupBy("doc").agg(
+        F.min_by("persons", "i").alias("persons"), F.min_by("entities", "i").alias("entities"))
 
 
 def sequence_violations(numbers: DataFrame, part: list[str], order: str, number: str) -> DataFrame:
@@ -79,9 +118,10 @@ def count_agreement(actual: DataFrame, declared: DataFrame, keys: list[str]) ->
 
 
 def document_gate(documents: DataFrame, blocks: DataFrame, issues: DataFrame, published: DataFrame) -> DataFrame:
-    """BLOCKED or REVIEW_REQUIRED per document, from fatal issues, missing blocks and published person / entity counts."""
+    """BLOCKED or REVIEW_REQUIRED per document, from fatal issues, missing blocks and published counts of current persons and
+    entities.  ``issues`` (doc, code) may hold any code, such as PRIMARY_MISSING from a name extraction."""
     counted = blocks.groupBy("doc").agg(
-        F.count(F.lit(1)).alias("n_blocks"), F.count_if(F.col("party_type") == "person").alias("n_persons"), F.count_if(F.col("party_type") == "entity").alias("n_entities"))
+        F.count(F.lit(1)).alias("n_blocks"), *[F.count_if(F.col("current") & (F.col("party_type") == k)).alias(c) for k, c in (("person", "n_persons"), ("entity", "n_entities"))])
     fatal = issues.groupBy("doc").agg(F.count(F.lit(1)).alias("n_issues"), F.count_if(F.col("code").isin(FATAL)).alias("n_fatal"))
     j = documents.select("doc").join(counted, "doc", "left").join(fatal, "doc", "left").join(published, "doc", "left").fillna(
         0, ["n_blocks", "n_persons", "n_entities", "n_issues", "n_fatal"])
