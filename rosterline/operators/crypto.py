@@ -466,6 +466,14 @@ def select_proofs(outcomes: DataFrame) -> DataFrame:
         F.coalesce("proof.tx_hash", F.lit("")).alias("tx_hash"), F.coalesce("proof.event.amount_hex", F.lit("")).alias("amount_hex"))
 
 
+def proof_totals(proofs: DataFrame) -> DataFrame:
+    """Relations and candidates per state of the token history, with the grand total (state ALL)."""
+    return proofs.rollup("state").agg(
+        F.count(F.lit(1)).alias("n_relations"), *[F.sum(c).alias(c) for c in (
+            "n_candidates", "checked_candidates", "unavailable_candidates", "rejected_candidates")]
+    ).withColumn("state", F.coalesce("state", F.lit("ALL")))
+
+
 STATE_LABELS = {"POSITIVE": "記録・残高を観測", "NO_EVIDENCE": "照会範囲で未観測", "CONFLICT": "取得先で観測結果が異なる",
                 "PARTIAL": "一部取得失敗・範囲不足", "FAILED": "取得失敗・未照会"}
 PROOF_LABELS = {"VERIFIED": "発行元の送受信を検証済み", "NO_PROOF": "取得範囲で証拠なし", "PARTIAL": "候補あり・取引結果の取得不足"}

@@ -53,12 +53,19 @@ def update_history(history: DataFrame, records: DataFrame, ts: int) -> DataFrame
 
 def party_changes(history: DataFrame, records: DataFrame, baseline: bool | None = None) -> DataFrame:
     """Parties that appeared or vanished.  The first snapshot of an empty history reports none."""
-    if baseline is None:
-        baseline = history.isEmpty()
+    known = F.lit(not baseline) if baseline is not None else history.select(F.lit(1)).limit(1).agg(F.count(F.lit(1)) > 0).scalar()
     before = history.filter("party_current").select(*PARTY, F.lit(True).alias("was")).distinct()
     now = fold_aliases(records).select(*PARTY, F.lit(True).alias("is")).distinct()
     both = before.join(now, PARTY, "full_outer").filter("was IS NULL OR is IS NULL")
-    return both.filter(F.lit(not baseline)).select(*PARTY, F.when(F.col("was").isNull(), "added").otherwise("removed").alias("change"))
+    return both.filter(known).select(*PARTY, F.when(F.col("was").isNull(), "added").otherwise("removed").alias("change"))
+
+
+def history_totals(history: DataFrame) -> DataFrame:
+    """Per list: rows, current parties and aliases, and former aliases of parties that are still listed."""
+    gone = ~F.col("alias_current")
+    return history.groupBy("list").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.when(F.col("party_current"), F.col("party_id"))).alias("n_current_parties"),
+        F.count_if("alias_current").alias("n_current_aliases"), F.count_if(gone & F.col("party_current")).alias("n_former_aliases"))
 
 
 def best_party_names(history: DataFrame) -> DataFrame:

@@ -400,9 +400,17 @@ def _(x):
     return C.select_proofs(_outcomes(x))
 
 
-@query("c8_review_matrix", views="crypto_ledger " + PROOF_VIEWS, oracle=f"""
-WITH {PROOFS}, {SELECTED},
-ch AS (SELECT relation_id, CASE k % 5 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NO_EVIDENCE' WHEN 2 THEN 'CONFLICT' WHEN 3 THEN 'PARTIAL' ELSE 'FAILED' END AS state FROM crypto_ledger WHERE k % 3 = 0),
+@query("a5_proof_totals", views=PROOF_VIEWS, oracle=f"""
+WITH {PROOFS}, {SELECTED} SELECT coalesce(state, 'ALL') AS state, count(*) AS n_relations, CAST(sum(n_candidates) AS BIGINT) AS n_candidates, CAST(sum(checked_candidates) AS BIGINT) AS checked_candidates,
+  CAST(sum(unavailable_candidates) AS BIGINT) AS unavailable_candidates, CAST(sum(rejected_candidates) AS BIGINT) AS rejected_candidates FROM sel GROUP BY ROLLUP (state)
+""")
+def _(x):
+    return C.proof_totals(C.select_proofs(_outcomes(x)))
+
+
+@query("c8_review_matrix", views="crypto_ledger probes " + PROOF_VIEWS, oracle=f"""
+WITH {PROOFS}, {SELECTED}, {CONSENSUS},
+ch AS (SELECT l.relation_id, c.state FROM crypto_ledger l JOIN cons c ON c.relation_id = CAST(l.k AS STRING) || '-0'),
 pr AS (SELECT l.relation_id, s.state FROM sel s JOIN crypto_ledger l ON CAST(l.k AS STRING) = s.relation_id)
 SELECT l.relation_id, symbol, address, CASE WHEN listing_status <> 'LISTED' THEN '掲載終了候補' WHEN validation = 'INVALID' THEN '不整合' WHEN validation = 'UNSUPPORTED' THEN '検証未対応' ELSE '検証制限' END AS category,
   CASE WHEN listing_status <> 'LISTED' THEN 1 WHEN validation = 'INVALID' THEN 0 WHEN validation = 'UNSUPPORTED' THEN 2 ELSE 3 END AS priority,
@@ -413,8 +421,9 @@ FROM crypto_ledger l LEFT JOIN ch ON ch.relation_id = l.relation_id LEFT JOIN pr
 """)
 def _(x):
     ledger = x.view("crypto_ledger")
-    chain = ledger.filter("k % 3 = 0").selectExpr(
-        "relation_id", "CASE k % 5 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NO_EVIDENCE' WHEN 2 THEN 'CONFLICT' WHEN 3 THEN 'PARTIAL' ELSE 'FAILED' END AS state")
+    # the probes of a user's first hour stand for those of the relation with that number
+    probed = C.probe_consensus(x.view("probes")).withColumnRenamed("relation_id", "probed")
+    chain = ledger.select("relation_id", F.concat(F.col("k").cast("string"), F.lit("-0")).alias("probed")).join(probed, "probed").select("relation_id", "state")
     owner = ledger.select("relation_id", F.col("k").cast("string").alias("owner"))
     proofs = C.select_proofs(_outcomes(x)).withColumnRenamed("relation_id", "owner").join(owner, "owner").select("relation_id", "state")
     return C.review_matrix(ledger, chain, proofs)

@@ -84,6 +84,14 @@ def _(x):
     return H.party_changes(x.view("alias_history"), x.view("alias_records"))
 
 
+@query("m2_history_totals", views=VIEWS, oracle=f"""
+WITH {UPDATED} SELECT list, count(*) AS n_rows, count(DISTINCT party_id) FILTER (party_current) AS n_current_parties, count(*) FILTER (alias_current) AS n_current_aliases,
+  count(*) FILTER (NOT alias_current AND party_current) AS n_former_aliases FROM hist2 GROUP BY list
+""")
+def _(x):
+    return H.history_totals(H.update_history(x.view("alias_history"), x.view("alias_records"), TS))
+
+
 @query("w5_best_party_names", views=VIEWS, oracle=f"""
 WITH {UPDATED} SELECT list, party_id, arg_min(name, (NOT "primary", low_quality, lower(name), name)) AS party_name FROM hist2 GROUP BY ALL
 """)

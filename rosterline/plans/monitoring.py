@@ -150,7 +150,7 @@ def _(d):
     """Incident table: open and closed rows per user, source and type."""
     return f"""
 SELECT DISTINCT CAST(user_id AS STRING) || '|' || CASE event_id % 3 WHEN 0 THEN 'OFAC SDN|監視遅延' WHEN 1 THEN '財務省|取得エラー' ELSE '経済産業省|監視未確認' END AS incident_key,
-  '2024-01-0' || CAST(1 + user_id % 9 AS STRING) AS opened_at, CASE WHEN user_id % 4 = 1 THEN '2024-01-20' ELSE '' END AS resolved_at, '警告' AS severity FROM {d.t('events')} WHERE event_id % 5 = 2
+  '2024-01-0' || CAST(1 + user_id % 9 AS STRING) AS opened_at, CASE WHEN user_id % 4 = 1 THEN '2024-01-20' ELSE '' END AS resolved_at, '警告' AS severity FROM {d.t('events')}
 """
 
 
@@ -184,8 +184,8 @@ def _(x):
 
 @view("snapshots_at")
 def _(d):
-    """Snapshots to be explained by their upstream checks, one per event of another type."""
-    return f"""SELECT event_id AS snapshot_id, CASE event_id % 3 WHEN 0 THEN 'ofac_sdn' WHEN 1 THEN 'mof' ELSE 'nowhere' END AS source, ts AS {d.q('at')} FROM {d.t('events')} WHERE event_id % 4 = 1"""
+    """Snapshots to be explained by their upstream checks, one per event."""
+    return f"""SELECT event_id AS snapshot_id, CASE event_id % 3 WHEN 0 THEN 'ofac_sdn' WHEN 1 THEN 'mof' ELSE 'nowhere' END AS source, ts AS {d.q('at')} FROM {d.t('events')}"""
 
 
 @query("j10_upstream_lookup", views="heartbeats snapshots_at", oracle="""

@@ -31,7 +31,7 @@ FROM {d.t('customer')}
 @view("alias_lines")
 def _(d):
     return f"""SELECT 'a' AS file, {KEY} AS ord, CAST({KEY} + CASE WHEN {KEY} % 20 = 1 THEN 500000000 ELSE 0 END AS STRING) || ',' || CAST({KEY} AS STRING) || ',aka,' ||
-  CASE WHEN {KEY} % 8 = 3 THEN '-0-' ELSE '"Other ' || {N9} || '"' END || ',-0- ' AS value FROM {d.t('customer')} WHERE {KEY} % 2 = 1"""
+  CASE WHEN {KEY} % 8 = 3 THEN '-0-' ELSE '"Other ' || {N9} || '"' END || ',-0- ' AS value FROM {d.t('customer')}"""
 
 
 PRIMARY = f"""
@@ -218,6 +218,28 @@ def _(x):
     return X.party_violations(parties, X.party_names(parties, "SDN"))
 
 
+@view("party_files")
+def _(d):
+    """Party files, one per supplier: root elements in several spellings, some changed."""
+    good = "https://sanctionslistservice.ofac.treas.gov/api/PublicationPreview/exports/ADVANCED_XML"
+    return f"""
+SELECT s_suppkey AS k, 'f' || CAST(s_suppkey AS STRING) AS file, CASE s_suppkey % 8 WHEN 0 THEN '<?xml version="1.0"?>' || chr(10) || '<!-- a > b -->' || '<Sanctions xmlns="{good}" Version="3">'
+  WHEN 1 THEN '<s:Sanctions xmlns:s="{good}" Version="3"><x/>' WHEN 2 THEN '<Sanctions Version="3">' WHEN 3 THEN '<Sanctions xmlns="urn:other" Version="3">' WHEN 4 THEN '<Sanctions Version="4" xmlns="{good}">'
+  WHEN 5 THEN '<List xmlns="{good}" Version="3">' WHEN 6 THEN 'no xml' ELSE '<Sanctions xmlns:i="urn:i" xmlns="{good}" Version="3" i:a="b">' END AS head FROM {d.t('supplier')}
+"""
+
+
+@query("s3_file_gates", views="party_files", oracle="""
+SELECT file, CASE k % 8 WHEN 2 THEN 'NAMESPACE_MISSING' WHEN 3 THEN 'NAMESPACE_CHANGED' WHEN 4 THEN 'VERSION_CHANGED' WHEN 5 THEN 'ROOT_CHANGED' ELSE 'ROOT_MISSING' END AS violation FROM party_files WHERE k % 8 IN (2, 3, 4, 5, 6)
+UNION ALL SELECT file, 'NO_PARTIES' FROM party_files WHERE NOT EXISTS (SELECT 1 FROM customer WHERE 'f' || c_nationkey * 7 = file)
+UNION ALL SELECT file, 'NAME_PART_TYPES_MISSING' FROM party_files WHERE EXISTS (SELECT 1 FROM customer WHERE 'f' || c_nationkey * 7 = file) AND NOT EXISTS (SELECT 1 FROM nation WHERE 'f' || n_nationkey * 14 = file AND n_nationkey <> 4)
+""")
+def _(x):
+    types = x.table("nation").selectExpr("concat('f', n_nationkey * 14) AS file", "cast(n_nationkey AS string) AS _ID", "CASE WHEN n_nationkey = 4 THEN ' ' ELSE n_name END AS _VALUE")
+    parties = x.table("customer").selectExpr("concat('f', c_nationkey * 7) AS file", "c_custkey")
+    return X.file_violations(x.view("party_files").select("file", "head"), types, parties)
+
+
 @query("s4_address_features", views="party_elements entry_elements", oracle=f"""
 WITH {PARTIES},
 prog AS (SELECT o_custkey AS k, array_to_string(list_sort(list_distinct(list('PROG' || (o_orderkey % 3)))), ' / ') AS program FROM entry_elements GROUP BY 1),
@@ -392,13 +414,19 @@ def _(d):
 SELECT {k} AS entry_id, {d.iso('ts')} AS checked_at, event_type AS source, 'list_file' AS document_role, CASE WHEN event_type = 'error' THEN 'error' ELSE 'fetched' END AS status,
   'https://host.example/f' || CAST({k} AS STRING) || CASE {k} % 4 WHEN 0 THEN '?X-Amz-Signature=abc&b=2#frag' WHEN 1 THEN '?page=2#frag' WHEN 2 THEN '?a=1&x-amz-date=3' ELSE '' END AS url,
   CASE WHEN event_type <> 'error' THEN NULL WHEN {k} % 3 = 0 THEN 'failed' || chr(10) || 'at https://h.example/p?x-amz-id=9 and' || chr(13) || chr(10) || 'https://h.example/q?z=1' || chr(10) WHEN {k} % 3 = 1 THEN repeat('long ', 900) ELSE 'plain' END AS error_message,
+  CASE WHEN event_type = 'error' THEN 503 WHEN {k} % 6 = 1 THEN 304 ELSE 200 END AS http_status, CASE WHEN {k} % 6 <> 2 THEN 'W/"' || CAST({k} AS STRING) || '"' END AS etag,
+  CASE WHEN {k} % 5 = 3 THEN NULL ELSE {d.iso('ts')} END AS last_modified, CASE WHEN event_type <> 'error' THEN {d.sha(f"CAST({k} AS STRING)")} END AS content_hash, CAST(NULL AS STRING) AS source_updated,
+  'https://cdn.example/f' || CAST({k} AS STRING) || CASE WHEN {k} % 3 = 0 THEN '?x-amz-expires=1#page=2' ELSE '' END AS final_url, CASE WHEN event_type <> 'error' THEN 'f' || CAST({k} AS STRING) || '.csv' END AS fetched_file,
+  CASE WHEN event_type <> 'error' THEN 'raw/' || CAST({k} AS STRING) END AS raw_path, CASE WHEN event_type = 'purchase' THEN {k} * 3 END AS record_count, CASE WHEN event_type = 'error' THEN 'HttpError' END AS error_type,
   event_type = 'error' AS fetch_failed, CAST(NULL AS BOOLEAN) AS schema_changed, CASE WHEN event_type = 'purchase' THEN {k} % 9 END AS diff_added, CASE WHEN event_type = 'purchase' THEN 0 END AS diff_removed, CASE WHEN event_type = 'purchase' THEN 1 END AS diff_changed
 FROM {d.t('events')}
 """
 
 
 @query("s15_fetch_audit", views="audit_entries", oracle="""
-SELECT entry_id, checked_at, source, document_role, status, CASE WHEN entry_id % 4 IN (0, 2) THEN split_part(url, '?', 1) ELSE url END AS url,
+SELECT entry_id, checked_at, source, document_role, status, CAST(http_status AS STRING) AS http_status, coalesce(etag, '') AS etag, coalesce(last_modified, '') AS last_modified, coalesce(content_hash, '') AS content_hash,
+  '' AS source_updated, CASE WHEN entry_id % 3 = 0 THEN split_part(final_url, '?', 1) ELSE final_url END AS final_url, coalesce(fetched_file, '') AS fetched_file, coalesce(raw_path, '') AS raw_path,
+  coalesce(CAST(record_count AS STRING), '') AS record_count, coalesce(error_type, '') AS error_type, CASE WHEN entry_id % 4 IN (0, 2) THEN split_part(url, '?', 1) ELSE url END AS url,
   CASE WHEN error_message IS NULL THEN '' WHEN entry_id % 3 = 0 THEN 'failed at https://h.example/p and https://h.example/q?z=1' WHEN entry_id % 3 = 1 THEN error_message ELSE 'plain' END AS error_message,
   CASE WHEN fetch_failed THEN '1' ELSE '0' END AS fetch_failed, '0' AS schema_changed, coalesce(CAST(diff_added AS STRING), '') AS diff_added, coalesce(CAST(diff_removed AS STRING), '') AS diff_removed,
   coalesce(CAST(diff_changed AS STRING), '') AS diff_changed, substr(checked_at, 1, 7) AS month FROM audit_entries

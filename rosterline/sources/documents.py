@@ -179,10 +179,12 @@ def audit_rows(entries: DataFrame) -> DataFrame:
     flat = F.regexp_replace(F.translate(F.coalesce("error_message", F.lit("")), "\u0000", ""), rf"(?:{LINE_BREAK})\z", "")
     flat = F.regexp_replace(flat, LINE_BREAK, " ")
     flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "1").otherwise("0").alias(c)
-    count = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     return entries.select(
-        "entry_id", "checked_at", "source", "document_role", "status", redact_urls(F.col("url")).alias("url"), redact_urls(flat).alias("error_message"),
-        flag("fetch_failed"), flag("schema_changed"), count("diff_added"), count("diff_removed"), count("diff_changed"), F.left("checked_at", F.lit(7)).alias("month"))
+        "entry_id", "checked_at", "source", "document_role", "status", *[blank(c) for c in ("http_status", "etag", "last_modified", "content_hash", "source_updated")],
+        redact_urls(F.col("url")).alias("url"), redact_urls(F.col("final_url")).alias("final_url"), blank("fetched_file"), blank("raw_path"), blank("record_count"),
+        blank("diff_added"), blank("diff_removed"), blank("diff_changed"), flag("fetch_failed"), flag("schema_changed"), blank("error_type"),
+        redact_urls(flat).alias("error_message"), F.left("checked_at", F.lit(7)).alias("month"))
 
 
 def append_audit(entries: DataFrame, path: str) -> None:

@@ -20,6 +20,8 @@ PROFILE = f"STRUCT<_ID: STRING, Identity: ARRAY<STRUCT<_False: STRING, Alias: AR
 PARTY_SCHEMA = f"_FixedRef STRING, Profile ARRAY<{PROFILE}>"
 FEATURE_TYPE_SCHEMA = "_ID STRING, _VALUE STRING"
 ENTRY_SCHEMA = "_ProfileID STRING, SanctionsMeasure ARRAY<STRUCT<Comment: ARRAY<STRING>>>"
+# Root of the party file.
+ROOT, NAMESPACE, VERSION = "Sanctions", "https://sanctionslistservice.ofac.treas.gov/api/PublicationPreview/exports/ADVANCED_XML", "3"
 ADDRESS_LABEL = "^Digital Currency Address - ([A-Z0-9]+)$"
 LATIN_SCRIPT = "215"
 
@@ -74,6 +76,29 @@ def party_violations(parties: DataFrame, names: DataFrame) -> DataFrame:
     return j.select("party_id", violation.alias("violation")).filter("violation IS NOT NULL")
 
 
+def file_violations(files: DataFrame, name_part_types: DataFrame, parties: DataFrame) -> DataFrame:
+    """file, violation: what stops a whole party file.
+
+    ``files``: file, head (its first characters, through the root element).  ``name_part_types``: file, _ID, _VALUE of the
+    dictionary.  ``parties``: file and one row per party.  Declarations and comments before the root are skipped.
+    """
+    root = F.regexp_extract("head", r"(?s)^\ufeff?(?:\s|<\?.*?\?>|<!--.*?-->|<![^>]*>)*<([^\s/>]+)([^>]*)>", 1)
+    attributes = F.regexp_extract("head", r"(?s)^\ufeff?(?:\s|<\?.*?\?>|<!--.*?-->|<![^>]*>)*<([^\s/>]+)([^>]*)>", 2)
+    prefix, local = F.regexp_extract(root, "^(?:([^:]*):)?(.*)$", 1), F.regexp_extract(root, "^(?:([^:]*):)?(.*)$", 2)
+    spaces = F.str_to_map(F.array_join(F.transform(F.regexp_extract_all(attributes, F.lit(r"""xmlns(?::[^=\s]+)?\s*=\s*["'][^"']*["']"""), F.lit(0)), lambda a: F.regexp_replace(
+        a, r"""^xmlns:?([^=\s]*)\s*=\s*["']([^"']*)["']$""", "$1\u0001$2")), "\u0002"), F.lit("\u0002"), F.lit("\u0001"))
+    namespace = F.coalesce(F.try_element_at(spaces, prefix), F.lit(""))
+    version = F.regexp_extract(attributes, r"""(?:^|\s)Version\s*=\s*["']([^"']*)["']""", 1)
+    typed = name_part_types.filter("trim(coalesce(_ID, '')) <> '' AND trim(coalesce(_VALUE, '')) <> ''").select("file", F.lit(True).alias("typed")).distinct()
+    filled = parties.select("file", F.lit(True).alias("filled")).distinct()
+    rules = [
+        F.when(root == "", "ROOT_MISSING").when(local != ROOT, "ROOT_CHANGED").when(namespace == "", "NAMESPACE_MISSING")
+        .when(namespace != NAMESPACE, "NAMESPACE_CHANGED").when(version != VERSION, "VERSION_CHANGED"),
+        F.when(F.col("filled").isNull(), "NO_PARTIES").when(F.col("typed").isNull(), "NAME_PART_TYPES_MISSING")]
+    j = files.join(typed, "file", "left").join(filled, "file", "left")
+    return explode_once(j, ["file"], F.filter(F.array(*rules), lambda v: v.isNotNull()), "violation")
+
+
 def address_features(parties: DataFrame, feature_types: DataFrame, entries: DataFrame) -> DataFrame:
     """One row per listed address value with its position, symbol, primary name and program labels.
 
