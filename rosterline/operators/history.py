@@ -150,11 +150,17 @@ def removal_effects(master: DataFrame, history: DataFrame, removed: DataFrame, p
 
     The parties of a key stay in long form (``removal_parties``); this table carries their number.
     """
-    keys = removal_parties(history, removed).groupBy("match_key").agg(F.count(F.lit(1)).alias("n_parties"))
-    strong = history.filter("NOT low_quality AND coalesce(match_key, '') <> ''")
-    current = strong.filter("party_current AND alias_current").select("match_key", F.lit(True).alias("current_strong")).distinct()
-    shielded = strong.join(protected.select(*PARTY).distinct(), PARTY, "left_semi").select("match_key", F.lit(True).alias("protected_strong")).distinct()
-    j = keys.join(current, "match_key", "left").join(shielded, "match_key", "left").join(master, "match_key", "left")
+    # history is read once: flags per (key, party), then per key
+    flag = lambda df, name: df.select(*PARTY).distinct().withColumn(name, F.lit(True))
+    flagged = history.filter(N.strip(F.col("match_key")) != "").join(flag(removed, "removed"), PARTY, "left").join(flag(protected, "shielded"), PARTY, "left")
+    strong = ~F.col("low_quality")
+    per_party = flagged.groupBy("match_key", *PARTY).agg(
+        F.bool_or("removed").alias("removed"), F.bool_or(strong & F.col("party_current") & F.col("alias_current")).alias("current_strong"),
+        F.bool_or(strong & F.col("shielded")).alias("protected_strong"))
+    keys = per_party.groupBy("match_key").agg(
+        F.count_if("removed").alias("n_parties"), F.bool_or("current_strong").alias("current_strong"),
+        F.bool_or("protected_strong").alias("protected_strong")).filter("n_parties > 0")
+    j = keys.join(master, "match_key", "left")
     remaining = F.array_remove("sources", source)
     action = (
         F.when(F.col("display_name").isNull(), "master_row_absent")
