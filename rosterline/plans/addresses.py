@@ -60,6 +60,36 @@ def _(x):
     return C.validation_profile(_profile(x))
 
 
+# Public test vectors, one per checksum: valid, and the same with one character changed (EIP-55 by case).
+VECTORS = [
+    ("ETH", "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1BeAed", "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1Beaed", "EIP55"),
+    ("XBT", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", "BASE58CHECK"),
+    ("XBT", "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t5", "BECH32"),
+    ("XBT", "bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj0", "bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj9", "BECH32M"),
+    ("USDT", "TR7NHqjeKQxGTCi8q8ZY4pL8otSzgjLj6t", "TR7NHqjeKQxGTCi8q8ZY4pL8otSzgjLj6u", "BASE58CHECK"),
+    ("BCH", "bitcoincash:qpm2qsznhks23z7629mms6s4cwef74vcwvy22gdx6a", "bitcoincash:qpm2qsznhks23z7629mms6s4cwef74vcwvy22gdx6q", "CASHADDR"),
+    ("XRP", "rHb9CJAWyB4rj91VRWn96DkukG4bwdtyTh", "rHb9CJAWyB4rj91VRWn96DkukG4bwdtyTr", "XRP_BASE58"),
+    ("XMR", "44AFFq5kSiGBoZ4NMDwYtN18obc8AemS33DBLWs3H7otXft3XjrpDtQGv7SqSsaBYBb98uNbr2VBBEt7f2wfn3RVGQBEP3A",
+     "44AFFq5kSiGBoZ4NMDwYtN18obc8AemS33DBLWs3H7otXft3XjrpDtQGv7SqSsaBYBb98uNbr2VBBEt7f2wfn3RVGQBEP3B", "MONERO_BASE58"),
+]
+VECTOR_ROWS = ", ".join(f"({i * 2 + j}, '{symbol}', '{pair[j]}', '{state}', '{method}')" for i, (symbol, *pair, method) in enumerate(VECTORS)
+                        for j, state in enumerate(("CHECKSUM_VALID", "INVALID")))
+VECTOR_ROWS = VECTOR_ROWS.replace("'INVALID', 'BECH32M'", "'INVALID', 'BECH32'")  # neither checksum fits, so the older name stands
+
+
+@view("vector_addresses")
+def _(d):
+    """Listed addresses, one per order, out of the public test vectors."""
+    return f"""SELECT o_orderkey AS id, symbol, address, state, method FROM {d.t('orders')} JOIN (VALUES {VECTOR_ROWS}) AS t(k, symbol, address, state, method) ON k = o_custkey % {2 * len(VECTORS)}"""
+
+
+@query("c1_checksum_vectors", views="vector_addresses", oracle="""
+SELECT symbol, address, count(*) AS n_rows, any_value(state) AS validation, any_value(method) AS validation_method FROM vector_addresses GROUP BY symbol, address
+""")
+def _(x):
+    return C.validate_addresses(x.view("vector_addresses").select("id", "symbol", "address")).select("symbol", "address", "n_rows", "validation", "validation_method")
+
+
 # --- ledger ------------------------------------------------------------------------------
 
 def _mention(d, generation: int) -> str:
