@@ -254,8 +254,38 @@ def _(x):
     return C.scan_totals(C.probe_consensus(x.view("probes")))
 
 
-PROVIDERS = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in C.PROVIDERS)
-CONTRACTS = ", ".join(f"('{a}', '{b}', '{c}', '{e}')" for a, b, c, e in C.CONTRACTS)
+# Written out, so that the oracle does not follow the engine's own registry.
+PROVIDERS = """
+    ('ethereum', 'PublicNode', 'https://ethereum-rpc.publicnode.com'),
+    ('ethereum', 'dRPC', 'https://eth.drpc.org'),
+    ('ethereum-classic', 'dRPC', 'https://etc.drpc.org'),
+    ('ethereum-classic', 'ETC-Network.info', 'https://geth-at.etc-network.info'),
+    ('bsc', 'PublicNode', 'https://bsc-rpc.publicnode.com'),
+    ('bsc', 'dRPC', 'https://bsc.drpc.org'),
+    ('arbitrum', 'PublicNode', 'https://arbitrum-one-rpc.publicnode.com'),
+    ('arbitrum', 'Network public RPC', 'https://arb1.arbitrum.io/rpc'),
+    ('avalanche', 'PublicNode', 'https://avalanche-c-chain-rpc.publicnode.com'),
+    ('avalanche', 'Network public RPC', 'https://api.avax.network/ext/bc/C/rpc'),
+    ('base', 'PublicNode', 'https://base-rpc.publicnode.com'),
+    ('base', 'Network public RPC', 'https://mainnet.base.org'),
+    ('tron', 'PublicNode', 'https://tron-solidity-rpc.publicnode.com'),
+    ('tron', 'TronGrid', 'https://api.trongrid.io'),
+    ('bitcoin', 'Blockstream', 'https://blockstream.info/api'),
+    ('bitcoin', 'mempool.space', 'https://mempool.space/api'),
+    ('solana', 'Solana public RPC', 'https://api.mainnet-beta.solana.com'),
+    ('solana', 'PublicNode', 'https://solana-rpc.publicnode.com')
+"""
+CONTRACTS = """
+    ('USDT', 'ethereum', 'USDT', '0xdac17f958d2ee523a2206206994597c13d831ec7'),
+    ('USDT', 'avalanche', 'USDT', '0x9702230a8ea53601f5cd2dc00fdbc13d4df4a8c7'),
+    ('USDC', 'ethereum', 'USDC', '0xa0b86991c6218b36c1d19d4a2e9eb0ce3606eb48'),
+    ('USDC', 'arbitrum', 'USDC', '0xaf88d065e77c8cc2239327c5edb3a432268e5831'),
+    ('USDC', 'base', 'USDC', '0x833589fcd6edb6e08f4c7c32d4f71b54bda02913'),
+    ('ETH', 'ethereum', '', ''),
+    ('ETC', 'ethereum-classic', '', ''),
+    ('BSC', 'bsc', '', ''),
+    ('ARB', 'arbitrum', '', '')
+"""
 TARGETS = f"""
 prov(chain, provider, endpoint) AS (VALUES {PROVIDERS}), cont(symbol, chain, asset, contract) AS (VALUES {CONTRACTS}, ('SOL', 'solana', '', '')),
 targ AS (SELECT l.relation_id, l.address, l.symbol, c.chain, c.asset, c.contract, p.provider, p.endpoint FROM crypto_ledger l JOIN cont c ON c.symbol = l.symbol JOIN prov p ON p.chain = c.chain
