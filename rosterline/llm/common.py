@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A Python step works on so many bytes of text at a time; a longer document is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,6 +60,23 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Bits of the bitmap of ``likely``, as a power of two: 64-bit words of it are at most 2**17 rows, 2 MB.
+BITMAP_BITS = 23
+
+
+def likely(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``key`` (a 64-bit hash) is not in ``wanted`` (key), before a join shuffles them.
+
+    A bitmap of fixed size goes to every task; it lets some others through, so the join has to follow."""
+    word = lambda c: F.shiftright(c.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)), 6).cast("int")
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))
+    words = materialise(wanted.select(word(F.col(key)).alias("_word"), bit(F.col(key)).alias("_bit")).groupBy("_word").agg(
+        F.bit_or("_bit").alias("_bits")))
+    # at most 2 ** (BITMAP_BITS - 6) rows
+    met = df.withColumn("_word", word(F.col(key))).join(F.broadcast(words), "_word")
+    return met.where(F.col("_bits").bitwiseAND(bit(F.col(key))) != 0).select(*df.columns)
+
+
 # --- numpy side ---------------------------------------------------------------------------------------------------------
 
 _U = np.uint64

@@ -4,10 +4,12 @@ Jaccard distance is a metric, but most documents share nothing and are at distan
 pivots would hold everything.  Pivots are therefore taken where documents meet: two sets over the threshold share one of the first
 shingles of each in any fixed order of all shingles (a fifth of them, and one), so every such shingle makes the smallest set that
 has it a pivot, and the pivot's region holds all sets with one of its shingles; a document at the border of several regions is in
-each.  Every link lies inside a region.  Small regions join exactly at once.  In a large one, the distance to the pivot splits
-sets into the ball that links with the pivot, which is one class, and rings as wide as the threshold; by the triangle inequality
-links only go within a ring or to the next one, and only sets outside the ball have to look for links.  Rings are dealt into tiles of
-bounded size that meet pair by pair.  Tasks give out spanning links, one row for each set they tie in, never all pairs."""
+each.  Every link lies inside a region.  In the regions, sets meet first in a coarser metric, the distance of their shingle counts by
+hash bucket, which is never above the true one: its classes hold every link, and each set is in one class only.  A class is a region
+again, around its smallest set, joined exactly: a small one at once; in a large one, the distance to the pivot splits sets into the
+ball that links with the pivot, which is one class, and rings as wide as the threshold; by the triangle inequality links only go
+within a ring or to the next one, and only sets outside the ball have to look for links.  Rings are dealt into tiles of bounded size that
+meet pair by pair.  Tasks give out spanning links, one row for each set they tie in, never all pairs."""
 
 from __future__ import annotations
 
@@ -28,7 +30,9 @@ PERCENT = 80
 TILE = 512
 #: Documents whose common shingles are put last in the order, and how many such shingles at most.  The order decides how much
 #: work there is, never the result.
-ORDER_SAMPLE, ORDER_SHINGLES = 20_000, 200_000
+ORDER_SAMPLE, ORDER_TIMES, ORDER_SHINGLES = 5_000, 4, 200_000
+#: Hash buckets of a sketch (a power of two).
+SKETCH = 512
 
 
 def shingle_sets(texts: common.Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +49,8 @@ def shingle_sets(texts: common.Texts, words: int = WORDS) -> tuple[np.ndarray, n
     end = np.concatenate([full + words, w.bounds[1:][short]])
     text = np.concatenate([owner[full], short])
     value = common.mix(roll.spans(start, end) + (end - start).astype(np.uint64), 5)
-    order = np.lexsort((value, text))
+    order = np.argsort(value)  # then by text, which keeps it
+    order = order[np.argsort(text[order], kind="stable")]
     value, text = value[order], text[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
@@ -60,18 +65,34 @@ def set_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return common.mix(sums[bounds[1:]] - sums[bounds[:-1]] + size.astype(np.uint64), 7).view(np.int64)
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """key, doc_id, n_shingles, set_id of every row of ``docs`` (key, doc_id, text)."""
+def set_table(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """key, doc_id, n_shingles, set_id, sketch and prefix of every row of ``docs`` (key, doc_id, text).
+
+    ``prefix``: the first shingles of the set, those of ``last`` behind all others; two sets over the threshold share one of them.
+    ``sketch``: shingles by hash bucket, a byte each (255: or more)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in common.steps(batches):
             values, bounds = shingle_sets(common.Texts(rows.column("text")))
+            size = np.diff(bounds)
+            text = np.repeat(np.arange(len(size)), size)
+            ids = set_ids(values, bounds)
+            cell = text * SKETCH + (values >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+            sketch = np.minimum(np.bincount(cell, minlength=len(size) * SKETCH), 255).astype(np.uint8).tobytes()
+            if len(last):  # a stable order by one bit keeps the hashes ascending
+                late = last[np.minimum(np.searchsorted(last, values), len(last) - 1)] == values
+                values = values[np.argsort(text * 2 + late, kind="stable")]
+            take = np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
+            prefix = values[common.ranges(bounds[:-1], take)].view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]), pa.int32()), pa.array(prefix))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("key"), rows.column("doc_id"), pa.array(np.diff(bounds)), pa.array(set_ids(values, bounds))],
-                ["key", "doc_id", "n_shingles", "set_id"])
+                [rows.column("key"), rows.column("doc_id"), pa.array(size), pa.array(ids),
+                 pa.array([sketch[i * SKETCH:(i + 1) * SKETCH] for i in range(len(size))], pa.binary()), lists],
+                ["key", "doc_id", "n_shingles", "set_id", "sketch", "prefix"])
 
-    return common.small_batches(docs).mapInArrow(find, f"key long, doc_id {id_type}, n_shingles long, set_id long")
+    return docs.mapInArrow(
+        find, f"key long, doc_id {id_type}, n_shingles long, set_id long, sketch binary, prefix array<long>")
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
@@ -83,44 +104,25 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
     share = min(1.0, ORDER_SAMPLE / max(1, docs.count()))
     sample = docs.where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    often = (sample.mapInArrow(find, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n >= 8")
+    often = (sample.mapInArrow(find, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ORDER_TIMES)
              .orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).select("shingle").collect())
     return np.sort(np.array([r.shingle for r in often], np.int64).view(np.uint64))
 
 
-def prefixes(docs: DataFrame, last: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """shingle, set_id for the first shingles of each set: two sets over the threshold share one of them."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in common.steps(batches):
-            values, bounds = shingle_sets(common.Texts(rows.column("text")))
-            size = np.diff(bounds)
-            ids = set_ids(values, bounds)
-            text = np.repeat(np.arange(len(size)), size)
-            if len(last):
-                late = last[np.minimum(np.searchsorted(last, values), len(last) - 1)] == values
-                order = np.lexsort((values, late, text))
-                values = values[order]
-            take = np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
-            at = common.ranges(bounds[:-1], take)
-            yield pa.RecordBatch.from_arrays([pa.array(values[at].view(np.int64)), pa.array(np.repeat(ids, take))], ["shingle", "set_id"])
-
-    return docs.select("text").mapInArrow(find, "shingle long, set_id long")
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id, n, shingles (bytes of ascending 64-bit hashes) of the ``wanted`` rows (key, set_id)."""
-    both = docs.join(wanted, "key").select("text", "set_id")
+    """The ``wanted`` rows (key, set_id, region, large) with their shingles (bytes of ascending 64-bit hashes)."""
+    wanted = common.materialise(wanted)
+    both = common.likely(docs, "key", wanted).join(wanted, "key").select("text", "set_id", "region", "large")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in common.steps(batches):
             values, bounds = shingle_sets(common.Texts(rows.column("text")))
             raw = values.tobytes()
             parts = [raw[a * 8:b * 8] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([rows.column("set_id"), pa.array(np.diff(bounds)), pa.array(parts, pa.binary())],
-                                             ["set_id", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in ("set_id", "region", "large")], pa.array(parts, pa.binary())],
+                                             ["set_id", "region", "large", "shingles"])
 
-    return both.mapInArrow(find, "set_id long, n long, shingles binary")
+    return both.mapInArrow(find, "set_id long, region long, large boolean, shingles binary")
 
 
 class Forest:
@@ -195,6 +197,42 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
+def sketch_links(members: DataFrame, tile: int, percent: int = PERCENT) -> DataFrame:
+    """a, b: spanning links of the ``members`` (region, set_id, n, sketch) of each region that their sketches allow.
+
+    The distance of two sketches is at most the symmetric difference of the sets, so no link of the sets is missing between the
+    trees.  Regions over ``tile`` members are dealt into tiles that meet pair by pair."""
+    counts = common.materialise(members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")).where("tiles > 1"))
+    dealt = members.join(counts, "region", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    dealt = dealt.withColumn("t", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")).withColumn(
+        "u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    keys = ["region", "t1", "t2"]
+    met = dealt.select("region", F.least("t", "u").alias("t1"), F.greatest("t", "u").alias("t2"), "set_id", "n", "sketch")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, keys):
+            m = table.num_rows
+            order = np.argsort(table["n"].to_numpy(), kind="stable")
+            size, ids = table["n"].to_numpy()[order], table["set_id"].to_numpy()[order]
+            sketch = common.Texts(table["sketch"]).data.reshape(m, SKETCH)[order].astype(np.int16)
+            upto = np.searchsorted(size * percent, size * 100, "right")
+            tree, links = np.arange(m), []
+            for i in range(m - 1):
+                other = i + 1 + np.flatnonzero(tree[i + 1:upto[i]] != tree[i])
+                if not len(other):
+                    continue
+                apart = np.abs(sketch[other] - sketch[i]).sum(1, dtype=np.int64)
+                for j in other[(100 + percent) * apart <= (100 - percent) * (size[other] + size[i])].tolist():
+                    if tree[j] != tree[i]:
+                        tree[tree == tree[j]] = tree[i]
+                        links.append((i, j))
+            if links:
+                x, y = np.array(links).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], ["a", "b"])
+
+    return met.repartition(*keys).sortWithinPartitions(*keys, "set_id").mapInArrow(find, "a long, b long")
+
+
 def join_tiles(members: DataFrame, keys: list[str]) -> DataFrame:
     """a, b: spanning links of each tile of ``members`` (keys, set_id, shingles, ball)."""
 
@@ -285,22 +323,31 @@ def near_components(docs: DataFrame, tile: int | None = None) -> DataFrame:
     Null and empty texts have the empty set and stay alone.  Rows of equal sets are one class, whatever their text.  Rows with
     one doc_id are linked only by their sets.  An empty table gives an empty table."""
     tile = tile or TILE
-    sets = common.materialise(set_table(docs))
-    reps = common.materialise(sets.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key")))
-    first = common.materialise(prefixes(docs, common_shingles(docs)))
-    pivots = common.materialise(first.groupBy("shingle").agg(F.min("set_id").alias("region"), F.max("set_id").alias("hi"))
+    sets = common.materialise(set_table(docs, common_shingles(docs)))
+    named_sets = sets.where("n_shingles > 0")
+    reps = common.materialise(named_sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key")))
+    first = sets.select(F.explode("prefix").alias("shingle"), "set_id")
+    shared = common.materialise(first.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle"))
+    met = common.materialise(common.likely(first, "shingle", shared).join(shared, "shingle").distinct())
+    pivots = common.materialise(met.groupBy("shingle").agg(F.min("set_id").alias("region"), F.max("set_id").alias("hi"))
                                 .where("region < hi").select("shingle", "region"))
-    regions = common.materialise(first.join(pivots, "shingle").select("region", "set_id").distinct())
-    met = common.materialise(full_sets(docs, regions.select("set_id").distinct().join(reps, "set_id").select("key", "set_id")).distinct())
-    sizes = common.materialise(regions.groupBy("region").agg((F.count(F.lit(1)) > tile).alias("large")))
-    members = common.materialise(regions.join(met, "set_id").join(sizes, "region"))
+    regions = common.materialise(met.join(pivots, "shingle").select("region", "set_id").distinct())
+    sketches = common.materialise(common.likely(named_sets, "set_id", regions).groupBy("set_id").agg(
+        F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n")))
+    # classes of the coarser metric: each set is in one, and every link is inside one
+    coarse = components(common.materialise(sketch_links(common.materialise(regions.join(sketches, "set_id")), 2 * tile)))
+    placed = common.materialise(coarse.select("set_id", F.col("root").alias("region")).unionByName(
+        coarse.select(F.col("root").alias("set_id"), F.col("root").alias("region")).distinct()))
+    sizes = common.materialise(placed.groupBy("region").agg((F.count(F.lit(1)) > tile).alias("large")))
+    members = common.materialise(full_sets(docs, placed.join(sizes, "region").join(reps, "set_id").select("key", "set_id", "region", "large")))
     small = join_tiles(members.where("NOT large").withColumn("ball", F.lit(False)), ["region"])
-    links = common.materialise(small.unionByName(large_regions(members.where("large"), tile)))
+    links = common.materialise(small.unionByName(large_regions(members.where("large"), tile)).where("a <> b"))
     roots = components(links)
     classes = reps.join(roots, "set_id", "left").select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = common.materialise(classes.join(least, "root").select("set_id", "component_id"))
-    return sets.join(named, "set_id", "left").select("key", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return sets.select("key", "doc_id", "n_shingles", "set_id").join(named, "set_id", "left").select(
+        "key", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def brute_force(rows: list[tuple], percent: int = PERCENT, words: int = WORDS) -> list[tuple]:

@@ -82,7 +82,7 @@ def window_keys(docs: DataFrame, wanted: DataFrame, unit: str, window: int) -> D
     """(h1, h2, doc_id, key, start) of every window of the wanted runs (key, start, n).  A document's runs meet its text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     per_doc = wanted.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts"))
-    both = docs.join(per_doc, "key").select("key", "doc_id", "text", "starts", "counts")
+    both = common.likely(docs, "key", wanted).join(per_doc, "key").select("key", "doc_id", "text", "starts", "counts")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in common.steps(batches):
