@@ -4,7 +4,8 @@ The suffixes that can have an equal prefix of ``window`` bytes elsewhere are bro
 stretches that hold all windows around a seed; stretches equal as a whole come once, with their count.  A task takes whole seeds,
 drops the suffixes whose window has no equal, sorts the rest into a suffix array with common-prefix lengths, and scans it with a
 stack: every interval of suffixes with a common prefix of at least the window, whose left neighbours differ, is a maximal repeat
-group with all its occurrences.  Seeds with very many different stretches are compared by window key instead, which spreads."""
+group with all its occurrences.  Seeds with very many different stretches are parted under finer seeds first, and what is still
+crowded is compared by window key, which spreads."""
 
 from __future__ import annotations
 
@@ -22,10 +23,12 @@ from . import common, seeds, substrings
 
 #: Bytes in a window, and in a seed.
 WINDOW, SEED = 200, 40
-#: Different stretches of a seed beyond which its windows are compared by key.
+#: Different stretches of a seed beyond which it is crowded.
 CROWD = 400
+#: Windows in a part of a crowded seed's stretch.
+PART = 16
 #: Bytes of stretches that share a suffix array.
-ARRAY_BYTES = 1 << 21
+ARRAY_BYTES = 1 << 19
 
 
 def common_prefixes(roll: common.Rolling, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -156,7 +159,7 @@ def cut_stretches(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """``wanted`` (seed, key, start, n, ...flags) with the bytes of each stretch."""
     fields = [c for c in wanted.columns if c != "key"]
     per_doc = wanted.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
-    both = docs.join(per_doc, "key").select("key", "text", "wanted")
+    both = common.likely(docs, "key", wanted).join(per_doc, "key").select("key", "text", "wanted")
     schema = "key long, stretch binary, " + ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,14 +212,65 @@ def compared(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[D
     return whole, common.materialise(cut_stretches(docs, wanted, window))
 
 
+def finer(stretches: DataFrame, window: int, seed: int) -> DataFrame:
+    """The stretches of crowded seeds in parts of at most PART windows, under finer seeds: equal windows have their seed at the
+    same place, so windows are parted by that place, and a part's new seed is the hash of what all its windows share."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in common.steps(batches, "stretch"):
+            texts = common.Texts(rows.column("stretch"))
+            roll = common.Rolling(texts.byte_values())
+            hashes = common.mix(roll.windows(seed))
+            first, n = texts.bounds[:-1], np.diff(texts.bounds) - window + 1
+            # the seed of the first window is its rightmost k-gram of that hash
+            row = np.repeat(np.arange(rows.num_rows), window - seed + 1)
+            at = common.ranges(first, np.full(rows.num_rows, window - seed + 1))
+            hit = hashes[at] == rows.column("seed").to_numpy().view(np.uint64)[row]
+            place = np.zeros(rows.num_rows, np.int64)
+            np.maximum.at(place, row[hit], (at - first[row])[hit])
+            row = np.repeat(np.arange(rows.num_rows), n)
+            start = common.ranges(first, n)
+            part = (place[row] - (start - first[row])) // PART
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
+            edge = np.flatnonzero(new)
+            count = np.diff(np.append(edge, len(row)))
+            row, start, part = row[edge], start[edge], part[edge]
+            # what every window of the part shares, wherever the part begins or ends in this stretch
+            low = first[row] + place[row] - part * PART
+            shared = roll.spans(low, low + window - PART + 1)
+            whole = roll.spans(start, start + count + window - 1)
+            raw = texts.data.tobytes()
+            stretch = [raw[x:y] for x, y in zip(start.tolist(), (start + count + window - 1).tolist())]
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(common.mix(shared + part.astype(np.uint64)).view(np.int64)),
+                 pa.array(common.mix(whole + count.astype(np.uint64)).view(np.int64)), rows.column("key").take(take),
+                 pa.array(rows.column("start").to_numpy()[row] + (start - first[row]).astype(np.int32), pa.int32()),
+                 pa.array(count, pa.int32()), rows.column("single").take(take), pa.array(stretch, pa.binary())],
+                ["seed", "whole", "key", "start", "n", "single", "stretch"])
+
+    return stretches.select("seed", "key", "start", "single", "stretch").mapInArrow(
+        cut, "seed long, whole long, key long, start int, n int, single boolean, stretch binary")
+
+
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """key, start, length (bytes) of stretches whose union is every byte covered by a ``window`` that also starts elsewhere."""
     whole, stretches = compared(docs, window, seed)
-    by_array = repeat_groups(stretches.where("NOT crowd"), window, every=False).select("key", "start", "length")
-    windows = common.materialise(_windows_by_key(stretches.where("crowd"), window))
-    again = common.materialise(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2"))
-    by_key = windows.join(again, ["h1", "h2"]).select("key", "start", F.lit(window).alias("length"))
-    return whole.unionByName(by_array).unionByName(by_key)
+    # crowded seeds once more, under finer seeds; what is crowded still is compared by window key
+    parts = common.materialise(finer(stretches.where("crowd"), window, seed))
+    contents = common.materialise(parts.groupBy("seed", "whole").agg(F.count(F.lit(1)).alias("times"), F.min("key").alias("first")))
+    per_seed = contents.groupBy("seed").agg((F.count(F.lit(1)) > CROWD).alias("crowd"), (F.count(F.lit(1)) > 1).alias("varied"))
+    judged = common.materialise(parts.join(common.materialise(contents.join(per_seed, "seed")), ["seed", "whole"]))
+    again = judged.where("times > 1").select("key", "start", (F.col("n") + window - 1).alias("length"))
+    left = judged.where("varied AND (times = 1 OR key = first)").withColumn("single", F.col("single") & (F.col("times") == 1))
+    by_array = repeat_groups(
+        stretches.where("NOT crowd").select("seed", "key", "start", "single", "stretch").unionByName(
+            left.where("NOT crowd").select("seed", "key", "start", "single", "stretch")), window, every=False).select("key", "start", "length")
+    windows = common.materialise(_windows_by_key(left.where("crowd"), window))
+    twice = common.materialise(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2"))
+    by_key = windows.join(twice, ["h1", "h2"]).select("key", "start", F.lit(window).alias("length"))
+    return whole.unionByName(again).unionByName(by_array).unionByName(by_key)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",),
