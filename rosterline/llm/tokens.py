@@ -137,7 +137,7 @@ class Encoder:
 
 
 #: Bytes of text that are encoded together.
-ENCODE_BYTES = 1 << 22
+ENCODE_BYTES = 1 << 20
 
 
 def encoded(batches, path: str, end_id: int):
