@@ -127,6 +127,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     Null and empty texts have no tokens and score 0.  Rows with one doc_id count and score each.  A null doc_id is never
     in the target.  Without target documents the target model is uniform.  An empty table gives an empty table."""
     ids = target_ids.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    flagged = common.small_batches(docs).select("doc_id", "text").join(ids, "doc_id", "left").select(
+    # ids grow with the corpus, so they are never broadcast, however few they are here
+    flagged = common.small_batches(docs).select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))
     return score(docs, train(docs, flagged))
