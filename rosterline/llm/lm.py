@@ -1,14 +1,19 @@
 """Scoring by cross-entropy difference of two n-gram models (operator 9).
 
-A target and a background bigram model share one vocabulary, one set of kept bigrams and one smoothing; a document's score is its
-loss per token under the target model minus that under the background model (lower: more like the target).
+A target and a background bigram model share one vocabulary and one smoothing; a document's score is its loss per token under the
+target model minus that under the background model (lower: more like the target).
 
-All counts are made over the whole corpus by shuffles.  The vocabulary keeps words of at least WORD_SHARE of all tokens and
-the models keep bigrams of at least PAIR_SHARE of the tokens of either corpus, so at most 1 / WORD_SHARE words and
-2 / PAIR_SHARE bigrams reach the tasks, at any size of the corpus; everything else is backed off to the unigrams and an unknown word."""
+Every word and every bigram of the corpus is in the models, however rare and at any size; nothing of them is collected or sent to all
+tasks.  Documents are dealt into blocks of about BLOCK_BYTES by hash.  A block counts its words and bigrams once each (so a hot one is
+one entry of a block) and gives them out in buckets of their hash; a bucket adds up what all blocks and the target corpus have, and
+answers each block with the sums of just the entries it asked for, in the same order; with them the block scores its documents.
+
+``train`` makes models of bounded size for use outside the query; the query does not call it."""
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +23,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: Of ``train`` alone.
 WORD_SHARE, PAIR_SHARE = 1e-5, 1e-6
 #: Weight of the unigram in a bigram estimate, in counts.
 SMOOTH = 20.0
+#: Bytes of text in a block (a longer document is alone in one), and about as many entries in a bucket; 2 ** BUCKET_BITS buckets at least.
+BLOCK_BYTES, BUCKET_ENTRIES, BUCKET_BITS = 8 << 20, 1 << 22, 8
+#: Stands for the word before the first one.
+START = np.uint64(0x5851F42D4C957F2D)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -99,25 +109,175 @@ def train(docs: DataFrame, flagged: DataFrame, word_share: float = WORD_SHARE, p
     return vocabulary, target, background
 
 
-def score(docs: DataFrame, models: tuple[np.ndarray, Model, Model]) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score (difference per token; 0 without tokens)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def packed(values: np.ndarray) -> bytes:
+    """The lower 56 bits of ascending hashes of one bucket (which holds the others): their steps, byte by byte, the two highest
+    bytes squeezed."""
+    value = values & np.uint64((1 << 56) - 1)
+    value[1:] -= value[:-1].copy()
+    planes = value.view(np.uint8).reshape(-1, 8).T
+    high = zlib.compress(planes[5:7].tobytes(), 1)
+    return planes[:5].tobytes() + high
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.zeros((8, n), np.uint8)
+    planes[:5] = np.frombuffer(raw, np.uint8, 5 * n).reshape(5, n)
+    planes[5:7] = np.frombuffer(zlib.decompress(raw[5 * n:]), np.uint8).reshape(2, n)
+    return np.cumsum(planes.T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+class Block:
+    """The distinct bigrams (``pairs``, hashes, ascending) and words of some texts, START among the words, and how often they occur."""
+
+    def __init__(self, texts: common.Texts):
+        w = common.Words(texts, lower=True)
+        self.tokens = np.diff(w.bounds)
+        first, last = w.bounds[:-1][self.tokens > 0], w.bounds[1:][self.tokens > 0] - 1
+        n = len(w.hash)
+        self.words, at = np.unique(np.concatenate([w.hash, np.full(len(first), START)]), return_inverse=True)
+        self.token, start = at[:n], at[n:]
+        self.n_words = np.bincount(at, minlength=len(self.words))
+        self.n_last = np.bincount(self.token[last], minlength=len(self.words))
+        self.history = np.empty_like(self.token)
+        self.history[1:] = self.token[:-1]
+        self.history[first] = start
+        self.pairs, self.pair = np.unique(common.mix(common.mix(self.words[self.history], 8) + w.hash), return_inverse=True)
+        self.n_pairs = np.bincount(self.pair, minlength=len(self.pairs))
+
+    def parts(self, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """(bucket, entries, counts): bigrams in the first 2 ** bits buckets, words (and how often they end a text) in as many more."""
+        for base, values, counts in ((0, self.pairs, [self.n_pairs]), (1 << bits, self.words, [self.n_words, self.n_last])):
+            edges = np.searchsorted(values >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+            for b in np.flatnonzero(np.diff(edges)).tolist():
+                i, j = edges[b], edges[b + 1]
+                yield base + b, packed(values[i:j]), zlib.compress(np.concatenate([c[i:j] for c in counts]).astype("<i8").tobytes(), 1)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """One table for each value of ``key``, from batches in its order."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        value = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), batch.num_rows]
+        for i, j in zip(edges[:-1], edges[1:]):
+            if held and held[0].column(key)[0] != batch.column(key)[i]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if j > i:
+                held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of the batches in tables of about BLOCK_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > BLOCK_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def asked(blocks: DataFrame, bits: int, target: bool) -> DataFrame:
+    """bucket, block, target, entries, counts of ``blocks`` (block, text).  The target corpus gets no answer, so it is taken as it comes
+    (without block)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, target, background = shared.value
-        for rows in common.steps(batches):
-            history, token, bounds = token_numbers(common.Texts(rows.column("text")), vocabulary)
-            pair = history * target.width + token
-            at = np.minimum(np.searchsorted(target.pairs, pair), max(0, len(target.pairs) - 1))
-            found = target.pairs[at] == pair if len(target.pairs) else np.zeros(len(pair), bool)
-            n = np.diff(bounds)
-            text = np.repeat(np.arange(len(n)), n)
-            loss = [np.bincount(text, m.losses(history, token, at, found), len(n)) / np.maximum(n, 1) for m in (target, background)]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n), *map(pa.array, loss), pa.array(loss[0] - loss[1])],
-                                             ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(
+        for table in _gathered(batches) if target else _whole_blocks(batches, "block"):
+            block = None if target else table["block"][0].as_py()
+            rows, size = [], 0
+            for row in Block(common.Texts(table["text"])).parts(bits):
+                rows.append(row)
+                size += len(row[1])
+                if size > common.STEP_BYTES:
+                    yield batch_of(block, rows)
+                    rows, size = [], 0
+            if rows:
+                yield batch_of(block, rows)
+
+    def batch_of(block: int | None, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        bucket, entries, counts = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([target] * len(rows)),
+             pa.array(entries, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "block", "target", "entries", "counts"])
+
+    rows = blocks.select("block", "text")
+    return (rows if target else rows.repartition("block").sortWithinPartitions("block")).mapInArrow(
+        find, "bucket int, block long, target boolean, entries binary, counts binary")
+
+
+def answered(parts: DataFrame, bits: int) -> DataFrame:
+    """bucket, block, sums: for each part of the background the sums of its entries over all of ``parts``, in its order (bigrams:
+    background, target; words: background, ending a text, target, ending a text); and for each bucket of words a row without block:
+    n_words, n, n_target (START is no word)."""
+    kinds = "bucket int, block long, sums binary, n_words long, n long, n_target long"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_blocks(batches, "bucket"):
+            bucket, target = table["bucket"][0].as_py(), table["target"].to_numpy()
+            columns = 2 if bucket >= 1 << bits else 1
+            counts = [np.frombuffer(zlib.decompress(x.as_buffer()), "<i8").reshape(columns, -1) for x in table["counts"]]
+            edges = np.cumsum([0, *(c.shape[1] for c in counts)])
+            value, at = np.unique(np.concatenate([unpacked(x.as_py(), c.shape[1]) for x, c in zip(table["entries"], counts)]), return_inverse=True)
+            counts = np.concatenate(counts, axis=1)
+            of_target = np.repeat(target, np.diff(edges))
+            sums = np.zeros((2 * columns, len(value)), np.int64)
+            for i, chosen in enumerate((~of_target, of_target)):
+                for c in range(columns):
+                    sums[i * columns + c] = np.bincount(at[chosen], counts[c][chosen], len(value))
+            rows, size = [], 0
+            for row in np.flatnonzero(~target).tolist():
+                mine = zlib.compress(sums[:, at[edges[row]:edges[row + 1]]].astype("<i8").tobytes(), 1)
+                rows.append({"bucket": bucket, "block": table["block"][row].as_py(), "sums": mine})
+                size += len(mine)
+                if size > common.STEP_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, answer)
+                    rows, size = [], 0
+            if columns == 2:
+                word = value != START & np.uint64((1 << 56) - 1) if bucket - (1 << bits) == int(START) >> (64 - bits) else np.ones(len(value), bool)
+                rows.append({"bucket": bucket, "n_words": int(word.sum()), "n": int(sums[0, word].sum()), "n_target": int(sums[2, word].sum())})
+            yield pa.RecordBatch.from_pylist(rows, answer)
+
+    answer = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("sums", pa.binary()), ("n_words", pa.int64()), ("n", pa.int64()),
+                        ("n_target", pa.int64())])
+    return parts.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(find, kinds)
+
+
+def scored(blocks: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
+    """The scores of ``blocks`` (block, doc_id, text) by what each block was answered."""
+    n_words, *n = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_target", "n")]).first()
+    id_type = blocks.schema["doc_id"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_blocks(batches, "block"):
+            bucket = table["bucket"].to_numpy()
+            split = int(np.searchsorted(bucket, 2 << bits))
+            half = int(np.searchsorted(bucket, 1 << bits))
+            pairs, words = (
+                np.concatenate([np.zeros((c, 0), np.int64), *(np.frombuffer(zlib.decompress(x.as_buffer()), "<i8").reshape(c, -1) for x in part)], axis=1)
+                for c, part in ((2, table["sums"].slice(0, half)), (4, table["sums"].slice(half, split - half))))
+            table = table.slice(split).combine_chunks()
+            b = Block(common.Texts(table["text"]))
+            if pairs.shape[1] != len(b.pairs) or words.shape[1] != len(b.words):
+                raise ValueError("a block was not answered whole")
+            text = np.repeat(np.arange(len(b.tokens)), b.tokens)
+            losses = []
+            for total, seen, (often, last) in ((n[0], pairs[1], words[2:]), (n[1], pairs[0], words[:2])):
+                unigram = (often + 1) / (total + n_words + 1)
+                loss = -np.log((seen[b.pair] + SMOOTH * unigram[b.token]) / ((often - last)[b.history] + SMOOTH))
+                losses.append(np.bincount(text, loss, len(b.tokens)) / np.maximum(b.tokens, 1))
+            out = pa.Table.from_arrays([table["doc_id"], pa.array(b.tokens), *map(pa.array, losses), pa.array(losses[0] - losses[1])],
+                                       ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+            yield from out.to_batches(max_chunksize=10_000)
+
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    both = answers.where("block IS NOT NULL").select("block", "bucket", "sums", none("doc_id", id_type), none("text", "string")).unionByName(
+        blocks.select("block", F.lit(2 << bits).alias("bucket"), none("sums", "binary"), "doc_id", "text"))
+    return both.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(
         find, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")
 
 
@@ -126,8 +286,14 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
 
     Null and empty texts have no tokens and score 0.  Rows with one doc_id count and score each.  A null doc_id is never
     in the target.  Without target documents the target model is uniform.  An empty table gives an empty table."""
-    ids = target_ids.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    # ids grow with the corpus, so they are never broadcast, however few they are here
-    flagged = common.small_batches(docs).select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target"))
-    return score(docs, train(docs, flagged))
+    docs = common.small_batches(docs).select("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = max(BUCKET_BITS, math.ceil(math.log2(max(1, size / 6 / BUCKET_ENTRIES))))
+    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // BLOCK_BYTES)))))
+    # ids grow with the corpus, so they are never broadcast, however few they are here; an inner join, as a semi join would be moved
+    # below the bitmap
+    ids = common.materialise(target_ids.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("id"), "doc_id").distinct())
+    chosen = common.likely(blocks.withColumn("id", F.xxhash64("doc_id")), "id", ids).join(ids.hint("merge"), ["id", "doc_id"])
+    answers = common.materialise(answered(asked(blocks, bits, False).unionByName(asked(chosen, bits, True)), bits))
+    common.release(docs.sparkSession)
+    return scored(blocks, answers, bits)

@@ -336,6 +336,31 @@ def test_lm_by_definition(spark):
     assert sorted((r.doc_id, r.n_tokens, *np.round([r.target_loss, r.background_loss, r.score], 9)) for r in got) == sorted(want)
 
 
+def test_lm_knows_rare_words_in_a_large_corpus(spark, monkeypatch):
+    # over 10 ** 6 tokens: single words are under 1e-5 and single bigrams under 1e-6 of them
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 1 << 18, raising=False)
+    rows = [(i, " ".join(fixtures.words(700, i, 40))) for i in range(1600)]
+    rows += [(2000, "rare pearl rare pearl"), (2001, "rare pearl"), (2002, "lonely w1 w2"), (2003, "zeal " * 3), (None, "rare"), (2001, "pearl rare")]
+    target = {0, 1, 2, 2000, 2003}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = lm.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()
+    split = [(d, t.split()) for d, t in rows]
+    size, models = len({w for _, ws in split for w in ws}) + 1, []
+    for docs in ([x for x in split if x[0] in target], split):
+        one, two, history = Counter(), Counter(), Counter()
+        for _, ws in docs:
+            one.update(ws)
+            two.update(zip(["<s>", *ws], ws))
+            history.update(["<s>", *ws][:-1])
+        models.append((one, two, history, sum(one.values())))
+    want = []
+    for d, ws in split:
+        losses = [-sum(np.log((two[p] + lm.SMOOTH * (one[p[1]] + 1) / (total + size)) / (history[p[0]] + lm.SMOOTH)) for p in zip(["<s>", *ws], ws)) / len(ws)
+                  for one, two, history, total in models]
+        want.append((-1 if d is None else d, len(ws), *np.round([*losses, losses[0] - losses[1]], 6)))
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, *np.round([r.target_loss, r.background_loss, r.score], 6)) for r in got) == sorted(want)
+
+
 def test_lm_shares_bound_the_models(spark):
     rows = [(i, " ".join(fixtures.words(200, i, 5000))) for i in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("target", F.col("doc_id") < 20)
