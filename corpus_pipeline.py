@@ -21,9 +21,10 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Documents without words and rows without doc_id stay, unless they repeat a row."""
     classes = jaccard.near_components(substrings.keyed(docs))
-    kept = classes.where("doc_id <=> component_id").groupBy("component_id", "doc_id").agg(F.min("key").alias("key"))
-    alone = classes.where("component_id IS NULL").select("key")
-    keys = kept.where("component_id IS NOT NULL").select("key").unionByName(alone).distinct()
+    linked = F.col("root").isNotNull() & F.col("component_id").isNotNull()
+    # a component_id is no class: rows of one doc_id with different texts may be in several
+    kept = classes.where(linked & (F.col("doc_id") == F.col("component_id"))).groupBy("root").agg(F.min("key").alias("key"))
+    keys = kept.select("key").unionByName(classes.where(~linked).select("key")).distinct()
     return (docs.withColumn("key", common.row_key("doc_id", "text")).join(keys, "key").dropDuplicates(["key"])
             .select(*docs.columns))
 

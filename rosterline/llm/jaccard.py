@@ -318,7 +318,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, tile: int | None = None) -> DataFrame:
-    """key, doc_id, n_shingles, component_id of every row of ``docs`` (key, doc_id, text): the smallest doc_id that links reach.
+    """key, doc_id, n_shingles, component_id, root of every row of ``docs`` (key, doc_id, text): the smallest doc_id that links reach,
+    and the set that names the class (classes of one doc_id may share a component_id, never a root; null: no shingles).
 
     Null and empty texts have the empty set and stay alone.  Rows of equal sets are one class, whatever their text.  Rows with
     one doc_id are linked only by their sets.  An empty table gives an empty table."""
@@ -345,9 +346,9 @@ def near_components(docs: DataFrame, tile: int | None = None) -> DataFrame:
     roots = components(links)
     classes = reps.join(roots, "set_id", "left").select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = common.materialise(classes.join(least, "root").select("set_id", "component_id"))
+    named = common.materialise(classes.join(least, "root").select("set_id", "component_id", "root"))
     return sets.select("key", "doc_id", "n_shingles", "set_id").join(named, "set_id", "left").select(
-        "key", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "key", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
 
 
 def brute_force(rows: list[tuple], percent: int = PERCENT, words: int = WORDS) -> list[tuple]:

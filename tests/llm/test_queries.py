@@ -68,6 +68,16 @@ def test_near_copies_leave_one_row(spark):
     assert max(Counter((r.doc_id, r.text) for r in kept).values()) == 1
 
 
+def test_near_copies_keep_every_class_of_a_shared_id(spark):
+    one, two = " ".join(fixtures.words(60, 1)), " ".join(fixtures.words(60, 2))
+    rows = [(3, one), (3, two), (4, one + " more"), (5, two + " more"), (6, None), (6, ""), (3, None), (None, one + " again"), (3, one)]
+    docs = fixtures.frame(spark, [(d, t, "en", None, None, None, None, None, None) for d, t in rows]).select(
+        "doc_id", "text", "lang", "source", "n_chars")
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, SF).collect())
+    # the row without doc_id is in the class of ``one``, whose smallest doc_id is 3
+    assert kept == Counter([(3, one), (3, two), (6, None), (6, ""), (3, None)])
+
+
 def test_nothing_else_imports_the_subpackage():
     import pathlib
 
