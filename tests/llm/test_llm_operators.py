@@ -7,7 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import fixtures
+import llm_fixtures as fixtures
 import numpy as np
 import pyarrow as pa
 import pytest

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import check
-import fixtures
+import llm_fixtures as fixtures
 import pytest
 from pyspark.sql import functions as F
 
