@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words, everywhere: space and the controls 0x09 to 0x0D.
@@ -52,6 +52,22 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def in_order(df: DataFrame, order: list[Column], weight: Column, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df``, without the columns ``drop``, with _place (from 1, dense) and _before (the sum of ``weight`` over all earlier rows) in
+    ``order``.  Rows are dealt by range and summed inside their partition; only one row for each partition is summed in one place."""
+    dealt = df.withColumn("_weight", weight).repartitionByRange(*order).sortWithinPartitions(*order).drop(*drop)
+    dealt = materialise(dealt.withColumn("_row", F.monotonically_increasing_id()))
+    dealt = dealt.withColumn("_part", F.shiftright("_row", 33))
+    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.sum("_weight").alias("w"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in ("n", "w")])
+    summed = dealt.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    return (summed.join(parts, "_part")
+            .withColumn("_place", F.col("_n") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+            .withColumn("_before", F.col("_w") + F.col("_inside")).drop("_part", "_row", "_n", "_w", "_inside", "_weight"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, as a lambda variable."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -161,9 +177,10 @@ class Texts:
         return _BYTE_VALUE[self.data]
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte start and end of each word, and the word offsets of the texts; no word crosses two texts."""
-    inside = ~_SEPARATOR[data]
+def word_bounds(data: np.ndarray, bounds: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start and end of each word, and the word offsets of the texts; no word crosses two texts.  ``separator`` tells
+    which of the 256 byte values part words."""
+    inside = ~separator[data]
     n = len(data)
     edge = np.zeros(n + 1, bool)  # a text starts here
     edge[bounds] = True

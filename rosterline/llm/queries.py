@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, lm, mixing, packing, planes, quality, substrings, suffixes, topk
+from . import collocations, fingerprints, jaccard, lm, mixing, packing, planes, quality, secrets, substrings, suffixes, topk, trie
 from .common import shared_dir
 
 
@@ -64,9 +64,23 @@ def op10_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_planes(planes.write_planes(docs, shared_dir(spark)), docs.schema["doc_id"].dataType.simpleString())
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_source_mixing, op3_best_fit_packing, op4_suffix_array_dedup, op5_order_minhash, op6_pivot_top_k,
-        op7_jaccard_join, op8_quality_classifier, op9_cross_entropy_difference, op10_plane_files)}
+        op7_jaccard_join, op8_quality_classifier, op9_cross_entropy_difference, op10_plane_files,
+        op11_secret_scan, op12_collocations, op13_conversation_trie)}
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.SQL, "op6_pivot_top_k": topk.SQL}
+ORACLES: dict[str, str] = {
+    "op2_source_mixing": mixing.SQL, "op6_pivot_top_k": topk.SQL, "op12_collocations": collocations.SQL, "op13_conversation_trie": trie.SQL}
