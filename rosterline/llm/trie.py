@@ -276,25 +276,31 @@ def brute_force(rows: list[tuple], group: int = GROUP, heads: int = HEADS) -> li
     for c, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (
             r[0], r[1] is not None, r[1] or 0, (r[2] or "").encode(), (r[3] or "").encode())):
         own.setdefault(c, []).append((role or "", text or ""))
-    members: dict[tuple, list] = {}
-    whole: dict[tuple, list] = {}
+    parent, depth, own_tokens, members, ends = [None], [0], [0], [[]], [[]]
+    step: dict[tuple, int] = {}  # (node, turn) -> the node after it
     for c, turns in own.items():
         h = zlib.crc32(str(c).encode()) % heads
-        path = tuple(own.get(c - c % group, [])[:h] + turns[h:])
-        whole.setdefault(path, []).append(c)
-        for d in range(len(path) + 1):
-            members.setdefault(path[:d], []).append(c)
-    children: dict[tuple, int] = {}
-    leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0)
-    for path in members:
-        if path:
-            children[path[:-1]] = children.get(path[:-1], 0) + 1
-    for path, inside in members.items():
-        for d in range(len(path) + 1):
-            leaves[path[:d]] += path not in children
-            saved[path[:d]] += (len(inside) - 1) * (len(path[-1][1]) if path else 0)
-    return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children.get(p, 0), leaves[p], saved[p],
-             hashlib.sha256(",".join(map(str, sorted(whole.get(p, [])))).encode()).hexdigest()) for p, m in members.items()]
+        node = 0
+        members[0].append(c)
+        for turn in own.get(c - c % group, [])[:h] + turns[h:]:
+            if (node, turn) not in step:
+                step[node, turn] = len(parent)
+                for column, value in ((parent, node), (depth, depth[node] + 1), (own_tokens, len(turn[1])), (members, []), (ends, [])):
+                    column.append(value)
+            node = step[node, turn]
+            members[node].append(c)
+        ends[node].append(c)
+    children, leaves, saved = ([0] * len(parent) for _ in range(3))
+    for node in range(len(parent) - 1, -1, -1):  # a node comes after its parent
+        leaves[node] = leaves[node] or 1
+        saved[node] += (len(members[node]) - 1) * own_tokens[node]
+        if node:
+            children[parent[node]] += 1
+            leaves[parent[node]] += leaves[node]
+            saved[parent[node]] += saved[node]
+    digest = lambda ids: hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()
+    return [(min(m), depth[i], min(members[parent[i]]) if i else None, len(m), children[i], leaves[i], saved[i], digest(ends[i]))
+            for i, m in enumerate(members) if own]
 
 
 SQL = f"""
