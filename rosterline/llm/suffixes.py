@@ -204,8 +204,9 @@ def compared(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[D
     shared = seeds.shared_runs(all_runs, F.count(F.lit(1)) > 1)
     contents = common.materialise(shared.groupBy("seed", "whole").agg(
         F.count(F.lit(1)).alias("times"), F.min("key").alias("key"), F.min_by("start", "key").alias("start"), F.min("n").alias("n")))
-    again = contents.where("times > 1").select("seed", "whole")
-    whole = shared.join(again, ["seed", "whole"], "leftsemi").select("key", "start", (F.col("n") + window - 1).alias("length"))
+    # every shared run meets the count of its content: the join gives as many rows as it takes, however often a content occurs
+    judged = common.materialise(shared.join(contents.select("seed", "whole", "times"), ["seed", "whole"], "left").select("key", "start", "n", "times"))
+    whole = judged.where("times > 1").select("key", "start", (F.col("n") + window - 1).alias("length"))
     per_seed = contents.groupBy("seed").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
     wanted = contents.join(common.materialise(per_seed), "seed").select(
         "seed", "key", "start", "n", (F.col("times") == 1).alias("single"), (F.col("contents") > CROWD).alias("crowd"))
