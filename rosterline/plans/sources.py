@@ -1,9 +1,11 @@
 """Source queries: list files, party XML, document lines, pages, audits and their gates."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..sources import documents as D
+from ..sources import sinks
 from ..sources import party_xml as X
 from ..sources import text as T
 from .fixtures import view
@@ -135,6 +137,69 @@ def _(x):
     return T.list_violations(T.parse_list(x.view("list_lines")))
 
 
+# --- list files as they come: charsets, compression, line breaks inside cells ---------------
+
+FILE_KINDS = [("utf-8", "none"), ("utf-8-sig", "none"), ("cp932", "none"), ("utf-8", "gzip")]
+
+
+@view("list_cells")
+def _(d):
+    """Records of the 32-column list as one CSV text each, with quotes and line breaks in the notice; kind: which files they go to."""
+    cells = ["'1'", f"CAST({KEY} AS STRING)", "'2020'", "'N'", "'個人'", "'顧客 ソ'", f"'\"Customer, ' || {N9} || '\"'"] + ["''"] * 24 + [
+        f"'\"notice ' || {N9} || chr(10) || '\"\"two\"\", ' || chr(10) || 'ﾃｽﾄ\"'"]
+    return f"SELECT {KEY} AS ord, {KEY} % 6 AS kind, {' || chr(44) || '.join(cells)} AS value FROM {d.t('customer')}"
+
+
+def _write_list_files(rows, folder: str, header: str, charset: str, compression: str) -> None:
+    """One list file for each range of records: the header, then the records, in a charset."""
+
+    def lines(batches):
+        body = "" if charset != "utf-8-sig" else "\ufeff"
+        for batch in batches:
+            texts = ([body + header] if body is not None else []) + batch.column("value").to_pylist()
+            body = None
+            yield pa.RecordBatch.from_arrays([pa.array([t.encode("utf-8" if charset == "utf-8-sig" else charset) for t in texts], pa.binary())], ["value"])
+
+    dealt = rows.repartitionByRange("ord").sortWithinPartitions("ord").select("value")
+    dealt.mapInArrow(lines, "value binary").select(F.col("value").cast("string")).write.option("compression", compression).text(folder)
+
+
+def _list_files(x) -> str:
+    folder, header = sinks.shared_folder(x.spark), ",".join(K.LIST_COLUMNS)
+    for kind, (charset, compression) in enumerate(FILE_KINDS):
+        _write_list_files(x.view("list_cells").filter(F.col("kind") == kind), f"{folder}/k{kind}", header, charset, compression)
+    return folder
+
+
+@query("s5_list_files", views="list_cells", oracle="""
+SELECT 'k' || kind AS folder, CAST(ord AS STRING) AS record_id, '顧客 ソ' AS name_ja, 'Customer, ' || lpad(CAST(ord AS STRING), 9, '0') AS name_en,
+  'notice ' || lpad(CAST(ord AS STRING), 9, '0') || chr(10) || '"two", ' || chr(10) || 'ﾃｽﾄ' AS notice FROM list_cells WHERE kind < 4
+""")
+def _(x):
+    """The list written as files (UTF-8, BOM, legacy charset, gzip) and read by the splittable reader; the file gates must be empty."""
+    folder = _list_files(x)
+    paths = [f"{folder}/k{kind}" for kind in range(len(FILE_KINDS))]
+    return T.read_list(x.spark, paths).select(
+        F.element_at(F.split("file", "/"), -2).alias("folder"), F.col("番号").alias("record_id"), F.col("氏名（日本語）").alias("name_ja"),
+        F.col("氏名（英語）").alias("name_en"), F.col("外務省告示情報").alias("notice"))
+
+
+@query("s5_file_gates", views="list_cells", oracle="""
+SELECT DISTINCT 'headless' AS folder, 'MISSING' AS violation, '外務省告示情報' AS "column" FROM list_cells WHERE kind = 4
+UNION ALL SELECT DISTINCT 'torn', 'UNBALANCED_QUOTES', '' FROM list_cells WHERE kind = 5
+""")
+def _(x):
+    """Gates over files: one set of files misses a column, another ends inside a quoted cell."""
+    folder = sinks.shared_folder(x.spark)
+    rows = x.view("list_cells")
+    _write_list_files(rows.filter("kind = 4"), f"{folder}/headless", ",".join(K.LIST_COLUMNS[:-1]), "utf-8", "none")
+    _write_list_files(rows.filter("kind = 5"), f"{folder}/torn", ",".join(K.LIST_COLUMNS) + '\n"', "cp932", "none")
+    records = T.read_records(x.spark, [f"{folder}/headless", f"{folder}/torn"])
+    torn = T.file_violations(records).select("file", "violation", F.lit("").alias("column"))
+    heads = T.header_violations(T.first_lines(records.filter("violation IS NULL")), K.LIST_COLUMNS)
+    return torn.unionByName(heads).select(F.element_at(F.split("file", "/"), -2).alias("folder"), "violation", "column").distinct()
+
+
 CATEGORIES = {str(i): f"区分{i}" for i in range(5)}
 
 

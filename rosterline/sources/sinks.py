@@ -6,7 +6,9 @@ files without pulling the table through one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import master as M
 
@@ -22,6 +24,12 @@ def require_empty(violations: DataFrame, what: str, samples: int = 20) -> None:
         raise GateError(f"{what}: {[row.asDict() for row in found]}")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors see: below ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def ordered(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -14,6 +15,7 @@ PRIMARY_COLUMNS = ["ent_num", "name", "sdn_type", "program", "title", "call_sign
 ALIAS_COLUMNS = ["ent_num", "alt_num", "alt_type", "alt_name", "alt_remarks"]
 NULL_MARKS = ["-0-", ""]
 # possessive: a long or much quoted cell costs no stack
+LEGACY_CHARSET = "cp932"
 CSV_CELL = r'(?:^|,)("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
@@ -24,6 +26,69 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("file", F.struct("start", F.monotonically_increasing_id().alias("line")).alias("ord"), "value")
 
 
+def _decoder(charset: str):
+    """Bytes as text of a charset that Spark has no expression for; NULL for what it cannot hold."""
+
+    def one(value: bytes | None) -> str | None:
+        try:
+            return None if value is None else bytes(value).decode(charset)
+        except UnicodeDecodeError:
+            return None
+
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(one, na_action="ignore").astype(object)
+
+    run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string").asNondeterministic()
+
+
+def read_records(spark: SparkSession, path: str | list[str], legacy: str = LEGACY_CHARSET) -> DataFrame:
+    """(file, ord, value, violation) of the CSV records of text files, plain or gzip; a quoted cell may hold line breaks (given as \\n).
+
+    A file is cut into splits as for any text.  Whether a split begins inside a quoted cell follows from the number of
+    quotes before it, a running sum over one row for each split; records are put together inside their split, and a record
+    that is torn at its border by the place where it began.  Only records of several lines are grouped.  A file is UTF-8 (with
+    or without BOM) if all of it is, else of the ``legacy`` charset.  Files that hold an odd number of quotes cannot be cut into
+    records: their lines come one by one, as UNBALANCED_QUOTES, and lines of neither charset as UNDECODABLE without value."""
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    split, order = ["file", "start"], Window.partitionBy("file", "start").orderBy("line")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), quotes.alias("quotes"), "value")
+    lines = lines.withColumns({
+        "before": F.coalesce(F.sum("quotes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "first": F.row_number().over(order) == 1})
+    even = F.col("before") % 2 == 0
+    splits = lines.groupBy(*split).agg(
+        F.sum("quotes").alias("total"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.max(F.when(even, F.col("line"))).alias("last_even"), F.max(F.when(~even, F.col("line"))).alias("last_odd"))
+    files, earlier = Window.partitionBy("file"), Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumns({
+        "inside": F.coalesce(F.sum("total").over(earlier), F.lit(0)) % 2, "balanced": F.sum("total").over(files) % 2 == 0, "utf8": F.min("utf8").over(files)})
+    opened = F.when(F.col("inside") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    begun = F.when(opened.isNotNull(), F.struct("start", opened.alias("line")))
+    splits = splits.select(*split, "inside", "balanced", "utf8", F.last(begun, ignorenulls=True).over(earlier).alias("torn"))
+    met = lines.join(splits, split).withColumn("within", (F.col("inside") + F.col("before")) % 2 == 1)
+    place = F.struct("start", "line")
+    here = F.last(F.when(~F.col("within"), place), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = met.withColumn("ord", F.when(F.col("balanced"), F.coalesce(here, "torn")).otherwise(place))
+    bom = F.col("first") & (F.col("start") == 0) & F.startswith("value", F.lit("\ufeff"))
+    decoded = F.when(F.col("utf8"), F.when(bom, F.substr("value", F.lit(2))).otherwise(F.col("value"))).otherwise(
+        _decoder(legacy)(F.when(~F.col("utf8"), F.col("value").cast("binary"))))
+    text = met.select("file", "ord", "start", "line", (~F.col("balanced") | (~F.col("within") & (F.col("quotes") % 2 == 0))).alias("whole"),
+                      "balanced", decoded.alias("value"))
+    several = text.filter("NOT whole").groupBy("file", "ord", "balanced").agg(
+        F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("parts"))
+    joined = several.select("file", "ord", "balanced", F.when(~F.exists("parts", lambda p: p["value"].isNull()),
+                            F.array_join(F.transform("parts", lambda p: p["value"]), "\n")).alias("value"))
+    violation = F.when(~F.col("balanced"), "UNBALANCED_QUOTES").when(F.col("value").isNull(), "UNDECODABLE")
+    return text.filter("whole").select("file", "ord", "balanced", "value").unionByName(joined).select("file", "ord", "value", violation.alias("violation"))
+
+
+def file_violations(records: DataFrame) -> DataFrame:
+    """Files that ``read_records`` could not cut or decode, with the number of lines or records."""
+    return records.filter("violation IS NOT NULL").groupBy("file", "violation").agg(F.count(F.lit(1)).alias("n"))
+
+
 def csv_cells(line: Column) -> Column:
     """Cells of one CSV line; quotes removed, doubled quotes undone, blanks stripped."""
     quoted = lambda c: F.startswith(c, F.lit('"')) & F.endswith(c, F.lit('"')) & (F.length(c) >= 2)
@@ -96,34 +161,18 @@ def first_lines(lines: DataFrame) -> DataFrame:
 # --- 32-column list ----------------------------------------------------------------------
 
 def parse_list(lines: DataFrame, columns: list[str] = K.LIST_COLUMNS) -> DataFrame:
-    """Rows of the list from CSV lines without line breaks in cells; header lines are recognised by their first cells."""
+    """Rows of the list from CSV lines or records; header lines are recognised by their first cells."""
     cells = lines.select("file", "ord", csv_cells(F.col("value")).alias("cells"))
     header = (F.get("cells", F.lit(0)) == columns[0]) & (F.get("cells", F.lit(1)) == columns[1])
     body = cells.filter(F.coalesce(F.trim(F.array_join("cells", "")), F.lit("")) != "").filter(~header)
     return body.select("file", "ord", *[F.translate(F.coalesce(F.get("cells", F.lit(i)), F.lit("")), "\u0000", "").alias(c) for i, c in enumerate(columns)])
 
 
-def read_list(spark: SparkSession, path: str, fallback: str = "MS932") -> DataFrame:
-    """Rows of list files whose charset is UTF-8 (with or without BOM) or the Japanese legacy one.
+def read_list(spark: SparkSession, path: str | list[str], legacy: str = LEGACY_CHARSET) -> DataFrame:
+    """Rows of list files (``read_records``); an empty folder gives no rows.
 
-    A first narrow scan finds the files that are not UTF-8; only file names reach the driver.  Each
-    charset group is then read by the CSV source with the header contract enforced.  Cells may hold line
-    breaks.  Spark reads the legacy charset only under ``spark.sql.legacy.javaCharsets``, which is set when needed.
-    """
-    scan = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("odd"))
-    groups = scan.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
-    schema = ", ".join(f"`{c}` STRING" for c in K.LIST_COLUMNS)
-    out = None
-    for charset, odd in (("UTF-8", False), (fallback, True)):
-        files = [row["file"] for row in groups if row["odd"] is odd]
-        if files and odd:
-            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        if files:
-            part = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", True)
-                    .option("encoding", charset).option("escape", '"').option("mode", "FAILFAST").csv(files))
-            part = part.select("*", F.col("_metadata.file_path").alias("file"))
-            out = part if out is None else out.unionByName(part)
-    return out
+    Gate the files with ``file_violations`` and ``header_violations(first_lines(...))`` before the rows are used."""
+    return parse_list(read_records(spark, path, legacy).filter("violation IS NULL"))
 
 
 def list_violations(rows: DataFrame, key: str = "番号") -> DataFrame:

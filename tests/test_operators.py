@@ -1,6 +1,7 @@
 """Rules on hand-made rows: invariants of the merge, histories, diffs, addresses, files and sinks."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,6 +168,39 @@ def test_list_files_in_three_charsets(spark, tmp_path):
     assert sorted((r["番号"], r["氏名（日本語）"], r["氏名（英語）"]) for r in rows) == [("1", "山田", "A, 1"), ("2", "鈴木", "A, 2"), ("3", "佐藤", "A, 3")]
 
 
+@pytest.mark.parametrize("split", [None, 50, 1000])
+def test_records_with_line_breaks_across_splits(spark, tmp_path, split):
+    rng = random.Random(split)
+    cell = lambda i: "".join(rng.choice(["山", "é", "a", ",", '""', "\n", " ", "ソ"]) for _ in range(i % 60))
+    wanted = []
+    for name, charset in (("a.csv", "utf-8"), ("b.csv", "utf-8-sig"), ("c.csv", "cp932"), ("d.csv.gz", "utf-8"), ("e.csv", "utf-8")):
+        records = [] if name == "e.csv" else [f'{i},"{cell(i * 7)}",x{i}' for i in range(80)]
+        if charset == "cp932":
+            records = [r.replace("é", "ｴ") for r in records]
+        body = "".join(r + "\n" for r in records).encode(charset)
+        (tmp_path / name).write_bytes(gzip.compress(body) if name.endswith("gz") else body)
+        wanted += [(name, r) for r in records]
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if split:
+        spark.conf.set(key, str(split))
+    try:
+        got = text.read_records(spark, str(tmp_path)).select(F.element_at(F.split("file", "/"), -1).alias("file"), "ord", "value", "violation").collect()
+    finally:
+        spark.conf.set(key, old)
+    assert {r["violation"] for r in got} == {None}
+    assert [(r["file"], r["value"]) for r in sorted(got, key=lambda r: (r["file"], r["ord"]))] == wanted
+
+
+def test_record_files_that_cannot_be_cut(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('1,"a\n2,b\n')
+    (tmp_path / "raw.csv").write_bytes(b"1,\x81\n2,ok\n")
+    (tmp_path / "empty").mkdir()
+    records = text.read_records(spark, str(tmp_path))
+    assert sorted((r["file"][-7:], r["violation"], r["n"]) for r in text.file_violations(records).collect()) == [
+        ("odd.csv", "UNBALANCED_QUOTES", 2), ("raw.csv", "UNDECODABLE", 1)]
+    assert text.read_list(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_headerless_file_and_plausibility(spark, tmp_path):
     (tmp_path / "sdn.csv").write_text('1,"X ""Q"", Ltd",-0- ,P\n-0-,-0-\n\x1a\n2,"B",individual,"Q",t,c,v,t,g,f,o,r1,r2\n')
     (tmp_path / "bad.csv").write_text("<html>\n")
