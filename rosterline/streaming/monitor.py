@@ -1,8 +1,10 @@
 """Monitoring as Structured Streaming jobs; the batch twins are in ``operators/monitoring.py``.
 
-State is bounded by the number of watched keys (sources, incidents, open detections).  All timing
-is event time, so a replay gives the same output.  Where the order of a key's rows matters, a task holds
-that key's rows of one micro-batch; the trigger size (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds it.
+All timing is event time, so a replay gives the same output.  Incidents and the lifecycle audit take rows in event order: rows wait in
+the state of their key until the watermark has passed them, so neither their order nor the cut into micro-batches matters, and only rows
+later than the watermark are dropped.  Their state holds the rows of one lateness per key, open incidents, and detections up to
+``retention`` after their end; it needs the RocksDB state store (``STATE_STORE``).  Freshness and the SLA clock hold one row per
+watched key and open detection.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import constants as K
@@ -82,54 +85,111 @@ def freshness_alerts(stream: DataFrame, lateness: str = "5 minutes") -> DataFram
         _freshness, FRESHNESS_OUT, FRESHNESS_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+#: Session settings of the jobs that take rows in event order.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+class EventOrder(StatefulProcessor):
+    """Hands the rows of a key to ``step`` in the order of ``ts`` and ``order``, once the watermark has passed them.
+
+    A row waits in a map of the key's state under its place; a timer at its time wakes the key.  ``step(key, now, row)`` gives the next
+    value of the key's state (None: nothing to keep) and the rows to put out.  A value for which ``ended`` holds is kept for
+    ``retention`` after its last row, then dropped."""
+
+    def __init__(self, payload: str, state: str, columns: list[str], step, order: str | None = None, ended=lambda now: False, retention: str = "0 days"):
+        self.payload, self.state, self.columns, self.step, self.order, self.ended = payload, state, columns, step, order, ended
+        self.retention = pd.Timedelta(retention) // pd.Timedelta(milliseconds=1)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long, ord long, copy int", self.payload)
+        self.now = handle.getValueState("now", f"{self.state}, at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in self.payload.split(", ")]
+        wake = set()
+        for batch in rows:
+            at = batch["ts"].astype("datetime64[us]").astype("int64")
+            order = batch[self.order] if self.order else at * 0
+            for place, *payload in zip(zip(at.tolist(), order.tolist()), *(batch[c].tolist() for c in names)):
+                copy = 0
+                while self.waiting.containsKey((*place, copy)):
+                    copy += 1
+                self.waiting.updateValue((*place, copy), tuple(payload))
+                wake.add(-(-place[0] // 1000))
+        for stamp in wake:
+            self.handle.registerTimer(stamp)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        due = sorted((tuple(place), tuple(row)) for place, row in self.waiting.iterator() if place[0] <= watermark * 1000)
+        held = self.now.get() if self.now.exists() else None
+        now, last = (tuple(held)[:-1], held[-1]) if held else (None, None)
+        out = []
+        for place, row in due:
+            now, found = self.step(key[0], now, (pd.Timestamp(place[0], unit="us"), *row))
+            last = place[0]
+            out += found
+            self.waiting.removeKey(place)
+        if now is not None and self.ended(now) and last // 1000 + self.retention <= watermark:
+            now = None
+        if now is None:
+            self.now.clear()
+        elif due:
+            self.now.update((*now, last))
+            if self.ended(now):
+                self.handle.registerTimer(last // 1000 + self.retention + 1)
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 INCIDENT_OUT = "incident_key string, opened_at timestamp, resolved_at timestamp, change string"
-INCIDENT_STATE = "opened_at timestamp"
 
 
-def _incidents(key, batches, state: GroupState) -> Iterator[pd.DataFrame]:
-    opened = state.get[0] if state.exists else None
-    out = []
-    for row in _ordered(batches, "ts").itertuples():
-        at = row.ts.to_pydatetime()
-        if row.active and opened is None:
-            opened = at
-            out.append((key[0], opened, None, "opened"))
-        elif not row.active and opened is not None:
-            out.append((key[0], opened, at, "resolved"))
-            opened = None
-    if opened is not None:
-        state.update((opened,))
-    elif state.exists:
-        state.remove()
-    yield pd.DataFrame(out, columns=["incident_key", "opened_at", "resolved_at", "change"]).astype({"resolved_at": "datetime64[ns]"})
-
-
-def incidents(stream: DataFrame) -> DataFrame:
-    """Open / resolved events of checks (ts, incident_key, active): one open incident per key; closed keys leave no state."""
-    return stream.groupBy("incident_key").applyInPandasWithState(
-        _incidents, INCIDENT_OUT, INCIDENT_STATE, "append", GroupStateTimeout.NoTimeout)
+def _incident(key: str, now: tuple | None, row: tuple) -> tuple[tuple | None, list[tuple]]:
+    at, active = row
+    if active and now is None:
+        return (at.value // 1000,), [(key, at, pd.NaT, "opened")]
+    if not active and now is not None:
+        return None, [(key, pd.Timestamp(now[0], unit="us"), at, "resolved")]
+    return now, []
+
+
+def incidents(stream: DataFrame, lateness: str = "5 minutes") -> DataFrame:
+    """Open / resolved events of checks (ts, incident_key, active), in event order: one open incident per key; closed keys leave no state."""
+    return stream.withWatermark("ts", lateness).groupBy("incident_key").transformWithStateInPandas(
+        EventOrder("active boolean", "opened long", _names(INCIDENT_OUT), _incident), INCIDENT_OUT, "Append", "EventTime")
 
 
 LIFECYCLE_OUT = "detection_id bigint, ts timestamp, previous string, state string, violation string"
 
 
-def _lifecycle(key, batches, state: GroupState) -> Iterator[pd.DataFrame]:
-    previous = state.get[0] if state.exists else ""
-    out = []
-    for row in _ordered(batches, "ts", "ord").itertuples():
-        if row.state not in K.TRANSITIONS:
-            out.append((key[0], row.ts, previous, row.state, "UNKNOWN_STATE"))
-        elif row.state not in K.TRANSITIONS.get(previous, []):
-            out.append((key[0], row.ts, previous, row.state, "AFTER_TERMINAL" if previous in K.TERMINAL_STATES else "FORBIDDEN_TRANSITION"))
-        previous = row.state
-    state.update((previous,))
-    yield pd.DataFrame(out, columns=["detection_id", "ts", "previous", "state", "violation"])
-
-
-def lifecycle_violations(stream: DataFrame) -> DataFrame:
-    """Forbidden transitions of a lifecycle log (detection_id, ts, ord, state)."""
-    return stream.groupBy("detection_id").applyInPandasWithState(
-        _lifecycle, LIFECYCLE_OUT, "previous string", "append", GroupStateTimeout.NoTimeout)
+def _transition(key: int, now: tuple | None, row: tuple) -> tuple[tuple, list[tuple]]:
+    at, state = row
+    previous = now[0] if now else ""
+    if state not in K.TRANSITIONS:
+        violation = "UNKNOWN_STATE"
+    elif state in K.TRANSITIONS.get(previous, []):
+        return (state,), []
+    else:
+        violation = "AFTER_TERMINAL" if previous in K.TERMINAL_STATES else "FORBIDDEN_TRANSITION"
+    return (state,), [(key, at, previous, state, violation)]
+
+
+def lifecycle_violations(stream: DataFrame, lateness: str = "5 minutes", retention: str = "30 days") -> DataFrame:
+    """Forbidden transitions of a lifecycle log (detection_id, ts, ord, state), in event order.  A detection in a terminal state is
+    forgotten ``retention`` after its last row; one that comes back later starts anew."""
+    ended = lambda now: now[0] in K.TERMINAL_STATES
+    return stream.withWatermark("ts", lateness).groupBy("detection_id").transformWithStateInPandas(
+        EventOrder("state string", "state string", _names(LIFECYCLE_OUT), _transition, "ord", ended, retention), LIFECYCLE_OUT, "Append", "EventTime")
 
 
 SLA_OUT = "detection_id bigint, at timestamp, condition string"

@@ -1,9 +1,12 @@
 """Streaming jobs driven micro-batch by micro-batch from small Parquet files."""
 
 import datetime as dt
+import random
 
 import pytest
 
+from rosterline.functions import constants as K
+from rosterline.operators import monitoring
 from rosterline.streaming import monitor as S
 
 T0 = dt.datetime(2026, 1, 1, 0, 0)
@@ -44,19 +47,72 @@ def test_freshness_raises_warning_then_critical_and_recovers(spark, tmp_path):
     assert [(r[0], r[2]) for r in sorted(got, key=lambda r: r[1])] == [("OFAC SDN", 2), ("OFAC SDN", 3), ("OFAC SDN", 0)]
 
 
-def test_incidents_open_once_and_resolve(spark, tmp_path):
+@pytest.fixture
+def state_store(spark):
+    old = {k: spark.conf.get(k) for k in S.STATE_STORE}
+    for k, v in S.STATE_STORE.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_incidents_open_once_and_resolve(spark, tmp_path, state_store):
     schema = "ts timestamp, incident_key string, active boolean"
-    batches = [[(minutes(0), "k", True), (minutes(1), "k", True)], [(minutes(2), "k", False)], [(minutes(3), "k", True), (minutes(3), "j", False)]]
+    batches = [[(minutes(1), "k", True), (minutes(0), "k", True)], [(minutes(3), "k", True), (minutes(2), "k", False)], [(minutes(3), "j", False)],
+               [(minutes(30), "z", False)], [(minutes(0), "k", False), (minutes(31), "z", False)]]
     got = run(spark, tmp_path, schema, batches, S.incidents, "inc")
-    assert sorted((r[0], r[3], r[1]) for r in got) == [("k", "opened", minutes(0)), ("k", "opened", minutes(3)), ("k", "resolved", minutes(0))]
+    assert sorted((r[0], r[3], r[1], r[2]) for r in got) == [
+        ("k", "opened", minutes(0), None), ("k", "opened", minutes(3), None), ("k", "resolved", minutes(0), minutes(2))]
+
+
+def lifecycle_rows(seed):
+    rng = random.Random(seed)
+    rows = []
+    for detection in range(8):
+        state = ""
+        for i in range(12):
+            state = rng.choice(K.TRANSITIONS.get(state) or [""]) if rng.random() < 0.7 else rng.choice([*K.TRANSITIONS, "LOST"])
+            rows.append((detection, minutes(rng.choice([3 * i, 3 * i + 1])), i, state or "LOST"))
+    return rows
 
 
-def test_lifecycle_violations(spark, tmp_path):
+def test_lifecycle_audit_equals_its_batch_twin_on_shuffled_rows(spark, tmp_path, state_store):
     schema = "detection_id bigint, ts timestamp, ord bigint, state string"
-    batches = [[(1, minutes(0), 0, "DETECTED"), (1, minutes(1), 1, "MANUAL_FETCH_REQUIRED")], [(1, minutes(2), 2, "APPROVED"), (2, minutes(2), 3, "LOST")]]
-    got = run(spark, tmp_path, schema, batches, S.lifecycle_violations, "life")
-    assert sorted((r[0], r[2], r[3], r[4]) for r in got) == [
-        (1, "MANUAL_FETCH_REQUIRED", "APPROVED", "FORBIDDEN_TRANSITION"), (2, "", "LOST", "UNKNOWN_STATE")]
+    rows = lifecycle_rows(1)
+    mixed = sorted(rows, key=lambda r: (r[1] + dt.timedelta(minutes=random.Random(str(r)).randrange(12)), r[0]))  # up to 12 minutes late
+    batches = [mixed[i:i + 20] for i in range(0, len(mixed), 20)] + [[(99, minutes(500), 0, "DETECTED")], [(99, minutes(501), 1, "MANUAL_FETCH_REQUIRED")]]
+    got = run(spark, tmp_path, schema, batches, lambda s: S.lifecycle_violations(s, "15 minutes"), "life")
+    twin = monitoring.lifecycle_violations(spark.createDataFrame(rows, schema)).collect()
+    assert len(twin) > 10
+    when = {(r[0], r[2]): r[1] for r in rows}
+    assert sorted((r[0], r[1], r[2], r[3], r[4]) for r in got) == sorted((r.detection_id, when[r.detection_id, r.ord], r.previous, r.state, r.violation) for r in twin)
+
+
+def test_ended_detections_are_forgotten(spark, tmp_path, state_store):
+    schema = "detection_id bigint, ts timestamp, ord bigint, state string"
+    path = ["DETECTED", "MANUAL_FETCH_REQUIRED", "FILE_RECEIVED", "VALIDATED", "DIFFED", "REVIEW_REQUIRED", "REJECTED"]
+    batches = [[(d, minutes(i), i, s) for i, s in enumerate(path) for d in range(20)], [(0, minutes(20), 9, "APPROVED")],
+               [(99, minutes(300), 0, "DETECTED")], [(99, minutes(301), 1, "BLOCKED")], [(1, minutes(302), 10, "APPLIED")], [(99, minutes(700), 2, "REJECTED")],
+               [(99, minutes(701), 3, "DETECTED")]]
+    source = str(tmp_path / "in")
+    spark.createDataFrame([], schema).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = S.lifecycle_violations(stream, "1 minute", "1 hour").writeStream.format("memory").queryName("ended").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "ck")).start()
+    try:
+        rows = []
+        for batch in batches:
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+            query.processAllAvailable()
+            rows.append(sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]))
+        got = sorted((r.detection_id, r.previous, r.state, r.violation) for r in spark.table("ended").collect())
+    finally:
+        query.stop()
+    # within the retention a row after the end is told apart; after it the detection starts anew
+    assert got == [
+        (0, "REJECTED", "APPROVED", "AFTER_TERMINAL"), (1, "", "APPLIED", "FORBIDDEN_TRANSITION"), (99, "DETECTED", "BLOCKED", "FORBIDDEN_TRANSITION")]
+    assert rows[-1] < rows[0] / 4
 
 
 def test_sla_breach_and_recovery(spark, tmp_path):
