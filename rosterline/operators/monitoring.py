@@ -173,13 +173,14 @@ def append_heartbeats(entries: DataFrame, path: str) -> None:
 def attach_upstream(snapshots: DataFrame, heartbeats: DataFrame) -> DataFrame:
     """As-of join: the last heartbeat of the source at or before each snapshot (snapshot_id, source, at).
 
-    Both tables go through one bucketed look-back by hour, so a source with most of the rows is spread over its hours.
+    Both tables go through one bucketed look-back by hour, by second in hours that are too full, so a source with most of the rows is spread.
     """
     seen = F.struct(F.col("ts").alias("checked_at"), "status", "content_hash")
     beats = heartbeats.select("source", "ts", F.lit(0).alias("kind"), "ord", F.lit(None).cast("bigint").alias("snapshot_id"), seen.alias("beat"))
     shots = snapshots.select("source", F.col("at").alias("ts"), F.lit(1).alias("kind"), F.col("snapshot_id").alias("ord"), "snapshot_id",
                              F.lit(None).cast(beats.schema["beat"].dataType).alias("beat"))
-    rows = look_back(beats.unionByName(shots), ["source"], F.date_trunc("hour", "ts"), ["ts", "kind", "ord"], F.col("beat"), "upstream", inclusive=True)
+    rows = look_back(beats.unionByName(shots), ["source"], F.date_trunc("hour", "ts"), ["ts", "kind", "ord"], F.col("beat"), "upstream", inclusive=True,
+                     finer=F.date_trunc("second", "ts"))
     return rows.filter("kind = 1").select("snapshot_id", "source", F.date_format("upstream.checked_at", ISO).alias("checked_at"),
                                           F.coalesce("upstream.status", F.lit("UNKNOWN")).alias("status"), F.coalesce("upstream.content_hash", F.lit("")).alias("content_hash"))
 
@@ -190,7 +191,7 @@ def observation_events(observations: DataFrame) -> DataFrame:
     ``observations``: document, ts, ord, available, url, content_hash, reason, baseline.
     """
     now = F.struct("available", "url", "content_hash", "reason")
-    rows = look_back(observations, ["document"], F.date_trunc("day", "ts"), ["ts", "ord"], now, "prev", inclusive=False)
+    rows = look_back(observations, ["document"], F.date_trunc("day", "ts"), ["ts", "ord"], now, "prev", inclusive=False, finer=F.date_trunc("second", "ts"))
     first, ok = F.col("prev").isNull(), F.col("available")
     kind = (
         F.when(~ok, F.when(first | F.col("prev.available") | (F.col("prev.reason") != F.col("reason")), "UNAVAILABLE"))
@@ -203,7 +204,7 @@ def observation_events(observations: DataFrame) -> DataFrame:
 
 def lifecycle_violations(events: DataFrame) -> DataFrame:
     """Log rows whose state may not follow the previous state of the detection (detection_id, ts, ord, state)."""
-    rows = look_back(events, ["detection_id"], F.date_trunc("day", "ts"), ["ts", "ord"], F.col("state"), "previous", inclusive=False)
+    rows = look_back(events, ["detection_id"], F.date_trunc("day", "ts"), ["ts", "ord"], F.col("state"), "previous", inclusive=False, finer=F.date_trunc("second", "ts"))
     previous = F.coalesce("previous", F.lit(""))
     allowed = F.lit(False)
     for state, following in K.TRANSITIONS.items():

@@ -2,7 +2,7 @@
 
 A window over (partition, order) sends every row of a hot partition to one task.  ``look_back`` cuts each
 partition into buckets that follow the order, looks back inside a bucket, and hands the last value of
-the earlier buckets over through a table with one row per bucket.
+the earlier buckets over through a table with one row per bucket.  Buckets that hold too many rows are split.
 """
 
 from __future__ import annotations
@@ -12,23 +12,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def look_back(df: DataFrame, part: list[str], bucket: Column, order: list[str], value: Column, out: str, *, inclusive: bool) -> DataFrame:
+#: Rows of a bucket beyond which it is split.
+FULL = 100_000
+
+
+def bucketed(df: DataFrame, part: list[str], bucket: Column, finer: Column | None, full: int = FULL) -> DataFrame:
+    """``df`` with __bucket and __fine: buckets that the data fill with more than ``full`` rows are split by ``finer``, the others
+    are whole (__fine is NULL).  Buckets are counted by key first, so the bounds follow the data."""
+    df = df.withColumn("__bucket", bucket)
+    if finer is None:
+        return df.withColumn("__fine", F.lit(None).cast("long"))
+    key = [*part, "__bucket"]
+    crowded = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > full).drop("__n").withColumn("__full", F.lit(True))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    met = df.withColumn("__finer", finer).alias("l").join(crowded.alias("r"), same, "left").select("l.*", "r.__full")
+    return met.withColumn("__fine", F.when(F.col("__full"), F.col("__finer"))).drop("__finer", "__full")
+
+
+def look_back(df: DataFrame, part: list[str], bucket: Column, order: list[str], value: Column, out: str, *, inclusive: bool,
+              finer: Column | None = None, full: int = FULL) -> DataFrame:
     """Add ``out``: the latest non-NULL ``value`` at or before (``inclusive``) or before the row.
 
-    ``bucket`` must not decrease along ``order``; rows of one bucket should fit a task.
+    ``bucket`` must not decrease along ``order``, nor ``finer`` inside a bucket; rows of one bucket, or of one value of ``finer`` in a
+    bucket that is too full, should fit a task.  "Last value" is associative, so it is scanned three times over ever fewer rows: inside
+    a bucket's part, over the tails of the parts of a bucket, and over the tails of the buckets.
     """
-    df = df.withColumns({"__bucket": bucket, "__value": value})
-    key = [*part, "__bucket"]
+    df = bucketed(df.withColumn("__value", value), part, bucket, finer, full)
+    whole, key = [*part, "__bucket"], [*part, "__bucket", "__fine"]
     last = W.currentRow if inclusive else -1
     local = F.last("__value", ignorenulls=True).over(W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, last))
-    place = F.when(F.col("__value").isNotNull(), F.struct(*order))
-    tails = df.groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
-    carried = F.last("__tail", ignorenulls=True).over(W.partitionBy(*part).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1))
-    carry = tails.select(*key, carried.alias("__carry"))
+    place = F.when(F.col("__value").isNotNull(), F.struct("__fine", *order))
+    earlier = lambda over: over.rowsBetween(W.unboundedPreceding, -1)
     # partition keys may be NULL: such rows are a partition of their own
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-    joined = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same, "left").select("l.*", "r.__carry")
-    return joined.withColumn(out, F.coalesce("__local", "__carry")).drop("__bucket", "__value", "__local", "__carry")
+    same = lambda names: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
+    tails = df.groupBy(*whole).agg(F.max_by("__value", place).alias("__tail"))
+    carry = tails.select(*whole, F.last("__tail", ignorenulls=True).over(earlier(W.partitionBy(*part).orderBy("__bucket"))).alias("__carry"))
+    found = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same(whole), "left").select("l.*", "r.__carry")
+    known = [F.col("__local")]
+    if finer is not None:  # only parts of buckets that were split
+        parts = df.filter("__fine IS NOT NULL").groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
+        inside = F.last("__tail", ignorenulls=True).over(earlier(W.partitionBy(*whole).orderBy("__fine")))
+        found = found.alias("l").join(parts.select(*key, inside.alias("__inside")).alias("r"), same(key), "left").select("l.*", "r.__inside")
+        known.append(F.col("__inside"))
+    return found.withColumn(out, F.coalesce(*known, "__carry")).drop("__bucket", "__fine", "__value", "__local", "__carry", "__inside")
 
 
 def numbered(df: DataFrame, buckets: list[Column], order: list[str], out: str) -> DataFrame:

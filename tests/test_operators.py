@@ -1,5 +1,6 @@
 """Rules on hand-made rows: invariants of the merge, histories, diffs, addresses, files and sinks."""
 
+import datetime as dt
 import gzip
 import random
 
@@ -115,6 +116,26 @@ def test_look_back_crosses_buckets(spark):
     assert [r["last"] for r in got] == [None if i < 3 else (i - 3) // 17 * 17 + 3 for i in range(100)]
 
 
+def test_look_back_splits_full_buckets(spark):
+    rng = random.Random(2)
+    base = dt.datetime(2026, 1, 1)
+    rows = [("hot" if i % 10 else rng.choice(["a", None]), base + dt.timedelta(seconds=rng.randrange(3600) if i % 10 else rng.randrange(90_000)), i,
+             rng.choice([None, None, i])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "p string, ts timestamp, ord long, v long").repartition(4)
+    hour, second = F.date_trunc("hour", "ts"), F.date_trunc("second", "ts")
+    sizes = sequences.bucketed(df, ["p"], hour, second, full=50).groupBy("p", "__bucket", "__fine").count().agg(F.max("count")).first()[0]
+    assert sizes <= 50
+    for inclusive in (True, False):
+        got = look_back(df, ["p"], hour, ["ts", "ord"], F.col("v"), "out", inclusive=inclusive, finer=second, full=50).collect()
+        plain = look_back(df, ["p"], hour, ["ts", "ord"], F.col("v"), "out", inclusive=inclusive).collect()
+        wanted, last = {}, {}
+        for p, _, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
+            before = last.get(p)
+            last[p] = before if v is None else v
+            wanted[i] = last[p] if inclusive else before
+        assert {r["ord"]: r["out"] for r in got} == wanted == {r["ord"]: r["out"] for r in plain}
+
+
 VECTORS = [
     ("ETH", "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1BeAed", "CHECKSUM_VALID", "EIP55"),
     ("ETH", "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1Beaed", "INVALID", "EIP55"),
