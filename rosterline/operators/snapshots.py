@@ -35,22 +35,57 @@ def _named(c: Column) -> Column:
     return F.when(c.isin(K.NULLISH), "").otherwise(c)
 
 
-def _pair_leftovers(rows: DataFrame, key: str, via: str) -> DataFrame:
-    """Mark rows whose key is present and held by exactly one leftover row on each side.
+def _digests(id_: Column, *names: str) -> list[Column]:
+    """128 bits of an id, as two numbers that can be added without carry (XOR); NULL for a NULL id, which equals nothing."""
+    parts = (F.xxhash64(id_), F.xxhash64(F.reverse(id_), F.lit(1)))
+    return [F.when(id_.isNotNull(), p).alias(n) for p, n in zip(parts, names)]
 
-    Keys are counted map-side and the counts joined back; absent keys get a per-row placeholder so
-    that they neither pair nor meet in one task.
+
+_SUMS = ["n_b", "n_a", "b1", "b2", "a1", "a2"]
+
+
+def renumbered(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(via, b1, b2, a1, a2): the digests of the ids of records that changed their id but kept a unique reference number, or else
+    unique primary names, among the records whose id is on one side only.
+
+    One narrow pass, without joining counts back to rows: every candidate key is reduced to the number of its rows and the XOR of
+    their id digests per side, so a key that one row holds on each side *is* its pair.  For the second pass, the rows that the first
+    one took are subtracted from the sums of their names.  All steps are partial sums, so a key of very many rows is no burden.
     """
-    open_key = F.when((F.col("via") == "") & (F.col(key) != ""), F.col(key)).otherwise(
-        F.concat(F.lit("\u0000"), "side", F.col("id").cast("string")))
-    rows = rows.withColumn("k", open_key)
-    counts = rows.groupBy("k").agg(
-        F.count_if(F.col("side") == "b").alias("n_b"), F.count_if(F.col("side") == "a").alias("n_a"))
-    unique = counts.filter("n_b = 1 AND n_a = 1").select("k", F.lit(True).alias("hit"))
-    marked = rows.join(unique, "k", "left")
-    return marked.select(
-        "side", "id", "by_reference", "by_names", F.when(F.col("hit"), F.lit(via)).otherwise(F.col("via")).alias("via"),
-        F.when(F.col("hit"), F.concat(F.lit(via + ":"), "k")).otherwise(F.col("pair_key")).alias("pair_key"))
+    fields = list_fields(before)
+
+    def keys(df: DataFrame, side: str) -> DataFrame:
+        ja, en = [_named(F.col(f"`{c}`")) if c in fields else F.lit("") for c in K.PRIMARY_NAME]
+        names = F.when((ja != "") | (en != ""), F.concat_ws("\u241f", ja, en)).otherwise("")
+        reference = F.coalesce(_named(F.col(f"`{REFERENCE}`")), F.lit(""))
+        return df.select(F.col(f"`{ID}`").alias("id"), F.lit(side == "b").alias("is_b"), reference.alias("reference"), F.coalesce(names, F.lit("")).alias("names"))
+
+    rows = keys(before, "b").unionByName(keys(after, "a")).filter("id IS NOT NULL")
+    one = rows.groupBy("id").agg(
+        F.count_if("is_b").alias("n_b"), F.count_if(~F.col("is_b")).alias("n_a"), F.max("reference").alias("reference"), F.max("names").alias("names"))
+    left = one.filter("n_b = 0 OR n_a = 0")
+    left = left.select("reference", "names", "n_b", "n_a", *_digests(F.col("id"), "d1", "d2"))
+    left = left.select("reference", "names", "n_b", "n_a", *[
+        F.when(F.col(f"n_{side}") > 0, F.col(f"d{i}")).otherwise(F.lit(0).cast("long")).alias(f"{side}{i}") for side in "ba" for i in (1, 2)])
+
+    def key(kind: str, c: str) -> Column:
+        return F.when(F.col(c) != "", F.struct(F.lit(kind).alias("kind"), F.col(c).alias("text")))
+
+    keyed = left.select(F.explode(F.array_compact(F.array(key("REFERENCE", "reference"), key("NAME", "names")))).alias("key"), "names", *_SUMS)
+    total = [F.sum(c).alias(c) if c.startswith("n_") else F.bit_xor(c).alias(c) for c in _SUMS]
+    of = lambda side: F.max(F.when(F.col(f"n_{side}") > 0, F.col("names"))).alias(f"names_{side}")
+    counted = keyed.groupBy("key").agg(*total, of("b"), of("a"))
+    pair = (F.col("n_b") == 1) & (F.col("n_a") == 1)
+    zero = F.lit(0).cast("long")
+    entry = lambda kind, text, **given: F.struct(
+        F.struct(F.lit(kind).alias("kind"), text.alias("text")).alias("key"), *[given.get(c, zero).cast("long").alias(c) for c in _SUMS])
+    every = {c: F.col(c) for c in _SUMS}
+    taken = {s: {f"n_{s}": F.lit(-1), f"{s}1": F.col(f"{s}1"), f"{s}2": F.col(f"{s}2")} for s in "ba"}
+    after_reference = F.when(pair, F.array(
+        entry("REFERENCE", F.col("key.text"), **every), entry("NAME", F.col("names_b"), **taken["b"]), entry("NAME", F.col("names_a"), **taken["a"])))
+    entries = F.when(F.col("key.kind") == "NAME", F.array(entry("NAME", F.col("key.text"), **every))).otherwise(after_reference)
+    rest = counted.select(F.explode(entries).alias("e")).select("e.*").groupBy("key").agg(*total)
+    return rest.filter(pair & (F.col("key.text") != "")).select(F.col("key.kind").alias("via"), "b1", "b2", "a1", "a2")
 
 
 def pair_records(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -61,27 +96,13 @@ def pair_records(before: DataFrame, after: DataFrame) -> DataFrame:
     wide rows meet in a single full outer join.
     """
     fields = list_fields(before)
-
-    def keys(df: DataFrame, side: str) -> DataFrame:
-        ja, en = [_named(F.col(f"`{c}`")) if c in fields else F.lit("") for c in K.PRIMARY_NAME]
-        names = F.when((ja != "") | (en != ""), F.concat_ws("\u241f", ja, en)).otherwise("")
-        return df.select(F.col(f"`{ID}`").alias("id"), F.lit(side).alias("side"),
-                         _named(F.col(f"`{REFERENCE}`")).alias("by_reference"), names.alias("by_names"))
-
-    mine, theirs = keys(before, "b"), keys(after, "a")
-    left = mine.join(theirs.select("id"), "id", "left_anti").unionByName(theirs.join(mine.select("id"), "id", "left_anti"))
-    left = left.withColumns({"via": F.lit(""), "pair_key": F.lit(None).cast("string")})
-    left = _pair_leftovers(left, "by_reference", "REFERENCE")
-    left = _pair_leftovers(left, "by_names", "NAME")
-    renamed = left.filter("pair_key IS NOT NULL").groupBy("pair_key").agg(
-        F.max("via").alias("via"), F.max(F.when(F.col("side") == "b", F.col("id"))).alias("join_id"),
-        F.max(F.when(F.col("side") == "a", F.col("id"))).alias("own_id"))
-    b = before.select(F.col(f"`{ID}`").alias("join_id"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("b"))
-    a = after.select(F.col(f"`{ID}`").alias("own_id"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("a"))
-    a = a.join(renamed.drop("pair_key"), "own_id", "left").select(
-        F.coalesce("join_id", "own_id").alias("join_id"), "a", F.col("via").alias("renamed_via"))
+    own = F.col(f"`{ID}`")
+    b = before.select(*_digests(own, "k1", "k2"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("b"))
+    a = after.select(*_digests(own, "a1", "a2"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("a"))
+    a = a.join(renumbered(before, after), ["a1", "a2"], "left").select(
+        F.coalesce("b1", "a1").alias("k1"), F.coalesce("b2", "a2").alias("k2"), "a", F.col("via").alias("renamed_via"))
     via = F.when(F.col("a").isNull(), "REMOVED").when(F.col("b").isNull(), "ADDED").otherwise(F.coalesce("renamed_via", F.lit("ID")))
-    return b.join(a, "join_id", "full_outer").select("b", "a", via.alias("via"))
+    return b.join(a, ["k1", "k2"], "full_outer").select("b", "a", via.alias("via"))
 
 
 def _fields_of(pairs: DataFrame) -> list[str]:
@@ -104,24 +125,29 @@ def _cells(row: str, fields: list[str]) -> Column:
     return F.expr("array(" + ", ".join(f"named_struct('f', '{c}', 'v', {row}.`{c}`)" for c in fields) + ")")
 
 
-def field_changes(pairs: DataFrame) -> DataFrame:
-    """Long field diff of paired records.
+def field_changes(pairs: DataFrame, unpaired: bool = False) -> DataFrame:
+    """Long field diff of paired records; with ``unpaired`` also one row, without field, for each record of one side (``via`` tells which).
 
     The rows are already side by side, so the 32 columns are compared in place and only changed cells
     are exploded; nothing is unpivoted or joined again.  ``others`` holds the other cells of the row
     in which moved information would still be found; it is set only where that question arises.
     """
     fields = _fields_of(pairs)
-    matched = pairs.filter("b IS NOT NULL AND a IS NOT NULL")
+    both = "b IS NOT NULL AND a IS NOT NULL"
+    matched = pairs if unpaired else pairs.filter(both)
     cells = F.expr("array(" + ", ".join(
         f"named_struct('pos', {i}, 'field', '{c}', 'before', b.`{c}`, 'after', a.`{c}`)" for i, c in enumerate(fields)) + ")")
     reference = F.when(F.col(f"a.`{REFERENCE}`") != "", F.col(f"a.`{REFERENCE}`")).otherwise(F.col(f"b.`{REFERENCE}`"))
     after_name = _display_name("a", fields)
+    changed = F.filter(cells, lambda c: ~c["before"].eqNullSafe(c["after"]))
+    if unpaired:
+        none = F.expr("array(named_struct('pos', 0, 'field', CAST(NULL AS STRING), 'before', '', 'after', ''))")
+        changed = F.when(F.expr(both), changed).otherwise(none)
     wide = matched.select(
         F.col(f"b.`{ID}`").alias("before_id"), F.col(f"a.`{ID}`").alias("after_id"), reference.alias("un_reference"),
         F.when(after_name != "（名称不明）", after_name).otherwise(_display_name("b", fields)).alias("name"),
-        F.filter(cells, lambda c: ~c["before"].eqNullSafe(c["after"])).alias("changed"), "b", "a")
-    long = explode_once(wide, ["before_id", "after_id", "un_reference", "name", "b", "a"], F.col("changed"), "c")
+        changed.alias("changed"), "b", "a", "via")
+    long = explode_once(wide, ["before_id", "after_id", "un_reference", "name", "b", "a", "via"], F.col("changed"), "c")
     appeared, vanished = F.col("c.before") == "", F.col("c.after") == ""
 
     def others(row: str) -> Column:
@@ -133,15 +159,16 @@ def field_changes(pairs: DataFrame) -> DataFrame:
     return long.select(
         "before_id", "after_id", "un_reference", "name", F.col("c.pos").alias("pos"), F.col("c.field").alias("field"),
         F.col("c.before").alias("before"), F.col("c.after").alias("after"),
-        F.when(echo & appeared, others("b")).when((echo & vanished) | passport, others("a")).otherwise("").alias("others"))
+        F.when(echo & appeared, others("b")).when((echo & vanished) | passport, others("a")).otherwise("").alias("others"),
+        *([F.col("via")] if unpaired else []))
 
 
-def _folded(df: DataFrame, column: str, out: str, udf) -> DataFrame:
-    """NFKC form of a column; ASCII text is unchanged by NFKC and never reaches Python."""
-    wide = f"__{out}"
-    df = df.withColumn(wide, udf(F.when(~N.is_ascii(F.col(column)), F.col(column))))
-    plain = F.col(column) if udf is N.nfkc else F.lower(column)
-    return df.withColumn(out, F.coalesce(wide, plain)).drop(wide)
+def _folded(df: DataFrame, columns: dict[str, str], udf) -> DataFrame:
+    """NFKC forms of columns (out: column) in one Python stage; ASCII text is unchanged by NFKC and never reaches Python."""
+    wide = {f"__{out}": udf(F.when(~N.is_ascii(F.col(column)), F.col(column))) for out, column in columns.items()}
+    plain = lambda c: F.col(c) if udf is N.nfkc else F.lower(c)
+    df = df.withColumns(wide)
+    return df.withColumns({out: F.coalesce(f"__{out}", plain(column)) for out, column in columns.items()}).drop(*wide)
 
 
 def _evidence(c: Column, keep: str = "") -> Column:
@@ -159,9 +186,7 @@ def _id_tokens(c: Column) -> Column:
 
 def moved_information(changes: DataFrame) -> DataFrame:
     """Flag changes whose value only moved to or from another column of the record."""
-    df = changes
-    for column in ("before", "after", "others"):
-        df = _folded(df, column, f"{column}_fold", N.nfkc_casefold)
+    df = _folded(changes, {f"{column}_fold": column for column in ("before", "after", "others")}, N.nfkc_casefold)
     appeared, vanished = F.col("before") == "", F.col("after") == ""
     token = _evidence(F.when(appeared, F.col("after_fold")).otherwise(F.col("before_fold")))
     elsewhere = (F.length(token) >= 2) & F.contains(_evidence(F.col("others_fold"), keep=CELL_GAP), token)
@@ -179,28 +204,31 @@ def moved_information(changes: DataFrame) -> DataFrame:
     return df.withColumn("moved", moved).drop("before_fold", "after_fold", "others_fold", "others")
 
 
-def _with_semantic(df: DataFrame, side: str) -> DataFrame:
-    """Comparable value of a cell in ``<side>_sem``: NFKC, blanks, separators, then the rules of its field class."""
-    df = _folded(df, side, "__plain", N.nfkc)
-    caseless = F.when(_field_in(K.CASELESS_FIELDS), F.col("__plain"))
-    df = _folded(df.withColumn("__caseless", caseless), "__caseless", "__low", N.casefold)
-    out, field = f"{side}_sem", F.col("field")
-    s = F.regexp_replace(F.coalesce("__low", "__plain"), r"[ \t\u00a0]+", " ")
-    df = df.withColumn(out, F.regexp_replace(s, r"(?U)\s*([;,:])\s*", "$1"))
-    v = F.col(out)
-    place = F.regexp_replace(F.regexp_replace(v, "[,，]+", " "), r"[ \t]+", " ")
-    by_class = (
-        F.when(_field_in(K.DATE_FIELDS), F.regexp_replace(v, r"(?<![0-9])0+(?=[0-9])", ""))
-        .when(_field_in(K.LOCATION_FIELDS), place)
-        .when(_field_in(K.SUPPLEMENT_FIELDS), F.regexp_replace(v, r"(?U)\s+", "")).otherwise(v))
-    df = df.withColumn(out, by_class)
-    return df.withColumn(out, N.strip(F.regexp_replace(v, r"(?U)[^\S\n]*\n[^\S\n]*", "\n"))).drop("__plain", "__caseless", "__low")
+def _with_semantic(df: DataFrame, sides: tuple[str, ...] = ("before", "after")) -> DataFrame:
+    """Comparable value of each side's cell in ``<side>_sem``: NFKC, blanks, separators, then the rules of its field class."""
+    df = _folded(df, {f"__plain_{side}": side for side in sides}, N.nfkc)
+    df = df.withColumns({f"__caseless_{side}": F.when(_field_in(K.CASELESS_FIELDS), F.col(f"__plain_{side}")) for side in sides})
+    df = _folded(df, {f"__low_{side}": f"__caseless_{side}" for side in sides}, N.casefold)
+
+    def comparable(v: Column) -> Column:
+        place = F.regexp_replace(F.regexp_replace(v, "[,，]+", " "), r"[ \t]+", " ")
+        by_class = (
+            F.when(_field_in(K.DATE_FIELDS), F.regexp_replace(v, r"(?<![0-9])0+(?=[0-9])", ""))
+            .when(_field_in(K.LOCATION_FIELDS), place)
+            .when(_field_in(K.SUPPLEMENT_FIELDS), F.regexp_replace(v, r"(?U)\s+", "")).otherwise(v))
+        return by_class
+
+    spaced = lambda side: F.regexp_replace(F.coalesce(f"__low_{side}", f"__plain_{side}"), r"[ \t\u00a0]+", " ")
+    df = df.withColumns({f"{side}_sem": F.regexp_replace(spaced(side), r"(?U)\s*([;,:])\s*", "$1") for side in sides})
+    df = df.withColumns({f"{side}_sem": comparable(F.col(f"{side}_sem")) for side in sides})
+    df = df.withColumns({f"{side}_sem": N.strip(F.regexp_replace(F.col(f"{side}_sem"), r"(?U)[^\S\n]*\n[^\S\n]*", "\n")) for side in sides})
+    return df.drop(*[f"__{kind}_{side}" for kind in ("plain", "caseless", "low") for side in sides])
 
 
 def classify_impact(changes: DataFrame) -> DataFrame:
     """Impact class, material flag and kind label of every field change; the first rule that fits wins."""
     df = moved_information(changes)
-    df = _with_semantic(_with_semantic(df, "before"), "after")
+    df = _with_semantic(df)
     field = F.col("field")
     impact = (
         F.when(_field_in(K.AGGREGATE_FIELDS), K.IMPACT_AGGREGATE)
@@ -219,23 +247,24 @@ def classify_impact(changes: DataFrame) -> DataFrame:
     })
 
 
-def diff_summary(pairs: DataFrame, classified: DataFrame) -> DataFrame:
+def diff_summary(classified: DataFrame) -> DataFrame:
     """One row of counts for a transition: records added, removed, amended; field changes per impact.
 
-    Changes are folded per record first, so the distinct record counts need no distinct aggregate.
+    ``classified``: the field changes of all pairs, records of one side included (``unpaired``).  Changes are folded per record first, so
+    the distinct record counts need no distinct aggregate, and the pairs are read once.
     """
     record = F.when(F.col("after_id") != "", F.col("after_id")).otherwise(F.col("before_id"))
+    changed = F.col("field").isNotNull()
     tests = {
         "field_changes": F.col("material"), "raw_field_changes": F.lit(True), "cosmetic_changes": F.col("impact") == K.IMPACT_COSMETIC,
         "aggregate_changes": F.col("impact") == K.IMPACT_AGGREGATE, "structure_changes": F.col("impact") == K.IMPACT_MOVED,
     }
-    folded = classified.groupBy(record.alias("record")).agg(*[F.count_if(test).alias(c) for c, test in tests.items()])
-    changes = folded.agg(
-        F.count_if(F.col("field_changes") > 0).alias("amended"), F.count(F.lit(1)).alias("raw_amended"), *[F.sum(c).alias(c) for c in tests])
-    records = pairs.agg(F.count_if(F.col("via") == "ADDED").alias("added"), F.count_if(F.col("via") == "REMOVED").alias("removed"))
-    columns = ["added", "removed", "amended", "raw_amended", *tests]
-    both = records.unionByName(changes, allowMissingColumns=True)
-    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+    alone = {"added": "ADDED", "removed": "REMOVED"}
+    folded = classified.groupBy(record.alias("record"), changed.alias("changed")).agg(
+        *[F.count_if(changed & test).alias(c) for c, test in tests.items()], *[F.count_if(~changed & (F.col("via") == v)).alias(c) for c, v in alone.items()])
+    return folded.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in alone], F.count_if(F.col("changed") & (F.col("field_changes") > 0)).alias("amended"),
+        F.count_if("changed").alias("raw_amended"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in tests])
 
 
 # --- review cases ------------------------------------------------------------------------
@@ -251,10 +280,9 @@ def review_cases(changes: DataFrame) -> DataFrame:
     ``changes``: after_raw, record_id, detected_at, name, un_reference, pos, field, before, after, impact.
     A group holds at most the columns of the list, so gathering it is bounded.
     """
-    df = changes
-    for column in ("before", "after"):
-        alias_only = F.when(F.col("field").isin(K.STRONG_ALIAS + K.WEAK_ALIAS), F.col(column)).otherwise("")
-        df = _folded(df.withColumn("__alias", alias_only), "__alias", f"{column}_fold", N.nfkc_casefold).drop("__alias")
+    alias_only = lambda column: F.when(F.col("field").isin(K.STRONG_ALIAS + K.WEAK_ALIAS), F.col(column)).otherwise("")
+    df = changes.withColumns({f"__alias_{column}": alias_only(column) for column in ("before", "after")})
+    df = _folded(df, {f"{column}_fold": f"__alias_{column}" for column in ("before", "after")}, N.nfkc_casefold)
     row = F.struct("pos", "field", "before", "after", "impact", "before_fold", "after_fold")
     grouped = df.groupBy("after_raw", "record_id").agg(
         F.min_by(F.struct("detected_at", "name", "un_reference"), "pos").alias("head"),
@@ -329,7 +357,7 @@ def diff_keyed_records(old: DataFrame, new: DataFrame) -> DataFrame:
     def side(df: DataFrame, name: str) -> DataFrame:
         keyed = N.with_identity_key(df.select(*attrs), "company")
         text = F.concat_ws(CELL_GAP, "country", "wmd", "conventional_weapons", F.concat_ws("\u0002", "aliases"))
-        keyed = _folded(keyed.withColumn("__text", text), "__text", "__fold", N.casefold)
+        keyed = _folded(keyed.withColumn("__text", text), {"__fold": "__text"}, N.casefold)
         squeeze = F.regexp_replace("__fold", r"(?U)\s+", " ")
         parts = F.transform(F.split(squeeze, CELL_GAP), N.strip)
         aliases = F.transform(F.split(F.get(parts, F.lit(3)), "\u0002"), N.strip)

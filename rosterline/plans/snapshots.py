@@ -141,8 +141,7 @@ SELECT (SELECT count(*) FROM paired WHERE via = 'ADDED') AS added, (SELECT count
 FROM kinds
 """)
 def _(x):
-    pairs = _pairs(x)
-    return S.diff_summary(pairs, S.classify_impact(S.field_changes(pairs)))
+    return S.diff_summary(S.classify_impact(S.field_changes(_pairs(x), unpaired=True)))
 
 
 def _cases(x):
