@@ -294,6 +294,34 @@ def missing_documents(links: DataFrame, resources: DataFrame) -> DataFrame:
     return found.select("notice_url", F.coalesce("r_key", "key").alias("pending_key"), reason.alias("reason")).filter("reason IS NOT NULL").distinct()
 
 
+CURRENT_LISTS = ["current_un", "current_1373"]
+
+
+def pending_documents(sites: DataFrame, resources: DataFrame, links: DataFrame, notices: DataFrame) -> DataFrame:
+    """What the document families of every site still wait for: site, family (catalog or press), pending_key, reason.
+
+    The catalog waits for each of its two current lists without an available resource.  The press family waits for its
+    unavailable notices and attachments, whether a link names them or not, for linked attachments without a fitting resource
+    (``missing_documents``), and for pending notices.  ``resources``: site, key, role, url, notice_url, available,
+    last_success_at; ``links``: site, key, notice_url, url, observed_at; ``notices``: site, key.  A key of the press family pends once, with the
+    reason of the link before its own."""
+    there = F.coalesce("available", F.lit(False))
+    wanted = sites.select("site", F.explode(F.array(*map(F.lit, CURRENT_LISTS))).alias("key"))
+    current = resources.filter(F.col("role") == "current_pdf").groupBy("site", "key").agg(F.bool_or(there).alias("available"))
+    lists = wanted.join(current, ["site", "key"], "left").filter(~there).select(
+        "site", F.lit("catalog").alias("family"), F.col("key").alias("pending_key"), F.lit("NO_CURRENT_LIST").alias("reason"))
+    press = resources.filter(F.col("role").isin("notice", "attachment_pdf"))
+    own = press.filter(~there).select("site", F.col("key").alias("pending_key"), F.lit("UNAVAILABLE").alias("reason"), F.lit(1).alias("rank"))
+    named = lambda df: df.withColumns({c: F.concat_ws("\u241f", "site", c) for c in ("key", "notice_url")}).drop("site")
+    linked = missing_documents(named(links), named(press.filter("role = 'attachment_pdf'")))
+    part = lambda i: F.element_at(F.split("pending_key", "\u241f"), i)
+    linked = linked.select(part(1).alias("site"), part(2).alias("pending_key"), "reason", F.lit(0).alias("rank"))
+    waiting = own.unionByName(linked).groupBy("site", "pending_key").agg(F.min(F.struct("rank", "reason")).alias("r"))
+    waiting = waiting.select("site", F.lit("press").alias("family"), "pending_key", F.col("r.reason").alias("reason"))
+    late = notices.select("site", F.lit("press").alias("family"), F.col("key").alias("pending_key"), F.lit("PENDING_NOTICE").alias("reason"))
+    return lists.unionByName(waiting).unionByName(late)
+
+
 def family_status(families: DataFrame, resources: DataFrame, queue: DataFrame, missing: DataFrame, errors: DataFrame) -> DataFrame:
     """Status per document family; the first rule that applies wins.
 

@@ -485,9 +485,49 @@ def audit_tokens(expected: DataFrame, reached: DataFrame) -> DataFrame:
     return both.withColumn("violation", violation).filter("violation IS NOT NULL")
 
 
+ACTIONABLE = ["READY_ADD", "READY_TAG_EXISTING", "NOOP_ALREADY_METI"]
+
+
+def primary_outcomes(records: DataFrame, reached: DataFrame) -> DataFrame:
+    """The plan's outcome for the primary name of every record: record_no, n_outcomes, action, match_key, name, held, violation.
+
+    ``records``: record_no; ``reached``: the plan's tokens (record_no, kind, action, match_key, name).  Exactly one row of the plan may
+    rest on a record's primary name; a hold is an outcome too."""
+    outcome = F.struct("action", "match_key", "name")
+    found = reached.filter("kind = 'PRIMARY'").groupBy("record_no").agg(F.count(F.lit(1)).alias("n"), F.min(outcome).alias("o"))
+    rows = records.select("record_no").distinct().join(found, "record_no", "left")
+    n = F.coalesce("n", F.lit(0))
+    one = lambda c: F.when(n == 1, F.col(f"o.{c}"))
+    return rows.select(
+        "record_no", n.alias("n_outcomes"), one("action").alias("action"), one("match_key").alias("match_key"), one("name").alias("name"),
+        F.startswith(one("action"), F.lit("HOLD")).alias("held"), F.when(n == 0, "NO_PRIMARY").when(n > 1, "SEVERAL_PRIMARY").alias("violation"))
+
+
+def audit_action_counts(plan: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Actions whose number of plan rows is not the one that the apply ledger (action, n) recorded."""
+    planned = plan.groupBy("action").agg(F.count(F.lit(1)).alias("n_plan"))
+    recorded = ledger.groupBy("action").agg(F.sum("n").alias("n_ledger"))
+    return planned.join(recorded, "action", "full_outer").fillna(0, ["n_plan", "n_ledger"]).filter("n_plan <> n_ledger")
+
+
+def unchanged_since_apply(master: DataFrame, applied: DataFrame, fields: list[str]) -> DataFrame:
+    """Whether the master still is what the ledger of an apply (run, n_rows, state_hash) recorded; one row for each run."""
+    now = state_digest(master, fields).select(F.col("n_rows").alias("current_count"), F.col("state_hash").alias("current_hash"))
+    # the digest is one row; a key that both sides share makes it an equi-join
+    return applied.withColumn("one", F.lit(1)).join(now.withColumn("one", F.lit(1)), "one").select(
+        "run", F.col("n_rows").alias("apply_count"), "current_count", (F.col("state_hash") == F.col("current_hash")).alias("unchanged"))
+
+
+def primary_details(outcomes: DataFrame, master: DataFrame, source: str = K.SRC_METI) -> DataFrame:
+    """Where the primary name of every record stands in the master: in_master, tagged; ``outcomes`` as of ``primary_outcomes``."""
+    held = master.select("match_key", F.array_contains("sources", source).alias("tagged"), F.lit(True).alias("there"))
+    return outcomes.join(held, "match_key", "left").select(
+        "record_no", "action", "name", "match_key", F.coalesce("there", F.lit(False)).alias("in_master"), F.coalesce("tagged", F.lit(False)).alias("tagged"))
+
+
 def audit_applied(plan: DataFrame, master: DataFrame, source: str = K.SRC_METI) -> DataFrame:
     """Plan rows against the applied master: actionable keys must exist and carry the tag."""
-    ready = plan.filter(F.col("action").isin("READY_ADD", "READY_TAG_EXISTING", "NOOP_ALREADY_METI"))
+    ready = plan.filter(F.col("action").isin(ACTIONABLE))
     row = ready.select("action", "match_key").join(master.select("match_key", "sources", "status"), "match_key", "left")
     violation = (
         F.when(F.col("sources").isNull(), "MASTER_ROW_MISSING")

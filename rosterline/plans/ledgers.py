@@ -399,6 +399,54 @@ def _(x):
     return L.missing_documents(x.view("document_links").drop("family"), x.view("document_resources").drop("family"))
 
 
+@view("site_resources")
+def _(d):
+    """Resources of many sites: notices, attachments and the two current lists; some unavailable, some without a link."""
+    key = "CASE WHEN doc_id % 7 = 1 THEN 'import:' || CAST(doc_id AS STRING) ELSE 'attachment:' || CAST(doc_id AS STRING) END"
+    site = "source"
+    return f"""
+SELECT {site} AS site, CASE WHEN doc_id % 3 = 0 THEN 'notice:' || CAST(doc_id AS STRING) ELSE {key} END AS {d.q('key')}, CASE WHEN doc_id % 3 = 0 THEN 'notice' ELSE 'attachment_pdf' END AS role,
+  'https://host.example/' || CAST(doc_id AS STRING) || CASE WHEN doc_id % 11 = 2 THEN '-v2.pdf' ELSE '.pdf' END AS url, CAST({d.div('doc_id', '5')} AS STRING) AS notice_url,
+  doc_id % 13 <> 3 AS available, CASE WHEN doc_id % 17 = 4 THEN '2025-12-31' ELSE '2026-02-01' END AS last_success_at FROM {d.t('documents')} WHERE doc_id % 19 <> 5
+UNION ALL SELECT {site}, CASE WHEN doc_id % 10 = 1 THEN 'current_un' ELSE 'current_1373' END, 'current_pdf', 'https://host.example/c', '', doc_id % 100 < 50, '2026-02-01' FROM {d.t('documents')} WHERE doc_id % 10 IN (1, 2)
+"""
+
+
+@view("site_links")
+def _(d):
+    """Attachments that press notices name."""
+    return f"""SELECT source AS site, 'attachment:' || CAST(doc_id AS STRING) AS {d.q('key')}, CAST({d.div('doc_id', '5')} AS STRING) AS notice_url,
+  'https://host.example/' || CAST(doc_id AS STRING) || '.pdf' AS url, '2026-01-01' AS observed_at FROM {d.t('documents')} WHERE doc_id % 3 = 1"""
+
+
+@view("site_notices")
+def _(d):
+    return f"SELECT source AS site, 'pending:' || CAST(doc_id AS STRING) AS {d.q('key')} FROM {d.t('documents')} WHERE doc_id % 23 = 6"
+
+
+PENDING = """
+res AS (SELECT * FROM site_resources WHERE role = 'attachment_pdf'),
+hit AS (SELECT l.*, r.key AS rk, r.url AS ru, r.available AS av, r.last_success_at AS ls FROM site_links l JOIN res r ON r.site = l.site AND r.key = l.key
+  UNION ALL SELECT l.*, r.key, r.url, r.available, r.last_success_at FROM site_links l LEFT JOIN res r ON r.site = l.site AND r.url = l.url AND r.notice_url = l.notice_url
+  WHERE NOT EXISTS (SELECT 1 FROM res k WHERE k.site = l.site AND k.key = l.key)),
+linked AS (SELECT site, coalesce(rk, key) AS pending_key, CASE WHEN rk IS NULL THEN 'NO_RESOURCE' WHEN NOT av THEN 'UNAVAILABLE' WHEN ru <> url THEN 'URL_CHANGED' WHEN ls < observed_at THEN 'STALE' END AS reason FROM hit),
+own AS (SELECT site, key AS pending_key FROM site_resources WHERE role <> 'current_pdf' AND NOT available),
+lists AS (SELECT s.site, k.key FROM (SELECT DISTINCT site FROM site_resources) s, (VALUES ('current_un'), ('current_1373')) AS k(key)),
+pending AS (
+  SELECT site, 'catalog' AS family, key AS pending_key, 'NO_CURRENT_LIST' AS reason FROM lists l
+    WHERE NOT EXISTS (SELECT 1 FROM site_resources r WHERE r.site = l.site AND r.key = l.key AND r.role = 'current_pdf' AND r.available)
+  UNION ALL SELECT site, 'press', pending_key, min(reason) FROM linked WHERE reason IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT DISTINCT site, 'press', pending_key, 'UNAVAILABLE' FROM own o WHERE NOT EXISTS (SELECT 1 FROM linked l WHERE l.reason IS NOT NULL AND l.site = o.site AND l.pending_key = o.pending_key)
+  UNION ALL SELECT site, 'press', key, 'PENDING_NOTICE' FROM site_notices)
+"""
+
+
+@query("j11_pending_documents", views="site_resources site_links site_notices", oracle=f"WITH {PENDING} SELECT * FROM pending")
+def _(x):
+    resources = x.view("site_resources")
+    return L.pending_documents(resources.select("site").distinct(), resources, x.view("site_links"), x.view("site_notices"))
+
+
 @view("document_families")
 def _(d):
     return f"""

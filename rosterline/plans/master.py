@@ -416,6 +416,77 @@ def _(x):
     return M.audit_tokens(expected, faulty)
 
 
+OUTCOMES = f"""
+WITH {CANDIDATES},
+prim AS (SELECT c.record_no, p.action, p.match_key, c.name FROM cand c JOIN plan p ON p.match_key = c.match_key WHERE c.kind = 'PRIMARY'),
+reached AS (SELECT * FROM prim WHERE record_no % 83 <> 4 UNION ALL SELECT * FROM prim WHERE record_no % 71 = 2 AND record_no % 83 <> 4),
+counted AS (SELECT record_no, count(*) AS n, min(action) AS action, min(match_key) AS match_key, min(name) AS name FROM reached GROUP BY record_no),
+outcomes AS (SELECT r.record_no, coalesce(n, 0) AS n_outcomes, CASE WHEN n = 1 THEN action END AS action, CASE WHEN n = 1 THEN match_key END AS match_key,
+    CASE WHEN n = 1 THEN name END AS name FROM (SELECT DISTINCT record_no FROM plan_records) r LEFT JOIN counted c ON c.record_no = r.record_no)
+"""
+
+
+def _outcomes(x):
+    """Primary outcomes of a plan in which some primary tokens are lost and some stand twice."""
+    reached = M.plan_tokens(*_plan(x))
+    faulty = reached.filter("record_no % 83 <> 4").unionByName(reached.filter("kind = 'PRIMARY' AND record_no % 71 = 2 AND record_no % 83 <> 4"))
+    return M.primary_outcomes(x.view("plan_records"), faulty)
+
+
+@query("j8_primary_outcomes", views="plan_records master", oracle=OUTCOMES + """
+SELECT *, starts_with(action, 'HOLD') AS held, CASE WHEN n_outcomes = 0 THEN 'NO_PRIMARY' WHEN n_outcomes > 1 THEN 'SEVERAL_PRIMARY' END AS violation FROM outcomes
+""")
+def _(x):
+    return _outcomes(x)
+
+
+@query("j8_action_counts", views="plan_records master", oracle=f"""
+WITH {CANDIDATES},
+p AS (SELECT action, count(*) AS n FROM plan GROUP BY action),
+ledger AS (SELECT action, n + CASE WHEN action = 'READY_ADD' THEN 2 ELSE 0 END AS n FROM p WHERE action <> 'HOLD_WEAK_ALIAS' UNION ALL SELECT 'HOLD_REVIEW', 3)
+SELECT coalesce(p.action, l.action) AS action, coalesce(p.n, 0) AS n_plan, CAST(coalesce(l.n, 0) AS BIGINT) AS n_ledger
+FROM p FULL JOIN ledger l ON l.action = p.action WHERE coalesce(p.n, 0) <> coalesce(l.n, 0)
+""")
+def _(x):
+    """A ledger that recorded two additions too many, no weak aliases, and reviews that the plan does not have."""
+    plan = _plan(x)[1]
+    counts = plan.groupBy("action").agg(F.count(F.lit(1)).alias("n")).filter("action <> 'HOLD_WEAK_ALIAS'")
+    ledger = counts.select("action", (F.col("n") + F.when(F.col("action") == "READY_ADD", 2).otherwise(0)).alias("n"))
+    return M.audit_action_counts(plan, ledger.unionByName(x.spark.sql("SELECT 'HOLD_REVIEW' AS action, 3L AS n")))
+
+
+@query("j9_unchanged_since_apply", views="master", oracle=f"""
+WITH r AS (SELECT match_key, {MASTER_ROW} AS member FROM master),
+now AS (SELECT count(*) AS n, {digest_sql('member')} AS h FROM r), then_ AS (SELECT count(*) AS n, {digest_sql('member')} AS h FROM r WHERE match_key NOT LIKE '%7')
+SELECT 'same' AS run, now.n AS apply_count, now.n AS current_count, true AS unchanged FROM now
+UNION ALL SELECT 'edited', then_.n, now.n, then_.h = now.h FROM now, then_
+""")
+def _(x):
+    """Two applies: after one nothing changed, after the other rows were added."""
+    master = x.view("master")
+    run = lambda name, rows: M.state_digest(rows, K.MASTER_COLUMNS).withColumn("run", F.lit(name))
+    return M.unchanged_since_apply(master, run("same", master).unionByName(run("edited", master.filter("match_key NOT LIKE '%7'"))), K.MASTER_COLUMNS)
+
+
+@query("j9_master_keys", views="master", oracle="""
+WITH k AS (SELECT match_key FROM master UNION ALL SELECT match_key FROM master WHERE match_key LIKE '%5' UNION ALL SELECT '' FROM master WHERE match_key LIKE '%99')
+SELECT match_key, count(*) AS n_rows, CASE WHEN match_key = '' THEN 'EMPTY_KEY' ELSE 'DUPLICATE_KEY' END AS violation FROM k GROUP BY match_key HAVING match_key = '' OR count(*) > 1
+""")
+def _(x):
+    """The key gate of the applied master, over a master with repeated and empty keys."""
+    master = x.view("master").select("match_key")
+    return M.duplicate_keys(master.unionByName(master.filter("match_key LIKE '%5'")).unionByName(
+        master.filter("match_key LIKE '%99'").select(F.lit("").alias("match_key"))), "match_key")
+
+
+@query("j9_primary_details", views="plan_records master", oracle=OUTCOMES + """
+SELECT record_no, action, name, o.match_key, m.match_key IS NOT NULL AS in_master, coalesce(list_contains(m.sources, '経産省'), false) AS tagged
+FROM outcomes o LEFT JOIN master m ON m.match_key = o.match_key
+""")
+def _(x):
+    return M.primary_details(_outcomes(x), x.view("master"))
+
+
 @query("j9_applied_plan_audit", views="plan_records master", oracle=f"""
 WITH {CANDIDATES}
 SELECT p.match_key, action, CASE WHEN m.match_key IS NULL THEN 'MASTER_ROW_MISSING' ELSE 'SOURCE_TAG_MISSING' END AS violation
