@@ -471,6 +471,99 @@ def _(x):
     return D.page_links(x.view("catalog_pages"), ["www.mofa.go.jp", "mofa.go.jp"])
 
 
+HOSTS = ["www.mofa.go.jp", "mofa.go.jp"]
+P = "CAST(page_id AS STRING)"
+
+
+@view("catalog_html")
+def _(d):
+    """Catalogue pages after the page's own source: the two current lists, some missing, doubled or elsewhere, and links that do not count."""
+    return f"""
+SELECT page_id, 'https://www.mofa.go.jp/mofaj/gaiko/terro/kyoryoku_05.html' AS url, CASE WHEN page_id % 11 = 10 THEN '' ELSE html || CASE WHEN page_id % 5 = 3 THEN '<div>' ELSE '<div class="m" id="maincontents">' END
+  || '<div class="b"></div><ul><li>資産凍結措置対象リスト <a class="x" href="/files/un' || {P} || '.pdf">国連 <b>1267</b></a></li>'
+  || CASE WHEN page_id % 5 = 2 THEN '' ELSE '<li>資産凍結措置対象リスト<p><a href=files/r' || {P} || '.PDF?x=1#f>1373 号</a></p></li>' END
+  || CASE WHEN page_id % 5 = 1 THEN '<li>資産凍結措置対象リスト <a href="/files/second.pdf">1267</a></li>' ELSE '' END
+  || CASE WHEN page_id % 7 = 1 THEN '<li><p>資産凍結措置対象リスト</p><A HREF="https://host.example/x.pdf">1373 他</A></li>' ELSE '' END
+  || '<li><a href="/other.pdf">1267 no phrase</a></li></ul><!-- <li>資産凍結措置対象リスト<a href="/c.pdf">1373</a></li> --></div><p>資産凍結措置対象リスト <a href="/late.pdf">1267</a></p>' END AS html FROM {d.t('pages')}
+"""
+
+
+LISTS = """
+k AS (SELECT page_id, page_id % 5 = 3 AS headless, page_id % 11 = 10 AS empty FROM catalog_html),
+lists AS (SELECT page_id, 'current_un' AS role, 'https://www.mofa.go.jp/files/un' || page_id || '.pdf' AS url, '国連 1267' AS title, true AS official FROM k WHERE NOT headless AND NOT empty
+  UNION ALL SELECT page_id, 'current_1373', 'https://www.mofa.go.jp/mofaj/gaiko/terro/files/r' || page_id || '.PDF?x=1', '1373 号', true FROM k WHERE NOT headless AND NOT empty AND page_id % 5 <> 2
+  UNION ALL SELECT page_id, 'current_un', 'https://www.mofa.go.jp/files/second.pdf', '1267', true FROM k WHERE NOT empty AND page_id % 5 = 1
+  UNION ALL SELECT page_id, 'current_1373', 'https://host.example/x.pdf', '1373 他', false FROM k WHERE NOT headless AND NOT empty AND page_id % 7 = 1)
+"""
+
+
+@query("s10_current_lists", views="catalog_html", oracle=f"WITH {LISTS} SELECT * FROM lists")
+def _(x):
+    return D.current_lists(D.page_anchors(x.view("catalog_html"), HOSTS))
+
+
+@query("s10_catalog_gates", views="catalog_html", oracle=f"""
+WITH {LISTS}, w AS (SELECT k.*, r.role, (SELECT count(*) FROM lists l WHERE l.page_id = k.page_id AND l.role = r.role) AS n, (SELECT bool_and(official) FROM lists l WHERE l.page_id = k.page_id AND l.role = r.role) AS ok
+  FROM k, (VALUES ('current_un'), ('current_1373')) AS r(role))
+SELECT DISTINCT page_id, CASE WHEN empty THEN 'EMPTY_HTML' WHEN headless THEN 'MAIN_MISSING' WHEN n = 0 THEN 'CURRENT_LIST_MISSING' WHEN n > 1 THEN 'DUPLICATE_CURRENT_LIST' ELSE 'FORBIDDEN_URL' END AS violation,
+  CASE WHEN NOT empty AND NOT headless THEN role END AS role FROM w WHERE empty OR headless OR n <> 1 OR NOT ok
+""")
+def _(x):
+    pages = x.view("catalog_html")
+    return D.catalog_violations(pages, D.current_lists(D.page_anchors(pages, HOSTS)))
+
+
+@view("listing_html")
+def _(d):
+    """Release listings of September 2026: month links, dated entries, entries of the month before, links of another kind."""
+    return f"""
+SELECT page_id, 'https://www.mofa.go.jp/mofaj/press/release/index.html' AS url, html || '<div id="maincontents"><h1>報道発表</h1><h2>8月 31日</h2><p><a href="/mofaj/press/release/8_8_index.html">8月</a>'
+  || '<a href="/press/release/2026/7.html">7月</a><a href="/release/8_13_index.html">13月</a></p><div id="pressrelease"><dl><dt>9月 <b>x</b></dt><dt>９月<i> </i>9月 1日（火）</dt><dd><a href="press' || {P} || '_1.html?a=1">件名&nbsp;' || {P} || '</a></dd>'
+  || '<dd><a href="/mofaj/press/release/8_9_index.html">一覧</a></dd>' || CASE WHEN page_id % 3 = 0 THEN '<dt>8月30日</dt><dd><div><a href="press' || {P} || '_0.html">前月</a></div></dd>' ELSE '' END
+  || CASE WHEN page_id % 4 = 1 THEN '<dt>9月2日</dt><dd><a href="/files/a.pdf">資料</a></dd>' ELSE '' END || CASE WHEN page_id % 6 = 1 THEN '<dt>9月31日</dt><dd><a href="bad.html">日付</a></dd>' ELSE '' END
+  || '</dl></div><h2>9月9日</h2><p><a href="outside.html">外</a></p></div>' AS html, 2026 AS year, 9 AS month_no, page_id % 2 = 0 AS rolling FROM {d.t('pages')}
+"""
+
+
+@query("s10_release_entries", views="listing_html", oracle="""
+WITH p AS (SELECT page_id, 'https://www.mofa.go.jp/mofaj/press/release/' AS folder, rolling FROM listing_html)
+SELECT page_id, 'archive' AS kind, folder || '8_8_index.html' AS url, DATE '2026-08-01' AS date, '8月' AS title, NULL AS violation FROM p
+UNION ALL SELECT page_id, 'archive', 'https://www.mofa.go.jp/press/release/2026/7.html', DATE '2026-07-01', '7月', NULL FROM p
+UNION ALL SELECT page_id, 'archive', 'https://www.mofa.go.jp/release/8_13_index.html', NULL, '13月', 'BAD_ARCHIVE_MONTH' FROM p
+UNION ALL SELECT page_id, 'archive', folder || '8_9_index.html', DATE '2026-09-01', '一覧', NULL FROM p
+UNION ALL SELECT page_id, 'notice', folder || 'press' || page_id || '_1.html?a=1', DATE '2026-09-01', '件名 ' || page_id, NULL FROM p
+UNION ALL SELECT page_id, 'notice', folder || 'press' || page_id || '_0.html', DATE '2026-08-30', '前月', 'CONTRADICTS_MONTH' FROM p WHERE page_id % 3 = 0 AND NOT rolling
+UNION ALL SELECT page_id, 'notice', 'https://www.mofa.go.jp/files/a.pdf', DATE '2026-09-02', '資料', 'UNKNOWN_LINK' FROM p WHERE page_id % 4 = 1
+UNION ALL SELECT page_id, 'notice', folder || 'bad.html', NULL, '日付', 'BAD_DATE' FROM p WHERE page_id % 6 = 1
+""")
+def _(x):
+    pages = x.view("listing_html")
+    return D.release_entries(D.page_anchors(pages, HOSTS), pages.select("page_id", "year", "month_no", "rolling"))
+
+
+@view("release_html")
+def _(d):
+    """Release bodies: repeated and foreign PDFs, keywords in texts, and keywords in attributes, scripts and outside the main part."""
+    return f"""
+SELECT page_id, 'https://www.mofa.go.jp/mofaj/press/release/press' || {P} || '.html' AS url, html || '<h1>t</h1><div id=maincontents><p title="制裁">本文 追加 <a href="/files/' || {P} || '.pdf">添付 <i>' || {P} || '</i></a>'
+  || '<a href="/files/' || {P} || '.pdf#p2">再掲</a><a href="https://host.example/e.pdf">外部</a><a name="x">無</a><a href="next.html">次</a></p>' || CASE WHEN page_id % 2 = 0 THEN '<p>解除</p>' ELSE '' END
+  || '<script>var x = "削除";</script></div><p>外為法 <a href="/files/late.pdf">後</a></p>' AS html FROM {d.t('pages')}
+"""
+
+
+@query("s10_page_documents", views="release_html", oracle="""
+SELECT page_id, 'https://www.mofa.go.jp/files/' || page_id || '.pdf' AS url, '添付 ' || page_id AS title, 'attachment_pdf' AS role FROM release_html
+UNION ALL SELECT page_id, 'https://host.example/e.pdf', '外部', 'external_pdf' FROM release_html
+""")
+def _(x):
+    return D.page_documents(D.page_anchors(x.view("release_html"), HOSTS))
+
+
+@query("s10_page_reasons", views="release_html", oracle="SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '追加;解除' ELSE '追加' END AS reasons FROM release_html")
+def _(x):
+    return D.page_reasons(x.view("release_html"))
+
+
 @view("audit_entries")
 def _(d):
     """Fetch attempts, one per event: signed and plain URLs, multi-line and very long errors."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import names as N
 from ..functions.rows import explode_once
@@ -132,6 +133,7 @@ def document_gate(documents: DataFrame, blocks: DataFrame, issues: DataFrame, pu
 
 # --- pages -------------------------------------------------------------------------------
 
+# The keywords of a release.
 KEYWORDS = ["資産凍結", "制裁", "措置対象者", "追加", "削除", "解除", "外為法", "タリバーン", "テロリスト", "ウクライナ"]
 LINK = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
 
@@ -160,6 +162,153 @@ def page_links(pages: DataFrame, allowed_hosts: list[str]) -> DataFrame:
                        F.when(policy, "official").otherwise("external").alias("policy"), F.array_join("reasons", ";").alias("reasons"))
 
 
+# What a page catalogue is read by.
+MAIN, LISTING, LIST_PHRASE, RELEASE_HEADING = "maincontents", "pressrelease", "資産凍結措置対象リスト", "報道発表"
+LIST_ROLES = {"current_1373": "1373", "current_un": "1267"}
+ERA = 2018
+TOKEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, quoted or not; NULL if the tag does not have it."""
+    pattern = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
+    found = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.when(tag.rlike(rf"(?is)\s{name}\s*="), found)
+
+
+def tag_stream(pages: DataFrame) -> DataFrame:
+    """Page sources (page_id, url, html) as tags and texts in order: page_id, url, i, name, closing, id, href, text.
+
+    No tree is built: what is inside what follows from running counts of opened and closed tags."""
+    rows = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(TOKEN), F.lit(0))).alias("i", "token"))
+    token, is_tag = F.col("token"), F.startswith("token", F.lit("<"))
+    text = F.col("token")
+    for mark, value in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(mark), F.lit(value))
+    return rows.filter(~token.rlike(r"(?i)^<(?:!|script\b|style\b)")).select(
+        "page_id", "url", "i", F.lower(F.regexp_extract(token, r"^</?([A-Za-z][A-Za-z0-9]*)", 1)).alias("name"), F.startswith(token, F.lit("</")).alias("closing"),
+        F.when(is_tag, _attribute(token, "id")).alias("id"), F.when(is_tag, _attribute(token, "href")).alias("href"), F.when(~is_tag, text).alias("text"))
+
+
+def _inside(rows: DataFrame, element: str, out: str) -> DataFrame:
+    """Add ``out``: whether a row belongs to the first element with that id (from its tag to the one that closes it)."""
+    page, upto = W.partitionBy("page_id"), W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    start = F.min(F.when((F.col("id") == element) & ~F.col("closing"), F.struct("i", "name"))).over(page)
+    rows = rows.withColumn("__start", start)
+    counts = (F.col("i") >= F.col("__start.i")) & (F.col("name") == F.col("__start.name"))
+    rows = rows.withColumn("__open", F.sum(F.when(counts, F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)).over(upto))
+    closed = F.coalesce(F.max(counts & (F.col("__open") == 0)).over(upto.rowsBetween(W.unboundedPreceding, -1)), F.lit(False))
+    return rows.withColumn(out, F.coalesce((F.col("i") >= F.col("__start.i")) & ~closed, F.lit(False))).drop("__start", "__open")
+
+
+def _depth(names: list[str]) -> Column:
+    """How many tags of these names are open at a row."""
+    step = F.when(F.col("name").isin(names), F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)
+    return F.sum(step).over(W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow))
+
+
+def _resolved(url: Column, href: Column) -> Column:
+    """``href`` against the page's ``url``, without fragment."""
+    base, folder = F.regexp_extract(url, r"^(https?://[^/?#]+)", 1), F.regexp_extract(url, r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
+    h = F.regexp_replace(href, "#.*$", "")
+    return (F.when(h.rlike("(?i)^https?://"), h).when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(url, r"^(https?):", 1), F.lit(":"), h))
+            .when(F.startswith(h, F.lit("/")), F.concat(base, h))
+            .otherwise(F.concat(F.when(folder == base, F.concat(base, F.lit("/"))).otherwise(folder), h)))
+
+
+def page_anchors(pages: DataFrame, allowed_hosts: list[str]) -> DataFrame:
+    """Links of the main part of page sources (page_id, url, html): page_id, page, i, href, url (resolved), title, official (an allowed host over
+    https), listed (inside the release listing, or no listing there), in_entry (inside a list entry or paragraph that names the current
+    lists), month and day of the last dated heading."""
+    rows = _inside(_inside(tag_stream(pages), MAIN, "main"), LISTING, "listing")
+    page, upto = W.partitionBy("page_id"), W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    opened = lambda names: F.col("name").isin(names) & ~F.col("closing")
+    rows = rows.withColumn("listed", F.col("listing") | ~F.max("listing").over(page)).filter("main")
+    rows = rows.withColumns({"__block": _depth(["li", "p", "dd"]), "__head": _depth(["dt", "h2", "h3"]), "__a": _depth(["a"]),
+                             "anchor": F.sum(F.when(opened(["a"]), 1).otherwise(0)).over(upto)})
+    rows = rows.withColumn("__block_no", F.sum(F.when(opened(["li", "p", "dd"]) & (F.col("__block") == 1), 1).otherwise(0)).over(upto))
+    named = F.coalesce(F.contains("text", F.lit(LIST_PHRASE)), F.lit(False)) & (F.col("__block") > 0)
+    rows = rows.withColumn("in_entry", F.max(named).over(W.partitionBy("page_id", "__block_no")) & (F.col("__block") > 0))
+    day = F.when((F.col("__head") > 0) & F.col("listed"), F.regexp_extract("text", r"(\d{1,2})月\s*(\d{1,2})日", 0))
+    rows = look_back(rows, ["page_id"], F.floor(F.col("i") / LINES_PER_BUCKET), ["i"], F.when(day != "", day), "dated", inclusive=True)
+    inside = (F.col("__a") > 0) | opened(["a"])
+    first = F.when(opened(["a"]), F.struct("href", "listed", "in_entry", "dated"))
+    links = rows.filter(inside).groupBy("page_id", "url", "anchor").agg(
+        F.min("i").alias("i"), F.max(first).alias("a"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("i", "text")))), lambda t: t["text"]), " ").alias("title"))
+    number = lambda i: F.regexp_extract("a.dated", r"(\d{1,2})月\s*(\d{1,2})日", i).try_cast("int")
+    found = links.filter("a.href IS NOT NULL").withColumn("link", _resolved(F.col("url"), F.col("a.href")))
+    host = F.regexp_extract("link", r"^https://([^/?#]+)(?:[/?#]|$)", 1)
+    return found.select(
+        "page_id", F.col("url").alias("page"), "i", F.col("a.href").alias("href"), F.col("link").alias("url"), N.clean_name(F.col("title")).alias("title"),
+        (host.isin(allowed_hosts) & ~F.col("link").rlike(r"\s")).alias("official"), F.col("a.listed").alias("listed"), F.col("a.in_entry").alias("in_entry"),
+        number(1).alias("month"), number(2).alias("day"))
+
+
+def _is_pdf(c: Column) -> Column:
+    return c.rlike(r"(?i)\.pdf(\?|$)")
+
+
+def current_lists(anchors: DataFrame) -> DataFrame:
+    """The current lists of catalogue pages: page_id, role, url, title; one row for each different url of a role."""
+    role = F.lit(None).cast("string")
+    for name, mark in reversed(list(LIST_ROLES.items())):  # 1373 before 1267
+        role = F.when(F.contains("title", F.lit(mark)), name).otherwise(role)
+    found = anchors.filter(F.col("in_entry") & _is_pdf(F.col("href"))).withColumn("role", role).filter("role IS NOT NULL")
+    return found.groupBy("page_id", "role", "url").agg(F.max_by("title", "i").alias("title"), F.bool_and("official").alias("official"))
+
+
+def catalog_violations(pages: DataFrame, lists: DataFrame) -> DataFrame:
+    """Gates of catalogue pages (page_id, html): page_id, violation, role.  A missing main part hides the roles."""
+    main = F.coalesce(F.col("html").rlike(rf"(?is)<[a-z][^>]*\sid\s*=\s*[\"']?{MAIN}\b"), F.lit(False))
+    per_role = lists.groupBy("page_id", "role").agg(F.count(F.lit(1)).alias("n"), F.bool_and("official").alias("official"))
+    wanted = pages.select("page_id", (F.coalesce("html", F.lit("")) == "").alias("empty"), main.alias("main"))
+    wide = wanted.select("page_id", "empty", "main", F.explode(F.array(*map(F.lit, LIST_ROLES))).alias("role")).join(per_role, ["page_id", "role"], "left")
+    page = F.when(F.col("empty"), "EMPTY_HTML").when(~F.col("main"), "MAIN_MISSING")
+    violation = F.coalesce(page, F.when(F.col("n").isNull(), "CURRENT_LIST_MISSING").when(F.col("n") > 1, "DUPLICATE_CURRENT_LIST").when(~F.col("official"), "FORBIDDEN_URL"))
+    return wide.select("page_id", violation.alias("violation"), F.when(page.isNull(), F.col("role")).alias("role")).filter("violation IS NOT NULL").distinct()
+
+
+def release_entries(anchors: DataFrame, months: DataFrame) -> DataFrame:
+    """Entries of release listings for a month (``months``: page_id, year, month_no): page_id, kind, url, date, title, violation.
+
+    Links of months (archives) carry the first of the month; dated links of the listing are notices.  A rolling index may hold entries of
+    other months, which are left out; on an archive page (``rolling`` false) they are a violation."""
+    era, modern = r"/release/(\d+)_(\d+)_index\.html", r"/release/(\d{4})/(\d+)\.html"
+    part = lambda pattern, i: F.regexp_extract("href", pattern, i).try_cast("int")
+    year = F.coalesce(part(era, 1) + ERA, part(modern, 1))
+    month = F.coalesce(part(era, 2), part(modern, 2))
+    archives = anchors.filter(year.isNotNull()).select("page_id", F.lit("archive").alias("kind"), "url", F.try_make_timestamp(
+        year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date").alias("date"), "title", "official")
+    archives = archives.withColumn("violation", F.when(F.col("date").isNull(), "BAD_ARCHIVE_MONTH").when(~F.col("official"), "FORBIDDEN_URL"))
+    dated = anchors.filter(F.col("listed") & F.col("month").isNotNull() & ~F.col("href").rlike(r"_index\.html|/\d{4}/\d+\.html|#archives"))
+    dated = dated.join(months, "page_id").withColumn("date", F.try_make_timestamp("year", "month", "day", F.lit(0), F.lit(0), F.lit(0)).cast("date"))
+    other = F.col("month") != F.col("month_no")
+    violation = (F.when(F.col("date").isNull(), "BAD_DATE").when(~F.col("href").rlike(r"\.html(\?|$)"), "UNKNOWN_LINK").when(~F.col("official"), "FORBIDDEN_URL")
+                 .when(other, "CONTRADICTS_MONTH"))
+    notices = dated.withColumn("violation", violation).filter(F.coalesce(~(F.col("rolling") & other), F.lit(True)) | F.col("date").isNull())
+    # a notice that several entries name counts once, with the last one's date
+    notices = notices.groupBy("page_id", "url").agg(F.max_by(F.struct("date", "title", "violation"), "i").alias("n")).select(
+        "page_id", F.lit("notice").alias("kind"), "url", "n.date", "n.title", "n.violation")
+    archives = archives.groupBy("page_id", "kind", "url").agg(F.max(F.struct("date", "title", "violation")).alias("n")).select(
+        "page_id", "kind", "url", "n.date", "n.title", "n.violation")
+    return notices.unionByName(archives)
+
+
+def page_documents(anchors: DataFrame) -> DataFrame:
+    """PDFs of release bodies, each url of a page once: page_id, url, title, role (attachment_pdf, or external_pdf elsewhere)."""
+    pdfs = anchors.filter(_is_pdf(F.col("url"))).groupBy("page_id", "url", "official").agg(F.min_by("title", "i").alias("title"))
+    return pdfs.select("page_id", "url", "title", F.when(F.col("official"), "attachment_pdf").otherwise("external_pdf").alias("role"))
+
+
+def page_reasons(pages: DataFrame) -> DataFrame:
+    """page_id, reasons: the keywords in the texts of the main part; tags, scripts and comments do not count."""
+    texts = _inside(tag_stream(pages), MAIN, "main").filter("main AND text IS NOT NULL")
+    has = [F.max(F.contains("text", F.lit(w))).alias(f"w{i}") for i, w in enumerate(KEYWORDS)]
+    found = texts.groupBy("page_id").agg(*has)
+    return found.select("page_id", F.array_join(F.array(*[F.when(F.col(f"w{i}"), w) for i, w in enumerate(KEYWORDS)]), ";").alias("reasons"))
+
+
 # --- fetch audit -------------------------------------------------------------------------
 
 SIGNED = r"""(https?://[^\s<>"'?#]+)\?[^\s<>"'#]*(?i:x-amz-)[^\s<>"'#]*(#[^\s<>"']*)?"""
