@@ -230,7 +230,8 @@ def subtrees(parts: DataFrame, partition: Partition, least: int) -> DataFrame:
 def vocabulary(listed: DataFrame, least: int) -> DataFrame:
     """id (from 1, the most frequent word first), lang, word, n of the words that occur ``least`` times."""
     counted = listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return common.in_order(counted, [F.desc("n")], F.col("n")).select(F.col("_place").alias("id"), "lang", "word", "n", "_before")
+    # rare words tie in great numbers, so they need more than their count to spread over the ranges
+    return common.in_order(counted, [F.desc("n"), F.col("word"), F.col("lang")], F.col("n")).select(F.col("_place").alias("id"), "lang", "word", "n", "_before")
 
 
 def encode(coded: DataFrame, listed: DataFrame, words: DataFrame) -> DataFrame:
