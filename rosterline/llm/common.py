@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -40,12 +39,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of frames that nothing holds any more, which it does only after a collection of garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def small_batches(df: DataFrame) -> DataFrame:
     """Keeps what Spark hands a Python worker at once within a few MB, however long the texts are."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * STEP_BYTES))

@@ -4,11 +4,10 @@ A target and a background bigram model share one vocabulary and one smoothing; a
 target model minus that under the background model (lower: more like the target).
 
 Every word and every bigram of the corpus is in the models, however rare and at any size; nothing of them is collected or sent to all
-tasks.  Documents are dealt into blocks of about BLOCK_BYTES by hash.  A block counts its words and bigrams once each (so a hot one is
-one entry of a block) and gives them out in buckets of their hash; a bucket adds up what all blocks and the target corpus have, and
-answers each block with the sums of just the entries it asked for, in the same order; with them the block scores its documents.
-
-``train`` makes models of bounded size for use outside the query; the query does not call it."""
+tasks.  One pass over the texts makes blocks of about BLOCK_BYTES: the block's words as hashes and its tokens as places in them, which is a
+third of the text; only that is kept and moved afterwards.  A block counts its words and bigrams once each (so a hot one is one entry
+of a block) and gives them out in buckets of their hash; a bucket adds up what all blocks and the target corpus have, and answers each
+block with the sums of just the entries it asked for, in the same order; with them the block scores its documents."""
 
 from __future__ import annotations
 
@@ -18,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .collocations import packed as pack
+from .collocations import unpacked as unpack
 
-#: Of ``train`` alone.
-WORD_SHARE, PAIR_SHARE = 1e-5, 1e-6
 #: Weight of the unigram in a bigram estimate, in counts.
 SMOOTH = 20.0
 #: Bytes of text in a block (a longer document is alone in one), and about as many entries in a bucket; 2 ** BUCKET_BITS buckets at least.
@@ -33,82 +33,6 @@ BLOCK_BYTES, BUCKET_ENTRIES, BUCKET_BITS = 8 << 20, 1 << 22, 8
 START = np.uint64(0x5851F42D4C957F2D)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (hash of the lower-cased word), n."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in common.steps(batches):
-            word, n = np.unique(common.Words(common.Texts(rows.column("text")), lower=True).hash.view(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], ["word", "n"])
-
-    return docs.select("text").mapInArrow(find, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def token_numbers(texts: common.Texts, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(history, token) numbers of every token, and the token offsets.  Unknown words are len(vocabulary), a text starts after
-    number len(vocabulary) + 1."""
-    w = common.Words(texts, lower=True)
-    word = w.hash.view(np.int64)
-    v = len(vocabulary)
-    token = np.searchsorted(vocabulary, word)
-    token[vocabulary[np.minimum(token, v - 1)] != word if v else slice(None)] = v
-    history = np.empty_like(token)
-    history[1:] = token[:-1]
-    starts = w.bounds[:-1][np.diff(w.bounds) > 0]
-    history[starts] = v + 1
-    return history, token, w.bounds
-
-
-def pair_counts(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """pair (history * (words + 2) + token), n, n_target of all ``docs`` (text, target)."""
-    width = len(vocabulary) + 2
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in common.steps(batches):
-            history, token, bounds = token_numbers(common.Texts(rows.column("text")), vocabulary)
-            chosen = np.repeat(rows.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
-            pair, at = np.unique(history * width + token, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pair), pa.array(np.bincount(at, minlength=len(pair))), pa.array(np.bincount(at[chosen], minlength=len(pair)))],
-                ["pair", "n", "n_target"])
-
-    return docs.select("text", "target").mapInArrow(find, "pair long, n long, n_target long").groupBy("pair").agg(
-        F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-class Model:
-    """Interpolated bigrams over a closed vocabulary: a proper distribution for each history."""
-
-    def __init__(self, width: int, tokens: np.ndarray, pairs: np.ndarray, counts: np.ndarray, smooth: float = SMOOTH):
-        # the start is never predicted, so it takes no part in the unigrams
-        self.width, self.pairs, self.counts, self.smooth = width, pairs, counts, smooth
-        self.unigram = (tokens[:width - 1] + 1) / (tokens[:width - 1].sum() + width - 1)
-        self.history = np.bincount(pairs // width, counts, width)
-
-    def losses(self, history: np.ndarray, token: np.ndarray, at: np.ndarray, found: np.ndarray) -> np.ndarray:
-        seen = np.where(found, self.counts[at], 0) if len(self.counts) else 0
-        return -np.log((seen + self.smooth * self.unigram[token]) / (self.history[history] + self.smooth))
-
-
-def train(docs: DataFrame, flagged: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> tuple[np.ndarray, Model, Model]:
-    """(vocabulary, target model, background model) of ``docs`` (text) and the same rows ``flagged`` (text, target).  Target
-    documents are background too."""
-    words = common.materialise(word_counts(docs))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    vocabulary = np.sort(np.array([r.word for r in words.where(F.col("n") >= total * word_share).select("word").collect()], np.int64))
-    width = len(vocabulary) + 2
-    pairs = common.materialise(pair_counts(flagged, vocabulary))
-    sums = pairs.groupBy((F.col("pair") % width).alias("token")).agg(F.sum("n"), F.sum("n_target")).collect()
-    tokens = np.zeros((2, width))
-    for token, n, n_target in sums:
-        tokens[:, token] = n_target, n
-    kept = pairs.where((F.col("n") >= pair_share * tokens[1].sum())
-                       | ((F.col("n_target") > 0) & (F.col("n_target") >= pair_share * tokens[0].sum()))).toArrow().sort_by("pair")
-    pair = kept["pair"].to_numpy()
-    target, background = (Model(width, tokens[i], pair, kept[c].to_numpy()) for i, c in enumerate(("n_target", "n")))
-    return vocabulary, target, background
-
-
 def packed(values: np.ndarray) -> bytes:
     """The lower 56 bits of ascending hashes of one bucket (which holds the others): their steps, byte by byte, the two highest
     bytes squeezed."""
@@ -126,31 +50,52 @@ def unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(planes.T.copy().view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def word_hashes(texts: common.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every lower-cased word, and the number of words of every text."""
+    w = common.Words(texts, lower=True)
+    return w.hash, np.diff(w.bounds)
+
+
 class Block:
-    """The distinct bigrams (``pairs``, hashes, ascending) and words of some texts, START among the words, and how often they occur."""
-
-    def __init__(self, texts: common.Texts):
-        w = common.Words(texts, lower=True)
-        self.tokens = np.diff(w.bounds)
-        first, last = w.bounds[:-1][self.tokens > 0], w.bounds[1:][self.tokens > 0] - 1
-        n = len(w.hash)
-        self.words, at = np.unique(np.concatenate([w.hash, np.full(len(first), START)]), return_inverse=True)
-        self.token, start = at[:n], at[n:]
+    """The distinct bigrams (``pairs``, hashes, ascending) and words of some texts, START among the words, and how often they occur.
+    ``values``: a value of each token, ``tokens``: their number in each text; ``words``: the hashes that the values are places in, if so."""
+
+    def __init__(self, values: np.ndarray, tokens: np.ndarray, words: np.ndarray | None = None):
+        self.tokens = tokens
+        ends = np.cumsum(tokens)
+        first, last = (ends - tokens)[tokens > 0], ends[tokens > 0] - 1
+        n = len(values)
+        if words is None:
+            self.words, at = np.unique(np.concatenate([values, np.full(len(first), START)]), return_inverse=True)
+            self.token, start = at[:n], at[n:]
+        else:
+            self.words, self.token = words, values
+            start = np.searchsorted(words, np.full(len(first), START))
+            at = np.concatenate([values, start])
         self.n_words = np.bincount(at, minlength=len(self.words))
         self.n_last = np.bincount(self.token[last], minlength=len(self.words))
         self.history = np.empty_like(self.token)
         self.history[1:] = self.token[:-1]
         self.history[first] = start
-        self.pairs, self.pair = np.unique(common.mix(common.mix(self.words[self.history], 8) + w.hash), return_inverse=True)
+        hashes = self.words[self.token]
+        self.pairs, self.pair = np.unique(common.mix(common.mix(self.words[self.history], 8) + hashes), return_inverse=True)
         self.n_pairs = np.bincount(self.pair, minlength=len(self.pairs))
 
+    @classmethod
+    def stored(cls, words: bytes, stream: bytes, tokens: bytes) -> Block:
+        return cls(unpack(stream)[0], unpack(tokens)[0], np.cumsum(unpack(words)[0].view(np.uint64), dtype=np.uint64))
+
+    def kept(self) -> tuple[bytes, bytes, bytes]:
+        """What ``stored`` makes the block of again: words, stream and tokens."""
+        return pack(np.diff(self.words, prepend=np.uint64(0)).view(np.int64)), pack(self.token), pack(self.tokens)
+
     def parts(self, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
         """(bucket, entries, counts): bigrams in the first 2 ** bits buckets, words (and how often they end a text) in as many more."""
         for base, values, counts in ((0, self.pairs, [self.n_pairs]), (1 << bits, self.words, [self.n_words, self.n_last])):
             edges = np.searchsorted(values >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 i, j = edges[b], edges[b + 1]
-                yield base + b, packed(values[i:j]), zlib.compress(np.concatenate([c[i:j] for c in counts]).astype("<i8").tobytes(), 1)
+                yield base + b, packed(values[i:j]), pack(*[c[i:j] for c in counts])
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -182,32 +127,63 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def asked(blocks: DataFrame, bits: int, target: bool) -> DataFrame:
-    """bucket, block, target, entries, counts of ``blocks`` (block, text).  The target corpus gets no answer, so it is taken as it comes
-    (without block)."""
+STREAM = "words binary, stream binary, tokens binary"
+
+
+def streams(docs: DataFrame) -> DataFrame:
+    """block, doc_ids, words, stream, tokens of ``docs`` (doc_id, text), block by block as the texts come."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _gathered(batches) if target else _whole_blocks(batches, "block"):
-            block = None if target else table["block"][0].as_py()
+        number = TaskContext.get().partitionId() << 32
+        for table in _gathered(batches):
+            ids = table["doc_id"].combine_chunks()
+            kept = Block(*word_hashes(common.Texts(table["text"]))).kept()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *[pa.array([k], pa.binary()) for k in kept]],
+                ["block", "doc_ids", "words", "stream", "tokens"])
+            number += 1
+
+    return docs.select("doc_id", "text").mapInArrow(find, f"block long, doc_ids array<{id_type}>, {STREAM}")
+
+
+PARTS = "bucket int, block long, target boolean, entries binary, counts binary"
+
+
+def _parts(block: int | None, made: Block, bits: int) -> Iterator[pa.RecordBatch]:
+    """bucket, block, target, entries, counts of a block; the target corpus gets no answer, so it has no block."""
+    rows, size = [], 0
+    for row in made.parts(bits):
+        rows.append({"bucket": row[0], "block": block, "target": block is None, "entries": row[1], "counts": row[2]})
+        size += len(row[1])
+        if size > common.STEP_BYTES:
+            yield pa.RecordBatch.from_pylist(rows, _PARTS)
             rows, size = [], 0
-            for row in Block(common.Texts(table["text"])).parts(bits):
-                rows.append(row)
-                size += len(row[1])
-                if size > common.STEP_BYTES:
-                    yield batch_of(block, rows)
-                    rows, size = [], 0
-            if rows:
-                yield batch_of(block, rows)
+    yield pa.RecordBatch.from_pylist(rows, _PARTS)
+
 
-    def batch_of(block: int | None, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        bucket, entries, counts = zip(*rows)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([target] * len(rows)),
-             pa.array(entries, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "block", "target", "entries", "counts"])
+_PARTS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("target", pa.bool_()), ("entries", pa.binary()), ("counts", pa.binary())])
+
+
+def asked(kept: DataFrame, bits: int) -> DataFrame:
+    """What the blocks (``streams``) ask for."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *raw in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "stream", "tokens"))):
+                yield from _parts(block, Block.stored(*raw), bits)
+
+    return kept.select("block", "words", "stream", "tokens").mapInArrow(find, PARTS)
+
+
+def target_counts(texts: DataFrame, bits: int) -> DataFrame:
+    """The words and bigrams of the target corpus (text), in the same form."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches):
+            yield from _parts(None, Block(*word_hashes(common.Texts(table["text"]))), bits)
 
-    rows = blocks.select("block", "text")
-    return (rows if target else rows.repartition("block").sortWithinPartitions("block")).mapInArrow(
-        find, "bucket int, block long, target boolean, entries binary, counts binary")
+    return texts.select("text").mapInArrow(find, PARTS)
 
 
 def answered(parts: DataFrame, bits: int) -> DataFrame:
@@ -220,7 +196,7 @@ def answered(parts: DataFrame, bits: int) -> DataFrame:
         for table in _whole_blocks(batches, "bucket"):
             bucket, target = table["bucket"][0].as_py(), table["target"].to_numpy()
             columns = 2 if bucket >= 1 << bits else 1
-            counts = [np.frombuffer(zlib.decompress(x.as_buffer()), "<i8").reshape(columns, -1) for x in table["counts"]]
+            counts = [unpack(x.as_py(), columns) for x in table["counts"]]
             edges = np.cumsum([0, *(c.shape[1] for c in counts)])
             value, at = np.unique(np.concatenate([unpacked(x.as_py(), c.shape[1]) for x, c in zip(table["entries"], counts)]), return_inverse=True)
             counts = np.concatenate(counts, axis=1)
@@ -231,7 +207,7 @@ def answered(parts: DataFrame, bits: int) -> DataFrame:
                     sums[i * columns + c] = np.bincount(at[chosen], counts[c][chosen], len(value))
             rows, size = [], 0
             for row in np.flatnonzero(~target).tolist():
-                mine = zlib.compress(sums[:, at[edges[row]:edges[row + 1]]].astype("<i8").tobytes(), 1)
+                mine = pack(*sums[:, at[edges[row]:edges[row + 1]]])
                 rows.append({"bucket": bucket, "block": table["block"][row].as_py(), "sums": mine})
                 size += len(mine)
                 if size > common.STEP_BYTES:
@@ -247,10 +223,10 @@ def answered(parts: DataFrame, bits: int) -> DataFrame:
     return parts.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(find, kinds)
 
 
-def scored(blocks: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
-    """The scores of ``blocks`` (block, doc_id, text) by what each block was answered."""
+def scored(kept: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
+    """The scores of the documents of the blocks (``streams``) by what each block was answered."""
     n_words, *n = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_target", "n")]).first()
-    id_type = blocks.schema["doc_id"].dataType.simpleString()
+    id_type = kept.schema["doc_ids"].dataType.elementType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_blocks(batches, "block"):
@@ -258,10 +234,9 @@ def scored(blocks: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
             split = int(np.searchsorted(bucket, 2 << bits))
             half = int(np.searchsorted(bucket, 1 << bits))
             pairs, words = (
-                np.concatenate([np.zeros((c, 0), np.int64), *(np.frombuffer(zlib.decompress(x.as_buffer()), "<i8").reshape(c, -1) for x in part)], axis=1)
+                np.concatenate([np.zeros((c, 0), np.int64), *(unpack(x.as_py(), c) for x in part)], axis=1)
                 for c, part in ((2, table["sums"].slice(0, half)), (4, table["sums"].slice(half, split - half))))
-            table = table.slice(split).combine_chunks()
-            b = Block(common.Texts(table["text"]))
+            b = Block.stored(*(table[c][split].as_py() for c in ("words", "stream", "tokens")))
             if pairs.shape[1] != len(b.pairs) or words.shape[1] != len(b.words):
                 raise ValueError("a block was not answered whole")
             text = np.repeat(np.arange(len(b.tokens)), b.tokens)
@@ -270,13 +245,15 @@ def scored(blocks: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
                 unigram = (often + 1) / (total + n_words + 1)
                 loss = -np.log((seen[b.pair] + SMOOTH * unigram[b.token]) / ((often - last)[b.history] + SMOOTH))
                 losses.append(np.bincount(text, loss, len(b.tokens)) / np.maximum(b.tokens, 1))
-            out = pa.Table.from_arrays([table["doc_id"], pa.array(b.tokens), *map(pa.array, losses), pa.array(losses[0] - losses[1])],
+            ids = table["doc_ids"].slice(split, 1).combine_chunks().flatten()
+            out = pa.Table.from_arrays([ids, pa.array(b.tokens), *map(pa.array, losses), pa.array(losses[0] - losses[1])],
                                        ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
             yield from out.to_batches(max_chunksize=10_000)
 
+    own = ["doc_ids", "words", "stream", "tokens"]
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
-    both = answers.where("block IS NOT NULL").select("block", "bucket", "sums", none("doc_id", id_type), none("text", "string")).unionByName(
-        blocks.select("block", F.lit(2 << bits).alias("bucket"), none("sums", "binary"), "doc_id", "text"))
+    both = answers.where("block IS NOT NULL").select("block", "bucket", "sums", *[none(c, kept.schema[c].dataType) for c in own]).unionByName(
+        kept.select("block", F.lit(2 << bits).alias("bucket"), none("sums", "binary"), *own))
     return both.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(
         find, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")
 
@@ -289,11 +266,10 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     docs = common.small_batches(docs).select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(BUCKET_BITS, math.ceil(math.log2(max(1, size / 6 / BUCKET_ENTRIES))))
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // BLOCK_BYTES)))))
     # ids grow with the corpus, so they are never broadcast, however few they are here; an inner join, as a semi join would be moved
     # below the bitmap
     ids = common.materialise(target_ids.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("id"), "doc_id").distinct())
-    chosen = common.likely(blocks.withColumn("id", F.xxhash64("doc_id")), "id", ids).join(ids.hint("merge"), ["id", "doc_id"])
-    answers = common.materialise(answered(asked(blocks, bits, False).unionByName(asked(chosen, bits, True)), bits))
-    common.release(docs.sparkSession)
-    return scored(blocks, answers, bits)
+    chosen = common.likely(docs.withColumn("id", F.xxhash64("doc_id")), "id", ids).join(ids.hint("merge"), ["id", "doc_id"])
+    kept = common.materialise(streams(docs))
+    answers = common.materialise(answered(asked(kept, bits).unionByName(target_counts(chosen, bits)), bits))
+    return scored(kept, answers, bits)

@@ -361,19 +361,6 @@ def test_lm_knows_rare_words_in_a_large_corpus(spark, monkeypatch):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, *np.round([r.target_loss, r.background_loss, r.score], 6)) for r in got) == sorted(want)
 
 
-def test_lm_shares_bound_the_models(spark):
-    rows = [(i, " ".join(fixtures.words(200, i, 5000))) for i in range(50)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("target", F.col("doc_id") < 20)
-    vocabulary, target, background = lm.train(df, df, 5e-4, 3e-4)
-    assert len(vocabulary) <= 2000 and len(target.pairs) <= 2 / 3e-4
-    for m in (target, background):  # a proper distribution after every history
-        words = np.arange(m.width - 1)
-        for h in (0, m.width - 1, m.width - 2):
-            pair = h * m.width + words
-            at = np.minimum(np.searchsorted(m.pairs, pair), len(m.pairs) - 1)
-            assert np.exp(-m.losses(np.full(len(words), h), words, at, m.pairs[at] == pair)).sum() == pytest.approx(1)
-
-
 def test_lm_awkward_rows(spark, docs, empty):
     ids = spark.createDataFrame([], "doc_id long")
     assert lm.cross_entropy_difference(docs, ids).count() == docs.count()
