@@ -16,12 +16,10 @@ from pyspark.sql import Window as W
 FULL = 100_000
 
 
-def bucketed(df: DataFrame, part: list[str], bucket: Column, finer: Column | None, full: int = FULL) -> DataFrame:
+def bucketed(df: DataFrame, part: list[str], bucket: Column, finer: Column, full: int = FULL) -> DataFrame:
     """``df`` with __bucket and __fine: buckets that the data fill with more than ``full`` rows are split by ``finer``, the others
     are whole (__fine is NULL).  Buckets are counted by key first, so the bounds follow the data."""
     df = df.withColumn("__bucket", bucket)
-    if finer is None:
-        return df.withColumn("__fine", F.lit(None).cast("long"))
     key = [*part, "__bucket"]
     crowded = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > full).drop("__n").withColumn("__full", F.lit(True))
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
@@ -37,24 +35,28 @@ def look_back(df: DataFrame, part: list[str], bucket: Column, order: list[str],
     bucket that is too full, should fit a task.  "Last value" is associative, so it is scanned three times over ever fewer rows: inside
     a bucket's part, over the tails of the parts of a bucket, and over the tails of the buckets.
     """
-    df = bucketed(df.withColumn("__value", value), part, bucket, finer, full)
-    whole, key = [*part, "__bucket"], [*part, "__bucket", "__fine"]
+    df = df.withColumn("__value", value)
+    df = df.withColumn("__bucket", bucket) if finer is None else bucketed(df, part, bucket, finer, full)
+    whole = [*part, "__bucket"]
+    key = whole if finer is None else [*whole, "__fine"]
     last = W.currentRow if inclusive else -1
     local = F.last("__value", ignorenulls=True).over(W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, last))
-    place = F.when(F.col("__value").isNotNull(), F.struct("__fine", *order))
-    earlier = lambda over: over.rowsBetween(W.unboundedPreceding, -1)
+    place = F.when(F.col("__value").isNotNull(), F.struct(*order))
+    before = lambda over: F.last("__tail", ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1))
     # partition keys may be NULL: such rows are a partition of their own
     same = lambda names: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
-    tails = df.groupBy(*whole).agg(F.max_by("__value", place).alias("__tail"))
-    carry = tails.select(*whole, F.last("__tail", ignorenulls=True).over(earlier(W.partitionBy(*part).orderBy("__bucket"))).alias("__carry"))
-    found = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same(whole), "left").select("l.*", "r.__carry")
-    known = [F.col("__local")]
-    if finer is not None:  # only parts of buckets that were split
-        parts = df.filter("__fine IS NOT NULL").groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
-        inside = F.last("__tail", ignorenulls=True).over(earlier(W.partitionBy(*whole).orderBy("__fine")))
-        found = found.alias("l").join(parts.select(*key, inside.alias("__inside")).alias("r"), same(key), "left").select("l.*", "r.__inside")
-        known.append(F.col("__inside"))
-    return found.withColumn(out, F.coalesce(*known, "__carry")).drop("__bucket", "__fine", "__value", "__local", "__carry", "__inside")
+    tails = df.groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
+    across = W.partitionBy(*part).orderBy("__bucket")
+    if finer is None:
+        carry = tails.select(*key, before(across).alias("__carry"))
+    else:
+        per_bucket = tails.groupBy(*whole).agg(F.max_by("__tail", F.when(F.col("__tail").isNotNull(), F.struct("__fine"))).alias("__tail"))
+        earlier = per_bucket.select(*whole, before(across).alias("__earlier"))
+        inside = tails.select(*key, before(W.partitionBy(*whole).orderBy("__fine")).alias("__inside"))
+        carry = inside.alias("l").join(earlier.alias("r"), same(whole)).select("l.*", "r.__earlier").select(
+            *key, F.coalesce("__inside", "__earlier").alias("__carry"))
+    joined = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same(key), "left").select("l.*", "r.__carry")
+    return joined.withColumn(out, F.coalesce("__local", "__carry")).drop("__bucket", "__fine", "__value", "__local", "__carry")
 
 
 def numbered(df: DataFrame, buckets: list[Column], order: list[str], out: str) -> DataFrame:
