@@ -29,34 +29,46 @@ def bucketed(df: DataFrame, part: list[str], bucket: Column, finer: Column, full
 
 def look_back(df: DataFrame, part: list[str], bucket: Column, order: list[str], value: Column, out: str, *, inclusive: bool,
               finer: Column | None = None, full: int = FULL) -> DataFrame:
-    """Add ``out``: the latest non-NULL ``value`` at or before (``inclusive``) or before the row.
+    """Add ``out``: the latest non-NULL ``value`` at or before (``inclusive``) or before the row."""
+    return look_backs(df, part, bucket, order, {out: (value, inclusive)}, finer=finer, full=full)
+
+
+def look_backs(df: DataFrame, part: list[str], bucket: Column, order: list[str], values: dict[str, tuple[Column, bool]], *,
+               finer: Column | None = None, full: int = FULL) -> DataFrame:
+    """Add one column per entry of ``values`` (name: value, inclusive): the latest non-NULL value of each, independent of the others,
+    all in one pass.
 
     ``bucket`` must not decrease along ``order``, nor ``finer`` inside a bucket; rows of one bucket, or of one value of ``finer`` in a
     bucket that is too full, should fit a task.  "Last value" is associative, so it is scanned three times over ever fewer rows: inside
     a bucket's part, over the tails of the parts of a bucket, and over the tails of the buckets.
     """
-    df = df.withColumn("__value", value)
+    at = range(len(values))
+    cols = lambda kind: [f"__{kind}{j}" for j in at]
+    df = df.withColumns({f"__value{j}": value for j, (value, _) in enumerate(values.values())})
     df = df.withColumn("__bucket", bucket) if finer is None else bucketed(df, part, bucket, finer, full)
     whole = [*part, "__bucket"]
     key = whole if finer is None else [*whole, "__fine"]
-    last = W.currentRow if inclusive else -1
-    local = F.last("__value", ignorenulls=True).over(W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, last))
-    place = F.when(F.col("__value").isNotNull(), F.struct(*order))
-    before = lambda over: F.last("__tail", ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1))
+    inside_part = W.partitionBy(*key).orderBy(*order)
+    local = [F.last(f"__value{j}", ignorenulls=True).over(inside_part.rowsBetween(W.unboundedPreceding, W.currentRow if inclusive else -1)).alias(f"__local{j}")
+             for j, (_, inclusive) in enumerate(values.values())]
+    latest = lambda c, place, name: F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(name)
+    before = lambda over, name: [
+        F.last(f"__tail{j}", ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1)).alias(f"__{name}{j}") for j in at]
     # partition keys may be NULL: such rows are a partition of their own
     same = lambda names: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
-    tails = df.groupBy(*key).agg(F.max_by("__value", place).alias("__tail"))
+    tails = df.groupBy(*key).agg(*[latest(f"__value{j}", F.struct(*order), f"__tail{j}") for j in at])
     across = W.partitionBy(*part).orderBy("__bucket")
     if finer is None:
-        carry = tails.select(*key, before(across).alias("__carry"))
+        carry = tails.select(*key, *before(across, "carry"))
     else:
-        per_bucket = tails.groupBy(*whole).agg(F.max_by("__tail", F.when(F.col("__tail").isNotNull(), F.struct("__fine"))).alias("__tail"))
-        earlier = per_bucket.select(*whole, before(across).alias("__earlier"))
-        inside = tails.select(*key, before(W.partitionBy(*whole).orderBy("__fine")).alias("__inside"))
-        carry = inside.alias("l").join(earlier.alias("r"), same(whole)).select("l.*", "r.__earlier").select(
-            *key, F.coalesce("__inside", "__earlier").alias("__carry"))
-    joined = df.withColumn("__local", local).alias("l").join(carry.alias("r"), same(key), "left").select("l.*", "r.__carry")
-    return joined.withColumn(out, F.coalesce("__local", "__carry")).drop("__bucket", "__fine", "__value", "__local", "__carry")
+        per_bucket = tails.groupBy(*whole).agg(*[latest(f"__tail{j}", F.struct("__fine"), f"__tail{j}") for j in at])
+        earlier = per_bucket.select(*whole, *before(across, "earlier"))
+        inside = tails.select(*key, *before(W.partitionBy(*whole).orderBy("__fine"), "inside"))
+        met = inside.alias("l").join(earlier.alias("r"), same(whole)).select("l.*", *[f"r.{c}" for c in cols("earlier")])
+        carry = met.select(*key, *[F.coalesce(f"__inside{j}", f"__earlier{j}").alias(f"__carry{j}") for j in at])
+    joined = df.select("*", *local).alias("l").join(carry.alias("r"), same(key), "left").select("l.*", *[f"r.{c}" for c in cols("carry")])
+    found = {out: F.coalesce(f"__local{j}", f"__carry{j}") for j, out in enumerate(values)}
+    return joined.withColumns(found).drop("__bucket", "__fine", *cols("value"), *cols("local"), *cols("carry"))
 
 
 def numbered(df: DataFrame, buckets: list[Column], order: list[str], out: str) -> DataFrame:

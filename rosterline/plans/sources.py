@@ -413,11 +413,10 @@ j AS (SELECT d.doc_id AS doc, coalesce(nb, 0) AS n_blocks, coalesce(ni, 0) AS n_
 SELECT doc, CASE WHEN n_issues > 0 OR n_blocks = 0 OR count_mismatch THEN 'BLOCKED' ELSE 'REVIEW_REQUIRED' END AS status, n_blocks, n_issues, count_mismatch FROM j
 """)
 def _(x):
-    blocks, lines = _blocks(x), x.view("numbered_lines")
-    issues = D.sequence_violations(blocks, ["doc", "section"], "start", "number").select("doc", F.col("violation").alias("code")).unionByName(
-        D.empty_pages(lines).select("doc", "code"))
+    lines = x.view("numbered_lines")
     published = D.published_counts(lines.filter("doc % 4 = 0"))
-    return D.document_gate(x.table("documents").select(F.col("doc_id").alias("doc")), blocks, issues, published)
+    documents = x.table("documents").select(F.col("doc_id").alias("doc"))
+    return D.document_gate(documents, D.block_summary(_blocks(x)), D.empty_pages(lines), published)
 
 
 @view("declared_snapshots")

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import names as N
 from ..functions.rows import explode_once
-from ..operators.sequences import look_back
+from ..operators.sequences import look_back, look_backs
 
 LINES_PER_BUCKET = 10_000
 # What opens and closes a numbered block, and the issues that block a document.
@@ -32,8 +32,7 @@ def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
     numbered = F.col("no").rlike(r"^\d+$")
     mark = F.when(F.col("is_header"), F.struct(F.lit(True).alias("header"), F.col("i").alias("start"))).when(
         numbered, F.struct(F.lit(False).alias("header"), F.col("i").alias("start")))
-    rows = look_back(rows, ["doc"], bucket, ["i"], mark, "island", inclusive=True)
-    rows = look_back(rows, ["doc"], bucket, ["i"], F.when(F.col("is_header"), F.col("i")), "table", inclusive=True)
+    rows = look_backs(rows, ["doc"], bucket, ["i"], {"island": (mark, True), "table": (F.when(F.col("is_header"), F.col("i")), True)})
     own = rows.filter("table IS NOT NULL AND NOT is_header AND NOT island.header").filter(numbered | (F.col("no") == ""))
     text = lambda c: F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c] != ""), lambda x: x[c]), "\n")
     return own.groupBy("doc", F.col("island.start").alias("start")).agg(
@@ -52,8 +51,7 @@ def block_lines(lines: DataFrame, un_list: Column | None = None) -> DataFrame:
     bucket = F.floor(F.col("i") / LINES_PER_BUCKET)
     mark = F.when((section != "") | ends, F.struct(F.lit(None).cast("bigint").alias("start"), F.lit("").alias("number"), F.lit("").alias("head"))).when(
         opens, F.struct(F.col("i").cast("bigint").alias("start"), number.alias("number"), head.alias("head")))
-    rows = look_back(lines, ["doc"], bucket, ["i"], mark, "block", inclusive=True)
-    rows = look_back(rows, ["doc"], bucket, ["i"], F.when(section != "", section), "section", inclusive=True)
+    rows = look_backs(lines, ["doc"], bucket, ["i"], {"block": (mark, True), "section": (F.when(section != "", section), True)})
     return rows.filter("block.start IS NOT NULL").select(
         "doc", F.col("block.start").alias("start"), F.col("block.number").try_cast("bigint").alias("number"), F.col("block.head").alias("head"),
         F.when(un, "UN").otherwise(F.coalesce("section", F.lit("I"))).alias("section"), "i", "page", text.alias("text"))
@@ -99,14 +97,35 @@ def published_counts(lines: DataFrame) -> DataFrame:
         F.min_by("persons", "i").alias("persons"), F.min_by("entities", "i").alias("entities"))
 
 
-def sequence_violations(numbers: DataFrame, part: list[str], order: str, number: str) -> DataFrame:
-    """Numbers of a section that repeat or do not follow their predecessor by one."""
+def _followed(numbers: DataFrame, part: list[str], order: str, number: str) -> DataFrame:
+    """Add ``expected``: one more than the number before, or 1."""
     rows = look_back(numbers, part, F.floor(F.col(order) / LINES_PER_BUCKET), [order], F.col(number), "before", inclusive=False)
-    expected = F.coalesce("before", F.lit(0)) + 1
-    gaps = rows.filter(F.col(number) != expected).select(*part, F.col(number).alias("number"), expected.alias("expected"), F.lit("NUMBER_SEQUENCE").alias("violation"))
-    twice = numbers.groupBy(*part, number).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        *part, F.col(number).alias("number"), F.lit(None).cast("bigint").alias("expected"), F.lit("DUPLICATE_NUMBER").alias("violation"))
-    return gaps.unionByName(twice.withColumn("expected", F.col("expected").cast(gaps.schema["expected"].dataType)))
+    return rows.withColumn("expected", F.coalesce("before", F.lit(0)) + 1).drop("before")
+
+
+def sequence_violations(numbers: DataFrame, part: list[str], order: str, number: str) -> DataFrame:
+    """Numbers of a section that repeat or do not follow their predecessor by one; rows without a number are in no sequence gap.
+
+    Every number asks both questions in one aggregate: a gap is a group of its own row, a repetition the group of its number."""
+    rows = _followed(numbers, part, order, number)
+    gap = F.when(F.col(number) != F.col("expected"), F.struct(F.lit("NUMBER_SEQUENCE").alias("violation"), F.col("expected"), F.col(order).alias("at")))
+    twice = F.struct(F.lit("DUPLICATE_NUMBER").alias("violation"), F.lit(None).cast(rows.schema["expected"].dataType).alias("expected"),
+                     F.lit(None).cast(rows.schema[order].dataType).alias("at"))
+    asked = rows.select(*part, F.col(number).alias("number"), F.explode(F.array(gap, twice)).alias("v")).filter("v IS NOT NULL")
+    counted = asked.groupBy(*part, "number", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter((F.col("v.violation") == "NUMBER_SEQUENCE") | (F.col("n") > 1)).select(*part, "number", "v.expected", "v.violation")
+
+
+def block_summary(blocks: DataFrame) -> DataFrame:
+    """Blocks, current persons and entities, and violations of the numbering per document, from one pass over ``numbered_blocks``."""
+    current = lambda kind: F.col("current") & (F.col("party_type") == kind)
+    rows = _followed(blocks, ["doc", "section"], "start", "number")
+    per_number = rows.groupBy("doc", "section", "number").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("number") != F.col("expected")).alias("gaps"),
+        F.count_if(current("person")).alias("persons"), F.count_if(current("entity")).alias("entities"))
+    return per_number.groupBy("doc").agg(
+        F.sum("n").alias("n_blocks"), F.sum("persons").alias("n_persons"), F.sum("entities").alias("n_entities"),
+        (F.sum("gaps") + F.count_if(F.col("n") > 1)).alias("n_violations"))
 
 
 def count_agreement(actual: DataFrame, declared: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,17 +137,17 @@ def count_agreement(actual: DataFrame, declared: DataFrame, keys: list[str]) ->
         *keys, "name", F.coalesce("declared", F.lit(0)).alias("declared"), F.coalesce("actual", F.lit(0)).alias("actual"))
 
 
-def document_gate(documents: DataFrame, blocks: DataFrame, issues: DataFrame, published: DataFrame) -> DataFrame:
-    """BLOCKED or REVIEW_REQUIRED per document, from fatal issues, missing blocks and published counts of current persons and
-    entities.  ``issues`` (doc, code) may hold any code, such as PRIMARY_MISSING from a name extraction."""
-    counted = blocks.groupBy("doc").agg(
-        F.count(F.lit(1)).alias("n_blocks"), *[F.count_if(F.col("current") & (F.col("party_type") == k)).alias(c) for k, c in (("person", "n_persons"), ("entity", "n_entities"))])
-    fatal = issues.groupBy("doc").agg(F.count(F.lit(1)).alias("n_issues"), F.count_if(F.col("code").isin(FATAL)).alias("n_fatal"))
-    j = documents.select("doc").join(counted, "doc", "left").join(fatal, "doc", "left").join(published, "doc", "left").fillna(
-        0, ["n_blocks", "n_persons", "n_entities", "n_issues", "n_fatal"])
+def document_gate(documents: DataFrame, summary: DataFrame, issues: DataFrame, published: DataFrame) -> DataFrame:
+    """BLOCKED or REVIEW_REQUIRED per document, from violations of the numbering (``block_summary``), other fatal issues, missing blocks and
+    published counts of current persons and entities.  ``issues`` (doc, code) may hold any code, such as PRIMARY_MISSING from a
+    name extraction."""
+    others = issues.groupBy("doc").agg(F.count(F.lit(1)).alias("n_others"), F.count_if(F.col("code").isin(FATAL)).alias("n_fatal"))
+    j = documents.select("doc").join(summary, "doc", "left").join(others, "doc", "left").join(published, "doc", "left").fillna(
+        0, ["n_blocks", "n_persons", "n_entities", "n_violations", "n_others", "n_fatal"])
     mismatch = F.col("persons").isNotNull() & ((F.col("persons") != F.col("n_persons")) | (F.col("entities") != F.col("n_entities")))
-    blocked = (F.col("n_fatal") > 0) | (F.col("n_blocks") == 0) | mismatch
-    return j.select("doc", F.when(blocked, "BLOCKED").otherwise("REVIEW_REQUIRED").alias("status"), "n_blocks", "n_issues", mismatch.alias("count_mismatch"))
+    blocked = (F.col("n_violations") + F.col("n_fatal") > 0) | (F.col("n_blocks") == 0) | mismatch
+    return j.select("doc", F.when(blocked, "BLOCKED").otherwise("REVIEW_REQUIRED").alias("status"), "n_blocks",
+                    (F.col("n_violations") + F.col("n_others")).alias("n_issues"), mismatch.alias("count_mismatch"))
 
 
 # --- pages -------------------------------------------------------------------------------

@@ -90,6 +90,27 @@ def test_search_matches_brute_force(spark):
     assert got == want
 
 
+def test_search_equals_brute_force_where_half_of_all_names_hold_a_term(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    names = [(i, ("zeta" + word(rng.randint(0, 9))) if i % 2 else word(rng.randint(1, 12))) for i in range(300)]
+    names += [(900, "Ａbc"), (901, "a"), (902, ""), (903, None), (904, "zeta"), (905, "zeta"), (906, "q" * 70)]
+    terms = [("t0", "zeta"), ("t1", "zeta"), ("t2", "b"), ("t3", "xx" + "q" * 70 + "zetaab"), ("t4", None), ("t5", "q" * 64)]
+    terms += [(f"r{i}", word(rng.randint(2, 14))) for i in range(60)]
+    shown = lambda s: (s or "").replace("Ａ", "a").lower()
+    want = set()
+    for t, term in terms:
+        a = shown(term)
+        hits = [(0 if a == shown(n) else 1, 0 if a == shown(n) else len(n), i) for i, n in names
+                if len(a) >= 2 and n and (a in shown(n) or shown(n) in a)]
+        want |= {(t, rank, i) for rank, (_, _, i) in enumerate(sorted(hits), 1)}
+    asked, listed = spark.createDataFrame(terms, "term_id string, term string"), spark.createDataFrame(names, "name_id bigint, name string")
+    got = screening.search_names(asked, listed).select("term_id", "rank", "name_id").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert sum(t == "t0" for t, _, _ in want) > 150
+    assert screening.search_names(asked, listed.limit(0)).count() == 0 == screening.search_names(asked.limit(0), listed).count()
+
+
 def test_first_snapshot_is_a_baseline(spark):
     schema = "list string, party_id string, name string, match_key string, first_seen_ms bigint, last_changed_ms bigint, alias_current boolean, party_current boolean, formats array<string>, primary boolean, low_quality boolean"
     records = spark.createDataFrame([("SDN", "1", "A", "adv", True, False), ("SDN", "1", "A", "csv", False, True)],
