@@ -54,9 +54,9 @@ def mix(items: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS,
     out right.  The running sum is taken in two steps (over blocks, then inside a block), so a hot source spreads over many
     tasks.
 
-    Null sources are one source.  A source without words has target 0 and no copies.  Rows with one doc_id count each;
+    Null sources are one source.  A null size is 0, and comes out as 0.  A source without words has target 0 and no copies.  Rows with one doc_id count each;
     equal rows are interchangeable.  Columns of the results' names give way.  A null doc_id falls into part 0, first.  An empty table gives an empty table."""
-    items = items.drop("source_size", "target", "copies")
+    items = items.drop("source_size", "target", "copies").withColumn("size", F.coalesce("size", F.lit(0)))
     keys = ["_source", "_class", "_part"]
     digest = F.coalesce(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2), 16, 10).cast("int"), F.lit(0))
     dealt = (items.withColumn("_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))

@@ -96,6 +96,12 @@ def test_targets_by_repeated_sharing(spark):
     assert got == pytest.approx(want)
 
 
+def test_mixing_keeps_rows_without_a_size(spark):
+    items = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, None, None)], "doc_id long, source string, size long")
+    got = {r.doc_id: (r.size, r.source_size, r.copies) for r in mixing.mix(items).collect()}
+    assert set(got) == {1, 2, 3} and got[2][:2] == (0, 5) and got[3] == (0, 0, 0)
+
+
 def test_mixing_awkward_rows(docs, empty):
     got = mixing.mix_documents(docs).collect()
     assert len(got) == docs.count()

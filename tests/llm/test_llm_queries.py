@@ -60,6 +60,19 @@ def test_pipeline_on_awkward_rows(spark):
         assert rows.columns[:2] == ["doc_id", "piece"]
 
 
+def test_pipeline_leaves_clashing_columns_alone(spark):
+    docs = fixtures.frame(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    names = ["key", "size", "copy", "copies", "target", "root", "start", "kept", "carried", "predicted", "odd name"]
+    own = F.concat(F.col("doc_id").cast("string"), F.lit("|"), F.coalesce("text", F.lit("")))
+    rows = docs.select("*", *[F.concat(F.lit(c + "|"), F.sha2(own, 256)).alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, rows = common.materialise(stage(spark, rows.select(*docs.columns), SF)), common.materialise(stage(spark, rows, SF))
+        assert rows.columns == [*docs.columns, *names], name
+        assert Counter(map(tuple, rows.select(*docs.columns).collect())) == Counter(map(tuple, plain.collect())), name
+        for r in rows.collect():
+            assert len({r[c].split("|")[1] for c in names}) == 1 and all(r[c].startswith(c + "|") for c in names), name
+
+
 def test_near_copies_leave_one_row(spark):
     docs = fixtures.frame(spark).select("doc_id", "text", "lang", "source", "n_chars")
     kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF).collect()
