@@ -1,19 +1,32 @@
 """A training corpus from ``documents``: quality classifier, near-duplicate join, suffix-array dedup, source mixing, packing.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows it gets; all but the last return the columns of documents."""
+Every stage takes (spark, docs, sf_dir) and works on all rows it gets; all but the last return the columns of documents.  Columns that
+no stage knows stay as they are, whatever their names.  An empty table gives an empty one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.llm import common, jaccard, mixing, packing, quality, substrings, suffixes
 
 
+def _carried(docs: DataFrame, *apart: str) -> Column:
+    """The columns of ``docs`` but for ``apart`` as one column ``carried``, beyond the reach of the names that operators use."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in apart]).alias("carried")
+
+
+def _restored(docs: DataFrame, **apart: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``carried``, those set ``apart`` from their expressions."""
+    return [(apart[c] if c in apart else F.col(f"carried.c{i}")).alias(c) for i, c in enumerate(docs.columns)]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be good; it learns from the labelled ones that are not held out."""
-    judged = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.where("predicted = 1").select(*docs.columns)
+    """Documents that the classifier predicts to be good; it learns from the labelled ones that are not held out.  A null text is
+    judged as an empty one, a row without doc_id like any other."""
+    rows = docs.select("doc_id", "text", _carried(docs, "doc_id", "text"))
+    judged = quality.classify(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.where("predicted = 1").select(*_restored(docs, doc_id=F.col("doc_id"), text=F.col("text")))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,22 +38,22 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     # a component_id is no class: rows of one doc_id with different texts may be in several
     kept = classes.where(linked & (F.col("doc_id") == F.col("component_id"))).groupBy("root").agg(F.min("key").alias("key"))
     keys = kept.select("key").unionByName(classes.where(~linked).select("key")).distinct()
-    return (docs.withColumn("key", common.row_key("doc_id", "text")).join(keys, "key").dropDuplicates(["key"])
-            .select(*docs.columns))
+    rows = docs.select(common.row_key("doc_id", "text").alias("key"), _carried(docs))
+    return rows.join(keys, "key").dropDuplicates(["key"]).select(*_restored(docs))
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the strings of 200 bytes or more that also stand elsewhere."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    done = suffixes.remove_repeats(docs, keep=others, as_text=True)
-    return done.select(*others, F.col("kept").alias("text"), F.char_length("kept").cast("long").alias("n_chars")).select(*docs.columns)
+    """Every document, without the strings of 200 bytes or more that also stand elsewhere; a null text becomes an empty one."""
+    rows = docs.select("doc_id", "text", _carried(docs, "doc_id", "text", "n_chars"))
+    done = suffixes.remove_repeats(rows, keep=("doc_id", "carried"), as_text=True)
+    return done.select(*_restored(docs, doc_id=F.col("doc_id"), text=F.col("kept"), n_chars=F.char_length("kept").cast("long")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs.withColumn("size", common.count_words(F.col("text"))))
+    """Each document as often as the mix takes it; null sources are one source, null texts have no words."""
+    mixed = mixing.mix(docs.select("doc_id", "source", common.count_words(F.col("text")).alias("size"), _carried(docs)))
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.where("copies > 0").withColumn("copy", times).select(*docs.columns)
+    return mixed.where("copies > 0").select("carried", times).select(*_restored(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
