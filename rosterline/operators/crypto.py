@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.addresses import checksum_facts
+from ..functions.codecs import with_checksum_facts
 from ..functions.rows import explode_once
 
 # Networks of the identity, version bytes and human-readable prefixes per symbol.
@@ -92,8 +92,8 @@ def validate_addresses(rows: DataFrame) -> DataFrame:
     cased = hex20 & (digits != F.lower(digits)) & (digits != F.upper(digits))
     asked = F.when(r == "hex20", F.when(cased, "eip55")).when(~r.isin("text", "hex32", "unsupported", "xaddress"), r)
     df = df.withColumn("asked", asked)
-    df = df.withColumn("facts", checksum_facts(F.col("asked"), F.when(F.col("asked").isNotNull(), a)))
-    size, version, codec = F.coalesce("facts.size", F.lit(-1)), F.coalesce("facts.version", F.lit("")), F.coalesce("facts.codec", F.lit(""))
+    df = with_checksum_facts(df, "asked", "address")
+    size, version, codec = F.coalesce("size", F.lit(-1)), F.coalesce("version", F.lit("")), F.coalesce("codec", F.lit(""))
     allowed = F.lit(False)
     for name, versions in VERSIONS.items():
         allowed = allowed | ((F.coalesce(family, s) == name) & version.isin(versions))

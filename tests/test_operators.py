@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.functions import addresses as A
+from rosterline.functions.addresses import keccak256
 from rosterline.functions import constants as K
 from rosterline.operators import crypto, history, ledgers, master, monitoring, screening, sequences, snapshots
 from rosterline.operators.sequences import look_back
@@ -181,7 +181,7 @@ def test_address_vectors(spark):
         assert (row["validation"], row["validation_method"]) == (state, method), address
     tron = got[("XBT", "TR7NHqjeKQxGTCi8q8ZY4pL8otSzgjLj6t")]
     assert tron["network_candidates"] == ["tron-family"] and tron["network_resolution"] == "FAMILY_ONLY"
-    assert A.keccak256(b"abc").hex().startswith("4e03657aea45a94f")
+    assert keccak256(b"abc").hex().startswith("4e03657aea45a94f")
 
 
 def test_queue_rejects_partial_approval(spark):
