@@ -138,28 +138,41 @@ def sync_weak_aliases(master: DataFrame, history: DataFrame, ts: int) -> DataFra
           for c in K.MASTER_COLUMNS], "changed", "before")
 
 
-def removal_parties(history: DataFrame, removed: DataFrame) -> DataFrame:
-    """(match_key, list, party_id) of every name a removed party backed."""
-    return history.join(removed.select(*PARTY).distinct(), PARTY, "left_semi").filter(
-        N.strip(F.col("match_key")) != "").select("match_key", *PARTY).distinct()
+REMOVED, CURRENT_STRONG, PROTECTED_STRONG = 1, 2, 4
 
 
-def removal_effects(master: DataFrame, history: DataFrame, removed: DataFrame, protected: DataFrame, ts: int,
-                    source: str = K.SRC_OFAC) -> DataFrame:
-    """What an approved party removal does to each name it backed, with the audited fields before and after.
+def removal_flags(history: DataFrame, removed: DataFrame, protected: DataFrame) -> DataFrame:
+    """One row per (match_key, list, party_id) with ``flags``: the party is removed, backs the key by a strong alias that is current,
+    is protected and backs it by a strong alias.
 
-    The parties of a key stay in long form (``removal_parties``); this table carries their number.
+    All three are one ``bit_or``, so every table derived from this one needs the same columns of the history and the plans share its shuffle.
     """
-    # history is read once: flags per (key, party), then per key
     flag = lambda df, name: df.select(*PARTY).distinct().withColumn(name, F.lit(True))
     flagged = history.filter(N.strip(F.col("match_key")) != "").join(flag(removed, "removed"), PARTY, "left").join(flag(protected, "shielded"), PARTY, "left")
     strong = ~F.col("low_quality")
-    per_party = flagged.groupBy("match_key", *PARTY).agg(
-        F.bool_or("removed").alias("removed"), F.bool_or(strong & F.col("party_current") & F.col("alias_current")).alias("current_strong"),
-        F.bool_or(strong & F.col("shielded")).alias("protected_strong"))
-    keys = per_party.groupBy("match_key").agg(
-        F.count_if("removed").alias("n_parties"), F.bool_or("current_strong").alias("current_strong"),
-        F.bool_or("protected_strong").alias("protected_strong")).filter("n_parties > 0")
+    bit = lambda test, value: F.when(test, value).otherwise(0)
+    bits = bit(F.col("removed"), REMOVED) + bit(strong & F.col("party_current") & F.col("alias_current"), CURRENT_STRONG) + bit(
+        strong & F.col("shielded"), PROTECTED_STRONG)
+    return flagged.groupBy("match_key", *PARTY).agg(F.bit_or(bits).alias("flags"))
+
+
+def _has(flag: int) -> Column:
+    return F.col("flags").bitwiseAND(F.lit(flag)) != 0
+
+
+def removal_parties(flags: DataFrame) -> DataFrame:
+    """(match_key, list, party_id) of every name a removed party backed."""
+    return flags.filter(_has(REMOVED)).select("match_key", *PARTY)
+
+
+def removal_effects(master: DataFrame, flags: DataFrame, ts: int, source: str = K.SRC_OFAC) -> DataFrame:
+    """What an approved party removal does to each name it backed, with the audited fields before and after.
+
+    ``flags``: ``removal_flags``.  The parties of a key stay in long form (``removal_parties``); this table carries their number.
+    """
+    keys = flags.groupBy("match_key").agg(
+        F.count_if(_has(REMOVED)).alias("n_parties"), F.bool_or(_has(CURRENT_STRONG)).alias("current_strong"),
+        F.bool_or(_has(PROTECTED_STRONG)).alias("protected_strong")).filter("n_parties > 0")
     j = keys.join(master, "match_key", "left")
     remaining = F.array_remove("sources", source)
     action = (
@@ -191,7 +204,9 @@ def effect_audit(approvals: DataFrame, effects: DataFrame, parties: DataFrame) -
     text = F.to_json(F.struct("action", F.col(after), F.col(before), "display_name", "match_key"), {"ignoreNullFields": "false"})
     rows = effects.select("match_key", "action", text.alias("effect_json"))
     named = approvals.join(parties, PARTY, "left").join(rows, "match_key", "left")
-    counts = approvals.join(parties, PARTY).groupBy(*PARTY, "snapshot_sha256").agg(F.count(F.lit(1)).alias("effect_count"))
+    per_party = parties.groupBy(*PARTY).agg(F.count(F.lit(1)).alias("n_keys"))
+    per_approval = approvals.groupBy(*PARTY, "snapshot_sha256").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = per_approval.join(per_party, PARTY).select(*PARTY, "snapshot_sha256", (F.col("n_rows") * F.col("n_keys")).alias("effect_count"))
     return named.join(counts, [*PARTY, "snapshot_sha256"], "left").select(
         *PARTY, "snapshot_sha256", "party_name", F.coalesce("effect_count", F.lit(0)).alias("effect_count"),
         F.coalesce("match_key", F.lit("")).alias("match_key"), F.coalesce("action", F.lit("")).alias("action"),

@@ -216,9 +216,8 @@ EFFECT_VIEWS = VIEWS + " removed_parties protected_parties master"
 
 def _effects(x):
     history = H.update_history(x.view("alias_history"), x.view("alias_records"), TS)
-    removed = x.view("removed_parties")
-    effects = H.removal_effects(x.view("master"), history, removed, x.view("protected_parties"), TS)
-    return effects, H.removal_parties(history, removed)
+    flags = H.removal_flags(history, x.view("removed_parties"), x.view("protected_parties"))
+    return H.removal_effects(x.view("master"), flags, TS), H.removal_parties(flags)
 
 
 @query("m4_approved_removal", views=EFFECT_VIEWS, oracle=f"""

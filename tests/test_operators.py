@@ -314,3 +314,23 @@ def test_first_proof_after_many_tries(spark):
     df = spark.createDataFrame(rows, "relation_id string, tx_hash string, try_no int, n_candidates long, outcome string, block_number long, event struct<log_index:int,amount_hex:string>")
     got = crypto.select_proofs(df).first()
     assert (got.state, got.checked_candidates, got.unavailable_candidates, got.rejected_candidates, got.tx_hash) == ("VERIFIED", 5, 2, 2, "t5")
+
+
+def test_effects_share_one_flag_table(spark):
+    from rosterline.operators import history as H
+
+    history = spark.createDataFrame(
+        [("K1", "SDN", "1", False, True, True), ("K1", "SDN", "2", False, True, True), ("K2", "SDN", "1", True, True, True), ("K3", "SDN", "1", None, None, True),
+         ("K3", "SDN", "3", False, False, False), (" ", "SDN", "1", False, True, True), (None, "SDN", "1", False, True, True), ("K4", "SDN", "2", False, True, True)],
+        "match_key string, list string, party_id string, low_quality boolean, party_current boolean, alias_current boolean")
+    parties = lambda *ids: spark.createDataFrame([("SDN", i) for i in ids], "list string, party_id string")
+    flags = H.removal_flags(history, parties("1", "1"), parties("3"))
+    got = {(r["match_key"], r["party_id"]): r["flags"] for r in flags.collect()}
+    assert got == {("K1", "1"): 3, ("K1", "2"): 2, ("K2", "1"): 1, ("K3", "1"): 1, ("K3", "3"): 4, ("K4", "2"): 2}
+    approvals = spark.createDataFrame([("SDN", "1", "s", "One"), ("SDN", "1", "s", "One"), ("SDN", "9", "s", "Nine"), ("SDN", None, "s", "None")],
+                                      "list string, party_id string, snapshot_sha256 string, party_name string")
+    effects = spark.createDataFrame([(k, "deactivated", k, (1,), (2,)) for k in ("K1", "K2", "K3")],
+                                    "match_key string, action string, display_name string, before struct<a:int>, after struct<a:int>")
+    rows = H.effect_audit(approvals, effects, H.removal_parties(flags)).collect()
+    assert sorted((r["party_name"], r["match_key"], r["effect_count"]) for r in rows) == sorted(
+        [("One", k, 6) for k in ("K1", "K2", "K3")] * 2 + [("Nine", "", 0), ("None", "", 0)])
