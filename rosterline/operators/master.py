@@ -253,13 +253,8 @@ def repair_legacy(master: DataFrame, official: DataFrame, source: str = K.SRC_MO
                       outcome.alias("outcome"), F.coalesce("n_arrivals", F.lit(0)).alias("n_absorbed"))
 
 
-def cluster_legacy(rows: DataFrame, ts: int) -> DataFrame:
-    """Legacy sheet rows (raw, remark, first_ms, last_ms, was_invalid, ord) to master rows, one per key.
-
-    Per-key reductions are ordered minima and bounded sets, all combined map-side; the spelling set is
-    reduced to distinct (key, spelling) pairs before it is gathered.
-    """
-    texts = rows.select("remark").distinct().withColumn("pairs", R.parse_remark_multi(F.col("remark")))
+def _spelled(rows: DataFrame) -> DataFrame:
+    """Legacy sheet rows to one row per (key, spelling, remark); keyless spellings and unknown artifacts fall away."""
     cells = N.with_aliases(rows.select("ord", "raw", "remark", "first_ms", "last_ms", "was_invalid"), "raw", "parts")
     pieces = explode_once(cells, ["ord", "raw", "remark", "first_ms", "last_ms", "was_invalid", (F.size("parts") > 1).alias("split")], F.col("parts"), "piece", "pos")
     pieces = N.with_identity_key(pieces.withColumn("name", N.canonical_display_name(F.col("piece"))).drop("piece"), "name")
@@ -268,7 +263,30 @@ def cluster_legacy(rows: DataFrame, ts: int) -> DataFrame:
         F.min_by(F.struct("raw", "last_ms"), "place").alias("head"), F.min("place").alias("place"), F.count(F.lit(1)).alias("n"),
         F.bool_or("was_invalid").alias("was_invalid"), F.min(F.when(F.col("was_invalid"), F.col("place"))).alias("invalid_place"),
         F.bool_or("split").alias("split"))
-    spelled = spelled.filter((F.col("match_key") != "") & ~N.is_unknown_artifact(F.col("name"))).join(texts, "remark")
+    return spelled.filter((F.col("match_key") != "") & ~N.is_unknown_artifact(F.col("name")))
+
+
+def legacy_spellings(rows: DataFrame) -> DataFrame:
+    """(match_key, name, place) per distinct spelling of a key, with the place it first stands at: the spelling cells in long form, so a
+    key of any number of spellings stays spread over rows.  ``sources.sinks.fold_cells`` writes them as cells."""
+    return _spelled(rows).groupBy("match_key", "name").agg(F.min("place").alias("place"))
+
+
+def legacy_marks(rows: DataFrame) -> DataFrame:
+    """Distinct (match_key, source, category) of the remarks of a key: its source and category cells in long form."""
+    remarks = _spelled(rows).select("match_key", "remark").distinct()
+    texts = rows.select("remark").distinct().withColumn("pairs", R.parse_remark_multi(F.col("remark")))
+    return remarks.join(texts, "remark").select("match_key", F.inline("pairs")).select("match_key", "source", "category").distinct()
+
+
+def cluster_legacy(rows: DataFrame, ts: int) -> DataFrame:
+    """Legacy sheet rows (raw, remark, first_ms, last_ms, was_invalid, ord) to master rows, one per key.
+
+    Per-key reductions are ordered minima and bounded sets, all combined map-side; the spelling set is
+    reduced to distinct (key, spelling) pairs before it is gathered.
+    """
+    texts = rows.select("remark").distinct().withColumn("pairs", R.parse_remark_multi(F.col("remark")))
+    spelled = _spelled(rows).join(texts, "remark")
     spelled = spelled.withColumns({"bad": N.invalid_reason(F.col("name")), "odd": N.review_reason(F.col("name"))})
     reason = F.coalesce("bad", F.when(F.col("was_invalid"), "既存データで無効指定"))
     reason_place = F.when(F.col("bad").isNotNull(), F.col("place")).otherwise(F.col("invalid_place"))

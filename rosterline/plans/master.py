@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.digests import WORDS
 from ..operators import master as M
+from ..sources import sinks
 from .fixtures import DELISTED, view
 from .registry import query
 
@@ -334,6 +335,35 @@ def _(x):
         F.array_join("categories", ";").alias("categories"), "remark", "invalid_reason", F.array_join("variants", "|").alias("variants"), "members")
 
 
+LEGACY = """
+WITH p AS (
+  SELECT *, 0 AS pos, trim(trim(regexp_replace(CASE WHEN ord % 6 = 3 THEN split_part(raw, ' (', 1) WHEN ord % 6 = 4 THEN trim(raw, '()') ELSE raw END, ' +', ' ', 'g')), '"') AS name FROM legacy_rows
+  UNION ALL SELECT *, 1, 'Alias ' || substr(raw, 10, 9) FROM legacy_rows WHERE ord % 6 = 3),
+k AS (SELECT *, lower(replace(name, ' ', '')) AS match_key, ord % 6 = 3 AS split FROM p),
+prs AS (SELECT match_key, CASE ord % 4 WHEN 0 THEN 'OFAC' WHEN 1 THEN '財務省' WHEN 2 THEN 'legacy' ELSE '財務省' END AS s,
+    CASE ord % 4 WHEN 0 THEN '' WHEN 1 THEN 'テロリスト等' WHEN 2 THEN '外為法' ELSE 'ハイチ共和国' END AS c FROM k
+  UNION ALL SELECT match_key, 'OFAC', 'SDN' FROM k WHERE ord % 4 = 1)
+"""
+
+
+@query("m12_legacy_spellings", views="legacy_rows", oracle=LEGACY + "SELECT match_key, name, min(first_ms) AS first_ms FROM k GROUP BY match_key, name")
+def _(x):
+    """Spelling cells in long form: a key of any number of spellings stays spread over rows."""
+    return M.legacy_spellings(x.view("legacy_rows")).select("match_key", "name", F.col("place.first_ms").alias("first_ms"))
+
+
+@query("m12_legacy_marks", views="legacy_rows", oracle=LEGACY + "SELECT DISTINCT match_key, s AS source, c AS category FROM prs")
+def _(x):
+    """Source and category cells in long form."""
+    return M.legacy_marks(x.view("legacy_rows"))
+
+
+@query("m12_folded_spellings", views="legacy_rows", oracle=LEGACY + "SELECT match_key, string_agg(DISTINCT name, '|' ORDER BY name) AS name FROM k GROUP BY match_key")
+def _(x):
+    """The spelling cell of every key as the sink's streaming writer makes it."""
+    return sinks.fold_cells(M.legacy_spellings(x.view("legacy_rows")), ["match_key"], ["name"], ["name"], "|")
+
+
 # --- plan --------------------------------------------------------------------------------
 
 @view("plan_records")

@@ -348,6 +348,30 @@ def _(x):
     return D.stitch_rows(x.view("table_rows"), ["company", "country"])
 
 
+STITCHED = """
+WITH r AS (SELECT *, CASE WHEN is_header THEN 'H' WHEN regexp_full_match(no, '[0-9]+') THEN 'N' END AS m FROM table_rows),
+w AS (SELECT *, max(CASE WHEN m IS NOT NULL THEN i END) OVER s AS start, max(CASE WHEN m = 'H' THEN i END) OVER s AS tab FROM r WINDOW s AS (PARTITION BY doc ORDER BY i)),
+o AS (SELECT * FROM w WHERE tab IS NOT NULL AND NOT is_header AND start % 12 <> 5 AND (m = 'N' OR no = ''))
+"""
+
+
+@query("s9_record_lines", views="table_rows", oracle=STITCHED + """
+SELECT doc, start, i, CASE WHEN m = 'N' THEN CAST(no AS BIGINT) END AS no, company, country FROM o
+""")
+def _(x):
+    """Records in long form: a record of any length stays spread over rows."""
+    return D.record_lines(x.view("table_rows"), ["company", "country"])
+
+
+@query("s9_folded_records", views="table_rows", oracle=STITCHED + """
+SELECT doc, start, coalesce(string_agg(company, chr(10) ORDER BY i) FILTER (company <> ''), '') AS company,
+  coalesce(string_agg(country, chr(10) ORDER BY i) FILTER (country <> ''), '') AS country FROM o GROUP BY doc, start
+""")
+def _(x):
+    """The cells of every record as the sink's streaming writer makes them."""
+    return sinks.fold_cells(D.record_lines(x.view("table_rows"), ["company", "country"]), ["doc", "start"], ["i"], ["company", "country"], "\n")
+
+
 @view("numbered_lines", "doc_lines")
 def _(d):
     """Lines with planted block headers (some repeated, skipped or deleted), section heads, closing marks, reference numbers and

@@ -22,11 +22,12 @@ PUBLISHED = "([0-9]+)個人(?:及び|および)([0-9]+)団体"
 FATAL = ["NO_RECORDS", "DUPLICATE_NUMBER", "NUMBER_SEQUENCE", "PRIMARY_MISSING", "COUNT_MISMATCH", "IMAGE_OR_EMPTY_PAGE"]
 
 
-def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
-    """Table rows (doc, i, no, is_header, cells...) to records: a numbered row starts one, rows without a number continue it.
+def record_lines(rows: DataFrame, cells: list[str]) -> DataFrame:
+    """Table rows (doc, i, no, is_header, cells...) with the record each belongs to (doc, start, i, no, cells...): a numbered row starts
+    one, rows without a number (``no`` is NULL) continue it.
 
-    A repeated header ends the open record; rows before the first header and rows with another mark in
-    the number cell belong to none.
+    A repeated header ends the open record; rows before the first header and rows with another mark in the number cell belong to none.
+    Records stay in long form; ``stitch_rows`` or ``sinks.fold_cells`` make one row of each.
     """
     bucket = F.floor(F.col("i") / LINES_PER_BUCKET)
     numbered = F.col("no").rlike(r"^\d+$")
@@ -34,9 +35,14 @@ def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
         numbered, F.struct(F.lit(False).alias("header"), F.col("i").alias("start")))
     rows = look_backs(rows, ["doc"], bucket, ["i"], {"island": (mark, True), "table": (F.when(F.col("is_header"), F.col("i")), True)})
     own = rows.filter("table IS NOT NULL AND NOT is_header AND NOT island.header").filter(numbered | (F.col("no") == ""))
+    return own.select("doc", F.col("island.start").alias("start"), "i", F.when(numbered, F.col("no").try_cast("bigint")).alias("no"), *cells)
+
+
+def stitch_rows(rows: DataFrame, cells: list[str]) -> DataFrame:
+    """One row per record of ``record_lines``: its number, its number of rows and its cells, lines joined in order."""
     text = lambda c: F.array_join(F.transform(F.filter(F.array_sort(F.collect_list(F.struct("i", c))), lambda x: x[c] != ""), lambda x: x[c]), "\n")
-    return own.groupBy("doc", F.col("island.start").alias("start")).agg(
-        F.max(F.when(numbered, F.col("no").try_cast("bigint"))).alias("no"), F.count(F.lit(1)).alias("n_rows"), *[text(c).alias(c) for c in cells])
+    return record_lines(rows, cells).groupBy("doc", "start").agg(
+        F.max("no").alias("no"), F.count(F.lit(1)).alias("n_rows"), *[text(c).alias(c) for c in cells])
 
 
 def block_lines(lines: DataFrame, un_list: Column | None = None) -> DataFrame:
