@@ -2,10 +2,11 @@
 
 White space never takes part in a token of the vocabulary used here and never joins two, and letters or digits never join
 with ASCII marks, so a text's ids are the ids of such pieces in order.  Each distinct piece is encoded once per worker by the
-tokenizers library."""
+tokenizers library.  A vocabulary that normalises or splits texts in another way gets whole texts, since none of this holds for it."""
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -30,6 +31,22 @@ _SPELLED = {b: chr(b) for b in _PRINTS} | {b: chr(256 + i) for i, b in enumerate
 _PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
+# How the vocabulary that texts may be cut for normalises and splits them.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def may_be_cut(path: str) -> bool:
+    """Whether texts may be cut into pieces for the vocabulary file: its normaliser and splitter are those known here, and all its
+    added tokens begin with ``<|``, which no cut falls into."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return (spec.get("normalizer") == {"type": "Sequence", "normalizers": _NORMALIZERS} and
+            spec.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]} and
+            all(t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
+
+
 class Known:
     """Numbers of 64-bit hashes, by open addressing in arrays: 12 bytes a slot."""
 
@@ -68,6 +85,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = may_be_cut(path)
         self.end_id = end_id
         self._reset()
 
@@ -113,8 +131,14 @@ class Encoder:
                 self.known.put(new, numbers)
         return out
 
+    def _encode_whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.array([i for f in found for i in f], np.uint32), np.cumsum([0, *map(len, found)])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the offsets of the texts in them."""
+        """All ids, and the offsets of the texts in them.  A null text is an empty one."""
+        if not self.cuts:
+            return self._encode_whole(texts)
         rows = common.Texts(texts)
         data = rows.data
         if b"<|" not in data.tobytes():  # else a special token could come about

@@ -127,6 +127,20 @@ def test_encoder_equals_the_library():
         assert ids[offsets[i]:offsets[i + 1]].tolist() == token_ids(text), text
 
 
+def test_encoder_of_another_vocabulary_equals_the_library():
+    from tokenizers import Tokenizer
+
+    path = common.tokenizer_path("byte_bpe_50k.json")
+    assert tokens.may_be_cut(common.tokenizer_path()) and not tokens.may_be_cut(path)
+    texts = [r[1] for r in fixtures.awkward()] + ["Two  spaces\n\nand\tmarks!", "x.", "'s 't", "<|endoftext|>", "UPPER lower", None, ""]
+    ids, offsets = tokens.Encoder(path, 50256).encode(pa.array(texts))
+    library = Tokenizer.from_file(path)
+    assert offsets[0] == 0 and offsets[-1] == len(ids)
+    for i, text in enumerate(texts):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids + [50256], text
+    assert tokens.Encoder(path, 50256).encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
 def test_encoder_with_a_full_table(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_PIECES", 8)
     encoder = tokens.Encoder(common.tokenizer_path(), 1)
