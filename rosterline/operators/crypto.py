@@ -396,74 +396,122 @@ def merge_observations(previous: DataFrame, attempts: DataFrame) -> DataFrame:
 TRANSFER_TOPIC = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 
 
+def _log_facts(prefix: str) -> tuple[Column, Column, Column, Column]:
+    """What a log shows by itself: whether it is a transfer of a non-zero amount; its parties (40 hex digits each) and amount (64)."""
+    topics = F.col("topics")
+    padded = rf"^{prefix}0{{24}}[0-9a-fA-F]{{40}}\z"
+    party = lambda i: F.lower(F.right(F.get(topics, F.lit(i)), F.lit(40)))
+    good = (
+        (F.size(topics) == 3) & (F.get(topics, F.lit(0)) == prefix + TRANSFER_TOPIC) & F.get(topics, F.lit(1)).rlike(padded) & F.get(topics, F.lit(2)).rlike(padded)
+        & F.col("data").rlike(rf"^{prefix}[0-9a-fA-F]{{64}}\z") & ~F.col("data").rlike(rf"^{prefix}0{{64}}\z"))
+    return good, party(1), party(2), F.lower(F.right("data", F.lit(64)))
+
+
 def transfer_events(logs: DataFrame, prefix: str = "0x") -> DataFrame:
     """Transfer logs of the wanted contract that touch the wanted subject, with a non-zero amount (hex text).
 
     ``logs``: address, topics, data plus ``contract`` and ``subject`` (prefixed hex).
     """
-    topics = F.col("topics")
-    padded = rf"^{prefix}0{{24}}[0-9a-fA-F]{{40}}$"
-    party = lambda i: F.lower(F.right(F.get(topics, F.lit(i)), F.lit(40)))
+    good, sender, receiver, amount = _log_facts(prefix)
     subject = F.lower(F.right("subject", F.lit(40)))
-    good = (
-        (F.lower("address") == F.lower("contract")) & (F.size(topics) == 3) & (F.get(topics, F.lit(0)) == prefix + TRANSFER_TOPIC)
-        & F.get(topics, F.lit(1)).rlike(padded) & F.get(topics, F.lit(2)).rlike(padded) & (party(1).eqNullSafe(subject) | party(2).eqNullSafe(subject))
-        & F.col("data").rlike(rf"^{prefix}[0-9a-fA-F]{{64}}$") & ~F.col("data").rlike(rf"^{prefix}0{{64}}$"))
-    event = F.struct(
-        F.concat(F.lit(prefix), party(1)).alias("from_address"), F.concat(F.lit(prefix), party(2)).alias("to_address"), F.lower(F.right("data", F.lit(64))).alias("amount_hex"))
+    good = good & (F.lower("address") == F.lower("contract")) & (sender.eqNullSafe(subject) | receiver.eqNullSafe(subject))
+    event = F.struct(F.concat(F.lit(prefix), sender).alias("from_address"), F.concat(F.lit(prefix), receiver).alias("to_address"), amount.alias("amount_hex"))
     # a generator drops the other logs in one pass; a filter would be pushed down and repeat the expressions behind its inputs
     found = explode_once(logs, ["*"], F.when(good, F.array(event)), "__event")
     return found.select(*logs.columns, "__event.from_address", "__event.to_address", "__event.amount_hex")
 
 
+def _packed(c: Column) -> Column:
+    """A text in few bytes: lower-case hex behind 0x as its bytes, any other as UTF-8.  The first byte tells which, so it is exact."""
+    hexed = c.rlike(r"^0x[0-9a-f]*\z") & (F.length(c) % 2 == 0)
+    return F.when(hexed, F.concat(F.lit(b"\x01"), F.unhex(F.substr(c, F.lit(3))))).otherwise(F.concat(F.lit(b"\x00"), F.encode(c, "utf-8")))
+
+
+def _unpacked(c: Column) -> Column:
+    rest = F.substr(c, F.lit(2))
+    return F.when(F.substr(c, F.lit(1), F.lit(1)) == F.lit(b"\x01"), F.concat(F.lit("0x"), F.lower(F.hex(rest)))).otherwise(F.decode(rest, "utf-8"))
+
+
 def tried_candidates(candidates: DataFrame) -> DataFrame:
-    """The distinct transactions per relation in their order, with the number of them; all are tried."""
-    distinct = candidates.groupBy("relation_id", "tx_hash", "contract", "subject").agg(F.min("seq").alias("seq"))
-    totals = distinct.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n_candidates"))
-    ranked = distinct.withColumn("try_no", F.row_number().over(W.partitionBy("relation_id").orderBy("seq", "tx_hash")))
-    return ranked.join(totals, "relation_id")
+    """The distinct transactions per relation in their order, with the number of them; all are tried.
+
+    Rows move once, by relation and with packed texts; repeats, places and numbers are found where they then lie.
+    """
+    texts = ["tx_hash", "contract", "subject"]
+    packed = candidates.select("relation_id", *[_packed(F.col(c)).alias(c) for c in texts], "seq").repartition("relation_id")
+    distinct = packed.groupBy("relation_id", *texts).agg(F.min("seq").alias("seq"))
+    one = W.partitionBy("relation_id")
+    return distinct.select("relation_id", *[_unpacked(F.col(c)).alias(c) for c in texts], "seq").withColumns({
+        "try_no": F.row_number().over(one.orderBy("seq", "tx_hash")), "n_candidates": F.count(F.lit(1)).over(one)})
 
 
 def prove_transfers(tried: DataFrame, receipts: DataFrame, blocks: DataFrame, block_txs: DataFrame, logs: DataFrame, head: DataFrame) -> DataFrame:
     """Outcome per candidate: PROOF, UNAVAILABLE, or the reason why it is rejected.
 
-    ``head`` is one row (finalized_height, head_time), read as scalar subqueries.  Everything else is an equi-join
-    on transaction or block.
+    ``head`` is one row (finalized_height, head_time), read as scalar subqueries.  Receipts meet their blocks first; then every side
+    moves once, by transaction, with packed hashes and addresses and without logs that are no transfer.  What else has to
+    be equal is a range of one value, since a further join key would move the joined rows again.
     """
-    r = receipts.select("tx_hash", F.col("status").alias("r_status"), F.col("block_number").alias("r_number"), F.col("block_hash").alias("r_hash"))
-    b = blocks.select(F.col("number").alias("r_number"), F.col("hash").alias("b_hash"), F.col("timestamp").alias("b_time"))
-    inside = block_txs.select(F.col("number").alias("r_number"), "tx_hash", F.lit(True).alias("inside")).distinct()
-    wanted = tried.select("relation_id", "tx_hash", "contract", "subject")
-    events = transfer_events(logs.join(wanted, "tx_hash"))
-    events = events.filter("NOT removed").groupBy("relation_id", "tx_hash", F.col("block_number").alias("r_number"), F.col("block_hash").alias("r_hash")).agg(
-        F.min(F.struct("log_index", "amount_hex", "from_address", "to_address")).alias("event"))
-    j = (
-        tried.join(r, "tx_hash", "left").join(b, "r_number", "left").join(inside, ["r_number", "tx_hash"], "left")
-        .join(events, ["relation_id", "tx_hash", "r_number", "r_hash"], "left")
-        .withColumns({c: head.select(c).scalar() for c in ("finalized_height", "head_time")}))
-    outcome = (
+    good, sender, receiver, amount = _log_facts("0x")
+    b = blocks.select(F.col("number").alias("r_number"), _packed(F.col("hash")).alias("b_hash"), F.col("timestamp").alias("b_time"))
+    r = receipts.select(
+        F.col("block_number").alias("r_number"), _packed(F.col("tx_hash")).alias("tx"), _packed(F.col("block_hash")).alias("r_hash"), F.col("status").alias("r_status"))
+    r = r.join(b, "r_number", "left").withColumns({c: head.select(c).scalar() for c in ("finalized_height", "head_time")})
+    fault = (
         F.when(F.col("r_status").isNull(), "UNAVAILABLE").when(F.col("r_status") != "0x1", "RECEIPT_NOT_SUCCESSFUL")
         .when(F.col("r_number") > F.col("finalized_height"), "NOT_FINALIZED").when(F.col("b_hash").isNull(), "BLOCK_MISSING")
-        .when(F.col("b_hash") != F.col("r_hash"), "BLOCK_MISMATCH").when(F.col("b_time") > F.col("head_time"), "BLOCK_AFTER_HEAD")
-        .when(F.col("inside").isNull(), "NOT_IN_BLOCK").when(F.col("event").isNull(), "TRANSFER_NOT_FOUND").otherwise("PROOF"))
-    return j.select("relation_id", "tx_hash", "try_no", "n_candidates", outcome.alias("outcome"), F.col("r_number").alias("block_number"), "event")
+        .when(F.col("b_hash") != F.col("r_hash"), "BLOCK_MISMATCH").when(F.col("b_time") > F.col("head_time"), "BLOCK_AFTER_HEAD").otherwise(""))
+    r = r.select("tx", "r_number", "r_hash", fault.alias("fault"))
+    inside = block_txs.select(_packed(F.col("tx_hash")).alias("tx"), F.col("number").alias("i_number")).repartition("tx").distinct()
+    log = F.struct(
+        _packed(F.col("tx_hash")).alias("tx"), F.col("block_number").alias("l_number"), _packed(F.col("block_hash")).alias("l_hash"),
+        _packed(F.lower("address")).alias("l_contract"), F.unhex(sender).alias("sender"), F.unhex(receiver).alias("receiver"),
+        "log_index", F.unhex(amount).alias("amount"))
+    events = explode_once(logs, [], F.when(good & ~F.col("removed"), F.array(log)), "log").select("log.*")
+    c = tried.select(
+        "relation_id", _packed(F.col("tx_hash")).alias("tx"), "try_no", "n_candidates", _packed(F.lower("contract")).alias("contract"),
+        F.unhex(F.right("subject", F.lit(40))).alias("subject"))
+    same = lambda x, y: F.col(x).between(F.col(y), F.col(y))
+    by_tx = lambda x, y: F.col(f"{x}.tx") == F.col(f"{y}.tx")
+    j = c.join(r, "tx", "left").withColumn("row", F.monotonically_increasing_id()).alias("j")
+    j = j.join(inside.alias("i"), by_tx("j", "i") & same("i_number", "r_number"), "left").select("j.*", F.col("i_number").isNotNull().alias("inside")).alias("j")
+    touches = (F.col("sender") == F.col("subject")) | (F.col("receiver") == F.col("subject"))
+    j = j.join(events.alias("e"), by_tx("j", "e") & same("l_number", "r_number") & same("l_hash", "r_hash") & same("l_contract", "contract")
+               & touches & F.col("relation_id").isNotNull(), "left").drop(F.col("e.tx"))
+    # one row per candidate and receipt, with the first event of its relation in that transaction
+    found = F.when(F.col("l_number").isNotNull(), F.struct("log_index", "amount", "sender", "receiver"))
+    one = ["tx", "relation_id", "r_number", "r_hash"]
+    j = j.withColumn("nth", F.row_number().over(W.partitionBy(*one, "row").orderBy("log_index")))
+    j = j.withColumn("first", F.min(found).over(W.partitionBy(*one))).filter("nth = 1")
+    outcome = (
+        F.when(F.col("fault").isNull(), "UNAVAILABLE").when(F.col("fault") != "", F.col("fault"))
+        .when(~F.col("inside"), "NOT_IN_BLOCK").when(F.col("first").isNull(), "TRANSFER_NOT_FOUND").otherwise("PROOF"))
+    shown = lambda v: F.lower(F.hex(F.col(f"first.{v}")))
+    event = F.when(F.col("first").isNotNull(), F.struct(
+        F.col("first.log_index").alias("log_index"), shown("amount").alias("amount_hex"), F.concat(F.lit("0x"), shown("sender")).alias("from_address"),
+        F.concat(F.lit("0x"), shown("receiver")).alias("to_address")))
+    return j.select("relation_id", _unpacked(F.col("tx")).alias("tx_hash"), "try_no", "n_candidates", outcome.alias("outcome"),
+                    F.col("r_number").alias("block_number"), event.alias("event"))
 
 
 def select_proofs(outcomes: DataFrame) -> DataFrame:
-    """State per relation: candidates are taken in order until the first proof; counts are of those before it."""
-    tried = F.when(F.col("outcome") == "PROOF", F.col("try_no"))
-    hits = outcomes.groupBy("relation_id").agg(F.min(tried).alias("hit"))
+    """State per relation: candidates are taken in order until the first proof; counts are of those before it.
+
+    Outcomes move once, by relation, and only a proof carries its transaction.
+    """
+    proved, lost = F.col("outcome") == "PROOF", F.col("outcome") == "UNAVAILABLE"
+    slim = outcomes.filter("relation_id IS NOT NULL").select(
+        "relation_id", "try_no", "n_candidates", proved.alias("proved"), lost.alias("lost"), F.when(proved, F.struct("tx_hash", F.col("event.amount_hex").alias("amount_hex"))).alias("proof"))
+    tried = F.when(F.col("proved"), F.col("try_no"))
     before = F.col("hit").isNull() | (F.col("try_no") < F.col("hit"))
-    agg = outcomes.join(hits, "relation_id").groupBy("relation_id", "hit").agg(
-        F.max("n_candidates").alias("n_candidates"), F.max("try_no").alias("last"),
-        F.min_by(F.struct("tx_hash", "block_number", "event"), tried).alias("proof"),
-        F.count_if(before & (F.col("outcome") == "UNAVAILABLE")).alias("lost"),
-        F.count_if(before & ~F.col("outcome").isin("UNAVAILABLE", "PROOF")).alias("refused"))
+    agg = slim.repartition("relation_id").withColumn("hit", F.min(tried).over(W.partitionBy("relation_id"))).groupBy("relation_id").agg(
+        F.max("hit").alias("hit"), F.max("n_candidates").alias("n_candidates"), F.max("try_no").alias("last"), F.min_by("proof", tried).alias("proof"),
+        F.count_if(before & F.col("lost")).alias("lost"), F.count_if(before & ~F.col("lost") & ~F.col("proved")).alias("refused"))
     state = F.when(F.col("hit").isNotNull(), "VERIFIED").when(F.col("lost") > 0, "PARTIAL").otherwise("NO_PROOF")
     return agg.select(
         "relation_id", state.alias("state"), "n_candidates", F.coalesce("hit", "last").alias("checked_candidates"),
         F.col("lost").alias("unavailable_candidates"), F.col("refused").alias("rejected_candidates"),
-        F.coalesce("proof.tx_hash", F.lit("")).alias("tx_hash"), F.coalesce("proof.event.amount_hex", F.lit("")).alias("amount_hex"))
+        F.coalesce("proof.tx_hash", F.lit("")).alias("tx_hash"), F.coalesce("proof.amount_hex", F.lit("")).alias("amount_hex"))
 
 
 def proof_totals(proofs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """What a query moves between tasks, on hand-made rows: it must not grow faster than its input."""
 
-from rosterline.operators import screening
+from pyspark.sql import functions as F
+
+from rosterline.operators import crypto, screening
 
 
 def moved(spark, df):
@@ -31,3 +33,47 @@ def test_search_gives_hits_to_equal_terms_without_moving_them(spark):
     got = found.select("term_id", "rank", "name_id").collect()
     assert len(got) == len(want) > 1_000_000 and {tuple(r) for r in got} == want
     assert moved(spark, found)[0] < 100_000
+
+
+def test_packed_texts_come_back_and_stay_apart(spark):
+    values = ["0xab", "0xAB", "0xabc", "0xab\n", "0x", "", "plain", "«", None, "0x" + "0f" * 32]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", crypto._packed(F.col("v")).alias("p"))
+    rows = df.select("v", "p", crypto._unpacked(F.col("p")).alias("back"), F.length("p").alias("n")).collect()
+    assert [r["back"] for r in rows] == values and len({bytes(r["p"]) for r in rows if r["p"] is not None}) == len(values) - 1
+    assert rows[-1]["n"] == 33
+
+
+def test_proofs_move_each_side_once(spark):
+    """A relation's candidates share events; receipts may repeat; nothing but packed transfers and candidates moves."""
+    topic, pad, a, b = "0x" + crypto.TRANSFER_TOPIC, "0x" + "0" * 24, "a" * 40, "b" * 40
+    n = 300
+    tx = lambda i: "0x" + f"{i:064x}"
+    frame = spark.createDataFrame
+    candidates = frame([("r1", tx(i), "0xC1", "0x" + a, i) for i in range(n)] + [("r1", tx(0), "0xc1", "0x" + a, -1), ("r1", tx(1), "0xc2", "0x" + b, 1), ("r2", "odd", "0xc1", "0x" + b, 0)],
+                       "relation_id string, tx_hash string, contract string, subject string, seq bigint")
+    receipts = frame([(tx(i), "0x1" if i % 3 else "0x0", i, tx(7000 + i)) for i in range(n)] + [(tx(2), "0x1", 2, tx(7002))], "tx_hash string, status string, block_number bigint, block_hash string")
+    blocks = frame([(i, tx(7000 + i), 5) for i in range(n)], "number bigint, hash string, timestamp bigint")
+    inside = frame([(i, tx(i)) for i in range(n) if i != 4] * 2, "number bigint, tx_hash string")
+    data = lambda v: "0x" + f"{v:064x}"
+    logs = frame([(tx(i), k, i, tx(7000 + i), False, "0xc1", [topic, pad + a, pad + b], data(9 - k)) for i in range(n) if i != 5 for k in (2, 1)]
+                 + [(tx(i), 0, i, tx(7000 + i), False, "0xc1", [topic, pad + a, pad + b], data(0)) for i in range(n)] * 20,
+                 "tx_hash string, log_index bigint, block_number bigint, block_hash string, removed boolean, address string, topics array<string>, data string")
+    head = frame([(n - 10, 100)], "finalized_height bigint, head_time bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        proved = crypto.prove_transfers(crypto.tried_candidates(candidates), receipts, blocks, inside, logs, head)
+        got = proved.select("relation_id", "tx_hash", "try_no", "outcome", "event.log_index", "event.amount_hex", "event.from_address").collect()
+        rows = moved(spark, crypto.select_proofs(proved))[0]
+        state = {r["relation_id"]: r for r in crypto.select_proofs(proved).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_tx = {}
+    for r in got:
+        by_tx.setdefault(r["tx_hash"], []).append(r)
+    assert len(got) == n + 2 + 1 + 1  # both spellings of a contract, both contracts of one transaction, the repeated receipt, the odd one
+    assert [r["outcome"] for r in by_tx["odd"]] == ["UNAVAILABLE"] and {r["outcome"] for r in by_tx[tx(0)]} == {"RECEIPT_NOT_SUCCESSFUL"}
+    assert [(r["outcome"], r["log_index"], r["amount_hex"], r["from_address"]) for r in by_tx[tx(1)]] == [("PROOF", 1, data(8)[2:], "0x" + a)] * 2
+    assert len(by_tx[tx(2)]) == 2 and by_tx[tx(4)][0]["outcome"] == "NOT_IN_BLOCK" and by_tx[tx(5)][0]["outcome"] == "TRANSFER_NOT_FOUND"
+    assert by_tx[tx(n - 2)][0]["outcome"] == "NOT_FINALIZED"
+    assert (state["r1"]["state"], state["r1"]["tx_hash"], state["r2"]["state"]) == ("VERIFIED", tx(1), "PARTIAL")
+    assert rows < 12 * n, rows
