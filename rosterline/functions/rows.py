@@ -15,3 +15,9 @@ def explode_once(df: DataFrame, keep: list, array: Column, name: str, pos: str |
     if pos is None:
         return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
     return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).filter(F.col(pos).isNotNull())
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt to all tasks by ``keys``, ahead of expressions that cost far more than moving the row: a table of few bytes is
+    read by few tasks, and they would do all that work."""
+    return df.repartition(*keys)

@@ -4,6 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.rows import spread
 from ..sources import documents as D
 from ..sources import sinks
 from ..sources import party_xml as X
@@ -254,9 +255,11 @@ def _(d):
   WHEN 2 THEN 'Vessel Flag' WHEN 3 THEN 'Digital Currency Address: new' ELSE 'Other' END || '</FeatureType>' AS element FROM {d.t('nation')}"""
 
 
-def _elements(x, name: str, schema: str):
-    options = {"mode": "FAILFAST"}
-    return x.view(name).select(F.from_xml("element", schema, options).alias("e")).select("e.*")
+def _elements(x, name: str, schema: str, distinct: bool = False):
+    """Parsed elements; parsing costs most, so the texts are dealt to all tasks first.  ``distinct``: each text once."""
+    texts = x.view(name).select("element")
+    texts = texts.distinct() if distinct else spread(texts, "element")
+    return texts.select(F.from_xml("element", schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")
 
 
 def _parties(x):
@@ -279,8 +282,7 @@ def _(x):
 
 @query("s3_party_gates", views="party_elements", oracle=f"WITH {PARTIES} SELECT id AS party_id, 'NO_NAME' AS violation FROM p WHERE k % 31 = 4")
 def _(x):
-    parties = _parties(x)
-    return X.party_violations(parties, X.party_names(parties, "SDN"))
+    return X.party_violations(_parties(x))
 
 
 @view("party_files")
@@ -316,7 +318,7 @@ SELECT id AS party_id, 'p' || id AS profile_id, 'f' || id AS feature_id, 'v' ||
 FROM v LEFT JOIN prog ON prog.k = v.k WHERE v.k % 4 <> 2
 """)
 def _(x):
-    features = X.address_features(_parties(x), _elements(x, "feature_type_elements", X.FEATURE_TYPE_SCHEMA), _elements(x, "entry_elements", X.ENTRY_SCHEMA))
+    features = X.address_features(_parties(x), _elements(x, "feature_type_elements", X.FEATURE_TYPE_SCHEMA), _elements(x, "entry_elements", X.ENTRY_SCHEMA, distinct=True))
     return features.withColumn("entity_name", F.regexp_replace("entity_name", " +", " "))
 
 

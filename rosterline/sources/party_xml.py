@@ -6,7 +6,7 @@ same functions take elements parsed from text with ``from_xml``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -66,14 +66,20 @@ def party_names(parties: DataFrame, label: str) -> DataFrame:
         F.col("r.primary").alias("alias_primary"), F.col("r.low_quality").alias("low_quality"), F.lit("advanced_xml_v3").alias("format"))
 
 
-def party_violations(parties: DataFrame, names: DataFrame) -> DataFrame:
-    """Parties without or with a repeated reference, and parties for which no name could be restored."""
+def _has_name() -> Column:
+    """Whether ``party_names`` finds a name in the party: a part with text, outside identities marked false."""
+    some = lambda array, test: F.coalesce(F.exists(array, test), F.lit(False))
+    text = lambda doc: some(_parts(doc), lambda v: N.clean_name(v["_VALUE"]) != "")
+    alias = lambda i: some(i["Alias"], lambda a: some(a["DocumentedName"], text))
+    return some(F.col("Profile"), lambda p: some(p["Identity"], lambda i: ~_flag(i["_False"]) & alias(i)))
+
+
+def party_violations(parties: DataFrame) -> DataFrame:
+    """Parties without or with a repeated reference, and parties for which no name could be restored; each element is read once."""
     ref = F.coalesce(F.trim("_FixedRef"), F.lit(""))
-    per_ref = parties.groupBy(ref.alias("party_id")).agg(F.count(F.lit(1)).alias("n"))
-    named = names.select(F.col("source_id").alias("party_id"), F.lit(True).alias("named")).distinct()
-    j = per_ref.join(named, "party_id", "left")
-    violation = F.when(F.col("party_id") == "", "REFERENCE_MISSING").when(F.col("n") > 1, "REFERENCE_REPEATED").when(F.col("named").isNull(), "NO_NAME")
-    return j.select("party_id", violation.alias("violation")).filter("violation IS NOT NULL")
+    per_ref = parties.groupBy(ref.alias("party_id")).agg(F.count(F.lit(1)).alias("n"), F.bool_or(_has_name()).alias("named"))
+    violation = F.when(F.col("party_id") == "", "REFERENCE_MISSING").when(F.col("n") > 1, "REFERENCE_REPEATED").when(~F.col("named"), "NO_NAME")
+    return per_ref.select("party_id", violation.alias("violation")).filter("violation IS NOT NULL")
 
 
 def file_violations(files: DataFrame, name_part_types: DataFrame, parties: DataFrame) -> DataFrame:

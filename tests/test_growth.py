@@ -1,8 +1,13 @@
 """What a query moves between tasks, on hand-made rows: it must not grow faster than its input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rosterline.operators import crypto, screening
+from rosterline.plans import registry
+from rosterline.sources import party_xml
+
+registry.load()
 
 
 def moved(spark, df):
@@ -77,3 +82,22 @@ def test_proofs_move_each_side_once(spark):
     assert by_tx[tx(n - 2)][0]["outcome"] == "NOT_FINALIZED"
     assert (state["r1"]["state"], state["r1"]["tx_hash"], state["r2"]["state"]) == ("VERIFIED", tx(1), "PARTIAL")
     assert rows < 12 * n, rows
+
+
+PARTY = ('<DistinctParty FixedRef="{0}"><Profile ID="p"><Identity False="{1}"><Alias Primary="true"><DocumentedName><DocumentedNamePart>'
+         '<NamePartValue NamePartGroupID="1" ScriptID="215">{2}</NamePartValue></DocumentedNamePart></DocumentedName></Alias></Identity></Profile></DistinctParty>')
+
+
+def test_party_gates_read_each_element_once(spark):
+    rows = [(" 5 ", "false", "Ann"), ("6", "true", "Bob"), ("7", "false", " 　"), ("8", "false", "Cy"), ("8", "false", "Cy"), ("", "false", "Di")]
+    texts = spark.createDataFrame([(PARTY.format(*r),) for r in rows] + [('<DistinctParty FixedRef="9"/>',)], "element string")
+    parties = texts.select(F.from_xml("element", party_xml.PARTY_SCHEMA, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    found = party_xml.party_violations(parties)
+    assert {tuple(r) for r in found.collect()} == {("6", "NO_NAME"), ("7", "NO_NAME"), ("8", "REFERENCE_REPEATED"), ("9", "NO_NAME"), ("", "REFERENCE_MISSING")}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+
+
+@pytest.mark.parametrize("name", ["s3_party_names", "s3_party_gates", "s4_address_features"])
+def test_elements_are_dealt_to_all_tasks_before_they_are_parsed(spark, name):
+    plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("from_xml(")
+    assert len(plan) > 1 and all("Exchange hashpartitioning(element" in after for after in plan[1:])
