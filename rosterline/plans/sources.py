@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.rows import spread
+from ..functions.rows import explode_once, spread
 from ..sources import documents as D
 from ..sources import sinks
 from ..sources import party_xml as X
@@ -256,10 +256,12 @@ def _(d):
 
 
 def _elements(x, name: str, schema: str, distinct: bool = False):
-    """Parsed elements; parsing costs most, so the texts are dealt to all tasks first.  ``distinct``: each text once."""
+    """Parsed elements; parsing costs most, so the texts are dealt to all tasks first, and a generator keeps later filters from parsing them
+    again below that.  ``distinct``: each text once."""
     texts = x.view(name).select("element")
     texts = texts.distinct() if distinct else spread(texts, "element")
-    return texts.select(F.from_xml("element", schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    parsed = F.struct(F.from_xml("element", schema, {"mode": "FAILFAST"}).alias("e"))
+    return explode_once(texts, [], F.array(parsed), "p").select("p.e.*")
 
 
 def _parties(x):
