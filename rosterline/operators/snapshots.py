@@ -171,6 +171,15 @@ def _folded(df: DataFrame, columns: dict[str, str], udf) -> DataFrame:
     return df.withColumns({out: F.coalesce(f"__{out}", plain(column)) for out, column in columns.items()}).drop(*wide)
 
 
+def with_forms(changes: DataFrame) -> DataFrame:
+    """Every form of the cells that later steps compare, in one Python stage (each further one would hold a worker for each task):
+    NFKC (__plain_*) and NFKC with full case folding (*_fold).  Folding a cell's NFKC form gives its *_fold."""
+    forms = {f"__plain_{c}": (c, N.nfkc) for c in ("before", "after")} | {f"{c}_fold": (c, N.nfkc_casefold) for c in ("before", "after", "others")}
+    df = changes.withColumns({f"__wide_{out}": udf(F.when(~N.is_ascii(F.col(c)), F.col(c))) for out, (c, udf) in forms.items()})
+    plain = lambda c, udf: F.col(c) if udf is N.nfkc else F.lower(c)
+    return df.withColumns({out: F.coalesce(f"__wide_{out}", plain(c, udf)) for out, (c, udf) in forms.items()}).drop(*[f"__wide_{out}" for out in forms])
+
+
 def _evidence(c: Column, keep: str = "") -> Column:
     s = F.regexp_replace(c, r"(?U)[\u200b-\u200d\ufeff\s]+", "")
     return F.regexp_replace(s, rf"[^0-9a-z_\u0080-\uffff{keep}]+", "")
@@ -186,7 +195,10 @@ def _id_tokens(c: Column) -> Column:
 
 def moved_information(changes: DataFrame) -> DataFrame:
     """Flag changes whose value only moved to or from another column of the record."""
-    df = _folded(changes, {f"{column}_fold": column for column in ("before", "after", "others")}, N.nfkc_casefold)
+    return _moved(_folded(changes, {f"{column}_fold": column for column in ("before", "after", "others")}, N.nfkc_casefold)).drop("before_fold", "after_fold")
+
+
+def _moved(df: DataFrame) -> DataFrame:
     appeared, vanished = F.col("before") == "", F.col("after") == ""
     token = _evidence(F.when(appeared, F.col("after_fold")).otherwise(F.col("before_fold")))
     elsewhere = (F.length(token) >= 2) & F.contains(_evidence(F.col("others_fold"), keep=CELL_GAP), token)
@@ -201,14 +213,12 @@ def moved_information(changes: DataFrame) -> DataFrame:
         (F.col("field") == "旅券番号") & (F.size(ids) > 0) & (ids == _id_tokens(F.col("after_fold")))
         & (after_token != "") & (F.length(after_token) < F.length(before_token)) & (F.size(dropped) > 0) & kept_cell)
     moved = F.when(~_field_in(K.ECHO_FIELDS), False).when(appeared | vanished, elsewhere).otherwise(detail)
-    return df.withColumn("moved", moved).drop("before_fold", "after_fold", "others_fold", "others")
+    return df.withColumn("moved", moved).drop("others_fold", "others")
 
 
 def _with_semantic(df: DataFrame, sides: tuple[str, ...] = ("before", "after")) -> DataFrame:
-    """Comparable value of each side's cell in ``<side>_sem``: NFKC, blanks, separators, then the rules of its field class."""
-    df = _folded(df, {f"__plain_{side}": side for side in sides}, N.nfkc)
-    df = df.withColumns({f"__caseless_{side}": F.when(_field_in(K.CASELESS_FIELDS), F.col(f"__plain_{side}")) for side in sides})
-    df = _folded(df, {f"__low_{side}": f"__caseless_{side}" for side in sides}, N.casefold)
+    """Comparable value of each side's cell in ``<side>_sem``: NFKC, blanks, separators, then the rules of its field class (``with_forms``)."""
+    df = df.withColumns({f"__low_{side}": F.when(_field_in(K.CASELESS_FIELDS), F.col(f"{side}_fold")) for side in sides})
 
     def comparable(v: Column) -> Column:
         place = F.regexp_replace(F.regexp_replace(v, "[,，]+", " "), r"[ \t]+", " ")
@@ -222,12 +232,12 @@ def _with_semantic(df: DataFrame, sides: tuple[str, ...] = ("before", "after"))
     df = df.withColumns({f"{side}_sem": F.regexp_replace(spaced(side), r"(?U)\s*([;,:])\s*", "$1") for side in sides})
     df = df.withColumns({f"{side}_sem": comparable(F.col(f"{side}_sem")) for side in sides})
     df = df.withColumns({f"{side}_sem": N.strip(F.regexp_replace(F.col(f"{side}_sem"), r"(?U)[^\S\n]*\n[^\S\n]*", "\n")) for side in sides})
-    return df.drop(*[f"__{kind}_{side}" for kind in ("plain", "caseless", "low") for side in sides])
+    return df.drop(*[f"__{kind}_{side}" for kind in ("plain", "low") for side in sides])
 
 
 def classify_impact(changes: DataFrame) -> DataFrame:
-    """Impact class, material flag and kind label of every field change; the first rule that fits wins."""
-    df = moved_information(changes)
+    """Impact class, material flag and kind label of every field change; the first rule that fits wins.  The folded cells stay, for ``review_cases``."""
+    df = _moved(with_forms(changes))
     df = _with_semantic(df)
     field = F.col("field")
     impact = (
@@ -277,12 +287,15 @@ def _alias_set(c: Column) -> Column:
 def review_cases(changes: DataFrame) -> DataFrame:
     """Re-review case per (snapshot, record) whose names, ids, birth, place, nationality or address changed.
 
-    ``changes``: after_raw, record_id, detected_at, name, un_reference, pos, field, before, after, impact.
+    ``changes``: after_raw, record_id, detected_at, name, un_reference, pos, field, before, after, impact; before_fold and after_fold where known.
     A group holds at most the columns of the list, so gathering it is bounded.
     """
     alias_only = lambda column: F.when(F.col("field").isin(K.STRONG_ALIAS + K.WEAK_ALIAS), F.col(column)).otherwise("")
-    df = changes.withColumns({f"__alias_{column}": alias_only(column) for column in ("before", "after")})
-    df = _folded(df, {f"{column}_fold": f"__alias_{column}" for column in ("before", "after")}, N.nfkc_casefold)
+    if {"before_fold", "after_fold"} <= set(changes.columns):
+        df = changes.withColumns({f"{column}_fold": alias_only(f"{column}_fold") for column in ("before", "after")})
+    else:
+        df = changes.withColumns({f"__alias_{column}": alias_only(column) for column in ("before", "after")})
+        df = _folded(df, {f"{column}_fold": f"__alias_{column}" for column in ("before", "after")}, N.nfkc_casefold)
     row = F.struct("pos", "field", "before", "after", "impact", "before_fold", "after_fold")
     grouped = df.groupBy("after_raw", "record_id").agg(
         F.min_by(F.struct("detected_at", "name", "un_reference"), "pos").alias("head"),

@@ -149,7 +149,7 @@ def _cases(x):
     record = F.when(F.col("after_id") != "", F.col("after_id")).otherwise(F.col("before_id"))
     return S.review_cases(changes.select(
         F.lit(RAW).alias("after_raw"), record.alias("record_id"), F.lit("2026-09-05 10:00:00").alias("detected_at"),
-        "name", "un_reference", "pos", "field", "before", "after", "impact"))
+        "name", "un_reference", "pos", "field", "before", "after", "impact", "before_fold", "after_fold"))
 
 
 CASES = f"""

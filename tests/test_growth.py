@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators import crypto, screening
+from rosterline.operators import crypto, screening, snapshots
 from rosterline.plans import registry
 from rosterline.sources import party_xml
 
@@ -101,3 +101,12 @@ def test_party_gates_read_each_element_once(spark):
 def test_elements_are_dealt_to_all_tasks_before_they_are_parsed(spark, name):
     plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("from_xml(")
     assert len(plan) > 1 and all("Exchange hashpartitioning(element" in after for after in plan[1:])
+
+
+def test_case_queue_folds_its_cells_in_one_python_stage(spark):
+    changes = snapshots.field_changes(snapshots.pair_records(*[spark.createDataFrame([("1", t, "")], "`番号` string, `氏名（英語）` string, `国連参照番号` string") for t in ("Ａ", "b")]))
+    cases = snapshots.review_cases(snapshots.classify_impact(changes).select(
+        F.lit("shisantouketsu20260905.csv").alias("after_raw"), F.col("after_id").alias("record_id"), F.lit("t").alias("detected_at"),
+        "name", "un_reference", "pos", "field", "before", "after", "impact", "before_fold", "after_fold"))
+    assert cases._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["reasons"] for r in cases.collect()] == ["主名称変更"]
