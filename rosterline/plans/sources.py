@@ -45,7 +45,7 @@ prim AS (SELECT ord, CAST(k AS STRING) AS ent_num, CASE WHEN k % 10 = 4 THEN 'CU
 
 
 def _primary(x):
-    return T.parse_headerless(x.view("primary_lines"), T.PRIMARY_COLUMNS)
+    return T.parse_headerless(spread(x.view("primary_lines"), "value"), T.PRIMARY_COLUMNS)
 
 
 @query("s1_headerless_list", views="primary_lines", oracle=f"WITH {PRIMARY} SELECT ord, ent_num, name, sdn_type, program, remarks FROM prim")
@@ -62,7 +62,7 @@ r AS (SELECT ent_num, split_part(name, ' (a.k.a.', 1) AS name, program FROM prim
 SELECT 'OFAC' AS source, 'SDN' AS category, name, ent_num AS source_id, coalesce(program, '') AS program FROM r
 """)
 def _(x):
-    return T.list_records(_primary(x), T.parse_headerless(x.view("alias_lines"), T.ALIAS_COLUMNS), "SDN")
+    return T.list_records(_primary(x), T.parse_headerless(spread(x.view("alias_lines"), "value"), T.ALIAS_COLUMNS), "SDN")
 
 
 @view("file_lines")

@@ -103,7 +103,8 @@ def parse_headerless(lines: DataFrame, columns: list[str]) -> DataFrame:
     dropped, and surplus cells belong to the last column.
     """
     n = len(columns)
-    cells = lines.select(*[c for c in ("file", "ord") if c in lines.columns], csv_cells(F.col("value")).alias("cells"))
+    # a generator cuts a line once; filters on plain columns would be pushed down and cut it again
+    cells = explode_once(lines, [c for c in ("file", "ord") if c in lines.columns], F.array(csv_cells(F.col("value"))), "cells")
     blank = lambda c: c.isin(NULL_MARKS)
     kept = cells.filter((F.size("cells") >= 2) & ~F.forall("cells", blank)).filter(
         ~F.lower(F.get("cells", F.lit(0))).isin("ent_num", "entnum", "id"))

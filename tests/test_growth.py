@@ -110,3 +110,8 @@ def test_case_queue_folds_its_cells_in_one_python_stage(spark):
         "name", "un_reference", "pos", "field", "before", "after", "impact", "before_fold", "after_fold"))
     assert cases._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert [r["reasons"] for r in cases.collect()] == ["主名称変更"]
+
+
+def test_list_lines_are_cut_once(spark):
+    plan = registry.QUERIES["s1_headerless_list"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
