@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .rows import bound
+
 # The characters and words that decide when two spellings are one name.
 BLANKS = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -49,6 +51,8 @@ DESCRIPTOR = (
 )
 DESCRIPTOR_TAIL = r"[（(][^（()）]*[)）]?\s*$"
 
+TIDY = r"\A[!-~]++(?: [!-~]++)*+\z"  # words of ASCII with one blank between: nothing to clean
+
 BREAK = "\u0000"  # piece separator inside one cell
 
 
@@ -63,22 +67,31 @@ def is_ascii(c: Column) -> Column:
 def clean_name(c: Column) -> Column:
     """Display clean-up only: invisible characters, line breaks, blank runs, outer blanks."""
     s = F.translate(F.coalesce(c, F.lit("")), "\u3000" + INVISIBLE, " ")
-    return strip(F.regexp_replace(s, r"[ \r\n\t]+", " "))
+    return F.when(c.rlike(TIDY), c).otherwise(strip(F.regexp_replace(s, r"[ \r\n\t]+", " ")))
 
 
 def _unquote_once(s: Column) -> Column:
     first, last = F.left(s, F.lit(1)), F.right(s, F.lit(1))
-    inner = clean_name(F.substring(s, F.lit(2), F.length(s) - 2))
+    inner = bound(F.substring(s, F.lit(2), F.length(s) - 2), clean_name)
     paired = (F.length(s) >= 2) & first.isin(list(OPENERS)) & (F.translate(first, OPENERS, CLOSERS) == last)
-    return F.when(paired & (inner != ""), inner).otherwise(s)
+    return F.when(paired, bound(inner, lambda t: F.when(t != "", t).otherwise(s))).otherwise(s)
 
 
 def canonical_display_name(c: Column) -> Column:
     """Clean name without outer quote pairs, however deeply they are nested."""
-    s = clean_name(c)
+    return _unquoted(clean_name(c))
+
+
+def _unquoted(s: Column) -> Column:
+    """A clean name without its outer quote pairs; every pair takes one opener, so there are no more rounds than openers."""
     maybe = F.left(s, F.lit(1)).isin(list(OPENERS)) & F.right(s, F.lit(1)).isin(list(CLOSERS))
-    rounds = F.sequence(F.lit(1), F.ceil(F.length(s) / 2).cast("int") + 1)
-    return F.when(maybe, F.aggregate(rounds, s, lambda acc, _: _unquote_once(acc))).otherwise(s)
+    return F.when(maybe, F.aggregate(F.sequence(F.lit(1), _count(s, OPENERS)), s, lambda acc, _: _unquote_once(acc))).otherwise(s)
+
+
+def with_display_name(df: DataFrame, raw: str, out: str = "name") -> DataFrame:
+    """``canonical_display_name`` as staged columns: the cleaning is computed once."""
+    clean = f"__{out}_c"
+    return df.withColumn(clean, clean_name(F.col(raw))).withColumn(out, _unquoted(F.col(clean))).drop(clean)
 
 
 def _quote_regex(words: list[str]) -> str:
@@ -115,8 +128,7 @@ casefold = _fold_udf(str.casefold)
 
 
 def _finish_key(folded: Column) -> Column:
-    s = F.translate(folded, PUNCT_FROM, PUNCT_TO)
-    s = F.translate(s, BLANKS + INVISIBLE, "")
+    s = F.translate(folded, PUNCT_FROM + BLANKS + INVISIBLE, PUNCT_TO)  # blanks have no counterpart and go
     return F.btrim(s, F.lit(EDGE_QUOTES))
 
 
@@ -127,8 +139,8 @@ def ascii_identity_key(c: Column) -> Column:
 
 def with_identity_key(df: DataFrame, name: str, out: str = "match_key") -> DataFrame:
     """Add the identity key.  Narrow: no shuffle; only non-ASCII names carry text into Python."""
-    swapped, wide = f"__{out}_s", f"__{out}_w"
-    df = df.withColumn(swapped, swap_surname_first(clean_name(F.col(name))))
+    clean, swapped, wide = (f"__{out}_{x}" for x in "csw")
+    df = df.withColumn(clean, clean_name(F.col(name))).withColumn(swapped, swap_surname_first(F.col(clean))).drop(clean)
     df = df.withColumn(wide, nfkc_casefold(F.when(~is_ascii(F.col(swapped)), F.col(swapped))))
     key = _finish_key(F.coalesce(F.col(wide), F.lower(F.col(swapped))))
     return df.withColumn(out, key).drop(swapped, wide)
@@ -183,15 +195,16 @@ def orphan_closers_to_break(s: Column) -> Column:
     """Closing brackets that lost their opener become piece separators."""
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("depth"))
 
-    def step(acc, ch):
+    def step(acc, piece):  # text up to a bracket and the bracket
+        ch = F.right(piece, F.lit(1))
         opens, closes = ch.isin("(", "（"), ch.isin(")", "）")
         orphan = closes & (acc["depth"] == 0)
         return F.struct(
-            F.concat(acc["text"], F.when(orphan, F.lit(BREAK)).otherwise(ch)).alias("text"),
+            F.concat(acc["text"], F.when(orphan, F.concat(F.left(piece, F.length(piece) - 1), F.lit(BREAK))).otherwise(piece)).alias("text"),
             (acc["depth"] + F.when(opens, 1).when(closes & ~orphan, -1).otherwise(0)).alias("depth"),
         )
 
-    folded = F.aggregate(F.split(s, ""), start, step, lambda acc: acc["text"])
+    folded = F.aggregate(F.regexp_extract_all(s, F.lit(r"[^()（）]*+[()（）]|[^()（）]++"), F.lit(0)), start, step, lambda acc: acc["text"])
     return F.when(s.rlike("[)）]"), folded).otherwise(s)
 
 
@@ -214,8 +227,7 @@ def _tidy_pieces(cut: Column, whole: Column) -> Column:
     parts = F.transform(parts, lambda p: F.btrim(clean_name(p), F.lit("\u3000 ,;；、（(")))
     parts = F.transform(parts, lambda p: F.when(
         _count(p, opens) < _count(p, closes), clean_name(F.regexp_replace(p, "[)）]+$", ""))).otherwise(p))
-    kept = F.array_distinct(F.filter(parts, lambda p: p != ""))
-    return F.when(F.size(kept) == 0, F.array(whole)).otherwise(kept)
+    return bound(F.array_distinct(F.filter(parts, lambda p: p != "")), lambda kept: F.when(F.size(kept) == 0, F.array(whole)).otherwise(kept))
 
 
 def split_aliases(c: Column) -> Column:

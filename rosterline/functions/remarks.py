@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 from .names import strip
+from .rows import bound
 
 PAIR = "array<struct<source:string,category:string>>"
 
@@ -102,29 +103,30 @@ def source_rank(c: Column) -> Column:
 
 def render_remark(pairs: Column) -> Column:
     """Pairs to remark text: sources in fixed order, categories in first-seen order."""
+    return bound(pairs, _rendered)
+
+
+def _rendered(pairs: Column) -> Column:
     ranked = F.array_sort(F.array_distinct(F.transform(
         pairs, lambda p: F.struct(source_rank(p["source"]).alias("rank"), p["source"].alias("source")))))
 
     def block(s):
         own = F.filter(pairs, lambda p: (p["source"] == s["source"]) & (p["category"] != ""))
-        cats = F.array_distinct(F.transform(own, lambda p: p["category"]))
-        return F.when(s["source"] == K.SRC_UNKNOWN, cats).when(
+        return bound(F.array_distinct(F.transform(own, lambda p: p["category"])), lambda cats: F.when(s["source"] == K.SRC_UNKNOWN, cats).when(
             F.size(cats) == 0, F.array(s["source"])).otherwise(
-            F.array(F.concat(s["source"], F.lit("："), F.array_join(cats, "、"))))
+            F.array(F.concat(s["source"], F.lit("："), F.array_join(cats, "、")))))
 
-    parts = F.flatten(F.transform(ranked, block))
-    return F.when(F.size(parts) == 0, F.lit("制裁リスト")).otherwise(
-        F.concat(F.lit("制裁リスト（"), F.array_join(parts, "／"), F.lit("）")))
+    return bound(F.flatten(F.transform(ranked, block)), lambda parts: F.when(F.size(parts) == 0, F.lit("制裁リスト")).otherwise(
+        F.concat(F.lit("制裁リスト（"), F.array_join(parts, "／"), F.lit("）"))))
 
 
 def pairs_of(sources: Column, categories: Column) -> Column:
     """(source, category) pairs of a master row; a source without its own category keeps an empty one."""
-    def own(s):
-        mine = F.filter(categories, lambda c: F.startswith(c, F.concat(s, F.lit(":"))))
-        return F.when(F.size(mine) == 0, F.array(_pair(s, ""))).otherwise(F.transform(
-            mine, lambda c: _pair(s, F.substring(c, F.length(s) + 2, F.length(c)))))
+    def own(s, cats):
+        return bound(F.filter(cats, lambda c: F.startswith(c, F.concat(s, F.lit(":")))), lambda mine: F.when(
+            F.size(mine) == 0, F.array(_pair(s, ""))).otherwise(F.transform(mine, lambda c: _pair(s, F.substring(c, F.length(s) + 2, F.length(c))))))
 
-    return F.flatten(F.transform(sources, own))
+    return bound(categories, lambda cats: F.flatten(F.transform(sources, lambda s: own(s, cats))))
 
 
 def remark_of(sources: Column, categories: Column) -> Column:

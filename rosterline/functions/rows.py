@@ -21,3 +21,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt to all tasks by ``keys``, ahead of expressions that cost far more than moving the row: a table of few bytes is
     read by few tasks, and they would do all that work."""
     return df.repartition(*keys)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once per row: a column that an expression names several times is otherwise computed at
+    each of them, and nested ones multiply."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -257,13 +257,13 @@ def _spelled(rows: DataFrame) -> DataFrame:
     """Legacy sheet rows to one row per (key, spelling, remark); keyless spellings and unknown artifacts fall away."""
     cells = N.with_aliases(rows.select("ord", "raw", "remark", "first_ms", "last_ms", "was_invalid"), "raw", "parts")
     pieces = explode_once(cells, ["ord", "raw", "remark", "first_ms", "last_ms", "was_invalid", (F.size("parts") > 1).alias("split")], F.col("parts"), "piece", "pos")
-    pieces = N.with_identity_key(pieces.withColumn("name", N.canonical_display_name(F.col("piece"))).drop("piece"), "name")
-    # one row per (key, spelling, remark): verdicts and remarks are worked out per distinct text, not per row
-    spelled = pieces.withColumn("place", F.struct("first_ms", "ord", "pos")).groupBy("match_key", "name", "remark").agg(
+    pieces = N.with_display_name(pieces, "piece").drop("piece")
+    # one row per (spelling, remark): keys, verdicts and remarks are worked out per distinct text, not per row
+    spelled = pieces.withColumn("place", F.struct("first_ms", "ord", "pos")).groupBy("name", "remark").agg(
         F.min_by(F.struct("raw", "last_ms"), "place").alias("head"), F.min("place").alias("place"), F.count(F.lit(1)).alias("n"),
         F.bool_or("was_invalid").alias("was_invalid"), F.min(F.when(F.col("was_invalid"), F.col("place"))).alias("invalid_place"),
         F.bool_or("split").alias("split"))
-    return spelled.filter((F.col("match_key") != "") & ~N.is_unknown_artifact(F.col("name")))
+    return N.with_identity_key(spelled.filter(~N.is_unknown_artifact(F.col("name"))), "name").filter("match_key <> ''")
 
 
 def legacy_spellings(rows: DataFrame) -> DataFrame:
@@ -299,13 +299,14 @@ def cluster_legacy(rows: DataFrame, ts: int) -> DataFrame:
     sources = F.array_sort(F.array_distinct(F.transform("pairs", lambda p: p["source"])))
     cats = F.array_sort(F.array_distinct(F.transform(
         F.filter("pairs", lambda p: p["category"] != ""), lambda p: F.concat(p["source"], F.lit(":"), p["category"]))))
+    head = head.withColumns({"sources": sources, "categories": cats})
     touched = (F.col("members") > 1) | F.col("invalid") | F.col("any_split") | (F.col("head.name") != F.col("head.raw"))
     return head.select(
         "match_key", F.col("head.name").alias("display_name"),
         F.when(F.col("invalid"), K.INACTIVE).otherwise(K.ACTIVE).alias("status"),
         F.lit(K.RISK_TYPE).alias("risk_type"), F.lit(K.RISK_LEVEL).alias("risk_level"), "first_seen_ms",
         F.when(touched, F.lit(ts).cast("bigint")).otherwise(F.coalesce("head.last_ms", "first_seen_ms")).alias("last_updated_ms"),
-        sources.alias("sources"), cats.alias("categories"), R.remark_of(sources, cats).alias("remark"),
+        "sources", "categories", R.remark_of(F.col("sources"), F.col("categories")).alias("remark"),
         F.coalesce("reason", F.lit("")).alias("invalid_reason"), F.coalesce("review", F.lit("")).alias("review_flag"),
         "variants", "members")
 

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators import crypto, screening, snapshots
+from rosterline.functions import remarks
+from rosterline.operators import crypto, master, screening, snapshots
 from rosterline.plans import registry
 from rosterline.sources import party_xml
 
@@ -115,3 +116,16 @@ def test_case_queue_folds_its_cells_in_one_python_stage(spark):
 def test_list_lines_are_cut_once(spark):
     plan = registry.QUERIES["s1_headerless_list"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 1
+
+
+def test_legacy_cells_are_worked_out_per_text(spark):
+    """A remark's arrays are worked out once, keys per distinct spelling; nested quotes and brackets come out as before."""
+    assert remarks.remark_of(F.col("sources"), F.col("cats"))._jc.toString().count("cats") == 1
+    texts = ['"" “Ann  Lee” ""', "(Ann Lee)", "Ann Lee (a.k.a. Al) x) y", "「」"] * 50
+    rows = spark.createDataFrame([(t, "OFAC" if i % 2 else "外為法", i, 5, False, i) for i, t in enumerate(texts)],
+                                 "raw string, remark string, first_ms bigint, last_ms bigint, was_invalid boolean, ord bigint")
+    out = master.cluster_legacy(rows, 9)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Aggregate [name#")  # parents stand first
+    assert {r["match_key"]: (r["variants"], r["members"], r["remark"]) for r in out.collect()} == {
+        "annlee": (["Ann Lee"], 150, "制裁リスト（OFAC／外為法）"), "al": (["Al"], 50, "制裁リスト（外為法）"), "x": (["x"], 50, "制裁リスト（外為法）"), "y": (["y"], 50, "制裁リスト（外為法）")}
