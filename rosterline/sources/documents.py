@@ -192,6 +192,8 @@ MAIN, LISTING, LIST_PHRASE, RELEASE_HEADING = "maincontents", "pressrelease", "
 LIST_ROLES = {"current_1373": "1373", "current_un": "1267"}
 ERA = 2018
 TOKEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+"
+NAME, NO_TAG = r"^</?([A-Za-z][A-Za-z0-9]*)", r"(?i)^<(?:!|script\b|style\b)"
+LINKS_AND_HEADS = r"(?i)^[^<]*[^< \r\n\t]|^</?(?:a|li|p|dd|dt|h2|h3)(?![A-Za-z0-9])"  # texts that are not blank, and these tags
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -201,29 +203,43 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.when(tag.rlike(rf"(?is)\s{name}\s*="), found)
 
 
-def tag_stream(pages: DataFrame) -> DataFrame:
-    """Page sources (page_id, url, html) as tags and texts in order: page_id, url, i, name, closing, id, href, text.
+def _region(rows: DataFrame, element: str, out: str) -> DataFrame:
+    """Add ``out``: first and last place (from, to) in ``tokens`` of the first element with that id, from its tag to the one that closes it, or
+    to the end; NULL without one.
+
+    A fold over the tokens of one page that keeps two numbers: what is outside is left before a token becomes a row."""
+    tag = F.col("__tag")
+    name = lambda t: F.when(F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, NAME, 1))).otherwise("")
+    found = lambda t: F.contains(t, F.lit(element)) & F.startswith(t, F.lit("<")) & ~F.startswith(t, F.lit("</")) & ~t.rlike(NO_TAG) & (_attribute(t, "id") == element)
+    rows = rows.withColumn("__at", F.array_min(F.transform("tokens", lambda t, i: F.when(found(t), i))))
+    rows = rows.withColumn("__tag", name(F.get("tokens", F.col("__at"))))
+    start = F.struct(F.lit(0).alias("open"), F.col("__at").alias("i"), F.lit(None).cast("int").alias("to"))
+
+    def step(acc, t):
+        counts = (name(t) == tag) & ~t.rlike(NO_TAG)
+        n = acc["open"] + F.when(counts, F.when(F.startswith(t, F.lit("</")), -1).otherwise(1)).otherwise(0)
+        return F.when(acc["to"].isNotNull(), acc).otherwise(F.struct(n.alias("open"), (acc["i"] + 1).alias("i"), F.when(counts & (n == 0), acc["i"]).alias("to")))
+
+    to = F.aggregate(F.slice("tokens", F.col("__at") + 1, F.size("tokens")), start, step, lambda acc: F.coalesce(acc["to"], acc["i"] - 1))
+    return rows.withColumn(out, F.when(F.col("__at").isNotNull(), F.struct(F.col("__at").alias("from"), to.alias("to")))).drop("__at", "__tag")
 
-    No tree is built: what is inside what follows from running counts of opened and closed tags."""
-    rows = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(TOKEN), F.lit(0))).alias("i", "token"))
-    token, is_tag = F.col("token"), F.startswith("token", F.lit("<"))
-    text = F.col("token")
-    for mark, value in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(mark), F.lit(value))
-    return rows.filter(~token.rlike(r"(?i)^<(?:!|script\b|style\b)")).select(
-        "page_id", "url", "i", F.lower(F.regexp_extract(token, r"^</?([A-Za-z][A-Za-z0-9]*)", 1)).alias("name"), F.startswith(token, F.lit("</")).alias("closing"),
-        F.when(is_tag, _attribute(token, "id")).alias("id"), F.when(is_tag, _attribute(token, "href")).alias("href"), F.when(~is_tag, text).alias("text"))
 
+def main_tokens(pages: DataFrame, kinds: str) -> DataFrame:
+    """Tags and texts of the main part of page sources (page_id, url, html) whose beginning matches ``kinds``, in order: page_id, url, i,
+    token, listed (inside the release listing, or no listing in the page)."""
+    rows = pages.select("page_id", "url", F.regexp_extract_all("html", F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    rows = _region(_region(rows, MAIN, "main"), LISTING, "listing")
+    part = F.when(F.col("main").isNotNull(), F.slice("tokens", F.col("main.from") + 1, F.col("main.to") - F.col("main.from") + 1))
+    rows = explode_once(rows, ["page_id", "url", F.col("main.from").alias("from"), "listing"], part, "token", "pos").withColumn("i", F.col("pos") + F.col("from"))
+    listed = F.col("listing").isNull() | F.col("i").between(F.col("listing.from"), F.col("listing.to"))
+    return rows.filter(F.col("token").rlike(kinds)).select("page_id", "url", "i", "token", listed.alias("listed"))
 
-def _inside(rows: DataFrame, element: str, out: str) -> DataFrame:
-    """Add ``out``: whether a row belongs to the first element with that id (from its tag to the one that closes it)."""
-    page, upto = W.partitionBy("page_id"), W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
-    start = F.min(F.when((F.col("id") == element) & ~F.col("closing"), F.struct("i", "name"))).over(page)
-    rows = rows.withColumn("__start", start)
-    counts = (F.col("i") >= F.col("__start.i")) & (F.col("name") == F.col("__start.name"))
-    rows = rows.withColumn("__open", F.sum(F.when(counts, F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)).over(upto))
-    closed = F.coalesce(F.max(counts & (F.col("__open") == 0)).over(upto.rowsBetween(W.unboundedPreceding, -1)), F.lit(False))
-    return rows.withColumn(out, F.coalesce((F.col("i") >= F.col("__start.i")) & ~closed, F.lit(False))).drop("__start", "__open")
+
+def _shown(text: Column) -> Column:
+    """A text as it is shown."""
+    for mark, value in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(mark), F.lit(value))
+    return text
 
 
 def _depth(names: list[str]) -> Column:
@@ -245,28 +261,31 @@ def page_anchors(pages: DataFrame, allowed_hosts: list[str]) -> DataFrame:
     """Links of the main part of page sources (page_id, url, html): page_id, page, i, href, url (resolved), title, official (an allowed host over
     https), listed (inside the release listing, or no listing there), in_entry (inside a list entry or paragraph that names the current
     lists), month and day of the last dated heading."""
-    rows = _inside(_inside(tag_stream(pages), MAIN, "main"), LISTING, "listing")
-    page, upto = W.partitionBy("page_id"), W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    token, is_tag = F.col("token"), F.startswith("token", F.lit("<"))
+    rows = main_tokens(pages, LINKS_AND_HEADS).select(
+        "page_id", "i", "listed", F.lower(F.regexp_extract(token, NAME, 1)).alias("name"), F.startswith(token, F.lit("</")).alias("closing"),
+        F.when(is_tag, F.struct("url", _attribute(token, "href").alias("href"))).alias("link"), F.when(~is_tag, _shown(token)).alias("text"))
+    # all windows over one order: a page's rows move and are sorted once
+    upto = W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
     opened = lambda names: F.col("name").isin(names) & ~F.col("closing")
-    rows = rows.withColumn("listed", F.col("listing") | ~F.max("listing").over(page)).filter("main")
     rows = rows.withColumns({"__block": _depth(["li", "p", "dd"]), "__head": _depth(["dt", "h2", "h3"]), "__a": _depth(["a"]),
                              "anchor": F.sum(F.when(opened(["a"]), 1).otherwise(0)).over(upto)})
     rows = rows.withColumn("__block_no", F.sum(F.when(opened(["li", "p", "dd"]) & (F.col("__block") == 1), 1).otherwise(0)).over(upto))
+    day = F.when((F.col("__head") > 0) & F.col("listed"), F.regexp_extract("text", r"(\d{1,2})月\s*(\d{1,2})日", 0))
+    rows = rows.withColumn("dated", F.last(F.when(day != "", day), ignorenulls=True).over(upto))
     named = F.coalesce(F.contains("text", F.lit(LIST_PHRASE)), F.lit(False)) & (F.col("__block") > 0)
     rows = rows.withColumn("in_entry", F.max(named).over(W.partitionBy("page_id", "__block_no")) & (F.col("__block") > 0))
-    day = F.when((F.col("__head") > 0) & F.col("listed"), F.regexp_extract("text", r"(\d{1,2})月\s*(\d{1,2})日", 0))
-    rows = look_back(rows, ["page_id"], F.floor(F.col("i") / LINES_PER_BUCKET), ["i"], F.when(day != "", day), "dated", inclusive=True)
     inside = (F.col("__a") > 0) | opened(["a"])
-    first = F.when(opened(["a"]), F.struct("href", "listed", "in_entry", "dated"))
-    links = rows.filter(inside).groupBy("page_id", "url", "anchor").agg(
-        F.min("i").alias("i"), F.max(first).alias("a"),
+    own = lambda c: F.max(F.when(opened(["a"]), F.col(c)))  # noqa: E731  # of the one tag that opens the link; what a query does not ask for is not worked out
+    links = rows.filter(inside).groupBy("page_id", "anchor").agg(
+        F.min("i").alias("i"), *[own(c).alias(c.split(".")[-1]) for c in ("link.url", "link.href", "listed", "in_entry", "dated")],
         F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("i", "text")))), lambda t: t["text"]), " ").alias("title"))
-    number = lambda i: F.regexp_extract("a.dated", r"(\d{1,2})月\s*(\d{1,2})日", i).try_cast("int")
-    found = links.filter("a.href IS NOT NULL").withColumn("link", _resolved(F.col("url"), F.col("a.href")))
+    number = lambda i: F.regexp_extract("dated", r"(\d{1,2})月\s*(\d{1,2})日", i).try_cast("int")
+    found = links.filter("href IS NOT NULL").withColumn("link", _resolved(F.col("url"), F.col("href")))
     host = F.regexp_extract("link", r"^https://([^/?#]+)(?:[/?#]|$)", 1)
     return found.select(
-        "page_id", F.col("url").alias("page"), "i", F.col("a.href").alias("href"), F.col("link").alias("url"), N.clean_name(F.col("title")).alias("title"),
-        (host.isin(allowed_hosts) & ~F.col("link").rlike(r"\s")).alias("official"), F.col("a.listed").alias("listed"), F.col("a.in_entry").alias("in_entry"),
+        "page_id", F.col("url").alias("page"), "i", "href", F.col("link").alias("url"), N.clean_name(F.col("title")).alias("title"),
+        (host.isin(allowed_hosts) & ~F.col("link").rlike(r"\s")).alias("official"), "listed", "in_entry",
         number(1).alias("month"), number(2).alias("day"))
 
 
@@ -303,21 +322,22 @@ def release_entries(anchors: DataFrame, months: DataFrame) -> DataFrame:
     part = lambda pattern, i: F.regexp_extract("href", pattern, i).try_cast("int")
     year = F.coalesce(part(era, 1) + ERA, part(modern, 1))
     month = F.coalesce(part(era, 2), part(modern, 2))
-    archives = anchors.filter(year.isNotNull()).select("page_id", F.lit("archive").alias("kind"), "url", F.try_make_timestamp(
-        year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date").alias("date"), "title", "official")
-    archives = archives.withColumn("violation", F.when(F.col("date").isNull(), "BAD_ARCHIVE_MONTH").when(~F.col("official"), "FORBIDDEN_URL"))
-    dated = anchors.filter(F.col("listed") & F.col("month").isNotNull() & ~F.col("href").rlike(r"_index\.html|/\d{4}/\d+\.html|#archives"))
-    dated = dated.join(months, "page_id").withColumn("date", F.try_make_timestamp("year", "month", "day", F.lit(0), F.lit(0), F.lit(0)).cast("date"))
+    date = lambda *parts: F.try_make_timestamp(*parts, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    entry = lambda kind, day, violation: F.struct(F.lit(kind).alias("kind"), F.struct(day.alias("date"), "title", violation.alias("violation")).alias("n"))
+    first, day = date(year, month, F.lit(1)), date("year", "month", "day")
+    archive = F.when(year.isNotNull(), entry("archive", first, F.when(first.isNull(), "BAD_ARCHIVE_MONTH").when(~F.col("official"), "FORBIDDEN_URL")))
+    dated = F.col("asked") & F.col("listed") & F.col("month").isNotNull() & ~F.col("href").rlike(r"_index\.html|/\d{4}/\d+\.html|#archives")
     other = F.col("month") != F.col("month_no")
-    violation = (F.when(F.col("date").isNull(), "BAD_DATE").when(~F.col("href").rlike(r"\.html(\?|$)"), "UNKNOWN_LINK").when(~F.col("official"), "FORBIDDEN_URL")
+    violation = (F.when(day.isNull(), "BAD_DATE").when(~F.col("href").rlike(r"\.html(\?|$)"), "UNKNOWN_LINK").when(~F.col("official"), "FORBIDDEN_URL")
                  .when(other, "CONTRADICTS_MONTH"))
-    notices = dated.withColumn("violation", violation).filter(F.coalesce(~(F.col("rolling") & other), F.lit(True)) | F.col("date").isNull())
+    notice = F.when(dated & (F.coalesce(~(F.col("rolling") & other), F.lit(True)) | day.isNull()), entry("notice", day, violation))
+    # a link may be both; one pass over the links gives either
+    links = anchors.join(months.withColumn("asked", F.lit(True)), "page_id", "left")
+    found = explode_once(links, ["page_id", "url", "i"], F.array_compact(F.array(archive, notice)), "e")
     # a notice that several entries name counts once, with the last one's date
-    notices = notices.groupBy("page_id", "url").agg(F.max_by(F.struct("date", "title", "violation"), "i").alias("n")).select(
-        "page_id", F.lit("notice").alias("kind"), "url", "n.date", "n.title", "n.violation")
-    archives = archives.groupBy("page_id", "kind", "url").agg(F.max(F.struct("date", "title", "violation")).alias("n")).select(
-        "page_id", "kind", "url", "n.date", "n.title", "n.violation")
-    return notices.unionByName(archives)
+    found = found.groupBy("page_id", F.col("e.kind").alias("kind"), "url").agg(F.max_by("e.n", "i").alias("last"), F.max("e.n").alias("most"))
+    n = F.when(F.col("kind") == "notice", F.col("last")).otherwise(F.col("most"))
+    return found.select("page_id", "kind", "url", n["date"].alias("date"), n["title"].alias("title"), n["violation"].alias("violation"))
 
 
 def page_documents(anchors: DataFrame) -> DataFrame:
@@ -328,7 +348,7 @@ def page_documents(anchors: DataFrame) -> DataFrame:
 
 def page_reasons(pages: DataFrame) -> DataFrame:
     """page_id, reasons: the keywords in the texts of the main part; tags, scripts and comments do not count."""
-    texts = _inside(tag_stream(pages), MAIN, "main").filter("main AND text IS NOT NULL")
+    texts = main_tokens(pages, "^[^<]").select("page_id", _shown(F.col("token")).alias("text"))
     has = [F.max(F.contains("text", F.lit(w))).alias(f"w{i}") for i, w in enumerate(KEYWORDS)]
     found = texts.groupBy("page_id").agg(*has)
     return found.select("page_id", F.array_join(F.array(*[F.when(F.col(f"w{i}"), w) for i, w in enumerate(KEYWORDS)]), ";").alias("reasons"))

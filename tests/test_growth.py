@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rosterline.functions import remarks
 from rosterline.operators import crypto, master, screening, snapshots
 from rosterline.plans import registry
-from rosterline.sources import party_xml
+from rosterline.sources import documents, party_xml
 
 registry.load()
 
@@ -129,3 +129,28 @@ def test_legacy_cells_are_worked_out_per_text(spark):
     assert plan.index("ArrowEvalPython") < plan.index("Aggregate [name#")  # parents stand first
     assert {r["match_key"]: (r["variants"], r["members"], r["remark"]) for r in out.collect()} == {
         "annlee": (["Ann Lee"], 150, "制裁リスト（OFAC／外為法）"), "al": (["Al"], 50, "制裁リスト（外為法）"), "x": (["x"], 50, "制裁リスト（外為法）"), "y": (["y"], 50, "制裁リスト（外為法）")}
+
+
+PAGE = ('<a href="/out.html">x</a><dl id=pressrelease><dt>9月 1日</dt></dl><!-- <div id="maincontents"> --><DIV id=\'maincontents\'><div><p>9月2日<a href="a.html"> A <b>1</b>\n</a></p></div><h2>9月3日</h2>'
+        '<a href="/release/8_9_index.html">list</a><a href="/b.pdf#p">B</a><a href="/b.pdf">again</a></DIV><a href="/late.pdf">late</a>')
+
+
+def _page_plan(df):
+    plan = df._jdf.queryExecution()
+    return plan.optimizedPlan().toString().count("regexp_extract_all("), plan.executedPlan().toString().count("Exchange hashpartitioning(")
+
+
+def test_release_entries_read_and_move_a_page_once(spark):
+    pages = spark.createDataFrame([(1, "https://h.example/r/i.html", PAGE), (2, "https://h.example/r/i.html", PAGE.replace("=pressrelease", "=x")), (3, "https://h.example/", None), (4, "https://h.example/", "<p>")],
+                                  "page_id bigint, url string, html string")
+    months = pages.selectExpr("page_id", "2026 AS year", "9 AS month_no", "true AS rolling")
+    found = documents.release_entries(documents.page_anchors(pages, ["h.example"]), months)
+    archive = ("archive", "https://h.example/release/8_9_index.html", "2026-09-01", "list", None)
+    assert {(r["page_id"], r["kind"], r["url"], str(r["date"]), r["title"], r["violation"]) for r in found.collect()} == {
+        (1, *archive), (2, *archive), (2, "notice", "https://h.example/b.pdf", "2026-09-03", "again", "UNKNOWN_LINK")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reads, moves = _page_plan(documents.release_entries(documents.page_anchors(pages, ["h.example"]), months))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (reads, moves) == (1, 2)  # the links' tokens and the months
