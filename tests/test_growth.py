@@ -154,3 +154,12 @@ def test_release_entries_read_and_move_a_page_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert (reads, moves) == (1, 2)  # the links' tokens and the months
+
+
+def test_page_documents_move_only_the_main_part_once(spark):
+    pages = spark.createDataFrame([(i, "https://h.example/r/i.html", "<p>x<b>y</b></p>" * 200 + PAGE) for i in range(50)], "page_id bigint, url string, html string")
+    found = documents.page_documents(documents.page_anchors(pages, ["h.example"]))
+    assert _page_plan(found) == (1, 1)
+    assert {tuple(r) for r in found.collect()} == {(i, "https://h.example/b.pdf", "B", "attachment_pdf") for i in range(50)}
+    assert moved(spark, found)[0] <= 50 * 25
+    assert [r["reasons"] for r in documents.page_reasons(pages.limit(1)).collect()] == [""]
