@@ -194,6 +194,8 @@ ERA = 2018
 TOKEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+"
 NAME, NO_TAG = r"^</?([A-Za-z][A-Za-z0-9]*)", r"(?i)^<(?:!|script\b|style\b)"
 LINKS_AND_HEADS = r"(?i)^[^<]*[^< \r\n\t]|^</?(?:a|li|p|dd|dt|h2|h3)(?![A-Za-z0-9])"  # texts that are not blank, and these tags
+LINK_TAG, BLOCK_TAG, HEAD_TAG = 1, 2, 3  # what a tag opens, or closes (negative); 0 is a text
+TAG_KINDS = {LINK_TAG: ["a"], BLOCK_TAG: ["li", "p", "dd"], HEAD_TAG: ["dt", "h2", "h3"]}
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -242,9 +244,17 @@ def _shown(text: Column) -> Column:
     return text
 
 
-def _depth(names: list[str]) -> Column:
-    """How many tags of these names are open at a row."""
-    step = F.when(F.col("name").isin(names), F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)
+def _mark(name: Column, closing: Column) -> Column:
+    """The kind of a tag, negative if it closes; 0 for a text."""
+    mark = F.lit(0)
+    for kind, names in TAG_KINDS.items():
+        mark = F.when(name.isin(names), F.when(closing, -kind).otherwise(kind)).otherwise(mark)
+    return mark.cast("byte")
+
+
+def _depth(kind: int) -> Column:
+    """How many tags of a kind are open at a row."""
+    step = F.when(F.col("mark") == kind, 1).when(F.col("mark") == -kind, -1).otherwise(0)
     return F.sum(step).over(W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow))
 
 
@@ -261,22 +271,22 @@ def page_anchors(pages: DataFrame, allowed_hosts: list[str]) -> DataFrame:
     """Links of the main part of page sources (page_id, url, html): page_id, page, i, href, url (resolved), title, official (an allowed host over
     https), listed (inside the release listing, or no listing there), in_entry (inside a list entry or paragraph that names the current
     lists), month and day of the last dated heading."""
-    token, is_tag = F.col("token"), F.startswith("token", F.lit("<"))
-    rows = main_tokens(pages, LINKS_AND_HEADS).select(
-        "page_id", "i", "listed", F.lower(F.regexp_extract(token, NAME, 1)).alias("name"), F.startswith(token, F.lit("</")).alias("closing"),
-        F.when(is_tag, F.struct("url", _attribute(token, "href").alias("href"))).alias("link"), F.when(~is_tag, _shown(token)).alias("text"))
+    token, opens, href = F.col("token"), F.col("mark") == LINK_TAG, _attribute(F.col("token"), "href")
+    # what a moved row holds: a mark and, of a tag that opens a link, its target, or of a text, the text
+    rows = main_tokens(pages, LINKS_AND_HEADS).withColumn("name", F.lower(F.regexp_extract(token, NAME, 1)))
+    rows = rows.withColumn("mark", _mark(F.col("name"), F.startswith(token, F.lit("</")))).select(
+        "page_id", "i", "listed", "mark", F.when(opens, F.struct("url", href.alias("href"))).alias("link"),
+        F.when(F.col("mark") == 0, _shown(token)).alias("text"))
     # all windows over one order: a page's rows move and are sorted once
     upto = W.partitionBy("page_id").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
-    opened = lambda names: F.col("name").isin(names) & ~F.col("closing")
-    rows = rows.withColumns({"__block": _depth(["li", "p", "dd"]), "__head": _depth(["dt", "h2", "h3"]), "__a": _depth(["a"]),
-                             "anchor": F.sum(F.when(opened(["a"]), 1).otherwise(0)).over(upto)})
-    rows = rows.withColumn("__block_no", F.sum(F.when(opened(["li", "p", "dd"]) & (F.col("__block") == 1), 1).otherwise(0)).over(upto))
+    rows = rows.withColumns({"__block": _depth(BLOCK_TAG), "__head": _depth(HEAD_TAG), "__a": _depth(LINK_TAG), "anchor": F.sum(F.when(opens, 1).otherwise(0)).over(upto)})
+    rows = rows.withColumn("__block_no", F.sum(F.when((F.col("mark") == BLOCK_TAG) & (F.col("__block") == 1), 1).otherwise(0)).over(upto))
     day = F.when((F.col("__head") > 0) & F.col("listed"), F.regexp_extract("text", r"(\d{1,2})月\s*(\d{1,2})日", 0))
     rows = rows.withColumn("dated", F.last(F.when(day != "", day), ignorenulls=True).over(upto))
     named = F.coalesce(F.contains("text", F.lit(LIST_PHRASE)), F.lit(False)) & (F.col("__block") > 0)
     rows = rows.withColumn("in_entry", F.max(named).over(W.partitionBy("page_id", "__block_no")) & (F.col("__block") > 0))
-    inside = (F.col("__a") > 0) | opened(["a"])
-    own = lambda c: F.max(F.when(opened(["a"]), F.col(c)))  # noqa: E731  # of the one tag that opens the link; what a query does not ask for is not worked out
+    inside = (F.col("__a") > 0) | opens
+    own = lambda c: F.max(F.when(opens, F.col(c)))  # noqa: E731  # of the one tag that opens the link; what a query does not ask for is not worked out
     links = rows.filter(inside).groupBy("page_id", "anchor").agg(
         F.min("i").alias("i"), *[own(c).alias(c.split(".")[-1]) for c in ("link.url", "link.href", "listed", "in_entry", "dated")],
         F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("i", "text")))), lambda t: t["text"]), " ").alias("title"))

@@ -1,5 +1,7 @@
 """What a query moves between tasks, on hand-made rows: it must not grow faster than its input."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +165,13 @@ def test_page_documents_move_only_the_main_part_once(spark):
     assert {tuple(r) for r in found.collect()} == {(i, "https://h.example/b.pdf", "B", "attachment_pdf") for i in range(50)}
     assert moved(spark, found)[0] <= 50 * 25
     assert [r["reasons"] for r in documents.page_reasons(pages.limit(1)).collect()] == [""]
+
+
+def test_only_the_tag_that_opens_a_link_moves_the_page_url(spark):
+    digits = random.Random(1)
+    urls = [f"https://h.example/{digits.getrandbits(160_000):040000x}/i.html" for _ in range(5)]
+    pages = spark.createDataFrame([(i, u, PAGE.replace("<h2>", "<p>x</p>" * 100 + "<h2>")) for i, u in enumerate(urls)], "page_id bigint, url string, html string")
+    anchors = documents.page_anchors(pages, ["h.example"])
+    assert {(r["href"], r["page"] == urls[r["page_id"]], r["title"]) for r in anchors.collect()} == {
+        ("a.html", True, "A 1"), ("/release/8_9_index.html", True, "list"), ("/b.pdf#p", True, "B"), ("/b.pdf", True, "again")}
+    assert moved(spark, documents.page_documents(anchors))[1] < 5 * 4 * 45_000  # four links of a page; over 200 tags
