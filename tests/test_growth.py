@@ -43,6 +43,23 @@ def test_search_gives_hits_to_equal_terms_without_moving_them(spark):
     assert moved(spark, found)[0] < 100_000
 
 
+def test_search_deals_the_rows_of_one_term_to_all_tasks(spark):
+    names = spark.range(20_000).select(F.col("id").alias("name_id"), F.format_string("zz%06d", F.lit(99_999) - F.col("id")).alias("name"))
+    terms = spark.range(30).select(F.col("id").alias("term_id"), F.lit("ZZ").alias("term"))
+    rows = screening.search_names(terms, names).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 600_000 > 2 * max(r["count"] for r in rows)
+
+
+def test_search_gives_steps_of_terms_and_names_whole(spark):
+    """More terms of one key and more names of one length than one step holds, ids that are null, a text found twice in a name."""
+    n, m = screening.TERMS + 4, screening.MEMBERS + 2
+    names = spark.range(m).select(F.when(F.col("id") > 0, F.col("id")).alias("name_id"), F.format_string("zz%05dzz", F.lit(m) - F.col("id")).alias("name"))
+    terms = spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("term_id"), F.lit("zz").alias("term"))
+    found = screening.search_names(terms, names).groupBy("rank", "name_id", "name").agg(F.count(F.lit(1)).alias("n"), F.count("term_id").alias("ids"), F.sum("term_id").alias("sum"))
+    got = {tuple(r) for r in found.collect()}
+    assert got == {(i + 1, i or None, f"zz{m - i:05d}zz", n, n - 1, n * (n - 1) // 2) for i in range(m)}
+
+
 def test_packed_texts_come_back_and_stay_apart(spark):
     values = ["0xab", "0xAB", "0xabc", "0xab\n", "0x", "", "plain", "«", None, "0x" + "0f" * 32]
     df = spark.createDataFrame([(v,) for v in values], "v string").select("v", crypto._packed(F.col("v")).alias("p"))
